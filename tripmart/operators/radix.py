@@ -1,0 +1,112 @@
+"""Percentiles of very large numeric columns by radix selection.
+
+A double is mapped to a 64-bit integer of the same order, which is read in digits of 24, 24 and 16 bits. The
+histogram of the first digit per group is a mergeable summary: histograms of single loads, files or days add
+up to that of their union, and a percentile read from it has a relative error under ``2 ** -12`` (11 bits of
+exponent and 12 of the fraction lie in the digit). For exact results each further pass counts only the next
+digit of values inside the digit that holds a target rank, until a bin holds one value.
+
+The percentile p of n values is the value of rank ``max(1, ceil(p * n))``; p is given in basis points, so ranks
+are exact integers. Nulls and NaN are left out; a group without values gives no row; ties and repeated rows
+count as often as they occur. A histogram has at most 2**24 bins a group however many rows there are, and
+partial histograms are made before the shuffle, so no task ever holds a group's values.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from tripmart.functions.columns import order_bits
+from tripmart.session import checkpoint
+
+#: Bits to drop below each digit, and the mask that keeps the digit itself.
+DIGITS = ((40, None), (16, 0xFFFFFF), (0, 0xFFFF))
+RELATIVE_ERROR = 2.0**-12
+
+
+def _digit(bits: Column, level: int) -> Column:
+    shift, mask = DIGITS[level]
+    x = F.shiftright(bits, shift) if shift else bits
+    return (x if mask is None else x.bitwiseAND(F.lit(mask).cast("bigint"))).cast("int")
+
+
+def measures(df: DataFrame, groups: dict[str, Column], fields: dict[str, Column]) -> DataFrame:
+    """One row for each value: the groups, ``field``, ``value`` and its ``bits``."""
+    entries = F.array(*[F.struct(F.lit(n).alias("field"), c.cast("double").alias("value")) for n, c in fields.items()])
+    rows = df.select(*[c.alias(n) for n, c in groups.items()], F.inline(entries)).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    return rows.withColumn("bits", order_bits(F.col("value")))
+
+
+def histogram(rows: DataFrame, groups: Sequence[str], level: int = 0, path: Sequence[str] = ()) -> DataFrame:
+    """The mergeable state: ``n``, ``low``, ``high`` for each (groups, field, digits so far)."""
+    name = f"digit{level}"
+    return rows.withColumn(name, _digit(F.col("bits"), level)).groupBy(*groups, "field", *path, name).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+
+
+def merge(histograms: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Add up first-digit histograms of several loads into those of coarser groups."""
+    return histograms.groupBy(*groups, "field", "digit0").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+
+
+def _rank(points: Column, n: Column) -> Column:
+    return F.greatest(F.lit(1).cast("bigint"), F.expr("0L") + F.floor((points * n + F.lit(9999)) / F.lit(10000)).cast("bigint"))
+
+
+def select_bins(hist: DataFrame, groups: Sequence[str], points: Sequence[int]) -> DataFrame:
+    """For each group, field and percentile the first-digit bin with the target rank, and the rank inside it."""
+    by = [*groups, "field"]
+    ordered = Window.partitionBy(*by).orderBy("digit0")
+    cumulated = hist.withColumn("upto", F.sum("n").over(ordered)).withColumn("group_rows", F.sum("n").over(Window.partitionBy(*by)))
+    wanted = F.array(*[F.struct(F.lit(p).alias("basis_points"), _rank(F.lit(p).cast("bigint"), F.col("group_rows")).alias("rank")) for p in points])
+    inside = F.filter(wanted, lambda w: (w["rank"] <= F.col("upto")) & (w["rank"] > F.col("upto") - F.col("n")))
+    return cumulated.where(F.size(inside) > 0).select(*by, "digit0", "n", "low", "high", "group_rows", "upto", F.inline(inside)).withColumn("rank", F.col("rank") - (F.col("upto") - F.col("n"))).drop("upto")
+
+
+def _descend(chosen: DataFrame, rows: DataFrame, groups: Sequence[str], level: int, broadcast_rows: int) -> DataFrame:
+    """One pass more: of the rows inside the chosen bins, count the next digit and follow the target rank."""
+    path = [f"digit{i}" for i in range(level)]
+    by = [*groups, "field", *path]
+    bins = chosen.select(*by).distinct()
+    if bins.count() <= broadcast_rows:
+        bins = F.broadcast(bins)
+    for i in range(level):
+        rows = rows.withColumn(f"digit{i}", _digit(F.col("bits"), i))
+    same = [rows[c].eqNullSafe(bins[c]) for c in by]
+    hist = histogram(rows.join(bins, same, "left_semi"), groups, level, path)
+    cumulated = hist.withColumn("upto", F.sum("n").over(Window.partitionBy(*by).orderBy(f"digit{level}")))
+    ranks = chosen.drop("n", "low", "high")
+    on = [cumulated[c].eqNullSafe(ranks[c]) for c in by] + [ranks["rank"] <= cumulated["upto"], ranks["rank"] > cumulated["upto"] - cumulated["n"]]
+    return cumulated.join(ranks, on).select(*[cumulated[c] for c in by], cumulated[f"digit{level}"], cumulated["n"], cumulated["low"], cumulated["high"], ranks["group_rows"], ranks["basis_points"], (ranks["rank"] - (cumulated["upto"] - cumulated["n"])).alias("rank"))
+
+
+def percentiles(df: DataFrame, groups: dict[str, Column], fields: dict[str, Column], points: Sequence[int], *, broadcast_rows: int = 100_000) -> DataFrame:
+    """Exact percentiles: groups, ``field``, ``basis_points``, ``value``, ``group_rows``.
+
+    ``broadcast_rows`` bounds the list of open bins that is broadcast; a longer one is joined by shuffle.
+    """
+    names = list(groups)
+    out = [*names, "field", "basis_points", "value", "group_rows"]
+    rows = measures(df, groups, fields)
+    chosen = checkpoint(select_bins(histogram(rows, names), names, points))
+    done = []
+    for level in range(1, len(DIGITS) + 1):
+        done.append(chosen.where(F.col("low") == F.col("high")).withColumn("value", F.col("low")).select(*out))
+        chosen = chosen.where(F.col("low") != F.col("high"))
+        if level == len(DIGITS) or chosen.isEmpty():
+            break
+        chosen = checkpoint(_descend(chosen, rows, names, level, broadcast_rows))
+    result = done[0]
+    for part in done[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def bounded_percentiles(hist: DataFrame, groups: Sequence[str], points: Sequence[int]) -> DataFrame:
+    """Percentiles from first-digit histograms alone, with the interval that holds the exact value.
+
+    ``value`` is the middle of [``low``, ``high``]; it is within ``RELATIVE_ERROR`` of the exact one.
+    """
+    return select_bins(hist, groups, points).select(*groups, "field", "basis_points", ((F.col("low") + F.col("high")) / 2).alias("value"), "low", "high", F.col("group_rows"))
