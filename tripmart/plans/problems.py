@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.columns import licence, month_text
-from tripmart.operators import heavy_keys, orphans, profile, radix
+from tripmart.operators import drift, heavy_keys, kslack, orphans, profile, radix
+from tripmart.session import checkpoint
 from tripmart.sources.tables import read
 
 HEAVY_SHARE = 0.05
@@ -45,6 +46,81 @@ P1_COUNTS = r"""
     SELECT strftime(data_month, '%Y-%m'), 'PULocationID', CAST(PULocationID AS VARCHAR), count(*)
     FROM trips WHERE data_month IS NOT NULL GROUP BY ALL"""
 
+# 2: schemas that drift between files --------------------------------------------------------------------------
+
+
+def _contract(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
+    """The contract's columns and types, in order: as many rows as a trip has columns."""
+    return [(r["name"], r["spark_type"]) for r in read(spark, folder, "contract_columns").orderBy("position_no").collect()]
+
+
+def _headers(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, list[tuple[str, str]]]:
+    """Headers and aliases, both of the size of the schemas, not of the records."""
+    contract = _contract(spark, folder)
+    header = checkpoint(drift.headers(read(spark, folder, "raw_trip_records")))
+    return header, checkpoint(drift.aliases(header, [n for n, _ in contract])), contract
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    header, alias, contract = _headers(spark, folder)
+    return drift.changes(drift.resolved(header, alias, [n for n, _ in contract]))
+
+
+def p2_table(spark: SparkSession, folder: str) -> DataFrame:
+    header, alias, contract = _headers(spark, folder)
+    return drift.consistent_table(read(spark, folder, "raw_trip_records"), header, alias, contract)
+
+
+def p2_union_schema(spark: SparkSession, folder: str) -> DataFrame:
+    header, alias, contract = _headers(spark, folder)
+    return drift.union_schema(drift.resolved(header, alias, [n for n, _ in contract]))
+
+
+def p2_aliases(spark: SparkSession, folder: str) -> DataFrame:
+    return _headers(spark, folder)[1]
+
+
+def p2_unreadable(spark: SparkSession, folder: str) -> DataFrame:
+    return drift.unreadable(read(spark, folder, "raw_trip_records"))
+
+
+# 3: late and out-of-order events ------------------------------------------------------------------------------
+
+WINDOW_MINUTES, SLACK_MINUTES = 15, 30
+
+
+def _slack(spark: SparkSession, folder: str) -> DataFrame:
+    events = read(spark, folder, "pickup_events").select("event_date", "event_id", "hvfhs_license_num", "pickup_zone_id", "event_time", "send_time")
+    return kslack.judged(kslack.first_sendings(events, "event_date", "event_id", "send_time"), "event_date", "event_time", "send_time", ["pickup_zone_id"], WINDOW_MINUTES, SLACK_MINUTES)
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _slack(spark, folder).where("late").select("event_id")
+
+
+def p3_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return kslack.final_windows(_slack(spark, folder), ["event_date", "pickup_zone_id"], "event_id")
+
+
+def p3_revisions(spark: SparkSession, folder: str) -> DataFrame:
+    return kslack.revisions(_slack(spark, folder), ["event_date", "pickup_zone_id"], every_minutes=15)
+
+
+_P3 = """
+    WITH f AS (SELECT * FROM pickup_events WHERE event_id IS NOT NULL AND send_time IS NOT NULL QUALIFY row_number() OVER (PARTITION BY event_date, event_id ORDER BY send_time) = 1),
+    k AS (SELECT * FROM f WHERE event_time IS NOT NULL AND pickup_zone_id IS NOT NULL),
+    m AS (SELECT *, max(event_time) OVER (PARTITION BY event_date ORDER BY send_time RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING) AS seen,
+          time_bucket(INTERVAL '15 minutes', event_time) AS window_start FROM k),
+    j AS (SELECT *, coalesce(window_start + INTERVAL '15 minutes' <= seen - INTERVAL '30 minutes', false) AS late FROM m)"""
+P3_FOUND = _P3 + " SELECT event_id FROM j WHERE late"
+P3_WINDOWS = _P3 + """,
+    o AS (SELECT *, date_diff('microsecond', lag(event_time) OVER w, event_time) AS gap FROM j WHERE NOT late WINDOW w AS (PARTITION BY event_date, pickup_zone_id, window_start ORDER BY event_time, event_id)),
+    a AS (SELECT event_date, pickup_zone_id, window_start, count(*) AS trips, max(gap) // 1000000 AS longest_gap_seconds, arg_min(event_id, (event_time, event_id)) AS first_event, arg_max(event_id, (event_time, event_id)) AS last_event FROM o GROUP BY ALL),
+    l AS (SELECT event_date, pickup_zone_id, window_start, count(*) AS late_trips FROM j WHERE late GROUP BY ALL)
+    SELECT coalesce(a.event_date, l.event_date) AS event_date, coalesce(a.pickup_zone_id, l.pickup_zone_id) AS pickup_zone_id, coalesce(a.window_start, l.window_start) AS window_start,
+      coalesce(trips, 0) AS trips, longest_gap_seconds, first_event, last_event, coalesce(late_trips, 0) AS late_trips
+    FROM a FULL JOIN l ON a.event_date = l.event_date AND a.pickup_zone_id = l.pickup_zone_id AND a.window_start = l.window_start"""
+
 # 4: references to records that do not exist -------------------------------------------------------------------
 
 REFERENCES = ["pickup_zone_key", "date_key", "company_key"]
@@ -142,8 +218,6 @@ TRIP_CHECKS = [
 
 
 def _profiles(spark: SparkSession, folder: str) -> DataFrame:
-    from tripmart.session import checkpoint
-
     # small (a row per load and column), read several times
     return checkpoint(profile.column_profiles(read(spark, folder, "trips"), "_source_file", "data_month", TRIP_CHECKS))
 
@@ -193,6 +267,8 @@ P6_FOUND = f"""
 
 QUERIES = {
     "p1_found": p1_found, "p1_key_counts": p1_key_counts, "p1_licence_zone_stats": p1_licence_zone_stats,
+    "p2_found": p2_found, "p2_table": p2_table, "p2_union_schema": p2_union_schema, "p2_aliases": p2_aliases, "p2_unreadable": p2_unreadable,
+    "p3_found": p3_found, "p3_windows": p3_windows, "p3_revisions": p3_revisions,
     "p4_found": p4_found, "p4_report": p4_report,
     "p5_percentiles": p5_percentiles, "p5_load_histograms": p5_load_histograms,
     "p6_found": p6_found, "p6_profile": p6_profile, "p6_control_limits": p6_control_limits,
@@ -207,6 +283,8 @@ SQL = {
     SELECT upper(regexp_replace(hvfhs_license_num, '^\s+|\s+$', '', 'g')) AS licence, PULocationID, count(*) AS trips, CAST(sum(CAST(round(driver_pay * 100) AS BIGINT)) AS BIGINT) AS pay_cents,
       min(trip_miles) AS least_miles, max(trip_miles) AS most_miles, round(CAST(sum(trip_time) AS DOUBLE) / count(trip_time), 3) AS mean_trip_seconds
     FROM trips GROUP BY 1, 2""",
+    "p2_unreadable": """SELECT source_file, count(*) AS lines, count(*) - count(CASE WHEN json_type(TRY_CAST(payload AS JSON)) = 'OBJECT' THEN 1 END) AS unreadable_lines FROM raw_trip_records GROUP BY 1""",
+    "p3_found": P3_FOUND, "p3_windows": P3_WINDOWS,
     "p4_found": P4_FOUND, "p4_report": P4_REPORT,
     "p5_percentiles": P5_PERCENTILES,
     "p6_found": P6_FOUND, "p6_profile": P6_PROFILE,
