@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import leakage, mixture
+from tripmart.llm import leakage, mixture, residue
 from tripmart.session import checkpoint
 from tripmart.sources.tables import read
 
@@ -43,5 +43,16 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.shares(checkpoint(mixture.mixture(sized, wanted)), mixture.source_sizes(sized), wanted)
 
 
-QUERIES = {"p7_found": p7_found, "p7_leaks": p7_leaks, "p8_found": p8_found, "p8_mixture": p8_mixture, "p8_shares": p8_shares}
+# 9: template residue and error-page text ------------------------------------------------------------------------
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return residue.residue(read(spark, folder, "documents")).select("doc_id").distinct()
+
+
+def p9_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return residue.residue(read(spark, folder, "documents"))
+
+
+QUERIES = {"p7_found": p7_found, "p7_leaks": p7_leaks, "p8_found": p8_found, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p9_found": p9_found, "p9_windows": p9_windows}
 SQL: dict[str, str] = {}
