@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.session import checkpoint
+
 STATE = "ref_column string, key bigint, refs array<struct<period:date,n:bigint>>, spans array<struct<begins:date,ends:date>>"
 EVER, NEVER = "0001-01-01", "9999-12-31"
 
@@ -96,12 +98,11 @@ def orphan_rows(facts: DataFrame, state: DataFrame, columns: list[str], month: s
     The orphan keys are broadcast while there are at most ``broadcast_keys`` of them; beyond that the join
     shuffles, and adaptive execution splits the partitions of hot keys.
     """
-    from tripmart.session import checkpoint
-
-    keys = checkpoint(judged(state).where("orphan").select("ref_column", "key", "period"))
+    keys = checkpoint(judged(state).where("orphan").select(F.col("ref_column").alias("__c"), F.col("key").alias("__k"), F.col("period").alias("__p")))
     if keys.count() <= broadcast_keys:
         keys = F.broadcast(keys)
-    entries = F.array(*[F.struct(F.lit(c).alias("ref_column"), F.col(c).cast("bigint").alias("key")) for c in columns])
-    rows = facts.withColumn("period", F.trunc(F.col(month), "month")).select("*", F.inline(entries))
-    same = (rows["ref_column"] == keys["ref_column"]) & (rows["key"] == keys["key"]) & rows["period"].eqNullSafe(keys["period"])
-    return rows.join(keys, same, "left_semi")
+    kept = [c for c in facts.columns if c != "ref_column"]
+    entries = F.array(*[F.struct(F.lit(c).alias("ref_column"), F.col(c).cast("bigint").alias("__key")) for c in columns])
+    rows = facts.select(*[F.col(f"`{c}`") for c in kept], F.trunc(F.col(month), "month").alias("__period"), F.inline(entries))
+    same = (rows["ref_column"] == keys["__c"]) & (rows["__key"] == keys["__k"]) & rows["__period"].eqNullSafe(keys["__p"])
+    return rows.join(keys, same, "left_semi").drop("__period", "__key")

@@ -83,6 +83,13 @@ def _checks(name: str, expected: str, actual: str) -> str:
     return f"SELECT '{name}' AS name, CAST({expected} AS BIGINT) AS expected, CAST({actual} AS BIGINT) AS actual, {expected} = {actual} AS passed"
 
 
+def replay_events(day) -> str:
+    """Pickups of a day numbered in order; what Spark's ordering calls first, nulls too."""
+    order = ", ".join(f'"{c}" NULLS FIRST' for c in ("pickup_datetime", "PULocationID", "DOLocationID", "hvfhs_license_num", "trip_miles"))
+    number = f"row_number() OVER (ORDER BY {order})"
+    return _with(_EVALUATED, select=f"""SELECT '{day}-' || {number} AS event_id, hvfhs_license_num, "PULocationID" AS pickup_zone_id, CAST(pickup_datetime AS TIMESTAMPTZ) AS event_time, DATE '{day}' AS event_date FROM ok WHERE data_month = DATE '{day.replace(day=1)}' AND CAST(pickup_datetime AS DATE) = DATE '{day}'""")
+
+
 SQL = {
     "bronze_conform": f"SELECT {', '.join(chr(34) + n + chr(34) if n != 'cbd_congestion_fee' else 'CAST(NULL AS DOUBLE) AS cbd_congestion_fee' for n in NAMES)}, 'load.parquet' AS _source_file, data_month FROM trips WHERE data_month = DATE '2024-12-01'",
     "rule_flags": _with(_EVALUATED, select='SELECT _source_file, pickup_datetime, dropoff_datetime, "PULocationID", "DOLocationID", failed_rules, quality_warnings FROM ev'),
