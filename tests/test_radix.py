@@ -1,0 +1,68 @@
+import math
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tripmart.functions.columns import order_bits
+from tripmart.operators import radix
+
+POINTS = [1, 2500, 5000, 9000, 10000]
+
+
+def exact(values, p):
+    return sorted(values)[max(1, -(-p * len(values) // 10000)) - 1]
+
+
+def run(spark, rows, **options):
+    df = spark.createDataFrame(rows, "g string, v double, bits int, field int")
+    return {(r["k"], r["basis_points"]): r["value"] for r in radix.percentiles(df, {"k": F.col("g")}, {"v": F.col("v")}, POINTS, **options).collect()}
+
+
+def check(spark, rows, **options):
+    groups = {}
+    for g, v, *_ in rows:
+        if v is not None and not math.isnan(v):
+            groups.setdefault(g, []).append(v + 0.0)
+    assert run(spark, rows, **options) == {(g, p): exact(v, p) for g, v in groups.items() for p in POINTS}
+
+
+def test_order_bits_keep_the_order(spark):
+    values = [float("-inf"), -1e300, -2.5, -1e-310, 0.0, 1e-310, 1.0, 1.0000000000000002, 7.25, 1e300, float("inf")]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", order_bits(F.col("v")).alias("b")).orderBy("b").collect()
+    assert [r["v"] for r in rows] == values
+    zero = spark.createDataFrame([(0.0,), (-0.0,), (None,)], "v double").select(order_bits(F.col("v")).alias("b")).collect()
+    assert zero[0] == zero[1] and zero[2]["b"] is None
+
+
+@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
+def test_against_sorting(spark, broadcast_rows):
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, float("nan"), rng.gauss(0, 50), round(rng.uniform(-5, 90), 2), 1.0 + rng.randrange(9) * 2.0**-52]), 1, 2) for _ in range(3000)]
+    check(spark, rows, broadcast_rows=broadcast_rows)
+
+
+def test_ties_single_values_and_no_values(spark):
+    check(spark, [("a", 2.0, 0, 0)] * 50 + [("b", -1.5, 0, 0)] + [("c", None, 0, 0)])
+    assert run(spark, []) == {}
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.floats(allow_nan=False, allow_infinity=False), min_size=1, max_size=30))
+def test_any_doubles(spark, values):
+    check(spark, [("g", v, 0, 0) for v in values])
+
+
+def test_merged_histograms_are_those_of_all_rows_and_bound_the_error(spark):
+    rng = random.Random(6)
+    rows = [(f"load{i % 4}", "g", rng.lognormvariate(3, 1)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "load string, g string, v double")
+    single = radix.histogram(radix.measures(df, {"load": F.col("load"), "g": F.col("g")}, {"v": F.col("v")}), ["load", "g"])
+    merged = radix.merge(single, ["g"])
+    whole = radix.histogram(radix.measures(df, {"g": F.col("g")}, {"v": F.col("v")}), ["g"]).select(*merged.columns)
+    assert merged.exceptAll(whole).isEmpty() and whole.exceptAll(merged).isEmpty()
+    for r in radix.bounded_percentiles(merged, ["g"], POINTS).collect():
+        true = exact([v for *_, v in rows], r["basis_points"])
+        assert r["low"] <= true <= r["high"] and abs(r["value"] - true) <= radix.RELATIVE_ERROR * true

@@ -69,17 +69,19 @@ def _descend(chosen: DataFrame, rows: DataFrame, groups: Sequence[str], level: i
     """One pass more: of the rows inside the chosen bins, count the next digit and follow the target rank."""
     path = [f"digit{i}" for i in range(level)]
     by = [*groups, "field", *path]
-    bins = chosen.select(*by).distinct()
+    renamed = lambda df: df.select([F.col(c).alias(f"__{c}") for c in df.columns])
+    bins = renamed(chosen.select(*by).distinct())
     if bins.count() <= broadcast_rows:
         bins = F.broadcast(bins)
     for i in range(level):
         rows = rows.withColumn(f"digit{i}", _digit(F.col("bits"), i))
-    same = [rows[c].eqNullSafe(bins[c]) for c in by]
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
     hist = histogram(rows.join(bins, same, "left_semi"), groups, level, path)
     cumulated = hist.withColumn("upto", F.sum("n").over(Window.partitionBy(*by).orderBy(f"digit{level}")))
-    ranks = chosen.drop("n", "low", "high")
-    on = [cumulated[c].eqNullSafe(ranks[c]) for c in by] + [ranks["rank"] <= cumulated["upto"], ranks["rank"] > cumulated["upto"] - cumulated["n"]]
-    return cumulated.join(ranks, on).select(*[cumulated[c] for c in by], cumulated[f"digit{level}"], cumulated["n"], cumulated["low"], cumulated["high"], ranks["group_rows"], ranks["basis_points"], (ranks["rank"] - (cumulated["upto"] - cumulated["n"])).alias("rank"))
+    ranks = renamed(chosen.drop("n", "low", "high"))
+    inside = [F.col("__rank") <= F.col("upto"), F.col("__rank") > F.col("upto") - F.col("n")]
+    rank = (F.col("__rank") - (F.col("upto") - F.col("n"))).alias("rank")
+    return cumulated.join(ranks, same + inside).select(*by, f"digit{level}", "n", "low", "high", F.col("__group_rows").alias("group_rows"), F.col("__basis_points").alias("basis_points"), rank)
 
 
 def percentiles(df: DataFrame, groups: dict[str, Column], fields: dict[str, Column], points: Sequence[int], *, broadcast_rows: int = 100_000) -> DataFrame:
