@@ -94,7 +94,7 @@ def replay(planned: Iterable[PlannedEvent], send: Callable[[Event], None], speed
     return sent
 
 
-def drop_files(planned: DataFrame, folder: str, files: int) -> None:
+def drop_files(planned: DataFrame, folder: str, files: int, prefix: str = "") -> None:
     """Send a plan as JSON files, in order of sending; one file is one micro-batch of a file stream.
 
     The files' names sort by their place; the first ones hold an event more where the number doesn't divide.
@@ -113,5 +113,5 @@ def drop_files(planned: DataFrame, folder: str, files: int) -> None:
         fs.mkdirs(path(folder))
         for s in fs.listStatus(path(part)):
             if s.getPath().getName().endswith(".json"):
-                fs.rename(s.getPath(), path(f"{folder}/{i:06d}.json"))
+                fs.rename(s.getPath(), path(f"{folder}/{prefix}{i:06d}.json"))
         fs.delete(path(part), True)
