@@ -91,3 +91,10 @@ def test_empty_table(spark):
 @pytest.mark.parametrize("key,field,alike", [("PUlocationID", "PULocationID", True), ("pickup_zone_id", "PULocationID", True), ("black_car_fund", "bcf", True), ("gratuity", "tips", True), ("dropped_off_at", "dropoff_datetime", True), ("vehicle_class", "hvfhs_license_num", False), ("est_wait_minutes", "trip_time", False), ("cbd_fee", "airport_fee", False)])
 def test_names(key, field, alike):
     assert (similarity(key, field) >= 0.5) == alike
+
+
+def test_a_rename_in_another_form_is_recognised(spark):
+    other = [base(i, tips="-", gratuity=f"${i}.50", pickup_datetime="-", pickup_at=1735689600 + i, shared_request_flag="-", shared_requested=False) for i in range(3)]
+    files = {("r1", 1): [base(i) for i in range(3)], ("r1", 2): other, ("r2", 1): [base(i) for i in range(3)]}
+    found = changes(spark, files)[2]
+    assert [(f, k) for _, f, k in found] == [("pickup_datetime", "renamed"), ("pickup_datetime", "retyped"), ("shared_request_flag", "renamed"), ("shared_request_flag", "retyped"), ("tips", "renamed"), ("tips", "retyped")]

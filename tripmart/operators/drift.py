@@ -58,7 +58,7 @@ def headers(raw: DataFrame, file: str = "source_file", month: str = "data_month"
     pairs = F.concat(F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("variant").alias("value"))), F.map_entries(F.col("record").cast("map<string,variant>")))
     values = records.select("file", "month", F.inline(pairs)).withColumn("kind", F.when(F.col("value").isNotNull(), _kind(F.col("value"))))
     text = F.when(F.col("kind").isNotNull() & (F.col("kind") != "nested"), F.try_variant_get("value", "$", "string"))
-    values = values.withColumn("text", text).withColumn("number", F.expr("try_cast(text as double)"))
+    values = values.withColumn("text", text).withColumn("number", F.regexp_replace("text", "[$ ,]", "").try_cast("double"))
     looks = {"hv": F.col("text").rlike(_HV), "b": F.col("text").rlike(_B), "yn": F.col("text").rlike(_YN), "dt": F.col("text").rlike(_DT), "num": F.col("number").isNotNull(), "bool": F.lower("text").isin("true", "false")}
     grouped = values.groupBy("file", "key").agg(
         F.min("month").alias("month"), F.count(F.lit(1)).alias("present"), F.count("kind").alias("filled"),
@@ -105,7 +105,9 @@ def aliases(header: DataFrame, fields: Sequence[str], *, least_name: float = 0.5
     pairs = pairs.join(_character(header, "key"), "key").join(known, "field", "left").withColumn("name", _name_similarity("key", "field"))
     absent = F.greatest(F.lit(0.02), 1 - F.coalesce("field_files", F.lit(0)) / F.lit(max(files, 1)))
     evidence = -F.col("n") * F.log10(absent)
-    same_class = F.col("key_class").isNull() | F.col("field_class").isNull() | (F.col("key_class") == F.col("field_class"))
+    # a flag may be written as true and false, a time as seconds or milliseconds since 1970
+    other_form = ((F.col("key_class") == "bool") & (F.col("field_class") == "yn")) | ((F.col("key_class") == "num") & (F.col("field_class") == "dt") & (F.col("key_size") > 1e8))
+    same_class = other_form | F.col("key_class").isNull() | F.col("field_class").isNull() | (F.col("key_class") == F.col("field_class"))
     ratio = F.abs(F.log10(F.greatest(F.col("key_size"), F.lit(1e-3)) / F.greatest(F.col("field_size"), F.lit(1e-3))))
     fits = F.coalesce(F.greatest(F.lit(0.0), 1 - ratio), F.lit(0.5))
     score = F.col("name") + F.least(F.lit(1.0), evidence / (2 * least_evidence)) * 0.5 + fits * 0.3
