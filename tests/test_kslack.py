@@ -74,3 +74,57 @@ def test_final_windows_are_ordered_by_event_time(spark):
 def test_empty_table(spark):
     got = judged(spark, [])
     assert got.count() == 0 and kslack.final_windows(got, ["event_date", "pickup_zone_id"], "event_id").count() == 0
+
+
+def sendings(seed=5, n=400):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        m = rng.uniform(0, 400)
+        r = row(f"e{i}", m, m + rng.expovariate(1 / 25), rng.choice([1, 2, None] if i % 40 == 0 else [1, 2]), D0 + timedelta(days=rng.randrange(2)))
+        rows += [r] + ([(*r[:4], r[4] + timedelta(minutes=45), "y", 2)] if rng.random() < 0.1 else [])
+    return sorted(rows, key=lambda r: r[4])
+
+
+def test_increments_equal_one_pass(spark, tmp_path):
+    from tripmart.streaming.slack import GROUPS, SlackStream
+
+    rows = sendings()
+    whole = judged(spark, rows)
+    stream = SlackStream(str(tmp_path / "s"))
+    cuts = [0, 60, 61, 200, len(rows)]
+    for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        stream.add(spark.createDataFrame(rows[a:b], DDL), k)
+        stream.add(spark.createDataFrame(rows[a:b], DDL), k)  # comes again after a restart
+    got_late = {r["event_id"] for r in stream.table(spark, "late").read().collect()}
+    assert got_late == {r["event_id"] for r in whole.where("late").collect()} and len(got_late) > 5
+    want = kslack.final_windows(whole.where("not late"), GROUPS, "event_id").drop("late_trips")
+    final, provisional = stream.table(spark, "final").read(), stream.table(spark, "provisional").read().drop("batch")
+    assert final.count() > 0 and provisional.count() > 0
+    both = final.unionByName(provisional)
+    assert both.exceptAll(want).isEmpty() and want.exceptAll(both).isEmpty()
+    for day in (D0, D0 + timedelta(days=1)):
+        stream.close(spark, day)
+    closed = stream.table(spark, "final").read()
+    assert closed.exceptAll(want).isEmpty() and want.exceptAll(closed).isEmpty() and stream.table(spark, "provisional").read().count() == 0
+
+
+def test_increments_from_a_stream_of_files(spark, tmp_path):
+    import os
+
+    from tripmart.streaming.slack import SlackStream
+
+    rows = sendings(6, 120)
+    schema = spark.createDataFrame([], DDL).schema
+    for k in range(3):
+        part = rows[k * 45 : (k + 1) * 45]
+        spark.createDataFrame(part, DDL).coalesce(1).write.parquet(str(tmp_path / f"p{k}"))
+        (tmp_path / "in").mkdir(exist_ok=True)
+        file = next((tmp_path / f"p{k}").glob("*.parquet"))
+        os.rename(file, tmp_path / "in" / f"{k}.parquet")
+        os.utime(tmp_path / "in" / f"{k}.parquet", (1_700_000_000 + k, 1_700_000_000 + k))
+    stream = SlackStream(str(tmp_path / "s"))
+    query = stream.run(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), str(tmp_path / "c"))
+    query.awaitTermination()
+    want = {r["event_id"] for r in judged(spark, rows[:135]).where("late").collect()}
+    assert query.exception() is None and {r["event_id"] for r in stream.table(spark, "late").read().collect()} == want

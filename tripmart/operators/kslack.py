@@ -34,8 +34,11 @@ def first_sendings(events: DataFrame, day: str, event: str, sent: str) -> DataFr
     return kept.select(day, event, *[F.col(f"__first.{c}").alias(c) for c in [sent, *rest]])
 
 
-def judged(events: DataFrame, day: str, time: str, sent: str, needed: Sequence[str], window_minutes: int, slack_minutes: int) -> DataFrame:
-    """Events with ``window_start``, ``seen`` (the greatest event time sent before) and ``late``."""
+def judged(events: DataFrame, day: str, time: str, sent: str, needed: Sequence[str], window_minutes: int, slack_minutes: int, tops: DataFrame | None = None) -> DataFrame:
+    """Events with ``window_start``, ``seen`` (the greatest event time sent before) and ``late``.
+
+    ``tops`` holds the greatest event time of each day in what was sent before these events, where there was any.
+    """
     kept = events
     for c in [time, *needed]:
         kept = kept.where(F.col(c).isNotNull())
@@ -45,8 +48,10 @@ def judged(events: DataFrame, day: str, time: str, sent: str, needed: Sequence[s
     # written once, so the two uses below see the same ranges even when executors are lost
     ranged = checkpoint(kept.repartitionByRange(ranges, day, "__sent").withColumn("__range", F.spark_partition_id()))
     # at most `ranges` rows and one more for each day
-    tops = ranged.groupBy(day, "__range").agg(F.max("__time").alias("__time"))
-    carried = tops.select(day, "__range", F.max("__time").over(Window.partitionBy(day).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)).alias("__time")).where(F.col("__time").isNotNull())
+    maxima = ranged.groupBy(day, "__range").agg(F.max("__time").alias("__time"))
+    if tops is not None:
+        maxima = maxima.unionByName(tops.select(day, F.lit(-1).alias("__range"), F.unix_micros(time).alias("__time")).where(F.col("__time").isNotNull()))
+    carried = maxima.select(day, "__range", F.max("__time").over(Window.partitionBy(day).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)).alias("__time")).where(F.col("__time").isNotNull() & (F.col("__range") >= 0))
     # the maximum carried into a range stands before its first event
     both = ranged.unionByName(carried.withColumn("__sent", F.lit(-(2**62))), allowMissingColumns=True)
     before = Window.partitionBy(day, "__range").orderBy("__sent").rangeBetween(Window.unboundedPreceding, -1)
