@@ -24,9 +24,9 @@ def zone_lookup(zones: DataFrame) -> DataFrame:
 
 def with_zone_names(trips: DataFrame, zones: DataFrame, *, most_zones: int = 100_000) -> DataFrame:
     """The names of the pickup and the drop-off zone; unknown zones give null names."""
-    z = zone_lookup(zones)
+    z = bounded_broadcast(zone_lookup(zones), most_zones)
     for column, role in (("PULocationID", "pickup"), ("DOLocationID", "dropoff")):
-        side = bounded_broadcast(z.select(F.col("location_id").alias("__id"), F.col("borough").alias(f"{role}_borough"), F.col("zone").alias(f"{role}_zone")), most_zones)
+        side = z.select(F.col("location_id").alias("__id"), F.col("borough").alias(f"{role}_borough"), F.col("zone").alias(f"{role}_zone"))
         trips = trips.join(side, trips[column] == side["__id"], "left").drop("__id")
     return trips
 

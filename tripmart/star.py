@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from tripmart.contract import NAMES
 from tripmart.functions.exact import amount, hundredths
@@ -78,13 +77,19 @@ def wait_seconds(request: Column, pickup: Column) -> Column:
     return F.when(waited >= 0, waited)
 
 
-def with_trip_key(trips: DataFrame, columns: Sequence[str] = NAMES) -> DataFrame:
+def _row_hash(columns: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(c) for c in columns], F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in columns]))
+
+
+def with_trip_key(trips: DataFrame, columns: Sequence[str] = NAMES, *, among: DataFrame | None = None) -> DataFrame:
     """``trip_key``: a hash of all source columns, of which are null, and of a number among identical rows.
 
-    Rows are only shuffled where their hash occurs more than once: hashes alone are counted first.
+    Rows are only shuffled where their hash occurs more than once: hashes alone are counted first, in ``among``, a
+    frame that holds all the trips and is cheaper to read, if there is one.
     """
-    hashed = trips.withColumn("__hash", F.xxhash64(*[F.col(c) for c in columns], F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in columns])))
-    several = bounded_broadcast(hashed.groupBy(F.col("__hash").alias("__several")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__several"), 100_000)
+    counted = (trips if among is None else among).select(_row_hash(columns).alias("__several"))
+    several = bounded_broadcast(counted.groupBy("__several").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__several"), 100_000)
+    hashed = trips.withColumn("__hash", _row_hash(columns))
     met = hashed.join(several, hashed["__hash"] == several["__several"], "left")
     alone = met.where("__several IS NULL").withColumn("__number", F.lit(1))
     again = met.where("__several IS NOT NULL").withColumn("__number", F.row_number().over(Window.partitionBy("__hash", *columns).orderBy("__hash")))
@@ -92,10 +97,10 @@ def with_trip_key(trips: DataFrame, columns: Sequence[str] = NAMES) -> DataFrame
     return both.withColumn("trip_key", F.xxhash64("__hash", "__number")).drop("__hash", "__several", "__number")
 
 
-def fct_trips(accepted: DataFrame) -> DataFrame:
+def fct_trips(accepted: DataFrame, *, among: DataFrame | None = None) -> DataFrame:
     fare = amount(sum((F.coalesce(hundredths(F.col(c)), F.lit(0).cast("bigint")) for c in CHARGES[1:]), F.coalesce(hundredths(F.col(CHARGES[0])), F.lit(0).cast("bigint"))))
     pickup = F.col("pickup_datetime")
-    return with_trip_key(accepted).select(
+    return with_trip_key(accepted, among=among).select(
         "trip_key", date_key(F.to_date(pickup)).alias("date_key"), F.hour(pickup).alias("time_key"), F.col("PULocationID").alias("pickup_zone_key"), F.col("DOLocationID").alias("dropoff_zone_key"), company_key(F.col("hvfhs_license_num")).alias("company_key"),
         *MEASURES, fare.alias("total_fare"), wait_seconds(F.col("request_datetime"), pickup).alias("wait_time_seconds"), "data_month",
     )
