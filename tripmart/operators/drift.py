@@ -65,10 +65,11 @@ def headers(raw: DataFrame, file: str = "source_file", month: str = "data_month"
         *[F.count_if(F.col("kind") == k).alias(f"k{i}") for i, k in enumerate(KINDS)], *[F.count_if(c).alias(f"c_{n}") for n, c in looks.items()],
         F.sum(F.abs("number")).alias("size"),
     )
-    counts = grouped.where(F.col("key").isNull()).select(F.col("file").alias("in_file"), F.col("present").alias("records"))
     most = F.array_max(F.array(*[F.struct(F.col(f"k{i}").alias("n"), F.lit(i).alias("i")) for i in range(len(KINDS))]))
     kind = F.when(F.col("filled") > 0, F.element_at(F.array(*map(F.lit, KINDS)), most["i"] + 1))
-    own = grouped.where(F.col("key").isNotNull()).join(counts, F.col("file") == F.col("in_file")).where(F.col("present") * 2 >= F.col("records"))
+    # a file's keys are as many as its records have, so its group in this window is small
+    records = F.max(F.when(F.col("key").isNull(), F.col("present"))).over(Window.partitionBy("file"))
+    own = grouped.withColumn("records", records).where(F.col("key").isNotNull() & (F.col("present") * 2 >= F.col("records")))
     return own.select("file", "month", "key", kind.alias("type"), "present", "records", "filled", *[f"c_{n}" for n in looks], "size")
 
 
