@@ -232,3 +232,29 @@ def test_throughput(spark):
     at = datetime(2025, 1, 1)
     rows = [(at, datetime(2025, 1, 1, 0, 0, 10), 100), (at, at, 50), (at, datetime(2025, 1, 1, 0, 0, 5), 0)]
     assert timing.throughput(spark.createDataFrame(rows, "started_at timestamp, finished_at timestamp, input_rows bigint")).first()["rows_per_second"] == 10.0
+
+
+def test_http_answers(lake, tmp_path):
+    import json as j
+    import threading
+    import urllib.error
+    import urllib.request
+
+    from tripmart import http_api
+
+    for step in ("bronze", "silver", "gold", "star"):
+        assert run(lake, step, "--month", "2025-01") == 0
+    assert run(lake, "snapshot", "--month", "2025-01", "--out", str(tmp_path / "snap")) == 0
+    server = http_api.server(http_api.Service(lake.spark, str(tmp_path / "snap")))
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    get = lambda path: j.load(urllib.request.urlopen(f"http://127.0.0.1:{server.server_port}{path}", timeout=60))
+    try:
+        assert get("/health")["months"] == ["2025-01-01"] and sum(r["trips"] for r in get("/drivers/economics?month=2025-01")) == 40
+        assert len(get("/zones/busiest?month=2025-01&limit=3")) == 3 and get("/quality/monthly")[0]["rows_quarantined"] == 1
+        assert get("/trips/daily?start=2025-01-01&end=2025-01-02") and get("/trips/daily?start=2025-01-01&end=2025-01-02&company=x") == []
+        for path, status in (("/drivers/economics", 422), ("/drivers/economics?month=2024-01", 404), ("/zones/busiest?month=2025-01&hour=x", 422), ("/trips/daily?start=1&end=2", 422), ("/x", 404)):
+            with pytest.raises(urllib.error.HTTPError) as error:
+                get(path)
+            assert error.value.code == status
+    finally:
+        server.shutdown()

@@ -133,3 +133,10 @@ def test_run_log_replaces_a_run(spark, tmp_path):
     for n in (1, 2):
         pickups.record_run(runs, "a", DAY, at, at, {"batches": n, "input_rows": n, "dropped_late_rows": 0})
     assert [r["batches"] for r in runs.read().collect()] == [2]
+
+
+def test_runs_of_a_day(spark):
+    at = datetime(2025, 1, 1, tzinfo=timezone.utc)
+    rows = [("a", DAY, at, at, 1, 5, 2), ("b", DAY, at, at, 1, 5, 3), ("c", date(2025, 1, 16), at, at, 1, 5, 9)]
+    runs = spark.createDataFrame(rows, pickups.RUN)
+    assert tuple(pickups.dropped_in_runs(runs, DAY).first()) == (2, 5) and tuple(pickups.dropped_in_runs(runs.limit(0), DAY).first()) == (0, 0)

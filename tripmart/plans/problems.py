@@ -121,6 +121,11 @@ P3_WINDOWS = _P3 + """,
       coalesce(trips, 0) AS trips, longest_gap_seconds, first_event, last_event, coalesce(late_trips, 0) AS late_trips
     FROM a FULL JOIN l ON a.event_date = l.event_date AND a.pickup_zone_id = l.pickup_zone_id AND a.window_start = l.window_start"""
 
+P3_REVISIONS = _P3 + """,
+    t AS (SELECT event_date, pickup_zone_id, window_start, time_bucket(INTERVAL '15 minutes', send_time) + INTERVAL '15 minutes' AS published_at, count(*) AS new_trips FROM j WHERE NOT late GROUP BY ALL)
+    SELECT *, CAST(sum(new_trips) OVER w AS BIGINT) AS trips_so_far, CAST(row_number() OVER w AS INTEGER) AS revision, lead(published_at) OVER w IS NULL AS is_final
+    FROM t WINDOW w AS (PARTITION BY event_date, pickup_zone_id, window_start ORDER BY published_at)"""
+
 # 4: references to records that do not exist -------------------------------------------------------------------
 
 REFERENCES = ["pickup_zone_key", "date_key", "company_key"]
@@ -284,7 +289,7 @@ SQL = {
       min(trip_miles) AS least_miles, max(trip_miles) AS most_miles, round(CAST(sum(trip_time) AS DOUBLE) / count(trip_time), 3) AS mean_trip_seconds
     FROM trips GROUP BY 1, 2""",
     "p2_unreadable": """SELECT source_file, count(*) AS lines, count(*) - count(CASE WHEN json_type(TRY_CAST(payload AS JSON)) = 'OBJECT' THEN 1 END) AS unreadable_lines FROM raw_trip_records GROUP BY 1""",
-    "p3_found": P3_FOUND, "p3_windows": P3_WINDOWS,
+    "p3_found": P3_FOUND, "p3_windows": P3_WINDOWS, "p3_revisions": P3_REVISIONS,
     "p4_found": P4_FOUND, "p4_report": P4_REPORT,
     "p5_percentiles": P5_PERCENTILES,
     "p6_found": P6_FOUND, "p6_profile": P6_PROFILE,

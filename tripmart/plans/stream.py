@@ -65,6 +65,13 @@ def reconcile_cells(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.cells(reconcile.hourly_from_events(sent), reconcile.hourly_from_windows(windows))
 
 
+def stream_run_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Windows and trips of the stream's table, and the trips of all sendings."""
+    sent, windows = _streamed(spark, d)
+    r = pickups.summary(windows, {"sent": sent.count()})
+    return spark.createDataFrame([(r["windows"], r["trips"], r["sent"])], "windows bigint, trips bigint, sent bigint")
+
+
 def parse_events_json(spark: SparkSession, d: str) -> DataFrame:
     """All sendings as JSON messages, every seventh cut off; those that can be read."""
     message = F.to_json(F.struct("event_id", "hvfhs_license_num", "pickup_zone_id", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss").alias("event_time")))
@@ -84,7 +91,7 @@ def stream_run_log(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "replay_events": replay_events, "replay_plan_summary": replay_plan_summary, "stream_windows_on_time": stream_windows_on_time, "stream_windows_late": stream_windows_late,
-    "reconcile_cells": reconcile_cells, "parse_events_json": parse_events_json, "stream_run_log": stream_run_log,
+    "reconcile_cells": reconcile_cells, "stream_run_summary": stream_run_summary, "parse_events_json": parse_events_json, "stream_run_log": stream_run_log,
 }
 
 _SENT = f"""s AS (SELECT event_id, pickup_zone_id, event_time, send_time FROM pickup_events WHERE event_date = DATE '{STREAM_DAY}' AND event_time IS NOT NULL AND pickup_zone_id IS NOT NULL),
@@ -99,6 +106,7 @@ SQL = {
     "stream_windows_on_time": "SELECT time_bucket(INTERVAL '15 minutes', ts) AS window_start, time_bucket(INTERVAL '15 minutes', ts) + INTERVAL '15 minutes' AS window_end, CAST(user_id + 1 AS INTEGER) AS pickup_zone_id, count(*) AS trips FROM events GROUP BY ALL",
     "reconcile_cells": f"""WITH {_SENT}, b AS (SELECT CAST(hour(event_time) AS INTEGER) AS hour, pickup_zone_id AS zone, count(*) AS n FROM s GROUP BY ALL), t AS (SELECT CAST(hour(event_time) AS INTEGER) AS hour, pickup_zone_id AS zone, count(*) AS n FROM kept GROUP BY ALL)
       SELECT b.hour, b.zone, b.n AS batch_trips, coalesce(t.n, 0) AS stream_trips, CASE WHEN b.n = coalesce(t.n, 0) THEN 'equal' WHEN coalesce(t.n, 0) < b.n THEN 'short' ELSE 'over' END AS verdict FROM b LEFT JOIN t ON b.hour = t.hour AND b.zone = t.zone""",
+    "stream_run_summary": f"WITH {_SENT} SELECT (SELECT count(*) FROM (SELECT DISTINCT ws, pickup_zone_id FROM kept)) AS windows, (SELECT count(*) FROM kept) AS trips, (SELECT count(*) FROM s) AS sent",
     "parse_events_json": "SELECT event_id, hvfhs_license_num, pickup_zone_id, date_trunc('second', event_time) AS event_time FROM pickup_events WHERE epoch_us(send_time) % 7 <> 0 AND event_time IS NOT NULL AND pickup_zone_id IS NOT NULL",
     "stream_run_log": "SELECT * FROM (VALUES ('a', 3, 30::BIGINT), ('b', 2, 20::BIGINT), ('c', 4, 40::BIGINT)) v(run_id, batches, input_rows) CROSS JOIN (SELECT DATE '2025-01-15' AS replay_day, TIMESTAMPTZ '2025-01-15 00:00:00+00' AS started_at, TIMESTAMPTZ '2025-01-15 00:00:00+00' AS finished_at, 0::BIGINT AS dropped_late_rows)",
 }

@@ -81,6 +81,24 @@ def run_until_caught_up(spark: SparkSession, folder: str, table: Table, checkpoi
     return figures
 
 
+def summary(table: DataFrame, figures: dict[str, int]) -> dict[str, int]:
+    """A run's figures with the windows and trips its table holds."""
+    r = table.agg(F.count(F.lit(1)).alias("windows"), F.coalesce(F.sum("trips"), F.lit(0)).alias("trips")).first()
+    return {"windows": r["windows"], "trips": r["trips"], **figures}
+
+
+def dropped_in_runs(runs: DataFrame, replay_day) -> DataFrame:
+    """Runs of one replayed day and the rows the engine dropped in them."""
+    return runs.where(F.col("replay_day") == F.lit(replay_day)).agg(F.count(F.lit(1)).alias("runs"), F.coalesce(F.sum("dropped_late_rows"), F.lit(0)).alias("dropped_late_rows"))
+
+
+def send_kafka(events: DataFrame, servers: str, topic: str) -> None:
+    """Send events as JSON messages keyed by zone; needs the Kafka connector on the class path."""
+    body = F.to_json(F.struct("event_id", "hvfhs_license_num", "pickup_zone_id", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss").alias("event_time")))
+    messages = events.select(F.col("pickup_zone_id").cast("string").alias("key"), body.alias("value"))
+    messages.write.format("kafka").option("kafka.bootstrap.servers", servers).option("kafka.enable.idempotence", "true").option("topic", topic).save()
+
+
 def reset(spark: SparkSession, *folders: str) -> None:
     """Remove a stream's source, table, run log and checkpoint."""
     for f in folders:
