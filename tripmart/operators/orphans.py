@@ -84,9 +84,9 @@ def snapshots(state: DataFrame) -> DataFrame:
     rows = judged(state)
     found = rows.groupBy("ref_column", "period").agg(F.sum("n").alias("references"), F.sum(F.when(F.col("orphan"), F.col("n")).otherwise(F.lit(0))).alias("orphans"), F.count_if("orphan").alias("orphan_keys"))
     times = rows.select(F.col("period").alias("at")).where(F.col("at").isNotNull()).distinct()
-    bounds = times.agg(F.min("at").alias("from"), F.max("at").alias("to"))
-    every = F.explode(F.sequence("period", "to", F.expr("interval 1 month"))).alias("at")
-    waiting = rows.where(F.col("orphan") & F.col("period").isNotNull()).join(F.broadcast(bounds)).select("ref_column", "n", "spans", every)
+    last = times.agg(F.max("at")).scalar()
+    every = F.explode(F.sequence(F.col("period"), last, F.expr("interval 1 month"))).alias("at")
+    waiting = rows.where(F.col("orphan") & F.col("period").isNotNull()).select("ref_column", "n", "spans", every)
     gone = ~F.exists("spans", lambda s: (s["begins"] <= F.last_day(F.col("at"))) & (s["ends"] > F.last_day(F.col("at"))))
     open_at = waiting.groupBy("ref_column", F.col("at").alias("period")).agg(F.sum(F.when(gone, F.col("n")).otherwise(F.lit(0))).alias("waiting"))
     return found.join(open_at, ["ref_column", "period"], "left").withColumn("waiting", F.coalesce("waiting", F.lit(0).cast("bigint")))

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.session import checkpoint
+
 REJECT, WARNING = "reject", "warning"
 REQUIRED = ("hvfhs_license_num", "dispatching_base_num", "pickup_datetime", "dropoff_datetime", "PULocationID", "DOLocationID", "base_passenger_fare", "driver_pay")
 #: Rows that agree in these columns may be one trip reported twice.
@@ -48,8 +50,8 @@ def with_shared_identity(trips: DataFrame, *, within: Sequence[str] = ("data_mon
     """
     keys = [*IDENTITY, *within]
     several = trips.groupBy(*keys).agg(F.count(F.lit(1)).alias(SHARED)).where(F.col(SHARED) > 1)
-    several = several.select(*[F.col(k).alias(f"__{k}") for k in keys], SHARED)
-    if several.limit(broadcast_keys + 1).count() <= broadcast_keys:
+    several = checkpoint(several.select(*[F.col(k).alias(f"__{k}") for k in keys], SHARED))  # counted and joined, made once
+    if several.count() <= broadcast_keys:
         several = F.broadcast(several)
     same = [trips[k].eqNullSafe(several[f"__{k}"]) for k in keys]
     return trips.join(several, same, "left").drop(*[f"__{k}" for k in keys]).withColumn(SHARED, F.coalesce(SHARED, F.lit(1).cast("bigint")))

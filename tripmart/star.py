@@ -12,6 +12,7 @@ from tripmart.contract import NAMES
 from tripmart.functions.exact import amount, hundredths
 from tripmart.layers import CHARGES, bounded_broadcast
 from tripmart.month import Month
+from tripmart.session import checkpoint
 
 CALENDAR = (date(2024, 1, 1), date(2027, 12, 31))
 #: First hours of the parts of a day, hours of heavy traffic, service zones that are airports.
@@ -88,7 +89,7 @@ def with_trip_key(trips: DataFrame, columns: Sequence[str] = NAMES, *, among: Da
     frame that holds all the trips and is cheaper to read, if there is one.
     """
     counted = (trips if among is None else among).select(_row_hash(columns).alias("__several"))
-    several = bounded_broadcast(counted.groupBy("__several").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__several"), 100_000)
+    several = bounded_broadcast(checkpoint(counted.groupBy("__several").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__several")), 100_000)
     hashed = trips.withColumn("__hash", _row_hash(columns))
     met = hashed.join(several, hashed["__hash"] == several["__several"], "left")
     alone = met.where("__several IS NULL").withColumn("__number", F.lit(1))
