@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tripmart.contract import NAMES
 from tripmart.functions.exact import amount, hundredths, ratio, total
 
+#: What a passenger pays for a trip.
 CHARGES = ("base_passenger_fare", "tolls", "bcf", "sales_tax", "congestion_surcharge", "airport_fee", "cbd_congestion_fee", "tips")
 ZONE_NAMES = ("pickup_borough", "pickup_zone", "dropoff_borough", "dropoff_zone")
 

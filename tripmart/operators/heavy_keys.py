@@ -79,7 +79,12 @@ def heavy_hashes(keyed: DataFrame, max_heavy: int) -> list[int]:
 
 
 def salted_aggregate(df: DataFrame, keys: Sequence[str], parts: Sequence[Partial], *, max_heavy: int = 200, salts: int = 32, seed: int = 17) -> DataFrame:
-    """``df.groupBy(keys).agg(parts)`` in two stages, heavy groups spread over ``salts`` reducers."""
+    """``df.groupBy(keys).agg(parts)`` in two stages, heavy groups spread over ``salts`` reducers.
+
+    A row's salt follows from its place in its partition, so a task run again after a loss gives the same salts where
+    it reads the same rows in the same order, as from files. Over a frame that was shuffled before, cut it with
+    ``session.checkpoint`` first.
+    """
     keyed = df.withColumn(_HASH, F.xxhash64(*[F.col(f"`{k}`") for k in keys]))
     heavy = heavy_hashes(keyed.select(_HASH), max_heavy)
     salt = F.when(F.col(_HASH).isin(heavy), F.floor(F.rand(seed) * salts).cast("int")).otherwise(F.lit(0)) if heavy else F.lit(0)
