@@ -90,7 +90,11 @@ def replay_events(day) -> str:
     return _with(_EVALUATED, select=f"""SELECT '{day}-' || {number} AS event_id, hvfhs_license_num, "PULocationID" AS pickup_zone_id, CAST(pickup_datetime AS TIMESTAMPTZ) AS event_time, DATE '{day}' AS event_date FROM ok WHERE data_month = DATE '{day.replace(day=1)}' AND CAST(pickup_datetime AS DATE) = DATE '{day}'""")
 
 
+_PER_LOAD = _EVALUATED.replace(", data_month) AS shared FROM trips)", ", _source_file) AS shared FROM trips WHERE _source_file IS NOT NULL)")
 SQL = {
+    "p6_recorded_rules": _with(_PER_LOAD, f"""c AS (SELECT _source_file AS source_file, r.id AS rule_id, count(*) FILTER (WHERE list_contains(string_split(failed_rules || ',' || quality_warnings, ','), r.id)) AS matched_rows, count(*) AS total_rows
+      FROM ev CROSS JOIN (VALUES {_RULES}) r(id, sev, descr) GROUP BY ALL)""", "q AS (SELECT DISTINCT source_file, rule_id, matched_rows AS recorded_rows FROM rule_counts)",
+      select="SELECT c.*, recorded_rows, c.matched_rows = recorded_rows AS agrees FROM c LEFT JOIN q ON c.source_file = q.source_file AND c.rule_id = q.rule_id"),
     "bronze_conform": f"SELECT {', '.join(chr(34) + n + chr(34) if n != 'cbd_congestion_fee' else 'CAST(NULL AS DOUBLE) AS cbd_congestion_fee' for n in NAMES)}, 'load.parquet' AS _source_file, data_month FROM trips WHERE data_month = DATE '2024-12-01'",
     "rule_flags": _with(_EVALUATED, select='SELECT _source_file, pickup_datetime, dropoff_datetime, "PULocationID", "DOLocationID", failed_rules, quality_warnings FROM ev'),
     "silver_rows": _with(_EVALUATED, select=f"SELECT {_COLUMNS}, pickup_borough, pickup_zone, dropoff_borough, dropoff_zone, quality_warnings, _source_file, data_month FROM ok"),

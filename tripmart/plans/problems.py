@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart import rules
 from tripmart.functions.columns import licence, month_text
 from tripmart.operators import drift, heavy_keys, kslack, orphans, profile, radix
 from tripmart.session import checkpoint
@@ -242,6 +243,14 @@ def p6_control_limits(spark: SparkSession, folder: str) -> DataFrame:
     return profile.control_limits(_profiles(spark, folder))
 
 
+def p6_recorded_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows each rule matches in a load, against what was recorded of it; null where nothing was."""
+    loads = read(spark, folder, "trips").where(F.col("_source_file").isNotNull())
+    found = rules.counts(rules.evaluate(loads, within=("_source_file",)), ("_source_file",)).select(F.col("_source_file").alias("source_file"), "rule_id", "matched_rows", "total_rows")
+    recorded = read(spark, folder, "rule_counts").select("source_file", "rule_id", F.col("matched_rows").alias("recorded_rows")).distinct()
+    return found.join(recorded, ["source_file", "rule_id"], "left").withColumn("agrees", F.col("matched_rows") == F.col("recorded_rows"))
+
+
 def _p6_column_sql(k: profile.Check) -> str:
     c, number = f'"{k.column}"', k.column in _ZONES + _AMOUNTS
     bad = f"NOT regexp_full_match({c}, '{k.pattern.strip('^').removesuffix(chr(92) + 'z')}')" if k.pattern else f"{c} NOT BETWEEN 1 AND 265" if k.column in _ZONES else f"{c} < 0"
@@ -276,7 +285,7 @@ QUERIES = {
     "p3_found": p3_found, "p3_windows": p3_windows, "p3_revisions": p3_revisions,
     "p4_found": p4_found, "p4_report": p4_report,
     "p5_percentiles": p5_percentiles, "p5_load_histograms": p5_load_histograms,
-    "p6_found": p6_found, "p6_profile": p6_profile, "p6_control_limits": p6_control_limits,
+    "p6_found": p6_found, "p6_profile": p6_profile, "p6_control_limits": p6_control_limits, "p6_recorded_rules": p6_recorded_rules,
 }
 
 SQL = {

@@ -61,9 +61,9 @@ def _matched(severity: str, rules: Sequence[Rule]) -> Column:
     return F.array_compact(F.array(*[F.when(F.coalesce(F.expr(r.violated), F.lit(False)), F.lit(r.id)) for r in rules if r.severity == severity]))
 
 
-def evaluate(trips: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """Trips with ``failed_rules`` and ``quality_warnings``, ids in the order of the rules."""
-    return with_shared_identity(trips).withColumns({"failed_rules": _matched(REJECT, rules), "quality_warnings": _matched(WARNING, rules)}).drop(SHARED)
+def evaluate(trips: DataFrame, rules: Sequence[Rule] = RULES, *, within: Sequence[str] = ("data_month",)) -> DataFrame:
+    """Trips with ``failed_rules`` and ``quality_warnings``, ids in the order of the rules; identities are shared ``within`` a month or load."""
+    return with_shared_identity(trips, within=within).withColumns({"failed_rules": _matched(REJECT, rules), "quality_warnings": _matched(WARNING, rules)}).drop(SHARED)
 
 
 def counts(evaluated: DataFrame, by: Sequence[str] = ("data_month",), rules: Sequence[Rule] = RULES) -> DataFrame:

@@ -107,7 +107,7 @@ def drop_files(planned: DataFrame, folder: str, files: int, prefix: str = "") ->
     path = sent.sparkSession._jvm.org.apache.hadoop.fs.Path
     columns = ["event_id", "hvfhs_license_num", "pickup_zone_id", "event_time"]
     for i in range(1, files + 1):
-        part = f"{folder}/../.{i}"
+        part = f"{folder}.{i}"
         sent.where(F.col("file") == i).select(*columns).coalesce(1).write.mode("overwrite").json(part)
         fs = path(part).getFileSystem(sent.sparkSession._jsc.hadoopConfiguration())
         fs.mkdirs(path(folder))
