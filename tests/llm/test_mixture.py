@@ -92,3 +92,25 @@ def test_token_counts_cover_whole_texts(spark):
     got = {r["i"]: r["n_tokens"] for r in M.token_counts(df, "text").collect()}
     assert got[1] >= 4 and got[2] == 0 and got[3] is None and got[4] >= 20_000
     assert "".join(M.encoder(M.TOKENIZER).decode([t]) for t in M.encoder(M.TOKENIZER).encode_ordinary("The old bridge.")) == "The old bridge."
+
+
+def test_found_comes_from_the_mixture(spark, tmp_path, monkeypatch):
+    from tripmart.llm import queries as Q
+
+    docs = [(i, "word " * (20 + i % 30), "a" if i % 3 else "b") for i in range(600)]
+    spark.createDataFrame(docs, "doc_id bigint, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([("A", 0.5, 1), ("b", 0.3, 1), ("c", 0.1, 5), ("d", 0.1, 1)], "source string, target_share double, max_repeats int").write.parquet(str(tmp_path / "mix_targets.parquet"))
+    ran, own = [], M.mixture
+    monkeypatch.setattr(M, "mixture", lambda *a, **k: ran.append(1) or own(*a, **k))
+    assert sorted(r["source"] for r in Q.p8_found(spark, str(tmp_path)).collect()) == ["c", "d"]
+    assert ran
+
+
+@pytest.mark.parametrize("shares", [(0.3, 0.4, 0.2, 0.1), (0.05, 0.85, 0.05, 0.05), (0.9, 0.9, 0.9, 0.0)])
+def test_no_unreachable_source_is_left_out_of_the_stopped(spark, shares):
+    docs, wanted = corpus(spark), targets(spark, [(n, w, r) for n, w, r in zip("abcd", shares, (1, 2, 3, 1))])
+    sizes, total = M.source_sizes(docs), docs.agg(F.sum("n_tokens")).first()[0]
+    mix = M.mixture(docs, wanted, total_tokens=round(total * sum(shares)), block_tokens=64, shard_tokens=9_000)
+    kept = {r["source"] for r in M.stopped(M.shares(mix, sizes, wanted), 90, block_tokens=64, shard_tokens=9_000).collect()}
+    assert {r["source"] for r in M.unreachable(sizes, wanted).collect()} <= kept
+    assert kept != set("abcd") or shares[0] != 0.05

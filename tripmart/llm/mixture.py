@@ -149,3 +149,9 @@ def shares(mix: DataFrame, sizes: DataFrame, wanted: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     out = wanted.join(sizes, "source", "left").join(taken, "source", "left")
     return out.select("source", "target_share", "max_repeats", F.coalesce("tokens", zero).alias("source_tokens"), F.coalesce("taken_tokens", zero).alias("taken_tokens"), F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"), F.coalesce(F.try_divide("taken_tokens", total), F.lit(0.0)).alias("reached_share"))
+
+
+def stopped(reached: DataFrame, longest: int, *, block_tokens: int = 512, shard_tokens: int = 4_000_000) -> DataFrame:
+    """Sources of ``shares`` that gave all they may but for whole blocks: a last block a shard and a seat a source, each as large as a block may be."""
+    seats = F.greatest(F.lit(1), F.ceil(F.col("source_tokens") / shard_tokens)) * F.col("max_repeats") + F.lit(reached.count() + 1)
+    return reached.where(F.col("taken_tokens") + seats * (block_tokens + longest) >= F.col("source_tokens") * F.col("max_repeats")).select("source")

@@ -30,8 +30,15 @@ def _sized(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
-    sizes = checkpoint(mixture.source_sizes(_sized(spark, folder)))
-    return mixture.unreachable(sizes, mixture.targets(read(spark, folder, "mix_targets"))).select("source")
+    sized, wanted = checkpoint(_sized(spark, folder)), checkpoint(mixture.targets(read(spark, folder, "mix_targets")))
+    sizes = checkpoint(mixture.source_sizes(sized))
+    size = sizes.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("t")).first()["t"]
+    share = wanted.agg(F.coalesce(F.sum("target_share"), F.lit(0.0)).alias("s")).first()["s"]
+    longest = sized.agg(F.coalesce(F.max("n_tokens"), F.lit(0)).alias("n")).first()["n"]
+    # each source is offered its share of all documents, also where the shares don't add up to 1
+    mix = checkpoint(mixture.mixture(sized, wanted, total_tokens=round(size * share)))
+    candidates = mixture.stopped(checkpoint(mixture.shares(mix, sizes, wanted)), longest)
+    return mixture.unreachable(sizes, wanted).join(candidates, "source", "left_semi").select("source")
 
 
 def p8_mixture(spark: SparkSession, folder: str) -> DataFrame:
