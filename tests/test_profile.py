@@ -77,3 +77,17 @@ def test_control_limits(spark):
         rows += load(date(2025, m, 1), "a", [(f"HV000{i % 5}", 1, 10.0 if m == 6 else 1.0 + (m % 2) * 0.1, 60) for i in range(20)])
     got = profile.control_limits(profiles(spark, rows)).collect()
     assert [(r["source_file"], r["column_name"], r["metric"]) for r in got] == [("f_2025-06_a.parquet", "miles", "median_value")]
+
+
+def test_every_column_has_distinct_values_and_range(spark, tmp_path):
+    from tripmart.plans import problems
+
+    trips = spark.read.parquet("/root/testdata/sf0.001/trips.parquet")
+    got = problems.p6_columns(spark, "/root/testdata/sf0.001").collect()
+    assert {r["column_name"] for r in got} == set(trips.columns) - {"_source_file", "data_month"}
+    exact = {r["_source_file"]: r for r in trips.where("_source_file is not null").groupBy("_source_file").agg(F.countDistinct("request_datetime").alias("times"), F.min("request_datetime").cast("string").alias("low"), F.countDistinct("tips").alias("tips"), F.max("wav_match_flag").alias("flag")).collect()}
+    by = {(r["source_file"], r["column_name"]): r for r in got}
+    for load, e in exact.items():
+        assert abs(by[load, "request_datetime"]["distinct_values"] - e["times"]) <= 0.06 * e["times"] and by[load, "request_datetime"]["least"] == e["low"]
+        assert abs(by[load, "tips"]["distinct_values"] - e["tips"]) <= 0.06 * e["tips"] + 1 and by[load, "wav_match_flag"]["greatest"] == e["flag"]
+    assert any(r["median_value"] is not None for r in got)

@@ -115,6 +115,21 @@ def column_profiles(rows: DataFrame, load: str, month: str, checks: Sequence[Che
     return scalars.join(found, ["source_file", "column_name"], "left").withColumn("distinct_values", F.when(F.col("column_name").isin(codes), F.coalesce("distinct_values", F.lit(0).cast("bigint"))) if codes else F.col("distinct_values")).withColumn("binned", has_bins)
 
 
+def column_states(rows: DataFrame, load: str, month: str, columns: Sequence[str]) -> DataFrame:
+    """Mergeable states of any columns: one row per load and column with rows, nulls, sketch of the distinct values, least and greatest value as text.
+
+    The sketch estimates distinct values with a standard error of 1.6 %; ranges follow the order of the column's type.
+    """
+    text = lambda c: c.cast("string")
+    out = [F.count(F.lit(1)).alias("row_count"), F.min(month).alias("data_month")]
+    for i, name in enumerate(columns):
+        c = F.col(f"`{name}`")
+        out += [F.count_if(c.isNull()).alias(f"n{i}"), F.hll_sketch_agg(F.when(c.isNotNull(), F.xxhash64(c)), 12).alias(f"s{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
+    states = rows.where(F.col(load).isNotNull()).groupBy(F.col(load).alias("source_file")).agg(*out)
+    entries = [F.struct(F.lit(name).alias("column_name"), F.col(f"n{i}").alias("nulls"), F.col(f"s{i}").alias("sketch"), text(F.col(f"lo{i}")).alias("least"), text(F.col(f"hi{i}")).alias("greatest")) for i, name in enumerate(columns)]
+    return states.select("source_file", "data_month", "row_count", F.inline(F.array(*entries)))
+
+
 def _exceeds(a: Column, b: Column, c: Column, d: Column, points: int) -> Column:
     """Whether the shares a/b and c/d differ by more than ``points`` per cent, without rounding."""
     whole = lambda x: x.cast("decimal(18,0)")

@@ -239,8 +239,19 @@ def p6_profile(spark: SparkSession, folder: str) -> DataFrame:
     return _profiles(spark, folder).select("source_file", "data_month", "column_name", "row_count", "nulls", "violations", "distinct_values", "min_value", "max_value", "negative_rows", "zero_rows")
 
 
+def p6_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """Nulls, distinct values (estimated), range and median of every column of every load; ``p6_profile`` has the exact counts of valid codes."""
+    trips = read(spark, folder, "trips")
+    names = [c for c in trips.columns if c not in ("_source_file", "data_month")]
+    states = profile.column_states(trips, "_source_file", "data_month", names)
+    known = _profiles(spark, folder).select("source_file", "column_name", "violations", F.col("distinct_values").alias("valid_values"), "median_value")
+    found = states.withColumn("distinct_values", F.when(F.col("nulls") < F.col("row_count"), F.hll_sketch_estimate("sketch"))).drop("sketch")
+    return found.join(known, ["source_file", "column_name"], "left")
+
+
 def p6_control_limits(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.control_limits(_profiles(spark, folder))
+    # exact counts of valid codes where there are any, estimates of the other columns
+    return profile.control_limits(p6_columns(spark, folder).withColumn("distinct_values", F.coalesce("valid_values", "distinct_values")))
 
 
 def p6_recorded_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -285,7 +296,7 @@ QUERIES = {
     "p3_found": p3_found, "p3_windows": p3_windows, "p3_revisions": p3_revisions,
     "p4_found": p4_found, "p4_report": p4_report,
     "p5_percentiles": p5_percentiles, "p5_load_histograms": p5_load_histograms,
-    "p6_found": p6_found, "p6_profile": p6_profile, "p6_control_limits": p6_control_limits, "p6_recorded_rules": p6_recorded_rules,
+    "p6_found": p6_found, "p6_profile": p6_profile, "p6_columns": p6_columns, "p6_control_limits": p6_control_limits, "p6_recorded_rules": p6_recorded_rules,
 }
 
 SQL = {
