@@ -61,5 +61,11 @@ def p9_windows(spark: SparkSession, folder: str) -> DataFrame:
     return residue.residue(read(spark, folder, "documents"))
 
 
-QUERIES = {"p7_found": p7_found, "p7_leaks": p7_leaks, "p8_found": p8_found, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p9_found": p9_found, "p9_windows": p9_windows}
+def p9_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents left when those with residue are taken out."""
+    documents = read(spark, folder, "documents")
+    return residue.excluded(documents, checkpoint(residue.residue(documents).select("doc_id"))).select("doc_id", "source", "lang", "text")
+
+
+QUERIES = {"p7_found": p7_found, "p7_leaks": p7_leaks, "p8_found": p8_found, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p9_found": p9_found, "p9_windows": p9_windows, "p9_kept": p9_kept}
 SQL: dict[str, str] = {}
