@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart import rules
 from tripmart.functions.columns import licence, month_text
 from tripmart.operators import drift, heavy_keys, kslack, orphans, profile, radix
-from tripmart.session import checkpoint
+from tripmart.session import checkpoint, checkpoint_dir
 from tripmart.sources.tables import read
+from tripmart.streaming.slack import SlackStream
 
 HEAVY_SHARE = 0.05
 POINTS = [2500, 5000, 7500, 9000, 9900]
@@ -87,24 +90,29 @@ def p2_unreadable(spark: SparkSession, folder: str) -> DataFrame:
 
 # 3: late and out-of-order events ------------------------------------------------------------------------------
 
-WINDOW_MINUTES, SLACK_MINUTES = 15, 30
+WINDOW_MINUTES, SLACK_MINUTES, TICK_MINUTES = 15, 30, 15
 
 
-def _slack(spark: SparkSession, folder: str) -> DataFrame:
-    events = read(spark, folder, "pickup_events").select("event_date", "event_id", "hvfhs_license_num", "pickup_zone_id", "event_time", "send_time")
-    return kslack.judged(kslack.first_sendings(events, "event_date", "event_id", "send_time"), "event_date", "event_time", "send_time", ["pickup_zone_id"], WINDOW_MINUTES, SLACK_MINUTES)
+def _slack(spark: SparkSession, folder: str) -> SlackStream:
+    """The stream after all sendings, in batches, and the end of all days."""
+    events = read(spark, folder, "pickup_events").select("event_date", "event_id", "pickup_zone_id", "event_time", "send_time")
+    stream = SlackStream(f"{checkpoint_dir(spark)}/slack/{uuid.uuid4().hex}", WINDOW_MINUTES, SLACK_MINUTES, TICK_MINUTES)
+    stream.take(events)
+    stream.close(spark)
+    return stream
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    return _slack(spark, folder).where("late").select("event_id")
+    return _slack(spark, folder).read(spark, "late").select("event_id")
 
 
 def p3_windows(spark: SparkSession, folder: str) -> DataFrame:
-    return kslack.final_windows(_slack(spark, folder), ["event_date", "pickup_zone_id"], "event_id")
+    stream = _slack(spark, folder)
+    return kslack.with_late(stream.read(spark, "final"), stream.read(spark, "late"), ["event_date", "pickup_zone_id"])
 
 
 def p3_revisions(spark: SparkSession, folder: str) -> DataFrame:
-    return kslack.revisions(_slack(spark, folder), ["event_date", "pickup_zone_id"], every_minutes=15)
+    return kslack.with_final(_slack(spark, folder).read(spark, "published"), ["event_date", "pickup_zone_id"])
 
 
 _P3 = """
