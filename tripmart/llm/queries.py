@@ -1,14 +1,57 @@
-"""The queries of problems 7 to 9 over the tables of a data folder, with production parameters."""
+"""The queries of problems 5 and 7 to 9 over the tables of a data folder, with production parameters."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import leakage, mixture, residue
+from tripmart.functions.columns import licence
+from tripmart.llm import leakage, mixture, radix, residue
 from tripmart.session import checkpoint
 from tripmart.sources.tables import read
 
+# 5: percentiles of very large numeric columns -------------------------------------------------------------------
+
+POINTS = [2500, 5000, 7500, 9000, 9900]
+MEASURES = ("driver_pay", "trip_miles", "base_passenger_fare")
+GRAIN = ["data_month", "licence", "zone"]
+
+
+def _grain() -> dict:
+    return {"data_month": F.col("data_month"), "licence": licence(), "zone": F.col("PULocationID")}
+
+
+def p5_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    return radix.percentiles(read(spark, folder, "trips"), _grain(), {m: F.col(m) for m in MEASURES}, POINTS)
+
+
+def p5_load_histograms(spark: SparkSession, folder: str) -> DataFrame:
+    """Histograms of single loads merged into those of months, licences and zones; the interval holds the exact value."""
+    groups = {"source_file": F.col("_source_file"), **_grain()}
+    single = radix.histogram(radix.measures(read(spark, folder, "trips"), groups, {m: F.col(m) for m in MEASURES}), list(groups))
+    return radix.bounded_percentiles(radix.merge(single, GRAIN), GRAIN, POINTS).withColumn("relative_error", F.lit(radix.RELATIVE_ERROR))
+
+
+def p5_bounds(spark: SparkSession, folder: str) -> DataFrame:
+    """Each exact percentile, and whether the merged histograms of single loads hold it within their interval and stated error."""
+    by = [*GRAIN, "field", "basis_points"]
+    near = p5_load_histograms(spark, folder).select(*[F.col(c).alias(f"__{c}") for c in by], F.col("value").alias("near"), "low", "high", F.col("group_rows").alias("merged_rows"))
+    exact = p5_percentiles(spark, folder)
+    met = exact.join(near, [exact[c].eqNullSafe(near[f"__{c}"]) for c in by], "left")
+    held = (F.col("low") <= F.col("value")) & (F.col("value") <= F.col("high")) & (F.abs(F.col("near") - F.col("value")) <= radix.RELATIVE_ERROR * F.abs(F.col("value")))
+    return met.select(*by, "value", "merged_rows", F.coalesce(held, F.lit(False)).alias("held"))
+
+
+P5_PERCENTILES = r"""
+    WITH v AS (
+      SELECT data_month, upper(regexp_replace(hvfhs_license_num, '^\s+|\s+$', '', 'g')) AS licence, PULocationID AS zone,
+             unnest(['driver_pay', 'trip_miles', 'base_passenger_fare']) AS field, unnest([driver_pay, trip_miles, base_passenger_fare]) AS value FROM trips),
+    r AS (SELECT *, row_number() OVER (PARTITION BY data_month, licence, zone, field ORDER BY value) AS rank, count(*) OVER (PARTITION BY data_month, licence, zone, field) AS group_rows
+          FROM v WHERE value IS NOT NULL AND NOT isnan(value)),
+    p AS (SELECT unnest([2500, 5000, 7500, 9000, 9900]) AS basis_points)
+    SELECT data_month, licence, zone, field, CAST(basis_points AS INTEGER) AS basis_points, value + 0.0 AS value, group_rows
+    FROM r JOIN p ON rank = greatest(1, (basis_points * group_rows + 9999) // 10000)"""
+
 # 7: evaluation texts leaking into training text -----------------------------------------------------------------
 
 
@@ -67,5 +110,11 @@ def p9_kept(spark: SparkSession, folder: str) -> DataFrame:
     return residue.excluded(documents, checkpoint(residue.residue(documents).select("doc_id"))).select("doc_id", "source", "lang", "text")
 
 
-QUERIES = {"p7_found": p7_found, "p7_leaks": p7_leaks, "p8_found": p8_found, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p9_found": p9_found, "p9_windows": p9_windows, "p9_kept": p9_kept}
-SQL: dict[str, str] = {}
+QUERIES = {
+    "p5_percentiles": p5_percentiles, "p5_load_histograms": p5_load_histograms, "p5_bounds": p5_bounds, "p7_found": p7_found, "p7_leaks": p7_leaks,
+    "p8_found": p8_found, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p9_found": p9_found, "p9_windows": p9_windows, "p9_kept": p9_kept,
+}
+SQL = {
+    "p5_percentiles": P5_PERCENTILES,
+    "p5_bounds": f"SELECT data_month, licence, zone, field, basis_points, value, group_rows AS merged_rows, true AS held FROM ({P5_PERCENTILES})",
+}
