@@ -9,7 +9,7 @@ from tests.trips import frame, trip
 from tripmart import contract, layers, rules, star
 from tripmart.functions.columns import licence, month_text
 from tripmart.month import Month
-from tripmart.operators import heavy_keys, orphans, radix
+from tripmart.operators import heavy_keys, orphans
 from tripmart.store import Table
 
 
@@ -31,13 +31,6 @@ def test_scans_read_only_the_columns_they_need(spark, tmp_path):
     trips = written(spark, tmp_path)
     counts = heavy_keys.value_counts(trips, {"m": month_text()}, {"l": licence(), "z": F.col("PULocationID")})
     assert read_columns(counts) == {"data_month", "hvfhs_license_num", "PULocationID"}
-    hist = radix.histogram(radix.measures(trips, {"m": F.col("data_month")}, {"p": F.col("driver_pay")}), ["m"])
-    assert read_columns(hist) == {"data_month", "driver_pay"}
-
-
-def test_partial_results_are_made_before_the_shuffle(spark, tmp_path):
-    text = plan(radix.histogram(radix.measures(written(spark, tmp_path), {"m": F.col("data_month")}, {"p": F.col("driver_pay")}), ["m"]))
-    assert text.index("partial_count") > text.index("Exchange")  # below it: plans are printed from the top
 
 
 def test_rules_and_trip_keys_do_not_shuffle_wide_rows(spark, tmp_path):

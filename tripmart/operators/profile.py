@@ -3,8 +3,8 @@
 Checks are declared as data (``Check``) and compiled into two aggregates over the same rows:
 
 * scalar states per load: rows, nulls, violations, negatives, zeros, least and greatest value of every column;
-* bins per load: valid codes as integers (exact distinct counts, at most 100,000 a column) and the first radix
-  digit of measures (medians within ``radix.RELATIVE_ERROR``, exact where a bin holds one value).
+* bins per load: valid codes as integers (exact distinct counts, at most 100,000 a column) and the leading
+  bits of measures (medians within one part in 2 ** 12, exact where a bin holds one value).
 
 Both are sums, minima and maxima, so states of partitions, loads or days merge by the same aggregate
 (``merge_scalars``). Findings compare a load with the previous one of its feed; ``control_limits`` holds each
@@ -21,8 +21,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.functions.columns import feed_of, order_bits
-from tripmart.operators import radix
+from tripmart.functions.columns import feed_of, leading_bits
+
+#: Bits of a measure that tell its bin: the values of a bin differ by less than one part in 2 ** 12.
+BIN_BITS = 24
 
 
 @dataclass(frozen=True)
@@ -47,7 +49,7 @@ class Check:
     def bin(self) -> Column:
         c = F.col(f"`{self.column}`")
         if self.median:
-            return radix._digit(order_bits(F.when(~F.isnan(c.cast("double")), c.cast("double"))), 0)
+            return leading_bits(F.when(~F.isnan(c.cast("double")), c.cast("double")), BIN_BITS)
         number = F.regexp_extract(c, r"(\d+)", 1).cast("int") if self.pattern else c.cast("int")
         return F.when(~self.violates(), number)
 

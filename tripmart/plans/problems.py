@@ -1,4 +1,4 @@
-"""The queries of problems 1 to 6 over the tables of a data folder, with production parameters."""
+"""The queries of problems 1 to 4 and 6 over the tables of a data folder, with production parameters."""
 
 from __future__ import annotations
 
@@ -9,14 +9,12 @@ from pyspark.sql import functions as F
 
 from tripmart import rules
 from tripmart.functions.columns import licence, month_text
-from tripmart.operators import drift, heavy_keys, kslack, orphans, profile, radix
+from tripmart.operators import drift, heavy_keys, kslack, orphans, profile
 from tripmart.session import checkpoint, checkpoint_dir
 from tripmart.sources.tables import read
 from tripmart.streaming.slack import SlackStream
 
 HEAVY_SHARE = 0.05
-POINTS = [2500, 5000, 7500, 9000, 9900]
-MEASURES = ["driver_pay", "trip_miles", "base_passenger_fare"]
 
 
 # 1: a few keys holding most records ---------------------------------------------------------------------------
@@ -187,33 +185,6 @@ P4_REPORT = """
     SELECT f.ref_column, f.period, CAST(r AS BIGINT) AS "references", CAST(o AS BIGINT) AS orphans, CAST(ok AS BIGINT) AS orphan_keys, CAST(coalesce(w, 0) AS BIGINT) AS waiting
     FROM found f LEFT JOIN waits w ON f.ref_column = w.ref_column AND f.period = w.period"""
 
-# 5: percentiles of very large numeric columns -----------------------------------------------------------------
-
-
-def p5_percentiles(spark: SparkSession, folder: str) -> DataFrame:
-    groups = {"data_month": F.col("data_month"), "licence": licence(), "zone": F.col("PULocationID")}
-    return radix.percentiles(read(spark, folder, "trips"), groups, {m: F.col(m) for m in MEASURES}, POINTS)
-
-
-def p5_load_histograms(spark: SparkSession, folder: str) -> DataFrame:
-    """Histograms of single loads merged into those of months and licences; the interval holds the exact value."""
-    groups = {"source_file": F.col("_source_file"), "data_month": F.col("data_month"), "licence": licence()}
-    single = radix.histogram(radix.measures(read(spark, folder, "trips"), groups, {m: F.col(m) for m in MEASURES}), list(groups))
-    merged = radix.merge(single, ["data_month", "licence"])
-    out = radix.bounded_percentiles(merged, ["data_month", "licence"], POINTS)
-    return out.withColumn("relative_error", F.lit(radix.RELATIVE_ERROR))
-
-
-P5_PERCENTILES = r"""
-    WITH v AS (
-      SELECT data_month, upper(regexp_replace(hvfhs_license_num, '^\s+|\s+$', '', 'g')) AS licence, PULocationID AS zone,
-             unnest(['driver_pay', 'trip_miles', 'base_passenger_fare']) AS field, unnest([driver_pay, trip_miles, base_passenger_fare]) AS value FROM trips),
-    r AS (SELECT *, row_number() OVER (PARTITION BY data_month, licence, zone, field ORDER BY value) AS rank, count(*) OVER (PARTITION BY data_month, licence, zone, field) AS group_rows
-          FROM v WHERE value IS NOT NULL AND NOT isnan(value)),
-    p AS (SELECT unnest([2500, 5000, 7500, 9000, 9900]) AS basis_points)
-    SELECT data_month, licence, zone, field, CAST(basis_points AS INTEGER) AS basis_points, value + 0.0 AS value, group_rows
-    FROM r JOIN p ON rank = greatest(1, (basis_points * group_rows + 9999) // 10000)"""
-
 # 6: column-level data quality profile -------------------------------------------------------------------------
 
 _CODE = {"hvfhs_license_num": r"^HV[0-9]{4}\z", "dispatching_base_num": r"^B[0-9]{5}\z", "originating_base_num": r"^B[0-9]{5}\z"}
@@ -303,7 +274,6 @@ QUERIES = {
     "p2_found": p2_found, "p2_table": p2_table, "p2_union_schema": p2_union_schema, "p2_aliases": p2_aliases, "p2_unreadable": p2_unreadable,
     "p3_found": p3_found, "p3_windows": p3_windows, "p3_revisions": p3_revisions,
     "p4_found": p4_found, "p4_report": p4_report,
-    "p5_percentiles": p5_percentiles, "p5_load_histograms": p5_load_histograms,
     "p6_found": p6_found, "p6_profile": p6_profile, "p6_columns": p6_columns, "p6_control_limits": p6_control_limits, "p6_recorded_rules": p6_recorded_rules,
 }
 
@@ -319,6 +289,5 @@ SQL = {
     "p2_unreadable": """SELECT source_file, count(*) AS lines, count(*) - count(CASE WHEN json_type(TRY_CAST(payload AS JSON)) = 'OBJECT' THEN 1 END) AS unreadable_lines FROM raw_trip_records GROUP BY 1""",
     "p3_found": P3_FOUND, "p3_windows": P3_WINDOWS, "p3_revisions": P3_REVISIONS,
     "p4_found": P4_FOUND, "p4_report": P4_REPORT,
-    "p5_percentiles": P5_PERCENTILES,
     "p6_found": P6_FOUND, "p6_profile": P6_PROFILE,
 }
