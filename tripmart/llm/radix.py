@@ -81,10 +81,10 @@ def _inside(wide: DataFrame, chosen: DataFrame, names: Sequence[str], fields: Se
     met = wide.join(state, same) if same else wide.crossJoin(state)  # without groups the state is one row
     shifted = lambda i: F.shiftright(f"__bits{i}", SHIFTS[level])
     entries = F.array(*[F.when(F.array_contains(f"__bins{i}", shifted(i)), F.struct(F.lit(f).alias("field"), shifted(i).alias("bin"), F.col(f"__value{i}").alias("value"), F.col(f"__bits{i}").alias("bits"))) for i, f in enumerate(fields)])
-    return met.select("__group", F.inline(F.array_compact(entries)))
+    return met.select("__group", F.inline(entries)).where(F.col("field").isNotNull())
 
 
-def percentiles(df: DataFrame, groups: dict[str, Column], fields: dict[str, Column], points: Sequence[int], *, gather: int = 4096, broadcast_groups: int = 500_000) -> DataFrame:
+def percentiles(df: DataFrame, groups: dict[str, Column], fields: dict[str, Column], points: Sequence[int], *, gather: int = 32_768, broadcast_groups: int = 500_000) -> DataFrame:
     """Exact percentiles: groups, ``field``, ``basis_points``, ``value``, ``group_rows``."""
     names, places = list(groups), list(enumerate(fields.values()))
     out = [*names, "field", "basis_points", "value", "group_rows"]
