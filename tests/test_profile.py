@@ -1,3 +1,5 @@
+import math
+import random
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -63,12 +65,41 @@ def test_rule_rates(spark):
 
 
 def test_states_merge(spark):
-    a, b = load(JAN, "a", GOOD), load(JAN, "b", [(None, 5, -2.0, 1)])
+    a, b = load(JAN, "a", GOOD), load(JAN, "b", [(None, 5, -2.0, 1), ("x", 0, 0.0, None)])
     df = spark.createDataFrame(a + b, DDL)
-    states = profile.scalar_states(df, "_source_file", CHECKS)
-    whole = profile.scalar_states(df.withColumn("_source_file", F.lit("all")), "_source_file", CHECKS).drop("source_file")
-    merged = profile.merge_scalars(states, [F.lit("all").alias("source_file")]).drop("source_file")
-    assert merged.select(*whole.columns).collect() == whole.collect()
+    merged = profile.merge_states(profile.column_states(df, "_source_file", "data_month", CHECKS), F.lit("all"))
+    whole = profile.column_states(df.withColumn("_source_file", F.lit("all")), "_source_file", "data_month", CHECKS)
+    assert merged.exceptAll(whole).isEmpty() and whole.exceptAll(merged).isEmpty()
+
+
+def test_figures_against_counting(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice(["HV0001", "HV0002", "bad", None, "HV12345"]), rng.choice([None, -4, 0, 1, 7, 265, 266, 999]), rng.choice([None, -1.5, 0.0, -0.0, 2.25, rng.uniform(0, 90)]), rng.choice([None, -3, 0, 60, 61])) for _ in range(700)]
+    got = {r["column_name"]: r for r in profiles(spark, load(JAN, "a", rows)).collect()}
+    for i, k in enumerate(CHECKS):
+        v = [r[i] for r in rows if r[i] is not None]
+        r = got[k.column]
+        assert r["row_count"] == 700 and r["nulls"] == 700 - len(v)
+        if k.pattern:
+            good = [x for x in v if x in ("HV0001", "HV0002")]
+            assert r["violations"] == len(v) - len(good) and r["distinct_values"] == 2 and r["min_value"] is None and r["negative_rows"] is None
+            continue
+        good = [x for x in v if x >= k.least and (k.most is None or x <= k.most)]
+        assert r["violations"] == len(v) - len(good) and r["negative_rows"] == sum(x < 0 for x in v) and r["zero_rows"] == sum(x == 0 for x in v)
+        assert r["min_value"] == min(v) and r["max_value"] == max(v) and r["distinct_values"] == (len(set(good)) if k.distinct else None)
+        if k.median:
+            true = sorted(v)[(len(v) + 1) // 2 - 1]
+            assert r["median_low"] <= true <= r["median_high"] and abs(r["median_value"] - true) <= abs(true) / 64
+
+
+def test_medians_near_the_ratio_are_settled_exactly(spark):
+    """1.4 times the median itself is no finding, the next greater number is; bins alone can't tell."""
+    base = [("HV0001", 1, 10.0 + i / 1000, 60) for i in range(101)]
+    for last, want in ((10.05 * 1.4, []), (math.nextafter(10.05 * 1.4, 99), ["miles"])):
+        now = [("HV0001", 1, last + (i - 50) / 1000, 60) for i in range(101)]
+        df = spark.createDataFrame(load(JAN, "a", base) + load(FEB, "a", now), DDL)
+        found = profile.settled(profiles(spark, load(JAN, "a", base) + load(FEB, "a", now)), df, "_source_file", CHECKS)
+        assert [r["column_name"] for r in profile.against_previous(found, CHECKS).where("finding = 'median'").collect()] == want
 
 
 def test_control_limits(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def licence(column: str = "hvfhs_license_num") -> Column:
     """A licence code without outer white space, in upper case."""
-    return F.upper(F.regexp_replace(F.col(column), r"^\s+|\s+$", ""))
+    return F.upper(F.btrim(F.col(column), F.lit(" \t\n\x0b\f\r")))
 
 
 def month_text(column: str = "data_month") -> Column:

@@ -1,35 +1,38 @@
-"""Column-level quality profile of loads from one shared, mergeable aggregate scan.
-
-Checks are declared as data (``Check``) and compiled into two aggregates over the same rows:
-
-* scalar states per load: rows, nulls, violations, negatives, zeros, least and greatest value of every column;
-* bins per load: valid codes as integers (exact distinct counts, at most 100,000 a column) and the leading
-  bits of measures (medians within one part in 2 ** 12, exact where a bin holds one value).
-
-Both are sums, minima and maxima, so states of partitions, loads or days merge by the same aggregate
-(``merge_scalars``). Findings compare a load with the previous one of its feed; ``control_limits`` holds each
-metric against the history of its feed. Every rate counts rows as they are, repeated ones too. Nulls violate
-no pattern or range. Rows without a load are left out. A column without values has null distinct, median and
-range; a feed's first load has nothing to be compared with.
+"""Column-level quality profile of loads from one shared scan and mergeable states.
+
+Checks are declared as data (``Check``) and compiled into one aggregate: every column of a row falls into a bin, and a
+load's state is the count, least and greatest value of each bin that occurs. A bin tells whether the value is null, as
+declared or violating, which valid code it is, or the leading bits of a measure. All figures are read from the bins:
+rows, nulls, violations, negatives, zeros, range, exact numbers of valid codes, and medians within one part in 2 ** 6,
+exact where a bin holds one value. A load has at most 100,000 bins of codes a column and some hundred of a measure,
+made before the shuffle. Counts, minima and maxima merge: states of partitions, loads or days add up (``merge_states``).
+
+Findings compare a load with the previous one of its feed; a median whose bin leaves a finding open is read exactly, from
+the values of that bin alone. ``control_limits`` holds each metric against the history of its feed. Every rate counts
+rows as they are, repeated ones too. Nulls violate no pattern or range. Rows without a load are left out. A column
+without values has null median and range and no distinct value; a feed's first load has nothing to be compared with.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.functions.columns import feed_of, leading_bits
 
-#: Bits of a measure that tell its bin: the values of a bin differ by less than one part in 2 ** 12.
-BIN_BITS = 24
+#: Bits of a measure that tell its bin: sign, exponent and six of the fraction.
+BIN_BITS = 18
+NULL, VALID, VIOLATING = 0, 1, 2
+NUMBERS = ("double", "float", "bigint", "int", "smallint", "tinyint")
+STATES = ["source_file", "place", "kind", "bin"]
 
 
 @dataclass(frozen=True)
 class Check:
-    """What is known of a column: a ``pattern`` for texts, the least and greatest value, whether to bin it."""
+    """What is known of a column: a ``pattern`` for texts, the least and greatest value, whether its codes are counted or its median wanted."""
 
     column: str
     pattern: str | None = None
@@ -38,100 +41,143 @@ class Check:
     distinct: bool = False
     median: bool = False
 
-    def violates(self) -> Column:
-        c = F.col(f"`{self.column}`")
+    def violates(self, number: Column, text: Column) -> Column:
         if self.pattern:
-            return ~c.rlike(self.pattern)
-        low = c < self.least if self.least is not None else F.lit(False)
-        high = c > self.most if self.most is not None else F.lit(False)
+            return ~text.rlike(self.pattern)
+        low = number < self.least if self.least is not None else F.lit(False)
+        high = number > self.most if self.most is not None else F.lit(False)
         return low | high
 
-    def bin(self) -> Column:
-        c = F.col(f"`{self.column}`")
+    def bin(self, number: Column, text: Column, violating: Column, bits: Column) -> Column:
+        """Below 0 a negative number, 0 zero; codes by their digits, measures by their leading ``bits``."""
+        if self.pattern:
+            return F.when(~violating, F.regexp_extract(text, r"(\d+)", 1).cast("int")) if self.distinct else F.lit(0)
+        if self.distinct:
+            return F.when(violating, F.signum(number).cast("int") * (2**30)).otherwise(number.cast("int"))
         if self.median:
-            return leading_bits(F.when(~F.isnan(c.cast("double")), c.cast("double")), BIN_BITS)
-        number = F.regexp_extract(c, r"(\d+)", 1).cast("int") if self.pattern else c.cast("int")
-        return F.when(~self.violates(), number)
+            return bits + (number > 0).cast("int")
+        return F.signum(F.when(~F.isnan(number), number)).cast("int")
 
     @property
     def kind(self) -> str | None:
         return "pattern" if self.pattern else "range" if self.least is not None or self.most is not None else None
 
 
-def scalar_states(rows: DataFrame, load: str, checks: Sequence[Check], extra: Sequence[Column] = ()) -> DataFrame:
-    """One row per load: ``rows`` and, by column position i, nulls ``n<i>``, violations ``v<i>``, range ``lo<i>``, ``hi<i>``, negatives ``g<i>``, zeros ``z<i>``."""
-    types = dict(rows.dtypes)
-    out = [F.count(F.lit(1)).alias("rows"), *extra]
+def _by_rule(checks: Sequence[Check], expression: Callable[[Check], Column]) -> Column:
+    """An expression of each check, once for all checks that differ in their column only."""
+    rules: dict[Check, list[int]] = {}
     for i, k in enumerate(checks):
-        c = F.col(f"`{k.column}`")
-        out.append(F.count_if(c.isNull()).alias(f"n{i}"))
-        if k.kind:
-            out.append(F.count_if(k.violates()).alias(f"v{i}"))
-        if types[k.column] in ("double", "bigint", "int"):
-            out += [F.min(c).cast("double").alias(f"lo{i}"), F.max(c).cast("double").alias(f"hi{i}"), F.count_if(c < 0).alias(f"g{i}"), F.count_if(c == 0).alias(f"z{i}")]
-    return rows.where(F.col(load).isNotNull()).groupBy(F.col(load).alias("source_file")).agg(*out)
+        rules.setdefault(replace(k, column=""), []).append(i)
+    return F.coalesce(*[F.when(F.col("place").isin(places), expression(rule)) for rule, places in rules.items()], F.lit(None))
 
 
-def merge_scalars(states: DataFrame, by: Sequence[Column]) -> DataFrame:
-    """Merge the scalar states of several loads, days or partitions."""
-    how = {"lo": F.min, "hi": F.max}
-    return states.groupBy(*by).agg(*[how.get(c.rstrip("0123456789"), F.sum)(c).alias(c) for c in states.columns if c == "rows" or c[-1].isdigit()])
+def _bits(checks: Sequence[Check]) -> list[Column]:
+    """The leading bits of the measures, in a projection of their own, which computes each part of them once."""
+    return [leading_bits(F.col(f"`{k.column}`"), BIN_BITS).alias(f"__bits{i}") for i, k in enumerate(checks) if k.median]
 
 
-def long_scalars(states: DataFrame, checks: Sequence[Check], keep: Sequence[str] = ("source_file",)) -> DataFrame:
-    """Scalar states by column: ``column_name, row_count, nulls, violations, min_value, max_value, negative_rows, zero_rows``."""
-    have = set(states.columns)
-    get = lambda c, t: F.col(c) if c in have else F.lit(None).cast(t)
-    entries = [
-        F.struct(F.lit(k.column).alias("column_name"), F.col(f"n{i}").alias("nulls"), get(f"v{i}", "bigint").alias("violations"), get(f"lo{i}", "double").alias("min_value"), get(f"hi{i}", "double").alias("max_value"), get(f"g{i}", "bigint").alias("negative_rows"), get(f"z{i}", "bigint").alias("zero_rows"))
-        for i, k in enumerate(checks)
-    ]
-    return states.select(*keep, F.col("rows").alias("row_count"), F.inline(F.array(*entries)))
+def column_states(rows: DataFrame, load: str, month: str, checks: Sequence[Check]) -> DataFrame:
+    """``source_file, place, kind, bin, data_month, n, low, high``: the bins of every column of every load, from one scan."""
+    types = dict(rows.dtypes)
 
+    def entry(i: int, k: Check) -> Column:
+        c, text, none = F.col(f"`{k.column}`"), F.lit(None).cast("string"), F.lit(None).cast("int")
+        if types[k.column] in NUMBERS:
+            bits = F.col(f"__bits{i}") if k.median else none
+            return F.struct(F.lit(i).cast("tinyint").alias("place"), c.cast("double").alias("value"), text.alias("text"), bits.alias("bits"))
+        return F.struct(F.lit(i).cast("tinyint").alias("place"), F.when(c.isNotNull(), F.lit(0.0)).alias("value"), (c if k.pattern else text).alias("text"), none.alias("bits"))
 
-def bin_states(rows: DataFrame, load: str, checks: Sequence[Check]) -> DataFrame:
-    """``source_file, field, digit0, n, low, high``: codes and first radix digits, combined before the shuffle."""
-    binned = [k for k in checks if k.distinct or k.median]
-    entries = F.array(*[F.struct(F.lit(k.column).alias("field"), k.bin().alias("digit0"), (F.col(f"`{k.column}`").cast("double") if k.median else F.lit(None).cast("double")).alias("value")) for k in binned])
-    long = rows.where(F.col(load).isNotNull()).select(F.col(load).alias("source_file"), F.inline(entries)).where(F.col("digit0").isNotNull())
-    return long.groupBy("source_file", "field", "digit0").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    # the values first, then what they are: written once a rule, the generated code stays small
+    given = rows.where(F.col(load).isNotNull()).select(F.col(load).alias("source_file"), F.col(month).alias("data_month"), *_bits(checks), *[F.col(f"`{k.column}`") for k in checks])
+    long = given.select("source_file", "data_month", F.inline(F.array(*[entry(i, k) for i, k in enumerate(checks)])))
+    number, text, violating = F.col("value"), F.col("text"), F.col("violating")
+    long = long.withColumn("violating", F.coalesce(_by_rule(checks, lambda k: k.violates(number, text)), F.lit(False)))
+    state = F.when(number.isNull(), NULL).when(violating, VIOLATING).otherwise(VALID).cast("tinyint")
+    binned = long.select("source_file", "data_month", "place", "value", state.alias("kind"), F.coalesce(_by_rule(checks, lambda k: k.bin(number, text, violating, F.col("bits"))), F.lit(0)).alias("bin"))
+    return binned.groupBy(*STATES).agg(F.min("data_month").alias("data_month"), F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
 
 
-def column_profiles(rows: DataFrame, load: str, month: str, checks: Sequence[Check]) -> DataFrame:
-    """The profile: one row per load and column, with ``distinct_values`` and ``median_value`` where declared."""
-    scalars = long_scalars(scalar_states(rows, load, checks, [F.min(month).alias("data_month")]), checks, ("source_file", "data_month"))
-    bins = bin_states(rows, load, checks)
-    codes, sizes = [k.column for k in checks if k.distinct], [k.column for k in checks if k.median]
-    is_code = F.col("field").isin(codes) if codes else F.lit(False)
-    # one pass over the bins gives both: distinct codes by counting them, the median bin by its rank
-    order = Window.partitionBy("source_file", "field").orderBy("digit0")
-    all_of = Window.partitionBy("source_file", "field")
-    walked = bins.withColumns({"upto": F.sum("n").over(order), "all": F.sum("n").over(all_of)})
-    middle = F.floor((F.col("all") + 1) / 2)
-    at_median = (F.col("upto") >= middle) & (F.col("upto") - F.col("n") < middle)
-    found = walked.groupBy("source_file", F.col("field").alias("column_name")).agg(
-        F.sum(F.when(is_code, F.lit(1).cast("bigint"))).alias("distinct_values"),
-        F.max(F.when(~is_code & at_median, (F.col("low") + F.col("high")) / 2)).alias("median_value"),
-    )
-    has_bins = F.col("column_name").isin(codes + sizes)
-    return scalars.join(found, ["source_file", "column_name"], "left").withColumn("distinct_values", F.when(F.col("column_name").isin(codes), F.coalesce("distinct_values", F.lit(0).cast("bigint"))) if codes else F.col("distinct_values")).withColumn("binned", has_bins)
+def merge_states(states: DataFrame, source_file: Column) -> DataFrame:
+    """The states of coarser loads: those of all loads that ``source_file`` gives the same name."""
+    named = states.withColumn("source_file", source_file)
+    return named.groupBy(*STATES).agg(F.min("data_month").alias("data_month"), F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
 
 
-def column_states(rows: DataFrame, load: str, month: str, columns: Sequence[str]) -> DataFrame:
-    """Mergeable states of any columns: one row per load and column with rows, nulls, sketch of the distinct values, least and greatest value as text.
+def profiles(states: DataFrame, checks: Sequence[Check], types: dict[str, str]) -> DataFrame:
+    """One row per load and column; ``violations``, ``distinct_values``, ``median_value`` where declared.
 
-    The sketch estimates distinct values with a standard error of 1.6 %; ranges follow the order of the column's type.
+    ``median_low`` and ``median_high`` hold the median, ``median_bin`` and ``median_rank`` tell where it is among the values.
     """
-    text = lambda c: c.cast("string")
-    out = [F.count(F.lit(1)).alias("row_count"), F.min(month).alias("data_month")]
+    place, kind, n = F.col("place"), F.col("kind"), F.col("n")
+    of = lambda which: place.isin([i for i, k in enumerate(checks) if which(k)])
+    number, declared, coded, middle = of(lambda k: types[k.column] in NUMBERS), of(lambda k: k.kind), of(lambda k: k.distinct), of(lambda k: k.median)
+    # NaN is a value, but has no place in the order
+    ordered = (kind != NULL) & ~F.isnan("high") & middle
+    order = Window.partitionBy("source_file", "place").orderBy(ordered.desc(), "bin", "kind")
+    walked = states.withColumns({"upto": F.sum(F.when(ordered, n)).over(order), "all": F.sum(F.when(ordered, n)).over(Window.partitionBy("source_file", "place"))})
+    rank = F.floor((F.col("all") + 1) / 2)
+    at = ordered & (F.col("upto") >= rank) & (F.col("upto") - n < rank)
+    zero = F.lit(0).cast("bigint")
+    counted = lambda which: F.coalesce(F.sum(F.when(which, n)), zero)
+    found = walked.groupBy("source_file", "place").agg(
+        F.min("data_month").alias("data_month"), F.sum("n").alias("row_count"), counted(kind == NULL).alias("nulls"), counted(kind == VIOLATING).alias("violations"),
+        F.count_if(kind == VALID).alias("distinct_values"), F.min(F.when(number, F.col("low"))).alias("min_value"), F.max(F.when(number, F.col("high"))).alias("max_value"),
+        counted((kind != NULL) & (F.col("bin") < 0)).alias("negative_rows"), counted((kind != NULL) & (F.col("bin") == 0)).alias("zero_rows"),
+        F.max(F.when(at, F.struct("low", "high", "bin", (rank - F.col("upto") + n).alias("rank")))).alias("m"),
+    )
+    only = lambda name, which: F.when(which, F.col(name)).alias(name)
+    names = F.array(*[F.lit(k.column) for k in checks])
+    return found.select(
+        "source_file", "data_month", names[place.cast("int")].alias("column_name"), "row_count", "nulls", only("violations", declared), only("distinct_values", coded), "min_value", "max_value",
+        only("negative_rows", number), only("zero_rows", number), ((F.col("m.low") + F.col("m.high")) / 2).alias("median_value"), F.col("m.low").alias("median_low"), F.col("m.high").alias("median_high"), F.col("m.bin").alias("median_bin"), F.col("m.rank").alias("median_rank"),
+    )
+
+
+def column_profiles(rows: DataFrame, load: str, month: str, checks: Sequence[Check]) -> DataFrame:
+    return profiles(column_states(rows, load, month, checks), checks, dict(rows.dtypes))
+
+
+def sketches(rows: DataFrame, load: str, columns: Sequence[str]) -> DataFrame:
+    """Mergeable sketches of the distinct values of any columns (standard error 1.6 %), and their range as text in the order of the column's type."""
+    out = []
     for i, name in enumerate(columns):
         c = F.col(f"`{name}`")
-        out += [F.count_if(c.isNull()).alias(f"n{i}"), F.hll_sketch_agg(F.when(c.isNotNull(), F.xxhash64(c)), 12).alias(f"s{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
-    states = rows.where(F.col(load).isNotNull()).groupBy(F.col(load).alias("source_file")).agg(*out)
-    entries = [F.struct(F.lit(name).alias("column_name"), F.col(f"n{i}").alias("nulls"), F.col(f"s{i}").alias("sketch"), text(F.col(f"lo{i}")).alias("least"), text(F.col(f"hi{i}")).alias("greatest")) for i, name in enumerate(columns)]
+        out += [F.hll_sketch_agg(F.when(c.isNotNull(), F.xxhash64(c)), 12).alias(f"s{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"), F.count_if(c.isNull()).alias(f"n{i}")]
+    states = rows.where(F.col(load).isNotNull()).groupBy(F.col(load).alias("source_file")).agg(F.count(F.lit(1)).alias("row_count"), F.min("data_month").alias("data_month"), *out)
+    entries = [F.struct(F.lit(name).alias("column_name"), F.col(f"n{i}").alias("nulls"), F.col(f"s{i}").alias("sketch"), F.col(f"lo{i}").cast("string").alias("least"), F.col(f"hi{i}").cast("string").alias("greatest")) for i, name in enumerate(columns)]
     return states.select("source_file", "data_month", "row_count", F.inline(F.array(*entries)))
 
 
+def with_previous(found: DataFrame) -> DataFrame:
+    """Profiles with the figures of the feed's previous load, as ``previous_...``."""
+    of_feed = Window.partitionBy("feed", "column_name").orderBy("data_month", "source_file")
+    names = ["source_file", "row_count", "nulls", "distinct_values", "median_value", "median_low", "median_high"]
+    return found.withColumn("feed", feed_of(F.col("source_file"))).withColumns({f"previous_{n}": F.lag(n).over(of_feed) for n in names})
+
+
+def settled(found: DataFrame, rows: DataFrame, load: str, checks: Sequence[Check], *, median_ratio: float = 1.4) -> DataFrame:
+    """``found`` with exact medians where those of a load and its previous one are so near ``median_ratio`` that their bins don't tell.
+
+    Only the values of the bins in question are read again, if there are any. ``found`` should be stored.
+    """
+    p = with_previous(found)
+    low, high, before_low, before_high = F.col("median_low"), F.col("median_high"), F.col("previous_median_low"), F.col("previous_median_high")
+    sure = (low > before_high * median_ratio) | (before_low > high * median_ratio) | ((high <= before_low * median_ratio) & (before_high <= low * median_ratio))
+    asked = p.where((low >= 0) & (before_low >= 0) & ~sure | (((low < 0) | (before_low < 0)) & ((low < high) | (before_low < before_high))))
+    pairs = asked.select("column_name", F.explode(F.array("source_file", "previous_source_file")).alias("source_file")).distinct()
+    open_ = found.where("median_low < median_high").join(pairs, ["source_file", "column_name"], "left_semi").select("source_file", F.col("column_name").alias("__column"), "median_bin", "median_rank")
+    if open_.isEmpty():
+        return found
+    value = lambda k: F.col(f"`{k.column}`").cast("double")
+    entries = F.array(*[F.struct(F.lit(k.column).alias("column"), k.bin(value(k), F.lit(""), F.lit(False), F.col(f"__bits{i}")).alias("bin"), value(k).alias("value")) for i, k in enumerate(checks) if k.median])
+    long = rows.select(load, *_bits(checks), *[F.col(f"`{k.column}`") for k in checks if k.median]).join(open_.select(F.col("source_file").alias("__load")).distinct(), F.col(load) == F.col("__load"), "left_semi").select(F.col(load).alias("source_file"), F.inline(entries)).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    counted = long.join(open_, (long["source_file"] == open_["source_file"]) & (F.col("column") == F.col("__column")) & (F.col("bin") == F.col("median_bin"))).groupBy(long["source_file"], "column", "median_rank", "value").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("source_file", "column").orderBy("value"))
+    exact = counted.withColumn("upto", upto).where((F.col("upto") >= F.col("median_rank")) & (F.col("upto") - F.col("n") < F.col("median_rank"))).select("source_file", F.col("column").alias("column_name"), F.col("value").alias("__exact"))
+    joined = found.join(exact, ["source_file", "column_name"], "left")
+    return joined.withColumns({c: F.coalesce("__exact", c) for c in ("median_value", "median_low", "median_high")}).drop("__exact")
+
+
 def _exceeds(a: Column, b: Column, c: Column, d: Column, points: int) -> Column:
     """Whether the shares a/b and c/d differ by more than ``points`` per cent, without rounding."""
     whole = lambda x: x.cast("decimal(18,0)")
@@ -140,9 +186,7 @@ def _exceeds(a: Column, b: Column, c: Column, d: Column, points: int) -> Column:
 
 def against_previous(profiles: DataFrame, checks: Sequence[Check], *, null_points: int = 5, share: int = 100, median_ratio: float = 1.4) -> DataFrame:
     """Findings ``source_file, column_name, finding`` of each load, held against the previous load of its feed."""
-    of_feed = Window.partitionBy("feed", "column_name").orderBy("data_month", "source_file")
-    names = ["row_count", "nulls", "distinct_values", "median_value"]
-    p = profiles.withColumn("feed", feed_of(F.col("source_file"))).withColumns({f"previous_{n}": F.lag(n).over(of_feed) for n in names})
+    p = with_previous(profiles)
     kinds = {k.column: k.kind for k in checks}
     values = F.col("row_count") - F.col("nulls")
     kind = F.create_map(*[F.lit(x) for k, v in kinds.items() if v for x in (k, v)])[F.col("column_name")]
@@ -176,13 +220,16 @@ def rule_rates(counts: DataFrame, *, least_rows: int = 20, ratio: int = 2) -> Da
 
 
 def control_limits(profiles: DataFrame, *, sigmas: float = 3.0, least_history: int = 4) -> DataFrame:
-    """Metrics outside mean +- ``sigmas`` deviations of all earlier loads of the feed, once it has ``least_history``."""
-    entries = F.array(
-        F.struct(F.lit("null_share").alias("metric"), F.try_divide(F.col("nulls"), F.col("row_count")).alias("value")),
-        F.struct(F.lit("distinct_values").alias("metric"), F.col("distinct_values").cast("double").alias("value")),
-        F.struct(F.lit("median_value").alias("metric"), F.col("median_value").alias("value")),
-        F.struct(F.lit("violation_share").alias("metric"), F.try_divide(F.col("violations"), F.col("row_count") - F.col("nulls")).alias("value")),
-    )
+    """Metrics outside mean +- ``sigmas`` deviations of all earlier loads of the feed, once it has ``least_history``.
+
+    Of the columns ``nulls, row_count, violations, distinct_values, median_value`` those that ``profiles`` has are held.
+    """
+    share = lambda part, whole: F.try_divide(part, whole)
+    values = F.col("row_count") - F.col("nulls")
+    known = {"null_share": share(F.col("nulls"), F.col("row_count")), "row_count": F.col("row_count").cast("double")}
+    known |= {"violation_share": share(F.col("violations"), values)} if "violations" in profiles.columns else {}
+    known |= {c: F.col(c).cast("double") for c in ("distinct_values", "median_value") if c in profiles.columns}
+    entries = F.array(*[F.struct(F.lit(name).alias("metric"), c.alias("value")) for name, c in known.items()])
     long = profiles.select("source_file", "data_month", "column_name", F.inline(entries)).where(F.col("value").isNotNull()).withColumn("feed", feed_of(F.col("source_file")))
     before = Window.partitionBy("feed", "column_name", "metric").orderBy("data_month", "source_file").rowsBetween(Window.unboundedPreceding, -1)
     h = long.withColumns({"history": F.count("value").over(before), "centre": F.avg("value").over(before), "deviation": F.coalesce(F.stddev_samp("value").over(before), F.lit(0.0))})

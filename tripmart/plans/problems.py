@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart import rules
-from tripmart.functions.columns import licence, month_text
+from tripmart.functions.columns import feed_of, licence, month_text
 from tripmart.operators import drift, heavy_keys, kslack, orphans, profile
 from tripmart.session import checkpoint, checkpoint_dir
 from tripmart.sources.tables import read
@@ -209,28 +209,47 @@ def _profiles(spark: SparkSession, folder: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     profiles = _profiles(spark, folder)
-    found = profile.against_previous(profiles, TRIP_CHECKS)
+    found = profile.against_previous(profile.settled(profiles, read(spark, folder, "trips"), "_source_file", TRIP_CHECKS), TRIP_CHECKS)
     found = found.unionByName(profile.against_records(profiles, read(spark, folder, "load_profiles"), _ZONES))
     return found.unionByName(profile.rule_rates(read(spark, folder, "rule_counts")))
 
 
 def p6_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact figures of every column of the contract."""
     return _profiles(spark, folder).select("source_file", "data_month", "column_name", "row_count", "nulls", "violations", "distinct_values", "min_value", "max_value", "negative_rows", "zero_rows")
 
 
+def p6_feed_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """The same of whole feeds, from the merged states of their loads."""
+    trips = read(spark, folder, "trips")
+    states = profile.column_states(trips, "_source_file", "data_month", TRIP_CHECKS)
+    merged = profile.profiles(profile.merge_states(states, feed_of(F.col("source_file"))), TRIP_CHECKS, dict(trips.dtypes))
+    return merged.select(F.col("source_file").alias("feed"), "column_name", "row_count", "nulls", "violations", "distinct_values", "min_value", "max_value", "negative_rows", "zero_rows")
+
+
 def p6_columns(spark: SparkSession, folder: str) -> DataFrame:
     """Nulls, distinct values (estimated), range and median of every column of every load; ``p6_profile`` has the exact counts of valid codes."""
     trips = read(spark, folder, "trips")
     names = [c for c in trips.columns if c not in ("_source_file", "data_month")]
-    states = profile.column_states(trips, "_source_file", "data_month", names)
     known = _profiles(spark, folder).select("source_file", "column_name", "violations", F.col("distinct_values").alias("valid_values"), "median_value")
-    found = states.withColumn("distinct_values", F.when(F.col("nulls") < F.col("row_count"), F.hll_sketch_estimate("sketch"))).drop("sketch")
+    found = profile.sketches(trips, "_source_file", names).withColumn("distinct_values", F.when(F.col("nulls") < F.col("row_count"), F.hll_sketch_estimate("sketch"))).drop("sketch")
     return found.join(known, ["source_file", "column_name"], "left")
 
 
+def _limits(found: DataFrame) -> DataFrame:
+    rounded = [F.round(c, 6).alias(c) for c in ("value", "centre", "deviation")]
+    return profile.control_limits(found).select("source_file", "column_name", "metric", *rounded, "history")
+
+
 def p6_control_limits(spark: SparkSession, folder: str) -> DataFrame:
-    # exact counts of valid codes where there are any, estimates of the other columns
-    return profile.control_limits(p6_columns(spark, folder).withColumn("distinct_values", F.coalesce("valid_values", "distinct_values")))
+    """The exact metrics of every column of the contract against the history of the feed."""
+    return _limits(_profiles(spark, folder).drop("median_value"))
+
+
+def p6_control_limits_estimated(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct values of every column (estimated where they are no codes) and medians against the history of the feed."""
+    found = p6_columns(spark, folder).withColumn("distinct_values", F.coalesce("valid_values", "distinct_values"))
+    return _limits(found).where(F.col("metric").isin("distinct_values", "median_value"))
 
 
 def p6_recorded_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -241,11 +260,11 @@ def p6_recorded_rules(spark: SparkSession, folder: str) -> DataFrame:
     return found.join(recorded, ["source_file", "rule_id"], "left").withColumn("agrees", F.col("matched_rows") == F.col("recorded_rows"))
 
 
-def _p6_column_sql(k: profile.Check) -> str:
+def _p6_column_sql(k: profile.Check, load: str = "_source_file") -> str:
     c, number = f'"{k.column}"', k.column in _ZONES + _AMOUNTS
     bad = f"NOT regexp_full_match({c}, '{k.pattern.strip('^').removesuffix(chr(92) + 'z')}')" if k.pattern else f"{c} NOT BETWEEN 1 AND 265" if k.column in _ZONES else f"{c} < 0"
     return f"""
-    SELECT _source_file AS source_file, min(data_month) AS data_month, '{k.column}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS nulls,
+    SELECT {load} AS source_file, min(data_month) AS data_month, '{k.column}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS nulls,
       {f"count(*) FILTER (WHERE {bad})" if k.kind else "NULL::BIGINT"} AS violations, {f"count(DISTINCT {c}) FILTER (WHERE NOT ({bad}))" if k.distinct else "NULL::BIGINT"} AS distinct_values,
       {f"CAST(min({c}) AS DOUBLE)" if number else "NULL::DOUBLE"} AS min_value, {f"CAST(max({c}) AS DOUBLE)" if number else "NULL::DOUBLE"} AS max_value,
       {f"count(*) FILTER (WHERE {c} < 0)" if number else "NULL::BIGINT"} AS negative_rows, {f"count(*) FILTER (WHERE {c} = 0)" if number else "NULL::BIGINT"} AS zero_rows,
@@ -255,6 +274,16 @@ def _p6_column_sql(k: profile.Check) -> str:
 
 _P6_BASE = " UNION ALL ".join(_p6_column_sql(k) for k in TRIP_CHECKS)
 P6_PROFILE = f"SELECT source_file, data_month, column_name, row_count, nulls, violations, distinct_values, min_value, max_value, negative_rows, zero_rows FROM ({_P6_BASE})"
+_FEED = "regexp_extract(_source_file, '_([^_.]+)[.][^.]*$', 1)"
+P6_FEED_PROFILE = "SELECT source_file AS feed, column_name, row_count, nulls, violations, distinct_values, min_value, max_value, negative_rows, zero_rows FROM (" + " UNION ALL ".join(_p6_column_sql(k, _FEED) for k in TRIP_CHECKS) + ")"
+P6_CONTROL_LIMITS = f"""
+    WITH m AS (
+      SELECT source_file, data_month, column_name, unnest(['null_share', 'row_count', 'violation_share', 'distinct_values']) AS metric,
+        unnest([nulls / row_count, CAST(row_count AS DOUBLE), violations / nullif(row_count - nulls, 0), CAST(distinct_values AS DOUBLE)]) AS value FROM ({_P6_BASE})),
+    h AS (SELECT *, count(value) OVER w AS history, avg(value) OVER w AS centre, coalesce(stddev_samp(value) OVER w, 0) AS deviation FROM m WHERE value IS NOT NULL
+      WINDOW w AS (PARTITION BY regexp_extract(source_file, '_([^_.]+)[.][^.]*$', 1), column_name, metric ORDER BY data_month, source_file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    SELECT source_file, column_name, metric, round(value, 6) AS value, round(centre, 6) AS centre, round(deviation, 6) AS deviation, history FROM h
+    WHERE history >= 4 AND abs(value - centre) > 3 * deviation + 1e-9"""
 P6_FOUND = f"""
     WITH base AS ({_P6_BASE}),
     p AS (SELECT *, lag(row_count) OVER w AS pr, lag(nulls) OVER w AS pn, lag(distinct_values) OVER w AS pd, lag(median_value) OVER w AS pm FROM base
@@ -274,7 +303,7 @@ QUERIES = {
     "p2_found": p2_found, "p2_table": p2_table, "p2_union_schema": p2_union_schema, "p2_aliases": p2_aliases, "p2_unreadable": p2_unreadable,
     "p3_found": p3_found, "p3_windows": p3_windows, "p3_revisions": p3_revisions,
     "p4_found": p4_found, "p4_report": p4_report,
-    "p6_found": p6_found, "p6_profile": p6_profile, "p6_columns": p6_columns, "p6_control_limits": p6_control_limits, "p6_recorded_rules": p6_recorded_rules,
+    "p6_found": p6_found, "p6_profile": p6_profile, "p6_columns": p6_columns, "p6_feed_profile": p6_feed_profile, "p6_control_limits": p6_control_limits, "p6_control_limits_estimated": p6_control_limits_estimated, "p6_recorded_rules": p6_recorded_rules,
 }
 
 SQL = {
@@ -289,5 +318,5 @@ SQL = {
     "p2_unreadable": """SELECT source_file, count(*) AS lines, count(*) - count(CASE WHEN json_type(TRY_CAST(payload AS JSON)) = 'OBJECT' THEN 1 END) AS unreadable_lines FROM raw_trip_records GROUP BY 1""",
     "p3_found": P3_FOUND, "p3_windows": P3_WINDOWS, "p3_revisions": P3_REVISIONS,
     "p4_found": P4_FOUND, "p4_report": P4_REPORT,
-    "p6_found": P6_FOUND, "p6_profile": P6_PROFILE,
+    "p6_found": P6_FOUND, "p6_profile": P6_PROFILE, "p6_feed_profile": P6_FEED_PROFILE, "p6_control_limits": P6_CONTROL_LIMITS,
 }
