@@ -1,104 +1,141 @@
-"""References to records that do not exist: a keyed state of references and of the parents' lives.
+"""References to records that do not exist: pending orphans kept by key, advanced increment by increment.
 
-The state has one row per (ref_column, key): the periods in which the key was referred to, with the number of
-references, and the spans in which a parent row with that key was in force. ``advance`` adds an increment of
-new references and of parent changes to it by one join on the key; the references never travel, only their
-counts per key and period. Read from the state:
+The state is a bundle of parts: ``parents``, the index of spans in which a parent row with a key is in force;
+``pending``, one row per orphan key with the references that met no parent and whether they wait now; ``found``,
+the log of orphans per key and period; ``snapshots``, what was counted at the end of each increment. ``advance`` takes in
+a period's references and the parents that arrived and were deleted in it, all at once under the increment's number:
 
-* ``judged``: new references probe the parents' spans of their own period; those that meet none are orphans;
+* new references probe the index for a parent in force on any day of their own period; those that meet none are
+  orphans, logged and pending;
 * a parent that arrives later resolves the orphans waiting for its key, a deletion reopens them;
-* ``snapshots`` counts, at the end of each period, what is waiting then.
-
-A null key refers to nothing and is left out. A reference with a null period is judged only where parents
-have no lives (a calendar). A parent without a start was always there, one without an end still is; a span
-that ends before it begins is empty. Repeated references count as often as they occur, repeated parents once.
-With no parents at all every reference is an orphan; with no references the state holds no orphan.
+* the snapshot counts the references, the orphans among them, and all that wait on the period's last day.
+
+References travel as counts per key and period, combined before the shuffle, so no key is hot; the rows behind the
+orphans are read once more at the end. A null key refers to nothing and is left out. A reference with a null period is
+judged only for ``timeless`` columns, whose parents have no lives (a calendar). A parent without a start was always
+there, one without an end still is; a span that ends before it begins is empty; of spans that begin together the longest
+holds. Repeated references count as often as they occur. With no parents at all every reference is an orphan; with
+no references there is no orphan. An increment that fails leaves the state as it was, one that comes again is skipped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.session import checkpoint
+from tripmart.store import Bundle
 
-STATE = "ref_column string, key bigint, refs array<struct<period:date,n:bigint>>, spans array<struct<begins:date,ends:date>>"
 EVER, NEVER = "0001-01-01", "9999-12-31"
+REFERENCE, SPAN = "ref_column string, key bigint, period date, n bigint", "ref_column string, key bigint, begins date, ends date"
+PENDING = "ref_column string, key bigint, n bigint, waiting boolean"
+KEY = ["ref_column", "key"]
+
 
+def _day(text: str) -> Column:
+    return F.lit(text).cast("date")
 
-def references(facts: DataFrame, columns: list[str], month: str) -> DataFrame:
+
+def references(facts: DataFrame, columns: Sequence[str], month: str) -> DataFrame:
     """Counts of references per (ref_column, key, period): one scan for all columns, combined before the shuffle."""
     entries = F.array(*[F.struct(F.lit(c).alias("ref_column"), F.col(c).cast("bigint").alias("key")) for c in columns])
     rows = facts.select(F.trunc(F.col(month), "month").alias("period"), F.inline(entries)).where(F.col("key").isNotNull())
-    return rows.groupBy("ref_column", "key", "period").agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy(*KEY, "period").agg(F.count(F.lit(1)).alias("n"))
 
 
 def parents(table: DataFrame, ref_column: str, key: str, begins: str | None = None, ends: str | None = None) -> DataFrame:
     """Spans in which rows of a dimension are in force; ``ends`` is the first day they no longer are."""
-    start = F.coalesce(F.col(begins), F.lit(EVER).cast("date")) if begins else F.lit(EVER).cast("date")
-    end = F.coalesce(F.col(ends), F.lit(NEVER).cast("date")) if ends else F.lit(NEVER).cast("date")
+    start = F.coalesce(F.col(begins), _day(EVER)) if begins else _day(EVER)
+    end = F.coalesce(F.col(ends), _day(NEVER)) if ends else _day(NEVER)
     rows = table.select(F.lit(ref_column).alias("ref_column"), F.col(key).cast("bigint").alias("key"), start.alias("begins"), end.alias("ends"))
-    return rows.where(F.col("key").isNotNull() & (F.col("ends") > F.col("begins"))).distinct()
-
-
-def empty_state(spark) -> DataFrame:
-    return spark.createDataFrame([], STATE)
-
-
-def advance(state: DataFrame | None, new_references: DataFrame, new_parents: DataFrame) -> DataFrame:
-    """The state after an increment. Spans given again with an end replace the open span that began the same day."""
-    by = ["ref_column", "key"]
-    refs = new_references.groupBy(*by).agg(F.collect_list(F.struct("period", "n")).alias("new_refs"))
-    spans = new_parents.groupBy(*by).agg(F.collect_list(F.struct("begins", "ends")).alias("new_spans"))
-    none_refs, none_spans = F.expr("cast(array() as array<struct<period:date,n:bigint>>)"), F.expr("cast(array() as array<struct<begins:date,ends:date>>)")
-    both = refs.join(spans, by, "full")
-    if state is not None:
-        both = both.join(state, by, "full")
-    else:
-        both = both.withColumns({"refs": none_refs, "spans": none_spans})
-    added = F.coalesce("new_spans", none_spans)
-    kept = F.filter(F.coalesce("spans", none_spans), lambda s: ~F.exists(added, lambda a: a["begins"] == s["begins"]))
-    return both.select(*by, F.concat(F.coalesce("refs", none_refs), F.coalesce("new_refs", none_refs)).alias("refs"), F.concat(kept, added).alias("spans"))
-
-
-def _in_force(spans: Column, period: Column) -> Column:
-    """Whether a span has a day of the period; a span for ever holds for a missing period too."""
-    always = F.lit(EVER).cast("date"), F.lit(NEVER).cast("date")
-    return F.exists(spans, lambda s: ((s["begins"] == always[0]) & (s["ends"] == always[1])) | ((s["begins"] <= F.last_day(period)) & (s["ends"] > period)))
-
-
-def judged(state: DataFrame) -> DataFrame:
-    """Per (ref_column, key, period): ``n`` references, ``orphan``, and when a later parent resolves them."""
-    rows = state.select("ref_column", "key", "spans", F.inline("refs")).groupBy("ref_column", "key", "spans", "period").agg(F.sum("n").alias("n"))
-    arrivals = F.filter(F.col("spans"), lambda s: s["begins"] > F.last_day(F.col("period")))
-    orphan = ~F.coalesce(_in_force(F.col("spans"), F.col("period")), F.lit(True))
-    return rows.select("ref_column", "key", "period", "n", "spans", orphan.alias("orphan"), F.when(orphan, F.array_min(F.transform(arrivals, lambda s: s["begins"]))).alias("resolved_on"))
-
-
-def snapshots(state: DataFrame) -> DataFrame:
-    """Per ref_column and period: references, orphans found, and how many orphans of all periods so far wait at its end.
-
-    An orphan waits at the end of a period when no parent with its key is in force on its last day, so one
-    resolved by an arrival waits again after a deletion.
-    """
-    rows = judged(state)
-    found = rows.groupBy("ref_column", "period").agg(F.sum("n").alias("references"), F.sum(F.when(F.col("orphan"), F.col("n")).otherwise(F.lit(0))).alias("orphans"), F.count_if("orphan").alias("orphan_keys"))
-    times = rows.select(F.col("period").alias("at")).where(F.col("at").isNotNull()).distinct()
-    last = times.agg(F.max("at")).scalar()
-    every = F.explode(F.sequence(F.col("period"), last, F.expr("interval 1 month"))).alias("at")
-    waiting = rows.where(F.col("orphan") & F.col("period").isNotNull()).select("ref_column", "n", "spans", every)
-    gone = ~F.exists("spans", lambda s: (s["begins"] <= F.last_day(F.col("at"))) & (s["ends"] > F.last_day(F.col("at"))))
-    open_at = waiting.groupBy("ref_column", F.col("at").alias("period")).agg(F.sum(F.when(gone, F.col("n")).otherwise(F.lit(0))).alias("waiting"))
-    return found.join(open_at, ["ref_column", "period"], "left").withColumn("waiting", F.coalesce("waiting", F.lit(0).cast("bigint")))
-
-
-def orphan_rows(facts: DataFrame, state: DataFrame, columns: list[str], month: str, *, broadcast_keys: int = 200_000) -> DataFrame:
-    """The fact rows behind the orphans, one per orphan reference: ``facts`` columns with ``ref_column``.
+    return rows.where(F.col("key").isNotNull() & (F.col("ends") > F.col("begins"))).groupBy(*KEY, "begins").agg(F.max("ends").alias("ends"))
+
+
+@dataclass(frozen=True)
+class OrphanState:
+    spark: SparkSession
+    root: str
+    timeless: tuple[str, ...] = ()
+
+    @property
+    def bundle(self) -> Bundle:
+        return Bundle(self.spark, self.root)
+
+    def read(self, part: str) -> DataFrame:
+        found = self.bundle.read(part)
+        if found is None:
+            raise LookupError(f"no increment has been taken in at {self.root}")
+        return found
+
+    def advance(self, step: int, period: date | None, new_references: DataFrame, arrived: DataFrame, deleted: DataFrame) -> None:
+        """Take in the references of ``period`` and the spans that ``arrived`` or, with their end, were ``deleted`` in it."""
+        state = self.bundle
+        if step <= state.step():
+            return
+        changes = arrived.withColumn("ends", _day(NEVER)).unionByName(deleted)
+        index = state.read("parents")
+        # a span is given again when it ends
+        index = (changes if index is None else index.unionByName(changes)).groupBy(*KEY, "begins").agg(F.min("ends").alias("ends"))
+        orphans = checkpoint(self._unmet(new_references, index))
+        pending = state.read("pending")
+        more = orphans.select(*KEY, "n")
+        pending = (more if pending is None else pending.select(*KEY, "n").unionByName(more)).groupBy(*KEY).agg(F.sum("n").alias("n"))
+        last = F.last_day(F.lit(period)) if period else _day(NEVER)
+        there = index.where((F.col("begins") <= last) & (F.col("ends") > last)).select(*KEY, F.lit(True).alias("there")).distinct()
+        pending = pending.join(there, KEY, "left").select(*KEY, "n", F.isnull("there").alias("waiting"))
+        state.commit(step, replace={"parents": index, "pending": pending}, append={"found": orphans, "snapshots": self._snapshot(period, new_references, orphans, pending)})
+
+    def _unmet(self, rows: DataFrame, index: DataFrame) -> DataFrame:
+        """The references for which no parent is in force on any day of their period."""
+        judged = rows.where(F.col("period").isNotNull() | F.col("ref_column").isin(list(self.timeless)))
+        spans = index.select(*[F.col(c).alias(f"__{c}") for c in index.columns])
+        always = (F.col("__begins") == _day(EVER)) & (F.col("__ends") == _day(NEVER))
+        within = (F.col("__begins") <= F.last_day("period")) & (F.col("__ends") > F.col("period"))
+        same = (F.col("ref_column") == F.col("__ref_column")) & (F.col("key") == F.col("__key"))
+        return judged.join(spans, same & (always | F.coalesce(within, F.lit(False))), "left_anti")
+
+    @staticmethod
+    def _snapshot(period: date | None, new_references: DataFrame, orphans: DataFrame, pending: DataFrame) -> DataFrame:
+        zero = F.lit(0).cast("bigint")
+        entry = lambda df, **figures: df.select("ref_column", *[figures.get(c, zero).alias(c) for c in ("references", "orphans", "orphan_keys", "waiting", "here")])
+        one = F.lit(1).cast("bigint")
+        rows = entry(new_references, references=F.col("n"), here=one).unionByName(entry(orphans, orphans=F.col("n"), orphan_keys=one))
+        if period:  # references without a period wait for no day
+            rows = rows.unionByName(entry(pending.where("waiting"), waiting=F.col("n")))
+        counted = rows.groupBy("ref_column").agg(*[F.sum(c).alias(c) for c in ("references", "orphans", "orphan_keys", "waiting", "here")]).where("here > 0")
+        return counted.select("ref_column", F.lit(period).cast("date").alias("period"), "references", "orphans", "orphan_keys", "waiting")
+
+    def replay(self, all_references: DataFrame, spans: DataFrame) -> None:
+        """Advance period by period through a history: each increment has its references and the spans that begin or end in it.
+
+        The references without a period come last. There are as many increments as months, whatever their size.
+        """
+        counted, spans = checkpoint(all_references), checkpoint(spans)
+        periods = [r["period"] for r in counted.where("period IS NOT NULL").select("period").distinct().orderBy("period").collect()]
+        nothing = spans.where("false")
+        before = _day(EVER)
+        for step, period in enumerate(periods):
+            last = F.last_day(F.lit(period))
+            arrived = spans.where(F.col("begins") <= last) if step == 0 else spans.where((F.col("begins") > before) & (F.col("begins") <= last))
+            deleted = spans.where((F.col("ends") > before) & (F.col("ends") <= last) & (F.col("ends") != _day(NEVER)))
+            self.advance(step, period, counted.where(F.col("period") == F.lit(period)), arrived, deleted)
+            before = last
+        without = counted.where("period IS NULL")
+        if not periods or not without.isEmpty():
+            self.advance(len(periods), None, without, nothing if periods else spans, nothing)
+
+
+def orphan_rows(facts: DataFrame, found: DataFrame, columns: Sequence[str], month: str, *, broadcast_keys: int = 200_000) -> DataFrame:
+    """The fact rows behind the orphans found, one per orphan reference: ``facts`` columns with ``ref_column``.
 
     The orphan keys are broadcast while there are at most ``broadcast_keys`` of them; beyond that the join
     shuffles, and adaptive execution splits the partitions of hot keys.
     """
-    keys = checkpoint(judged(state).where("orphan").select(F.col("ref_column").alias("__c"), F.col("key").alias("__k"), F.col("period").alias("__p")))
+    keys = found.select(F.col("ref_column").alias("__c"), F.col("key").alias("__k"), F.col("period").alias("__p"))
     if keys.count() <= broadcast_keys:
         keys = F.broadcast(keys)
     kept = [c for c in facts.columns if c != "ref_column"]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tripmart import rules
 from tripmart.functions.columns import feed_of, licence, month_text
 from tripmart.operators import drift, heavy_keys, kslack, orphans, profile
+from tripmart.operators.orphans import OrphanState
 from tripmart.session import checkpoint, checkpoint_dir
 from tripmart.sources.tables import read
 from tripmart.streaming.slack import SlackStream
@@ -138,19 +139,23 @@ P3_REVISIONS = _P3 + """,
 REFERENCES = ["pickup_zone_key", "date_key", "company_key"]
 
 
-def orphan_state(spark: SparkSession, folder: str) -> DataFrame:
+def orphan_state(spark: SparkSession, folder: str) -> OrphanState:
+    """The state after all months of the facts, with the parents that came and went in each."""
     lives = orphans.parents(read(spark, folder, "dim_zone"), "pickup_zone_key", "zone_key", "first_loaded", "removed_on")
     lives = lives.unionByName(orphans.parents(read(spark, folder, "dim_company"), "company_key", "company_key", "first_loaded", "removed_on"))
     lives = lives.unionByName(orphans.parents(read(spark, folder, "dim_date"), "date_key", "date_key"))
-    return orphans.advance(None, orphans.references(read(spark, folder, "fct_trips"), REFERENCES, "data_month"), lives)
+    state = OrphanState(spark, f"{checkpoint_dir(spark)}/orphans/{uuid.uuid4().hex}", ("date_key",))
+    state.replay(orphans.references(read(spark, folder, "fct_trips"), REFERENCES, "data_month"), lives)
+    return state
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    return orphans.orphan_rows(read(spark, folder, "fct_trips").select("trip_key", *REFERENCES, "data_month"), orphan_state(spark, folder), REFERENCES, "data_month").select("trip_key", "ref_column")
+    found = orphan_state(spark, folder).read("found")
+    return orphans.orphan_rows(read(spark, folder, "fct_trips").select("trip_key", *REFERENCES, "data_month"), found, REFERENCES, "data_month").select("trip_key", "ref_column")
 
 
 def p4_report(spark: SparkSession, folder: str) -> DataFrame:
-    return orphans.snapshots(orphan_state(spark, folder))
+    return orphan_state(spark, folder).read("snapshots")
 
 
 P4_FOUND = """
@@ -176,7 +181,8 @@ P4_REPORT = """
       SELECT 'pickup_zone_key' AS ref_column, CAST(zone_key AS BIGINT) AS k, first_loaded AS b, coalesce(removed_on, DATE '9999-12-31') AS e FROM dim_zone
       UNION ALL SELECT 'company_key', company_key, first_loaded, coalesce(removed_on, DATE '9999-12-31') FROM dim_company
       UNION ALL SELECT 'date_key', CAST(date_key AS BIGINT), DATE '0001-01-01', DATE '9999-12-31' FROM dim_date),
-    judged AS (SELECT *, NOT EXISTS (SELECT 1 FROM lives l WHERE l.ref_column = c.ref_column AND l.k = c.k AND l.b <= last_day(c.period) AND l.e > c.period) AS orphan FROM counted c),
+    judged AS (SELECT *, (period IS NOT NULL OR ref_column = 'date_key') AND NOT EXISTS (SELECT 1 FROM lives l WHERE l.ref_column = c.ref_column AND l.k = c.k
+      AND (l.b = DATE '0001-01-01' AND l.e = DATE '9999-12-31' OR l.b <= last_day(c.period) AND l.e > c.period)) AS orphan FROM counted c),
     times AS (SELECT DISTINCT period AS at FROM counted),
     found AS (SELECT ref_column, period, sum(n) AS r, sum(CASE WHEN orphan THEN n ELSE 0 END) AS o, count(*) FILTER (WHERE orphan) AS ok FROM judged GROUP BY ALL),
     waits AS (
