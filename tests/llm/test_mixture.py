@@ -36,6 +36,27 @@ def test_sainte_lague_of_many_seats_is_quick():
     assert sum(got) == 10**10 and got[1] == 10**8 and abs(got[0] / got[2] - 2.5) < 1e-6
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 40), st.integers(1, 6)), min_size=1, max_size=6, unique_by=lambda x: x[0]), st.integers(1, 3), st.data())
+def test_equal_parties_are_apportioned_together(parts, repeats, data):
+    parts = sorted(parts, reverse=True)
+    weights, caps, counts = [float(w) for w, _ in parts], [w * repeats for w, _ in parts], [c for _, c in parts]
+    seats = data.draw(st.integers(0, sum(c * n for c, n in zip(caps, counts))))
+    got, more = M.apportion(weights, caps, counts, seats)
+    one_by_one = slow([w for w, c in zip(weights, counts) for _ in range(c)], [w for w, c in zip(caps, counts) for _ in range(c)], seats)
+    together = [g + (k < m) for g, m, c in zip(got, more, counts) for k in range(c)]
+    assert together == one_by_one and sum(together) == seats
+
+
+def test_seats_settled_by_quotients_stay_few(monkeypatch):
+    pops, own = [], heapq.heappop
+    monkeypatch.setattr(M.heapq, "heappop", lambda q: pops.append(1) or own(q))
+    rng = random.Random(2)
+    weights = [float(rng.randrange(1, 9000)) for _ in range(20_000)]
+    got = M.sainte_lague(weights, [10**9] * len(weights), 10**8)
+    assert sum(got) == 10**8 and len(pops) <= len(weights)
+
+
 def sized(spark, rows):
     return spark.createDataFrame(rows, "doc_id bigint, source string, n_tokens bigint, block int, shard string")
 

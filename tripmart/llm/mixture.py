@@ -5,7 +5,8 @@
    a seeded hash, into blocks of ``block_tokens`` tokens.
 3. The mixture's blocks go to the sources by highest quotients share / (2 * seats + 1); a source gets at most its
    blocks times ``max_repeats``, what it can't take goes on to the others. The seats of a source go to its
-   shards by the same rule, so every shard has an integer quota.
+   shards by the same rule, so every shard has an integer quota; shards with as many blocks are equal, so what is
+   worked out in one place is a row for each number of blocks a shard has (some thousand), however many shards there are.
 4. A shard takes its blocks in seeded order, all of them once before any of them twice.
 
 Documents without text, source or target source are not in the mixture; their tokens still count in the size of
@@ -19,7 +20,7 @@ from __future__ import annotations
 import base64
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.llm.text import spread
+from tripmart.session import checkpoint
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: the pre-tokenizer pattern that belongs to the vocabulary.
@@ -76,38 +78,65 @@ def unreachable(sizes: DataFrame, wanted: DataFrame) -> DataFrame:
     return joined.where(F.col("tokens") * F.col("max_repeats") < F.col("target_share") * total)
 
 
-def sainte_lague(weights: list[float], caps: list[int], seats: int) -> list[int]:
-    """Seats by highest quotients weight / (2 s + 1), at most ``caps`` each; ties go to the first.
-
-    A divisor gives nearly all seats at once, so the work doesn't grow with their number; the quotients settle
-    the rest. Seats that no source may take stay empty.
-    """
-    n, got = len(weights), [0] * len(weights)
-    seats = min(seats, sum(c for w, c in zip(weights, caps) if w > 0))
-    open_ = [i for i in range(n) if weights[i] > 0 and caps[i] > 0]
-    # start a little low: every source a few seats under its rounded share of what the capped ones leave
-    left, active = seats, list(open_)
+def _rounded(weights: Sequence[float], caps: Sequence[int], counts: Sequence[int], seats: int) -> list[int]:
+    """Seats of one divisor, rounded to the nearest, near ``seats`` in all: each party at its cap or at its share of what the others leave."""
+    left, active = seats, [i for i, w in enumerate(weights) if w > 0 and caps[i] > 0]
+    got = [0] * len(weights)
     while active:
-        total = sum(weights[i] for i in active)
-        full = [i for i in active if left * weights[i] / total >= caps[i] + n]
+        total = sum(weights[i] * counts[i] for i in active)
+        full = [i for i in active if left * weights[i] / total >= caps[i]]
         if not full:
             for i in active:
-                got[i] = max(0, min(caps[i], math.floor(left * weights[i] / total) - n - 1))
+                got[i] = min(caps[i], math.floor(left * weights[i] / total + 0.5))
             break
         for i in full:
             got[i] = caps[i]
-            left -= caps[i]
-        active = [i for i in active if i not in full]
-    queue = [(-weights[i] / (2 * got[i] + 1), i) for i in open_ if got[i] < caps[i]]
-    heapq.heapify(queue)
-    for _ in range(seats - sum(got)):
-        _, i = heapq.heappop(queue)
-        got[i] += 1
-        if got[i] < caps[i]:
-            heapq.heappush(queue, (-weights[i] / (2 * got[i] + 1), i))
+            left -= caps[i] * counts[i]
+        active = [i for i in active if i not in set(full)]
     return got
 
 
+def apportion(weights: Sequence[float], caps: Sequence[int], counts: Sequence[int], seats: int) -> tuple[list[int], list[int]]:
+    """Seats by highest quotients weight / (2 s + 1) where each entry stands for ``counts`` equal parties.
+
+    Gives the seats of each party of an entry, and how many of its parties, the first, get one more. The seats are
+    rounded at once from one divisor; what is over or missing then, at most one an entry, is settled by the quotients.
+    """
+    got, more = _rounded(weights, caps, counts, seats), [0] * len(weights)
+    over = sum(g * c for g, c in zip(got, counts)) - seats
+    if over > 0:  # the lowest quotients leave first, of equal ones the last
+        queue = [(w / (2 * g - 1), -i) for i, (w, g) in enumerate(zip(weights, got)) if g > 0]
+        heapq.heapify(queue)
+        while over > 0:
+            _, i = heapq.heappop(queue)
+            i, gone = -i, min(over, counts[-i])
+            got[i] -= 1
+            over -= gone
+            more[i] = counts[i] - gone
+            if over and got[i] > 0:
+                heapq.heappush(queue, (weights[i] / (2 * got[i] - 1), -i))
+    elif over < 0:
+        queue = [(-w / (2 * g + 1), i) for i, (w, g) in enumerate(zip(weights, got)) if w > 0 and g < caps[i]]
+        heapq.heapify(queue)
+        while over < 0 and queue:
+            _, i = heapq.heappop(queue)
+            if -over < counts[i]:
+                more[i], over = -over, 0
+                break
+            got[i] += 1
+            over += counts[i]
+            if got[i] < caps[i]:
+                heapq.heappush(queue, (-weights[i] / (2 * got[i] + 1), i))
+    return got, more
+
+
+def sainte_lague(weights: Sequence[float], caps: Sequence[int], seats: int) -> list[int]:
+    """Seats by highest quotients weight / (2 s + 1), at most ``caps`` each; ties go to the first. Seats that no source may take stay empty."""
+    seats = min(seats, sum(c for w, c in zip(weights, caps) if w > 0))
+    got, more = apportion(weights, caps, [1] * len(weights), seats)
+    return [g + m for g, m in zip(got, more)]
+
+
 def mixture(sized: DataFrame, wanted: DataFrame, *, doc_id: str = "doc_id", total_tokens: int | None = None, block_tokens: int = 512, shard_tokens: int = 4_000_000, seed: int = 11) -> DataFrame:
     """``doc_id, source, n_tokens, repeats``: the documents taken. ``sized`` should be stored: it is read twice.
 
@@ -120,7 +149,7 @@ def mixture(sized: DataFrame, wanted: DataFrame, *, doc_id: str = "doc_id", tota
     rows = sized.where(F.col("n_tokens").isNotNull()).join(shards, "source").withColumns({"place": place, "shard": F.pmod(F.xxhash64(F.col(doc_id), F.lit(seed + 1)), F.col("shards")).cast("int")})
     order = Window.partitionBy("source", "shard").orderBy("place", doc_id).rowsBetween(Window.unboundedPreceding, 0)
     blocked = rows.withColumn("block", F.floor((F.sum("n_tokens").over(order) - F.col("n_tokens")) / block_tokens))
-    blocks = blocked.groupBy("source", "shard").agg((F.max("block") + 1).alias("blocks"))
+    blocks = checkpoint(blocked.groupBy("source", "shard").agg((F.max("block") + 1).alias("blocks")))  # a row for each shard
     # the sources are those of the target table; their block counts and seats are a few rows
     known = {r["source"]: r for r in wanted.join(blocks.groupBy("source").agg(F.sum("blocks").alias("blocks")), "source", "left").collect()}
     total = total_tokens if total_tokens is not None else sizes.agg(F.sum("tokens")).first()[0] or 0
@@ -129,14 +158,19 @@ def mixture(sized: DataFrame, wanted: DataFrame, *, doc_id: str = "doc_id", tota
     seats = dict(zip(names, sainte_lague([known[n]["target_share"] for n in names], caps, round(total / block_tokens))))
     repeats = {n: known[n]["max_repeats"] for n in names}
 
-    def quotas(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("shard")
-        name = pdf["source"].iloc[0]
-        count = [int(b) for b in pdf["blocks"]]
-        quota = sainte_lague([float(b) for b in count], [b * repeats[name] for b in count], seats[name])
-        return pdf.assign(quota=quota)[["source", "shard", "blocks", "quota"]]
-
-    per_shard = blocks.groupBy("source").applyInPandas(quotas, "source string, shard int, blocks bigint, quota bigint")
+    # shards of a source with as many blocks are equal parties: what goes to the driver is one row for each number of blocks a shard has
+    alike = blocks.groupBy("source", "blocks").agg(F.count(F.lit(1)).alias("count"))
+    sent = {}
+    for r in alike.orderBy("source", F.desc("blocks")).toLocalIterator():
+        sent.setdefault(r["source"], []).append((r["blocks"], r["count"]))
+    rows = []
+    for name, parties in sent.items():
+        weights, counts = [float(b) for b, _ in parties], [c for _, c in parties]
+        got, more = apportion(weights, [b * repeats[name] for b, _ in parties], counts, seats[name])
+        rows += [(name, b, g, m) for (b, _), g, m in zip(parties, got, more)]
+    shares_of = sized.sparkSession.createDataFrame(rows, "source string, blocks bigint, each bigint, more bigint")
+    first = F.row_number().over(Window.partitionBy("source", "blocks").orderBy("shard")) <= F.col("more")
+    per_shard = blocks.join(shares_of, ["source", "blocks"]).withColumn("quota", F.col("each") + F.when((F.col("more") > 0) & first, 1).otherwise(0)).select("source", "shard", "blocks", "quota")
     taken = blocked.join(per_shard, ["source", "shard"])
     times = F.floor(F.col("quota") / F.col("blocks")) + F.when(F.col("block") < F.col("quota") % F.col("blocks"), 1).otherwise(0)
     return taken.select(doc_id, "source", "n_tokens", times.cast("int").alias("repeats")).where("repeats > 0")

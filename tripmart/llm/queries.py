@@ -93,6 +93,28 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.shares(checkpoint(mixture.mixture(sized, wanted)), mixture.source_sizes(sized), wanted)
 
 
+BLOCK_CHARACTERS = 2048
+
+
+def p8_character_quotas(spark: SparkSession, folder: str) -> DataFrame:
+    """The same apportionment of blocks of 2,048 characters, which needs no tokenizer: blocks wanted, blocks a source has, blocks given."""
+    documents = read(spark, folder, "documents").select(mixture.source_name(F.col("source")).alias("source"), F.length("text").alias("n_tokens"))
+    sizes, wanted = mixture.source_sizes(documents), mixture.targets(read(spark, folder, "mix_targets"))
+    total = sizes.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("t")).first()["t"]
+    known = wanted.join(sizes, "source", "left").orderBy("source").collect()  # the sources of the target table
+    blocks = [(r["tokens"] or 0) // BLOCK_CHARACTERS for r in known]
+    given = mixture.sainte_lague([r["target_share"] for r in known], [b * r["max_repeats"] for b, r in zip(blocks, known)], total // BLOCK_CHARACTERS)
+    return spark.createDataFrame([(r["source"], b, g) for r, b, g in zip(known, blocks, given)], "source string, blocks bigint, given bigint")
+
+
+P8_CHARACTER_QUOTAS = """
+    WITH d AS (SELECT replace(lower(regexp_replace(source, '^\\s+|\\s+$', '', 'g')), '_', '-') AS source, length(text) AS n FROM documents),
+    t AS (SELECT replace(lower(regexp_replace(source, '^\\s+|\\s+$', '', 'g')), '_', '-') AS source, sum(target_share) AS share, max(max_repeats) AS most FROM mix_targets WHERE source IS NOT NULL GROUP BY 1),
+    s AS (SELECT t.source, share, most, coalesce(sum(n), 0) // 2048 AS blocks FROM t LEFT JOIN d ON t.source = d.source GROUP BY ALL),
+    q AS (SELECT source, share / (2 * k + 1) AS quotient FROM s, LATERAL (SELECT unnest(range(0, CAST(blocks * most AS BIGINT))) AS k)),
+    g AS (SELECT source, count(*) AS given FROM (SELECT *, row_number() OVER (ORDER BY quotient DESC, source) AS r FROM q) WHERE r <= (SELECT sum(n) // 2048 FROM d) GROUP BY 1)
+    SELECT s.source, CAST(blocks AS BIGINT) AS blocks, coalesce(given, 0) AS given FROM s LEFT JOIN g ON s.source = g.source"""
+
 # 9: template residue and error-page text ------------------------------------------------------------------------
 
 
@@ -112,9 +134,10 @@ def p9_kept(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "p5_percentiles": p5_percentiles, "p5_load_histograms": p5_load_histograms, "p5_bounds": p5_bounds, "p7_found": p7_found, "p7_leaks": p7_leaks,
-    "p8_found": p8_found, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p9_found": p9_found, "p9_windows": p9_windows, "p9_kept": p9_kept,
+    "p8_found": p8_found, "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p8_character_quotas": p8_character_quotas, "p9_found": p9_found, "p9_windows": p9_windows, "p9_kept": p9_kept,
 }
 SQL = {
+    "p8_character_quotas": P8_CHARACTER_QUOTAS,
     "p5_percentiles": P5_PERCENTILES,
     "p5_bounds": f"SELECT data_month, licence, zone, field, basis_points, value, group_rows AS merged_rows, true AS held FROM ({P5_PERCENTILES})",
 }
