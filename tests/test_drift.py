@@ -3,7 +3,8 @@ from datetime import date
 
 import pytest
 
-from tripmart.functions.names import similarity
+from tripmart import contract
+from tripmart.functions.names import similarity, weights
 from tripmart.operators import drift
 
 DDL = "record_id bigint, source_file string, data_month date, line_no int, payload string, record string, r int"
@@ -34,7 +35,7 @@ def changes(spark, files):
 def test_every_kind_of_change(spark):
     files = {
         ("r1", 1): [base(i) for i in range(4)],
-        ("r1", 2): [base(i, tips="-", gratuity=0.5, extra="web") for i in range(4)],
+        ("r1", 2): [base(i, tips="-", tip_amount=0.5, extra="web") for i in range(4)],
         ("r1", 4): [base(i, Trip_Miles=str(i + 1.5), trip_miles="-", extra="web") for i in range(4)],
         ("r1", 5): [base(i, PULocationID="-") for i in range(4)],
         ("r2", 1): [base(i) for i in range(4)],
@@ -47,7 +48,7 @@ def test_every_kind_of_change(spark):
 
 
 def test_single_records_broken_lines_and_nulls_change_nothing(spark):
-    odd = [base(9, tips="-", gratuity=1, _tmp=1), "{broken", "[1, 2]", "3", "", None, base(1, tips=None, trip_miles="2.5")]
+    odd = [base(9, tips="-", tip_amount=1, _tmp=1), "{broken", "[1, 2]", "3", "", None, base(1, tips=None, trip_miles="2.5")]
     files = {("r1", 1): [base(i) for i in range(4)], ("r1", 2): [base(i) for i in range(8)] + odd}
     assert changes(spark, files)[2] == []
     bad = {r["source_file"]: (r["lines"], r["unreadable_lines"]) for r in drift.unreadable(raw(spark, files)).collect()}
@@ -66,12 +67,13 @@ def test_a_lookalike_beside_its_field_is_no_rename(spark):
 
 
 def test_table_in_the_contract(spark):
-    records = [base(0), base(1, tips="-", gratuity="$1.50"), base(2, shared_request_flag=True, pickup_datetime=1735689600), base(3, trip_miles="far", PULocationID="12"), "{bad", {"other": 1}]
-    data = raw(spark, {("r1", 1): records + [base(0)], ("r1", 2): [base(i, tips="-", gratuity=0.5) for i in range(3)], ("r1", 3): [base(i, tips=50) for i in range(3)]})
+    records = [base(0), base(1, tips="-", tip_amount="$1.50"), base(2, shared_request_flag=True, pickup_datetime=1735689600), base(3, trip_miles="far", PULocationID="12"), "{bad", {"other": 1}]
+    data = raw(spark, {("r1", 1): records + [base(0)], ("r1", 2): [base(i, tips="-", tip_amount=0.5) for i in range(3)], ("r1", 3): [base(i, tips=50) for i in range(3)]})
     h = drift.headers(data)
     t = drift.consistent_table(data, h, drift.aliases(h, FIELDS), CONTRACT)
     rows = {r["record_id"]: r for r in t.collect()}
-    assert t.columns[4:] == FIELDS and len(rows) == 12
+    assert t.columns[4:] == [*FIELDS, "other_fields"] and len(rows) == 12
+    assert rows[1]["other_fields"] is None and rows[6]["other_fields"] == '{"other":"1"}'
     assert rows[2]["tips"] == 1.5 and rows[3]["shared_request_flag"] == "Y" and str(rows[3]["pickup_datetime"]) == "2025-01-01 00:00:00"
     assert rows[4]["trip_miles"] is None and rows[4]["PULocationID"] == 12 and rows[6]["hvfhs_license_num"] is None and rows[8]["tips"] == 0.5
     assert rows[11]["tips"] == 0.5  # fifty hundredths
@@ -88,13 +90,42 @@ def test_empty_table(spark):
     assert drift.consistent_table(raw(spark, {}), h, a, CONTRACT).count() == 0
 
 
-@pytest.mark.parametrize("key,field,alike", [("PUlocationID", "PULocationID", True), ("pickup_zone_id", "PULocationID", True), ("black_car_fund", "bcf", True), ("gratuity", "tips", True), ("dropped_off_at", "dropoff_datetime", True), ("vehicle_class", "hvfhs_license_num", False), ("est_wait_minutes", "trip_time", False), ("cbd_fee", "airport_fee", False)])
-def test_names(key, field, alike):
-    assert (similarity(key, field) >= 0.5) == alike
+TRIP = [f.name for f in contract.TRIP]
+
+
+@pytest.mark.parametrize("key,field", [("PUlocationID", "PULocationID"), ("pu_location_id", "PULocationID"), ("black_car_fund", "bcf"), ("drop_off_datetime", "dropoff_datetime"), ("dropped_off_at", "dropoff_datetime"), ("tip_amount", "tips"), ("orig_base_num", "originating_base_num"), ("congestion_surchg", "congestion_surcharge"), ("requested_at", "request_datetime")])
+def test_the_field_a_name_resembles_most(key, field):
+    telling = weights(TRIP)
+    assert max(TRIP, key=lambda f: similarity(key, f, telling)) == field
+
+
+def test_a_name_without_a_common_word_needs_many_files(spark):
+    renamed = [base(i, tips="-", gratuity=0.4 + i / 10) for i in range(3)]
+    few = {("r1", 1): [base(i) for i in range(3)], ("r1", 2): renamed}
+    assert [x[1:] for x in changes(spark, few)[2]] == [("gratuity", "added"), ("tips", "removed")]
+    many = {(f"r{k}", m): [base(i) for i in range(3)] for k in range(60) for m in (1, 2)} | {(f"r{k}", 3): renamed for k in range(8)}
+    assert {x[1:] for x in changes(spark, many)[2]} == {("tips", "renamed")}
+
+
+def test_schemas_of_variants_are_read(spark):
+    rows = ['{"a": 1, "b": null, "c": 1.25, "d": "x", "e": true, "f": {"g": [1, "2"], "h, i: j": 1}, "k, l: m<": 2, "n`o": "p", "q": [], "": 3}', "{}", '{"a": 1e300}']
+    df = spark.createDataFrame([(r,) for r in rows], "j string").selectExpr("regexp_replace(schema_of_variant(try_parse_json(j)), 'DECIMAL[(][0-9,]*[)]', 'DECIMAL') AS s")
+    got = [dict(drift._fields(r["s"])) for r in df.collect()]
+    whole, decimal = "whole number", "decimal number"
+    assert got == [{"a": whole, "b": None, "c": decimal, "d": "string", "e": "boolean", "f": "nested", "k, l: m<": whole, "n`o": "string", "q": "nested", "": whole}, {}, {"a": decimal}]
+    n = spark.createDataFrame([(r, "f_1_r.json", date(2025, 1, 1)) for r in rows[:1] * 2], "payload string, source_file string, data_month date")
+    assert {r["key"]: r["type"] for r in drift.headers(n).collect()} == got[0]
+
+
+def test_differences_are_logged_in_order_with_the_promoted_type(spark):
+    h, a, _ = changes(spark, {("r1", 1): [base(0, tips=1)], ("r1", 2): [base(0, tips=1.5)], ("r1", 3): [base(0, tips="1.5")], ("r1", 4): [base(0, tips=2)]})
+    log = drift.differences(drift.resolved(h, a, FIELDS)).orderBy("sequence").collect()
+    assert [(r["sequence"], r["change_kind"], r["type_before"], r["type_now"], r["promoted_to"]) for r in log] == [
+        (2, "retyped", "whole number", "decimal number", "decimal number"), (3, "retyped", "decimal number", "string", "string"), (4, "retyped", "string", "whole number", "string")]
 
 
 def test_a_rename_in_another_form_is_recognised(spark):
-    other = [base(i, tips="-", gratuity=f"${i}.50", pickup_datetime="-", pickup_at=1735689600 + i, shared_request_flag="-", shared_requested=False) for i in range(3)]
+    other = [base(i, tips="-", tip_amount=f"${i}.50", pickup_datetime="-", pickup_at=1735689600 + i, shared_request_flag="-", shared_requested=False) for i in range(3)]
     files = {("r1", 1): [base(i) for i in range(3)], ("r1", 2): other, ("r2", 1): [base(i) for i in range(3)]}
     found = changes(spark, files)[2]
     assert [(f, k) for _, f, k in found] == [("pickup_datetime", "renamed"), ("pickup_datetime", "retyped"), ("shared_request_flag", "renamed"), ("shared_request_flag", "retyped"), ("tips", "renamed"), ("tips", "retyped")]

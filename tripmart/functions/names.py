@@ -1,20 +1,10 @@
-"""How alike two field names are: tokens, brought to one form, weighted by how much they tell."""
+"""How alike two field names are: their words, weighted by how much they tell."""
 
 from __future__ import annotations
 
 import re
-
-#: Spellings that mean the same token. Weak tokens tell what kind of value it is, not which.
-_SAME = {
-    "pickup": "pu pickup pickedup", "dropoff": "do dropoff droppedoff", "onscene": "onscene", "zone": "location loc zone area",
-    "license": "licence license lic", "number": "num number no nbr code", "time": "time datetime date at ts timestamp duration seconds secs sec",
-    "miles": "mile miles mi distance dist mileage", "tips": "tip tips gratuity gratuities", "tolls": "toll tolls", "fee": "fee fees surcharge surchg charge",
-    "pay": "pay payout payment earnings earning wage income", "request": "request requested requests req", "match": "match matched matches", "shared": "shared share pooled pool",
-    "dispatch": "dispatch dispatching dispatcher dispatched", "orig": "orig origin originating original", "wav": "wav wheelchair", "flag": "flag ind indicator yn",
-    "access": "access accessaride aar", "amount": "amount amt total sum value", "tax": "tax taxes vat", "arrive": "arrived arrival arrive",
-}
-_CANON = {word: token for token, words in _SAME.items() for word in words.split()}
-_WEAK = {"number": 0.4, "time": 0.4, "flag": 0.4, "amount": 0.3, "id": 0.2, "trip": 0.4, "passenger": 0.4, "fee": 0.5, "arrive": 0.4, "a": 0.0, "ride": 0.4, "of": 0.0, "the": 0.0}
+from collections import Counter
+from collections.abc import Iterable, Mapping
 
 
 def plain(name: str) -> str:
@@ -23,36 +13,57 @@ def plain(name: str) -> str:
 
 
 def tokens(name: str) -> list[str]:
+    """The different words of a name, cut at separators and where capitals begin."""
     spaced = re.sub(r"([a-z0-9])([A-Z])", r"\1 \2", re.sub(r"([A-Z]+)([A-Z][a-z])", r"\1 \2", name))
-    text = " ".join(re.findall(r"[0-9a-z]+", spaced.lower()))
-    text = re.sub(r"\b(pick|picked|drop|dropped) (up|off)\b", r"\1\2", text)
-    text = re.sub(r"\bdate time\b", "datetime", re.sub(r"\bon scene\b", "onscene", text))
-    return list(dict.fromkeys(_CANON.get(w, w) for w in text.split()))
+    return list(dict.fromkeys(re.findall(r"[0-9a-z]+", spaced.lower())))
+
+
+def weights(fields: Iterable[str]) -> dict[str, float]:
+    """A word that stands in several of the fields tells the less which of them is meant."""
+    return {t: 1 / n for t, n in Counter(t for f in fields for t in tokens(f)).items()}
 
 
 def _alike(a: str, b: str) -> bool:
+    """The same word, one the beginning of the other, one with letters put in, or one without the other's vowels."""
     if a == b:
         return True
     short, long = sorted((a, b), key=len)
-    return len(short) >= 4 and (long.startswith(short) or long[0] == short[0] and re.sub("[aeiou]", "", long) == re.sub("[aeiou]", "", short))
+    stem = len(short) >= 4 and long.startswith(short[: max(4, len(short) - 2)]) and len(long) - len(short) <= 4
+    put_in = len(long) - len(short) <= 3 and any(long.startswith(short[:i]) and long.endswith(short[i:]) for i in range(4, len(short) - 1))
+    return len(short) >= 3 and long.startswith(short) or stem or put_in or len(short) >= 4 and long[0] == short[0] and re.sub("[aeiou]", "", long) == re.sub("[aeiou]", "", short)
+
+
+def _joined(x: list[str], y: list[str]) -> list[str]:
+    """``x`` with neighbours that are one word of ``y`` put together."""
+    out, i = [], 0
+    while i < len(x):
+        two = "".join(x[i : i + 2])
+        if i + 1 < len(x) and any(_alike(two, t) for t in y if len(t) > len(x[i]) + 1):
+            out.append(two)
+            i += 2
+        else:
+            out.append(x[i])
+            i += 1
+    return out
 
 
-def similarity(a: str, b: str) -> float:
-    """1 for names equal but for case and separators or where one is the initials of the other, else weighted Dice of the tokens."""
+def similarity(a: str, b: str, telling: Mapping[str, float] | None = None) -> float:
+    """1 for names equal but for case and separators, 0.95 where one is the initials of the other, else weighted Dice of the words."""
     if plain(a) == plain(b):
         return 1.0
     x, y = tokens(a), tokens(b)
-    words = lambda n: re.findall(r"[0-9a-z]+", re.sub(r"([a-z0-9])([A-Z])", r"\1 \2", n).lower())
-    for one, other in ((a, b), (b, a)):
-        if len(words(one)) >= 3 and "".join(w[0] for w in words(one)) == plain(other):
+    for one, other in ((x, b), (y, a)):
+        if len(one) >= 3 and "".join(w[0] for w in one) == plain(other):
             return 0.95
-    weight = lambda t: _WEAK.get(t, 1.0)
-    left, shared = list(y), 0.0
+    x, y = _joined(x, y), _joined(y, x)
+    weight = lambda t: (telling or {}).get(t, 0.5)
+    left, shared, whole = list(y), 0.0, sum(map(weight, x)) + sum(map(weight, y))
     for t in x:
         for u in left:
             if _alike(t, u):
-                shared += weight(t) + weight(u)
+                # a word means what the field's word it resembles means
+                shared += 2 * max(weight(t), weight(u))
+                whole += 2 * max(weight(t), weight(u)) - weight(t) - weight(u)
                 left.remove(u)
                 break
-    whole = sum(map(weight, x)) + sum(map(weight, y))
     return min(0.99, shared / whole) if whole else 0.0

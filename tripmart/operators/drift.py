@@ -4,11 +4,14 @@
    its values, aggregated in parallel per (file, key). A key belongs to a file when at least half of its readable
    records carry it, null or not; its type is that of most of its non-null values.
 2. Types are folded through the lattice boolean, whole < decimal < string: of kinds equally frequent the
-   wider wins, and ``union_schema`` gives each field the least type that holds all its files' types.
+   wider wins; each file's schema is folded into that of the files before it of its feed, in order, and each
+   difference is logged with the type the field had, has, and is promoted to (``differences``). ``union_schema`` is
+   the fold over all files.
 3. Keys outside the contract are recognised as renamed contract fields: by a name equal but for case and
-   separators, or by the name's tokens, the kind and size of values, and by never standing beside the field
-   they rename (the more files, the stronger). Nothing of this is fixed to a list of known renames.
-4. Each file is compared with the previous one of its feed; all records are cast to the contract.
+   separators, or by the name's words, the kind and size of values, and by never standing beside the field
+   they rename (the more files, the stronger). Nothing of this is fixed to a list of known renames: words weigh by
+   how few contract fields hold them. A name that shares no word with its field needs the evidence of many files.
+4. All records are cast to the contract; fields outside it are kept, as text, in one column.
 
 Unreadable payloads (null, broken, no JSON object) belong to no header and no table row; ``unreadable`` counts
 them per file. A key of another kind of value or a missing key in single records changes nothing in the header
@@ -21,12 +24,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.functions.columns import feed_of
-from tripmart.functions.names import plain, similarity
+from tripmart.functions.names import plain, similarity, weights
+from tripmart.session import checkpoint
 
 KINDS = ["boolean", "whole number", "decimal number", "string", "nested"]
 _HV, _B, _YN, _DT = r"(?i)^\s*HV-?[0-9]{4}\s*$", r"(?i)^\s*B[0-9]{5}\s*$", r"(?i)^\s*[YN]\s*$", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:"
@@ -43,40 +48,73 @@ def unreadable(raw: DataFrame, file: str = "source_file") -> DataFrame:
     return parsed(raw).groupBy(file).agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("record").isNull()).alias("unreadable_lines"))
 
 
-def _kind(value: Column) -> Column:
-    t = F.schema_of_variant(value)
-    return (
-        F.when(t == "VOID", F.lit(None)).when(t == "STRING", F.lit("string")).when(t == "BOOLEAN", F.lit("boolean")).when(t == "BIGINT", F.lit("whole number"))
-        .when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"), F.lit("decimal number")).otherwise(F.lit("nested"))
-    )
+_PARTS = regex.compile(r"(?:`((?:[^`]|``)*)`|([^`:,<>]+)): ")
+_KIND = {"STRING": "string", "BOOLEAN": "boolean", "BIGINT": "whole number", "DOUBLE": "decimal number", "FLOAT": "decimal number", "DECIMAL": "decimal number"}
+
+
+def _fields(schema: str) -> list[tuple[str, str | None]]:
+    """The keys of an object and the kinds of their values, from the schema of a variant; None for a null."""
+    out, at, end = [], len("OBJECT<"), len(schema) - 1
+    while at < end:
+        name = _PARTS.match(schema, at)
+        at = start = name.end()
+        depth = 0
+        while at < end and (depth or schema[at] != ","):
+            quoted = _PARTS.match(schema, at) if schema[at] == "`" else None
+            depth += (schema[at] in "<(") - (schema[at] in ">)")
+            at = quoted.end() if quoted else at + 1
+        kind = schema[start:at].partition("(")[0]
+        out.append((name[2] if name[1] is None else name[1].replace("``", "`"), None if kind == "VOID" else _KIND.get(kind, "nested")))
+        at += 2
+    return out
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("kind", T.StringType())])))
+def _fields_of(schemas: pd.Series) -> pd.Series:
+    return schemas.map(lambda s: [{"key": k, "kind": t} for k, t in _fields(s)])
+
+
+def _kinds(whole: DataFrame) -> DataFrame:
+    """``file, month, n, key, kind`` from counted schemas; those without nested values and odd keys are read by splitting."""
+    inner = F.expr("substring(schema, 8, length(schema) - 8)")
+    simple = ~F.coalesce(inner.contains("<") | inner.contains("`"), F.lit(True))
+    part = whole.where(simple).select("file", "month", "n", F.explode(F.split(inner, ", ")).alias("part")).where("part <> ''")
+    kind = F.substring_index("part", ": ", -1)
+    named = F.coalesce(*[F.when(kind == k, F.lit(v)) for k, v in _KIND.items()], F.when(kind != "VOID", F.lit("nested")))
+    split = part.select("file", "month", "n", F.expr("substring(part, 1, length(part) - length(substring_index(part, ': ', -1)) - 2)").alias("key"), named.alias("kind"))
+    return split.unionByName(whole.where(~simple).select("file", "month", "n", F.inline(_fields_of("schema"))))
 
 
 def headers(raw: DataFrame, file: str = "source_file", month: str = "data_month") -> DataFrame:
     """One row per (file, key) that belongs to the file: ``type``, shares, and what its values look like."""
-    records = parsed(raw).where(F.col("record").isNotNull() & F.col(file).isNotNull()).select(F.col(file).alias("file"), F.col(month).alias("month"), "record")
-    # each record gives one row more, under a null key, so records are counted in the same aggregation
-    pairs = F.concat(F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("variant").alias("value"))), F.map_entries(F.col("record").cast("map<string,variant>")))
-    values = records.select("file", "month", F.inline(pairs)).withColumn("kind", F.when(F.col("value").isNotNull(), _kind(F.col("value"))))
-    text = F.when(F.col("kind").isNotNull() & (F.col("kind") != "nested"), F.try_variant_get("value", "$", "string"))
-    values = values.withColumn("text", text).withColumn("number", F.regexp_replace("text", "[$ ,]", "").try_cast("double"))
-    looks = {"hv": F.col("text").rlike(_HV), "b": F.col("text").rlike(_B), "yn": F.col("text").rlike(_YN), "dt": F.col("text").rlike(_DT), "num": F.col("number").isNotNull(), "bool": F.lower("text").isin("true", "false")}
-    grouped = values.groupBy("file", "key").agg(
-        F.min("month").alias("month"), F.count(F.lit(1)).alias("present"), F.count("kind").alias("filled"),
-        *[F.count_if(F.col("kind") == k).alias(f"k{i}") for i, k in enumerate(KINDS)], *[F.count_if(c).alias(f"c_{n}") for n, c in looks.items()],
-        F.sum(F.abs("number")).alias("size"),
-    )
+    records = parsed(raw).where(F.col("record").isNotNull() & F.col(file).isNotNull())
+    # the kinds of all values of a record are in its schema; records of a file have few different ones
+    schema = F.regexp_replace(F.schema_of_variant("record"), r"DECIMAL\([0-9,]*\)", "DECIMAL")
+    own = F.array(F.struct(F.lit(None).cast("string").alias("key"), schema.alias("value")))
+    pairs = records.select(F.col(file).alias("file"), F.col(month).alias("month"), F.inline(F.concat(own, F.map_entries(F.col("record").cast("map<string,string>")))))
+    text, key = F.col("value"), F.col("key")
+    start = F.upper(F.ltrim(text))
+    dated = F.substring(text, 5, 1) == "-"
+    # what can't be a number isn't read as one: each failure costs an exception
+    number = F.when(F.instr(F.lit("0123456789.-+$"), F.substring(start, 1, 1)).between(1, 14) & ~dated & (F.length(text) < 40), F.translate(text, "$ ,", "").try_cast("double"))
+    looks = {
+        "hv": start.startswith("HV") & text.rlike(_HV), "b": start.startswith("B") & text.rlike(_B), "yn": (F.length(text) < 9) & text.rlike(_YN),
+        "dt": dated & (F.length(text) > 13) & text.rlike(_DT), "num": number.isNotNull(), "bool": F.lower(text).isin("true", "false"),
+    }
+    has = key.isNotNull()
+    grouped = pairs.groupBy("file", "key", F.when(~has, text).alias("schema")).agg(
+        F.min("month").alias("month"), F.count(F.lit(1)).alias("n"), *[F.count_if(has & c).alias(f"c_{n}") for n, c in looks.items()], F.sum(F.when(has, F.abs(number))).alias("size"))
+    grouped = checkpoint(grouped)  # a row for each key, and each schema of records, of a file
+    whole = grouped.where("key IS NULL")
+    kinds = _kinds(whole).groupBy("file", "key").agg(
+        F.min("month").alias("month"), F.sum("n").alias("present"), F.coalesce(F.sum(F.when(F.col("kind").isNotNull(), F.col("n"))), F.lit(0)).alias("filled"),
+        *[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).alias(f"k{i}") for i, k in enumerate(KINDS)])
+    records_of = whole.groupBy("file").agg(F.sum("n").alias("records"))
     most = F.array_max(F.array(*[F.struct(F.col(f"k{i}").alias("n"), F.lit(i).alias("i")) for i in range(len(KINDS))]))
     kind = F.when(F.col("filled") > 0, F.element_at(F.array(*map(F.lit, KINDS)), most["i"] + 1))
-    # a file's keys are as many as its records have, so its group in this window is small
-    records = F.max(F.when(F.col("key").isNull(), F.col("present"))).over(Window.partitionBy("file"))
-    own = grouped.withColumn("records", records).where(F.col("key").isNotNull() & (F.col("present") * 2 >= F.col("records")))
-    return own.select("file", "month", "key", kind.alias("type"), "present", "records", "filled", *[f"c_{n}" for n in looks], "size")
-
-
-@F.pandas_udf(T.DoubleType())
-def _name_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    memo: dict[tuple[str, str], float] = {}
-    return pd.Series([memo.get((x, y)) if (x, y) in memo else memo.setdefault((x, y), similarity(x, y)) for x, y in zip(a, b)], dtype="float64")
+    looked = grouped.where("key IS NOT NULL").drop("schema", "month", "n")
+    kept = kinds.join(records_of, "file").where(F.col("present") * 2 >= F.col("records")).join(looked, ["file", "key"])
+    return kept.select("file", "month", "key", kind.alias("type"), "present", "records", "filled", *[f"c_{n}" for n in looks], "size")
 
 
 @F.pandas_udf(T.StringType())
@@ -91,6 +129,17 @@ def _character(header: DataFrame, as_: str) -> DataFrame:
     return total.select(as_, f"{as_}_files", main.alias(f"{as_}_class"), F.try_divide(F.col("size"), F.col("c_num")).alias(f"{as_}_size"))
 
 
+def _name_similarity(fields: Sequence[str]):
+    telling = weights(fields)
+
+    @F.pandas_udf(T.DoubleType())
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        memo: dict[tuple[str, str], float] = {}
+        return pd.Series([memo[p] if p in memo else memo.setdefault(p, similarity(*p, telling)) for p in zip(a, b)], dtype="float64")
+
+    return alike
+
+
 def aliases(header: DataFrame, fields: Sequence[str], *, least_name: float = 0.5, least_evidence: float = 4.0, least_score: float = 0.75) -> DataFrame:
     """``key, field``: keys outside the contract that are contract fields under another name.
 
@@ -103,7 +152,7 @@ def aliases(header: DataFrame, fields: Sequence[str], *, least_name: float = 0.5
     unknown = header.where(~F.col("key").isin(list(fields))).select("file", "key").join(there, "file", "left")
     pairs = unknown.select("key", "there", F.explode(names).alias("field")).groupBy("key", "field").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.array_contains("there", F.col("field"))).alias("beside"))
     known = _character(header.where(F.col("key").isin(list(fields))), "field")
-    pairs = pairs.join(_character(header, "key"), "key").join(known, "field", "left").withColumn("name", _name_similarity("key", "field"))
+    pairs = pairs.join(_character(header, "key"), "key").join(known, "field", "left").withColumn("name", _name_similarity(fields)("key", "field"))
     absent = F.greatest(F.lit(0.02), 1 - F.coalesce("field_files", F.lit(0)) / F.lit(max(files, 1)))
     evidence = -F.col("n") * F.log10(absent)
     # a flag may be written as true and false, a time as seconds or milliseconds since 1970
@@ -113,7 +162,7 @@ def aliases(header: DataFrame, fields: Sequence[str], *, least_name: float = 0.5
     fits = F.coalesce(F.greatest(F.lit(0.0), 1 - ratio), F.lit(0.5))
     score = F.col("name") + F.least(F.lit(1.0), evidence / (2 * least_evidence)) * 0.5 + fits * 0.3
     seldom = F.col("beside") * 50 <= F.col("n")
-    accepted = (F.col("name") == 1.0) | (same_class & seldom & ((F.col("name") >= least_name) | ((evidence >= least_evidence) & (F.col("name") > 0) & (fits >= 0.5))) & (score >= least_score))
+    accepted = (F.col("name") == 1.0) | (same_class & seldom & ((F.col("name") >= least_name) | ((evidence >= least_evidence) & (F.col("name") > 0) & (fits >= 0.5))) & (score >= least_score)) | (same_class & F.col("key_class").isNotNull() & seldom & (evidence >= 2 * least_evidence) & (fits >= 0.5))
     best = pairs.where(accepted).groupBy("key").agg(F.max_by("field", F.struct(score.alias("s"), F.col("field"))).alias("field"))
     return best
 
@@ -129,27 +178,40 @@ def resolved(header: DataFrame, alias: DataFrame, fields: Sequence[str]) -> Data
     return named.withColumn("place", F.row_number().over(order)).where("place = 1").drop("place", "contract")
 
 
-def changes(fields: DataFrame) -> DataFrame:
-    """``source_file, field_name, change_kind`` of every file against the previous one of its feed, in order."""
-    per_file = fields.groupBy("file").agg(F.min("month").alias("month"), F.map_from_entries(F.collect_list(F.struct("field", F.struct("key", "type", "field_name")))).alias("now"))
-    order = Window.partitionBy(feed_of(F.col("file"))).orderBy("month", "file")
-    both = per_file.withColumn("before", F.lag("now").over(order)).where(F.col("before").isNotNull())
-    each = both.select("file", F.explode(F.array_union(F.map_keys("now"), F.map_keys("before"))).alias("field"), "now", "before")
+def _promoted(kinds: Column) -> Column:
+    """The least type of the lattice that holds all of the kinds; null where there is none."""
+    rank = F.array_max(F.transform(kinds, lambda k: F.array_position(F.array(*map(F.lit, KINDS)), k)))
+    mixed = F.array_contains(kinds, "boolean") & (F.size(kinds) > 1)
+    return F.when(F.size(kinds) == 0, F.lit(None)).when(mixed, F.lit("string")).otherwise(F.element_at(F.array(*map(F.lit, KINDS)), rank.cast("int")))
+
+
+def differences(fields: DataFrame) -> DataFrame:
+    """The log: ``source_file, feed, sequence, field_name, change_kind, type_before, type_now, promoted_to`` of every file against the previous one of its feed."""
+    order = Window.partitionBy("feed", "field").orderBy("month", "file").rowsBetween(Window.unboundedPreceding, 0)
+    folded = fields.withColumn("feed", feed_of(F.col("file"))).withColumn("promoted", _promoted(F.collect_set("type").over(order)))
+    per_file = folded.groupBy("feed", "file").agg(F.min("month").alias("month"), F.map_from_entries(F.collect_list(F.struct("field", F.struct("key", "type", "field_name", "promoted")))).alias("now"))
+    place = Window.partitionBy("feed").orderBy("month", "file")
+    both = per_file.withColumns({"before": F.lag("now").over(place), "sequence": F.row_number().over(place)}).where(F.col("before").isNotNull())
+    each = both.select("file", "feed", "sequence", F.explode(F.array_union(F.map_keys("now"), F.map_keys("before"))).alias("field"), "now", "before")
     n, b = F.col("now")[F.col("field")], F.col("before")[F.col("field")]
     kinds = F.array(
         F.when(b.isNull(), F.lit("added")), F.when(n.isNull(), F.lit("removed")),
         F.when(n["key"] != b["key"], F.lit("renamed")), F.when(n["type"] != b["type"], F.lit("retyped")),
     )
-    return each.select(F.col("file").alias("source_file"), F.coalesce(n["field_name"], b["field_name"]).alias("field_name"), F.explode(F.array_compact(kinds)).alias("change_kind"))
+    return each.select(
+        F.col("file").alias("source_file"), "feed", "sequence", F.coalesce(n["field_name"], b["field_name"]).alias("field_name"), F.explode(F.array_compact(kinds)).alias("change_kind"),
+        b["type"].alias("type_before"), n["type"].alias("type_now"), F.coalesce(n["promoted"], b["promoted"]).alias("promoted_to"),
+    )
+
+
+def changes(fields: DataFrame) -> DataFrame:
+    return differences(fields).select("source_file", "field_name", "change_kind")
 
 
 def union_schema(fields: DataFrame) -> DataFrame:
     """Each field over all files: the least type of the lattice that holds its types, and the files it is in."""
-    rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("type"))
-    folded = fields.groupBy("field_name").agg(F.max(rank).alias("widest"), F.collect_set("type").alias("kinds"), F.countDistinct("file").alias("files"), F.min("month").alias("first_month"), F.max("month").alias("last_month"))
-    mixed = F.array_contains("kinds", "boolean") & (F.size("kinds") > 1)
-    promoted = F.when(mixed, F.lit("string")).otherwise(F.element_at(F.array(*map(F.lit, KINDS)), F.when(F.col("widest") > 0, F.col("widest").cast("int"))))
-    return folded.select("field_name", promoted.alias("type"), "files", "first_month", "last_month")
+    folded = fields.groupBy("field_name").agg(F.collect_set("type").alias("kinds"), F.countDistinct("file").alias("files"), F.min("month").alias("first_month"), F.max("month").alias("last_month"))
+    return folded.select("field_name", _promoted(F.col("kinds")).alias("type"), "files", "first_month", "last_month")
 
 
 def hundredths(header: DataFrame, alias: DataFrame, decimals: Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -163,6 +225,7 @@ def hundredths(header: DataFrame, alias: DataFrame, decimals: Sequence[str], fie
 def consistent_table(raw: DataFrame, header: DataFrame, alias: DataFrame, contract: Sequence[tuple[str, str]], keep: Sequence[str] = ("record_id", "source_file", "data_month", "line_no")) -> DataFrame:
     """Every readable record in the contract's columns and types; a value that can't be cast is null.
 
+    ``other_fields`` holds what stands outside the contract, as JSON of texts, null where there is nothing.
     Keys are translated record by record, so a record that doesn't follow its file is read as well. Values
     are brought to the contract's form: currency signs go, seconds or milliseconds since 1970 become times,
     true and false become Y and N, hundredths of a decimal are divided.
@@ -187,4 +250,6 @@ def consistent_table(raw: DataFrame, header: DataFrame, alias: DataFrame, contra
             return F.coalesce(F.timestamp_seconds(seconds).cast(kind), F.when(~text.rlike("^[0-9]+$"), text.try_cast(kind)))
         return F.when(F.lower(text) == "true", F.lit("Y")).when(F.lower(text) == "false", F.lit("N")).otherwise(text)
 
-    return rows.select(*keep, *[value(n, t).alias(n) for n, t in contract])
+    taken = F.concat(F.array(*map(F.lit, names)), F.flatten(F.map_values("other_keys")))
+    others = F.map_filter("r", lambda k, v: ~F.array_contains(taken, k))
+    return rows.select(*keep, *[value(n, t).alias(n) for n, t in contract], F.when(F.size(others) > 0, F.to_json(others)).alias("other_fields"))

@@ -69,6 +69,30 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return drift.changes(drift.resolved(header, alias, [n for n, _ in contract]))
 
 
+def p2_differences(spark: SparkSession, folder: str) -> DataFrame:
+    """The log of changes, in the order of the files, with types before and now and what the fold promotes them to."""
+    header, alias, contract = _headers(spark, folder)
+    return drift.differences(drift.resolved(header, alias, [n for n, _ in contract]))
+
+
+def p2_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """The keys of each file, the records that carry them and the type of most of their values."""
+    found = drift.headers(read(spark, folder, "raw_trip_records"))
+    return found.select(F.col("file").alias("source_file"), "key", "type", "present", "filled", "records")
+
+
+P2_HEADERS = """
+    WITH r AS (SELECT record_id, source_file, CAST(payload AS JSON) AS j FROM raw_trip_records WHERE json_type(TRY_CAST(payload AS JSON)) = 'OBJECT' AND source_file IS NOT NULL),
+    k AS (SELECT source_file, unnest(json_keys(j)) AS key, j FROM r),
+    t AS (SELECT source_file, key, json_type(json_extract(j, '$."' || key || '"')) AS t FROM k),
+    m AS (SELECT *, CASE WHEN t = 'NULL' THEN NULL WHEN t = 'BOOLEAN' THEN 1 WHEN t IN ('BIGINT', 'UBIGINT', 'HUGEINT') THEN 2 WHEN t = 'DOUBLE' THEN 3 WHEN t = 'VARCHAR' THEN 4 ELSE 5 END AS kind FROM t),
+    n AS (SELECT source_file, count(*) AS records FROM r GROUP BY 1),
+    c AS (SELECT source_file, key, count(*) AS present, count(kind) AS filled FROM m GROUP BY ALL),
+    b AS (SELECT source_file, key, arg_max(kind, (n, kind)) AS kind FROM (SELECT source_file, key, kind, count(*) AS n FROM m WHERE kind IS NOT NULL GROUP BY ALL) GROUP BY ALL)
+    SELECT c.source_file, c.key, CASE b.kind WHEN 1 THEN 'boolean' WHEN 2 THEN 'whole number' WHEN 3 THEN 'decimal number' WHEN 4 THEN 'string' WHEN 5 THEN 'nested' END AS type, present, filled, records
+    FROM c JOIN n ON c.source_file = n.source_file LEFT JOIN b ON c.source_file = b.source_file AND c.key = b.key WHERE present * 2 >= records"""
+
+
 def p2_table(spark: SparkSession, folder: str) -> DataFrame:
     header, alias, contract = _headers(spark, folder)
     return drift.consistent_table(read(spark, folder, "raw_trip_records"), header, alias, contract)
@@ -306,7 +330,7 @@ P6_FOUND = f"""
 
 QUERIES = {
     "p1_found": p1_found, "p1_key_counts": p1_key_counts, "p1_licence_zone_stats": p1_licence_zone_stats,
-    "p2_found": p2_found, "p2_table": p2_table, "p2_union_schema": p2_union_schema, "p2_aliases": p2_aliases, "p2_unreadable": p2_unreadable,
+    "p2_found": p2_found, "p2_differences": p2_differences, "p2_headers": p2_headers, "p2_table": p2_table, "p2_union_schema": p2_union_schema, "p2_aliases": p2_aliases, "p2_unreadable": p2_unreadable,
     "p3_found": p3_found, "p3_windows": p3_windows, "p3_revisions": p3_revisions,
     "p4_found": p4_found, "p4_report": p4_report,
     "p6_found": p6_found, "p6_profile": p6_profile, "p6_columns": p6_columns, "p6_feed_profile": p6_feed_profile, "p6_control_limits": p6_control_limits, "p6_control_limits_estimated": p6_control_limits_estimated, "p6_recorded_rules": p6_recorded_rules,
@@ -322,6 +346,7 @@ SQL = {
       min(trip_miles) AS least_miles, max(trip_miles) AS most_miles, round(CAST(sum(trip_time) AS DOUBLE) / count(trip_time), 3) AS mean_trip_seconds
     FROM trips GROUP BY 1, 2""",
     "p2_unreadable": """SELECT source_file, count(*) AS lines, count(*) - count(CASE WHEN json_type(TRY_CAST(payload AS JSON)) = 'OBJECT' THEN 1 END) AS unreadable_lines FROM raw_trip_records GROUP BY 1""",
+    "p2_headers": P2_HEADERS,
     "p3_found": P3_FOUND, "p3_windows": P3_WINDOWS, "p3_revisions": P3_REVISIONS,
     "p4_found": P4_FOUND, "p4_report": P4_REPORT,
     "p6_found": P6_FOUND, "p6_profile": P6_PROFILE, "p6_feed_profile": P6_FEED_PROFILE, "p6_control_limits": P6_CONTROL_LIMITS,
