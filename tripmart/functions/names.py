@@ -38,7 +38,7 @@ def _joined(x: list[str], y: list[str]) -> list[str]:
     out, i = [], 0
     while i < len(x):
         two = "".join(x[i : i + 2])
-        if i + 1 < len(x) and any(_alike(two, t) for t in y if len(t) > len(x[i]) + 1):
+        if i + 1 < len(x) and any(_alike(two, t) for t in y if t.endswith(x[i + 1])):
             out.append(two)
             i += 2
         else:
