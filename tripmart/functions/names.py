@@ -56,7 +56,7 @@ def similarity(a: str, b: str, telling: Mapping[str, float] | None = None) -> fl
         if len(one) >= 3 and "".join(w[0] for w in one) == plain(other):
             return 0.95
     x, y = _joined(x, y), _joined(y, x)
-    weight = lambda t: (telling or {}).get(t, 0.5)
+    weight = lambda t: (telling or {}).get(t, 0.3)
     left, shared, whole = list(y), 0.0, sum(map(weight, x)) + sum(map(weight, y))
     for t in x:
         for u in left:

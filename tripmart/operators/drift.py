@@ -24,14 +24,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.functions.columns import feed_of
 from tripmart.functions.names import plain, similarity, weights
-from tripmart.session import checkpoint
 
 KINDS = ["boolean", "whole number", "decimal number", "string", "nested"]
 _HV, _B, _YN, _DT = r"(?i)^\s*HV-?[0-9]{4}\s*$", r"(?i)^\s*B[0-9]{5}\s*$", r"(?i)^\s*[YN]\s*$", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:"
@@ -48,51 +46,31 @@ def unreadable(raw: DataFrame, file: str = "source_file") -> DataFrame:
     return parsed(raw).groupBy(file).agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("record").isNull()).alias("unreadable_lines"))
 
 
-_PARTS = regex.compile(r"(?:`((?:[^`]|``)*)`|([^`:,<>]+)): ")
-_KIND = {"STRING": "string", "BOOLEAN": "boolean", "BIGINT": "whole number", "DOUBLE": "decimal number", "FLOAT": "decimal number", "DECIMAL": "decimal number"}
+def _values(record: Column) -> Column:
+    """An array of (pair, form): the keys of a record with their values as text, and the form of each value.
 
-
-def _fields(schema: str) -> list[tuple[str, str | None]]:
-    """The keys of an object and the kinds of their values, from the schema of a variant; None for a null."""
-    out, at, end = [], len("OBJECT<"), len(schema) - 1
-    while at < end:
-        name = _PARTS.match(schema, at)
-        at = start = name.end()
-        depth = 0
-        while at < end and (depth or schema[at] != ","):
-            quoted = _PARTS.match(schema, at) if schema[at] == "`" else None
-            depth += (schema[at] in "<(") - (schema[at] in ">)")
-            at = quoted.end() if quoted else at + 1
-        kind = schema[start:at].partition("(")[0]
-        out.append((name[2] if name[1] is None else name[1].replace("``", "`"), None if kind == "VOID" else _KIND.get(kind, "nested")))
-        at += 2
-    return out
-
-
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("kind", T.StringType())])))
-def _fields_of(schemas: pd.Series) -> pd.Series:
-    return schemas.map(lambda s: [{"key": k, "kind": t} for k, t in _fields(s)])
-
-
-def _kinds(whole: DataFrame) -> DataFrame:
-    """``file, month, n, key, kind`` from counted schemas; those without nested values and odd keys are read by splitting."""
-    inner = F.expr("substring(schema, 8, length(schema) - 8)")
-    simple = ~F.coalesce(inner.contains("<") | inner.contains("`"), F.lit(True))
-    part = whole.where(simple).select("file", "month", "n", F.explode(F.split(inner, ", ")).alias("part")).where("part <> ''")
-    kind = F.substring_index("part", ": ", -1)
-    named = F.coalesce(*[F.when(kind == k, F.lit(v)) for k, v in _KIND.items()], F.when(kind != "VOID", F.lit("nested")))
-    split = part.select("file", "month", "n", F.expr("substring(part, 1, length(part) - length(substring_index(part, ': ', -1)) - 2)").alias("key"), named.alias("kind"))
-    return split.unionByName(whole.where(~simple).select("file", "month", "n", F.inline(_fields_of("schema"))))
+    The forms are those the schema of the record lists, in the order of the keys. Records with nested values or odd
+    keys, whose schema doesn't split at commas, are looked at value by value.
+    """
+    inner = F.substring(F.schema_of_variant(record), 8, 2**30)
+    plain_ = ~(inner.contains("<") | inner.contains("`"))
+    forms = F.split(F.regexp_replace(inner, ">$", ""), ", ")
+    pairs = F.map_entries(record.cast("map<string,string>"))
+    quick = F.arrays_zip(pairs.alias("pair"), forms.alias("form"))
+    slow = F.transform(F.map_entries(record.cast("map<string,variant>")), lambda e: F.struct(F.struct(e["key"].alias("key"), F.try_variant_get(e["value"], "$", "string").alias("value")).alias("pair"), F.coalesce(F.schema_of_variant(e["value"]), F.lit("VOID")).alias("form")))
+    return F.when(plain_ & (F.size(pairs) == F.size(forms)), quick).otherwise(slow)
 
 
 def headers(raw: DataFrame, file: str = "source_file", month: str = "data_month") -> DataFrame:
     """One row per (file, key) that belongs to the file: ``type``, shares, and what its values look like."""
     records = parsed(raw).where(F.col("record").isNotNull() & F.col(file).isNotNull())
-    # the kinds of all values of a record are in its schema; records of a file have few different ones
-    schema = F.regexp_replace(F.schema_of_variant("record"), r"DECIMAL\([0-9,]*\)", "DECIMAL")
-    own = F.array(F.struct(F.lit(None).cast("string").alias("key"), schema.alias("value")))
-    pairs = records.select(F.col(file).alias("file"), F.col(month).alias("month"), F.inline(F.concat(own, F.map_entries(F.col("record").cast("map<string,string>")))))
-    text, key = F.col("value"), F.col("key")
+    # each record gives one row more, under a null key, so records are counted in the same aggregation
+    own = F.array(F.struct(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")).alias("pair"), F.lit("VOID").alias("form")))
+    rows = records.select(F.col(file).alias("file"), F.col(month).alias("month"), F.inline(F.concat(own, _values(F.col("record")))))
+    form = F.substring_index("form", ": ", -1)
+    kind = F.when(form == "VOID", -1).when(form == "STRING", 3).when(form == "BIGINT", 1).when(form.startswith("DECIMAL") | form.isin("DOUBLE", "FLOAT"), 2).when(form == "BOOLEAN", 0).otherwise(4)
+    values = rows.select("file", "month", F.col("pair.key").alias("key"), kind.alias("kind"), F.when(kind < 4, F.col("pair.value")).alias("text"))
+    text, kind = F.col("text"), F.col("kind")
     start = F.upper(F.ltrim(text))
     dated = F.substring(text, 5, 1) == "-"
     # what can't be a number isn't read as one: each failure costs an exception
@@ -101,20 +79,17 @@ def headers(raw: DataFrame, file: str = "source_file", month: str = "data_month"
         "hv": start.startswith("HV") & text.rlike(_HV), "b": start.startswith("B") & text.rlike(_B), "yn": (F.length(text) < 9) & text.rlike(_YN),
         "dt": dated & (F.length(text) > 13) & text.rlike(_DT), "num": number.isNotNull(), "bool": F.lower(text).isin("true", "false"),
     }
-    has = key.isNotNull()
-    grouped = pairs.groupBy("file", "key", F.when(~has, text).alias("schema")).agg(
-        F.min("month").alias("month"), F.count(F.lit(1)).alias("n"), *[F.count_if(has & c).alias(f"c_{n}") for n, c in looks.items()], F.sum(F.when(has, F.abs(number))).alias("size"))
-    grouped = checkpoint(grouped)  # a row for each key, and each schema of records, of a file
-    whole = grouped.where("key IS NULL")
-    kinds = _kinds(whole).groupBy("file", "key").agg(
-        F.min("month").alias("month"), F.sum("n").alias("present"), F.coalesce(F.sum(F.when(F.col("kind").isNotNull(), F.col("n"))), F.lit(0)).alias("filled"),
-        *[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).alias(f"k{i}") for i, k in enumerate(KINDS)])
-    records_of = whole.groupBy("file").agg(F.sum("n").alias("records"))
+    grouped = values.groupBy("file", "key").agg(
+        F.min("month").alias("month"), F.count(F.lit(1)).alias("present"), F.count_if(kind >= 0).alias("filled"),
+        *[F.count_if(kind == i).alias(f"k{i}") for i in range(len(KINDS))], *[F.count_if(c).alias(f"c_{n}") for n, c in looks.items()],
+        F.sum(F.abs(number)).alias("size"),
+    )
     most = F.array_max(F.array(*[F.struct(F.col(f"k{i}").alias("n"), F.lit(i).alias("i")) for i in range(len(KINDS))]))
-    kind = F.when(F.col("filled") > 0, F.element_at(F.array(*map(F.lit, KINDS)), most["i"] + 1))
-    looked = grouped.where("key IS NOT NULL").drop("schema", "month", "n")
-    kept = kinds.join(records_of, "file").where(F.col("present") * 2 >= F.col("records")).join(looked, ["file", "key"])
-    return kept.select("file", "month", "key", kind.alias("type"), "present", "records", "filled", *[f"c_{n}" for n in looks], "size")
+    type_ = F.when(F.col("filled") > 0, F.element_at(F.array(*map(F.lit, KINDS)), most["i"] + 1))
+    # a file's keys are as many as its records have, so its group in this window is small
+    records_of = F.max(F.when(F.col("key").isNull(), F.col("present"))).over(Window.partitionBy("file"))
+    own = grouped.withColumn("records", records_of).where(F.col("key").isNotNull() & (F.col("present") * 2 >= F.col("records")))
+    return own.select("file", "month", "key", type_.alias("type"), "present", "records", "filled", *[f"c_{n}" for n in looks], "size")
 
 
 @F.pandas_udf(T.StringType())
