@@ -134,7 +134,7 @@ def aliases(header: DataFrame, fields: Sequence[str], *, least_name: float = 0.5
     other_form = ((F.col("key_class") == "bool") & (F.col("field_class") == "yn")) | ((F.col("key_class") == "num") & (F.col("field_class") == "dt") & (F.col("key_size") > 1e8))
     same_class = other_form | F.col("key_class").isNull() | F.col("field_class").isNull() | (F.col("key_class") == F.col("field_class"))
     ratio = F.abs(F.log10(F.greatest(F.col("key_size"), F.lit(1e-3)) / F.greatest(F.col("field_size"), F.lit(1e-3))))
-    fits = F.coalesce(F.greatest(F.lit(0.0), 1 - ratio), F.lit(0.5))
+    fits = F.when(F.col("key_size").isNull() | F.col("field_size").isNull(), F.lit(0.5)).otherwise(F.greatest(F.lit(0.0), 1 - ratio))
     score = F.col("name") + F.least(F.lit(1.0), evidence / (2 * least_evidence)) * 0.5 + fits * 0.3
     seldom = F.col("beside") * 50 <= F.col("n")
     accepted = (F.col("name") == 1.0) | (same_class & seldom & ((F.col("name") >= least_name) | ((evidence >= least_evidence) & (F.col("name") > 0) & (fits >= 0.5))) & (score >= least_score)) | (same_class & F.col("key_class").isNotNull() & seldom & (evidence >= 2 * least_evidence) & (fits >= 0.5))
