@@ -38,35 +38,34 @@ _CLASSES = ["hv", "b", "yn", "dt", "num", "bool", "text"]
 
 def parsed(raw: DataFrame, payload: str = "payload") -> DataFrame:
     """The raw lines with ``record``, a variant that is null where the payload is no JSON object."""
-    v = F.try_parse_json(F.col(payload))
-    return raw.withColumn("record", v).withColumn("record", F.when(F.schema_of_variant("record").startswith("OBJECT"), F.col("record")))
+    opens = F.substring(F.ltrim(F.col(payload), F.lit(" \t\r\n")), 1, 1) == "{"
+    return raw.withColumn("record", F.when(opens, F.try_parse_json(F.col(payload))))
 
 
 def unreadable(raw: DataFrame, file: str = "source_file") -> DataFrame:
     return parsed(raw).groupBy(file).agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("record").isNull()).alias("unreadable_lines"))
 
 
-def _values(record: Column) -> Column:
-    """An array of (pair, form): the keys of a record with their values as text, and the form of each value.
+def _values(records: DataFrame) -> DataFrame:
+    """``records`` with ``values``, an array of (pair, form): keys with their values as text, and the form of each value; null without a record.
 
     The forms are those the schema of the record lists, in the order of the keys. Records with nested values or odd
-    keys, whose schema doesn't split at commas, are looked at value by value.
+    keys, whose schema doesn't split at commas, are looked at value by value. Each step is a projection of its own, so
+    nothing is computed twice.
     """
-    inner = F.substring(F.schema_of_variant(record), 8, 2**30)
-    plain_ = ~(inner.contains("<") | inner.contains("`"))
-    forms = F.split(F.regexp_replace(inner, ">$", ""), ", ")
-    pairs = F.map_entries(record.cast("map<string,string>"))
-    quick = F.arrays_zip(pairs.alias("pair"), forms.alias("form"))
-    slow = F.transform(F.map_entries(record.cast("map<string,variant>")), lambda e: F.struct(F.struct(e["key"].alias("key"), F.try_variant_get(e["value"], "$", "string").alias("value")).alias("pair"), F.coalesce(F.schema_of_variant(e["value"]), F.lit("VOID")).alias("form")))
-    return F.when(plain_ & (F.size(pairs) == F.size(forms)), quick).otherwise(slow)
+    read_ = records.withColumns({"__pairs": F.map_entries(F.col("record").cast("map<string,string>")), "__schema": F.substring(F.schema_of_variant("record"), 8, 2**30)})
+    cut = read_.withColumn("__forms", F.when(~(F.col("__schema").contains("<") | F.col("__schema").contains("`")), F.split(F.rtrim("__schema", F.lit(">")), ", ")))
+    quick = F.arrays_zip(F.col("__pairs").alias("pair"), F.col("__forms").alias("form"))
+    slow = F.transform(F.map_entries(F.col("record").cast("map<string,variant>")), lambda e: F.struct(F.struct(e["key"].alias("key"), F.try_variant_get(e["value"], "$", "string").alias("value")).alias("pair"), F.coalesce(F.schema_of_variant(e["value"]), F.lit("VOID")).alias("form")))
+    return cut.withColumn("values", F.when(F.size("__pairs") == F.size("__forms"), quick).otherwise(slow))
 
 
 def headers(raw: DataFrame, file: str = "source_file", month: str = "data_month") -> DataFrame:
     """One row per (file, key) that belongs to the file: ``type``, shares, and what its values look like."""
-    records = parsed(raw).where(F.col("record").isNotNull() & F.col(file).isNotNull())
+    records = _values(parsed(raw).where(F.col(file).isNotNull()).select(F.col(file).alias("file"), F.col(month).alias("month"), "record"))
     # each record gives one row more, under a null key, so records are counted in the same aggregation
     own = F.array(F.struct(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")).alias("pair"), F.lit("VOID").alias("form")))
-    rows = records.select(F.col(file).alias("file"), F.col(month).alias("month"), F.inline(F.concat(own, _values(F.col("record")))))
+    rows = records.select("file", "month", F.inline(F.when(F.col("record").isNotNull(), F.concat(own, "values"))))
     form = F.substring_index("form", ": ", -1)
     kind = F.when(form == "VOID", -1).when(form == "STRING", 3).when(form == "BIGINT", 1).when(form.startswith("DECIMAL") | form.isin("DOUBLE", "FLOAT"), 2).when(form == "BOOLEAN", 0).otherwise(4)
     values = rows.select("file", "month", F.col("pair.key").alias("key"), kind.alias("kind"), F.when(kind < 4, F.col("pair.value")).alias("text"))
