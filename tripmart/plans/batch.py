@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart import contract, layers, measures, profiling, quality, rules, serving, star
 from tripmart.month import Month
-from tripmart.session import checkpoint_dir
+from tripmart.session import checkpoint, checkpoint_dir
 from tripmart.sources.tables import read
 from tripmart.store import Table
 
@@ -37,8 +38,13 @@ def rejected(spark: SparkSession, d: str) -> DataFrame:
     return evaluated(spark, d).where(F.size("failed_rules") > 0)
 
 
+def passed(spark: SparkSession, d: str) -> DataFrame:
+    """The accepted trips, stored: the rules are evaluated once for all that is made of them."""
+    return checkpoint(evaluated(spark, d).where(F.size("failed_rules") == 0).select(*contract.NAMES, "data_month"))
+
+
 def facts(spark: SparkSession, d: str) -> DataFrame:
-    return star.fct_trips(evaluated(spark, d).where(F.size("failed_rules") == 0), among=trips(spark, d))
+    return star.fct_trips(passed(spark, d))
 
 
 def companies(spark: SparkSession, d: str) -> DataFrame:
@@ -63,10 +69,11 @@ def texts(df: DataFrame, *arrays: str) -> DataFrame:
 
 
 def bronze_conform(spark: SparkSession, d: str) -> DataFrame:
-    """A month's file without the late column, brought to the contract."""
-    month = Month(2024, 12)
-    raw = trips(spark, d).where(F.col("data_month") == F.lit(month.first)).select(*[F.col(n).cast("string").alias(n) for n in reversed(contract.NAMES) if n != "cbd_congestion_fee"])
-    return contract.conform(raw, month, "load.parquet").drop("_ingested_at")
+    """Every month's file, as texts and without the late column, brought to the contract."""
+    months = sorted(r["data_month"] for r in trips(spark, d).where("data_month IS NOT NULL").select("data_month").distinct().collect())
+    raw = trips(spark, d).select(*[F.col(n).cast("string").alias(n) for n in reversed(contract.NAMES) if n != "cbd_congestion_fee"], F.col("data_month").alias("__month"))
+    parts = [contract.conform(raw.where(F.col("__month") == F.lit(m)).drop("__month"), Month.of(m), "load.parquet").drop("_ingested_at") for m in months]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def rule_flags(spark: SparkSession, d: str) -> DataFrame:
@@ -92,11 +99,11 @@ def layer_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rerun_differences(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of a month's table before and after the month is written again that differ, both ways: none."""
-    table, month = _table(spark, "rerun"), Month(2025, 1)
+    """Rows of the quarantine before and after all of it is written again that differ, both ways: none."""
+    table = _table(spark, "rerun")
     for _ in range(2):
-        table.replace_month(layers.quarantine(evaluated(spark, d).where(F.col("data_month") == F.lit(month.first))), month)
-    before, after = table.read(0).drop("failed_rules", "quality_warnings"), table.read(1).drop("failed_rules", "quality_warnings")
+        table.replace(rejected(spark, d).drop("_ingested_at"))
+    before, after = table.read(0), table.read(1)
     return before.exceptAll(after).unionAll(after.exceptAll(before)).agg(F.count(F.lit(1)).alias("differences")).withColumn("rows", F.lit(after.count()))
 
 
@@ -122,14 +129,26 @@ def top_companies(spark: SparkSession, d: str) -> DataFrame:
 # star -----------------------------------------------------------------------------------------------------------
 
 
-def dim_company(spark: SparkSession, d: str) -> DataFrame:
+def dim_company(spark: SparkSession, d: str, accepted_trips: DataFrame | None = None) -> DataFrame:
     known = layers.company_names(companies(spark, d)).select(F.col("__licence").alias("hvfhs_license_num"), F.col("__name").alias("company_name"))
-    return star.dim_company(known, accepted(spark, d))
+    return star.dim_company(known, evaluated(spark, d).where(F.size("failed_rules") == 0) if accepted_trips is None else accepted_trips)
+
+
+def company_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Keys made for the licences of the given companies, against the given keys."""
+    return companies(spark, d).where("hvfhs_license_num IS NOT NULL").select("hvfhs_license_num", star.company_key(F.col("hvfhs_license_num")).alias("company_key")).distinct()
+
+
+def dimensions(spark: SparkSession, d: str, accepted_trips: DataFrame) -> dict[str, tuple[DataFrame, str]]:
+    z = checkpoint(zones(spark, d))
+    return {"date_key": (star.dim_date(spark, CALENDAR), "date_key"), "time_key": (star.dim_time(spark), "time_key"), "pickup_zone_key": (z, "zone_key"), "dropoff_zone_key": (z, "zone_key"), "company_key": (checkpoint(dim_company(spark, d, accepted_trips)), "company_key")}
 
 
-def dimensions(spark: SparkSession, d: str) -> dict[str, tuple[DataFrame, str]]:
-    z = zones(spark, d)
-    return {"date_key": (star.dim_date(spark, CALENDAR), "date_key"), "time_key": (star.dim_time(spark), "time_key"), "pickup_zone_key": (z, "zone_key"), "dropoff_zone_key": (z, "zone_key"), "company_key": (dim_company(spark, d), "company_key")}
+def fct_trips(spark: SparkSession, d: str) -> DataFrame:
+    """The facts with the keys that the given companies have too; the made-up key of another licence is null here."""
+    given = layers.bounded_broadcast(companies(spark, d).select(F.col("company_key").alias("__given")).distinct(), 100_000)
+    rows = facts(spark, d).drop("trip_key")
+    return rows.join(given, F.col("company_key") == F.col("__given"), "left").withColumn("company_key", F.col("__given")).drop("__given")
 
 
 def trip_key_unique(spark: SparkSession, d: str) -> DataFrame:
@@ -137,8 +156,9 @@ def trip_key_unique(spark: SparkSession, d: str) -> DataFrame:
 
 
 def fct_trips_hourly(spark: SparkSession, d: str) -> DataFrame:
-    h, c = star.fct_trips_hourly(facts(spark, d)), dim_company(spark, d).select(F.col("company_key").alias("k"), "hvfhs_license_num")
-    return h.join(layers.bounded_broadcast(c, 100_000), F.col("company_key") == F.col("k"), "left").drop("company_key", "k")
+    stored = passed(spark, d)
+    h, c = star.fct_trips_hourly(star.fct_rows(stored)), dim_company(spark, d, stored).select(F.col("company_key").alias("k"), "hvfhs_license_num")
+    return h.join(layers.bounded_broadcast(checkpoint(c), 100_000), F.col("company_key") == F.col("k"), "left").drop("company_key", "k")
 
 
 def orphan_checks(spark: SparkSession, d: str) -> DataFrame:
@@ -149,10 +169,10 @@ def orphan_checks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def star_checks(spark: SparkSession, d: str) -> DataFrame:
-    table = _table(spark, "facts")  # checked as written, like the pipeline's
-    table.replace(facts(spark, d))
-    f, passed = table.read(), evaluated(spark, d).where(F.size("failed_rules") == 0)
-    return star.checks(passed.count(), f, star.fct_trips_hourly(f), dimensions(spark, d))
+    stored, table = passed(spark, d), _table(spark, "facts")  # checked as written, like the pipeline's
+    table.replace(star.fct_trips(stored))
+    f = table.read()
+    return star.checks(stored.count(), f, star.fct_trips_hourly(f), dimensions(spark, d, stored))
 
 
 # quality --------------------------------------------------------------------------------------------------------
@@ -287,7 +307,7 @@ QUERIES = {
     "bronze_conform": bronze_conform, "rule_flags": rule_flags, "silver_rows": silver_rows, "quarantine_rows": quarantine_rows, "rule_counts": rule_counts, "layer_counts": layer_counts, "rerun_differences": rerun_differences,
     "daily_company_trips": daily, "hourly_pickup_zones": hourly, "monthly_driver_economics": economics, "top_companies": top_companies,
     "dim_date": lambda spark, d: star.dim_date(spark), "dim_time": lambda spark, d: star.dim_time(spark), "dim_zone": zones,
-    "dim_company": lambda spark, d: dim_company(spark, d).drop("company_key"), "fct_trips": lambda spark, d: facts(spark, d).drop("trip_key", "company_key"),
+    "dim_company": lambda spark, d: dim_company(spark, d).drop("company_key"), "company_keys": company_keys, "fct_trips": fct_trips,
     "trip_key_unique": trip_key_unique, "fct_trips_hourly": fct_trips_hourly, "orphan_checks": orphan_checks, "star_checks": star_checks,
     "quality_monthly": quality_monthly, "rule_rates_spikes": rule_rates, "quarantine_by_company": quarantine_by_company, "dashboard_counters": dashboard_counters,
     "rate_by_month_rule": rate_by_month_rule, "spike_table": spike_table, "quarantine_by_rule_month": quarantine_by_rule_month,

@@ -95,12 +95,12 @@ SQL = {
     "p6_recorded_rules": _with(_PER_LOAD, f"""c AS (SELECT _source_file AS source_file, r.id AS rule_id, count(*) FILTER (WHERE list_contains(string_split(failed_rules || ',' || quality_warnings, ','), r.id)) AS matched_rows, count(*) AS total_rows
       FROM ev CROSS JOIN (VALUES {_RULES}) r(id, sev, descr) GROUP BY ALL)""", "q AS (SELECT DISTINCT source_file, rule_id, matched_rows AS recorded_rows FROM rule_counts)",
       select="SELECT c.*, recorded_rows, c.matched_rows = recorded_rows AS agrees FROM c LEFT JOIN q ON c.source_file = q.source_file AND c.rule_id = q.rule_id"),
-    "bronze_conform": f"SELECT {', '.join(chr(34) + n + chr(34) if n != 'cbd_congestion_fee' else 'CAST(NULL AS DOUBLE) AS cbd_congestion_fee' for n in NAMES)}, 'load.parquet' AS _source_file, data_month FROM trips WHERE data_month = DATE '2024-12-01'",
+    "bronze_conform": f"SELECT {', '.join(chr(34) + n + chr(34) if n != 'cbd_congestion_fee' else 'CAST(NULL AS DOUBLE) AS cbd_congestion_fee' for n in NAMES)}, 'load.parquet' AS _source_file, data_month FROM trips WHERE data_month IS NOT NULL",
     "rule_flags": _with(_EVALUATED, select='SELECT _source_file, pickup_datetime, dropoff_datetime, "PULocationID", "DOLocationID", failed_rules, quality_warnings FROM ev'),
     "silver_rows": _with(_EVALUATED, select=f"SELECT {_COLUMNS}, pickup_borough, pickup_zone, dropoff_borough, dropoff_zone, quality_warnings, _source_file, data_month FROM ok"),
     "quarantine_rows": _with(_EVALUATED, select=f"SELECT {_COLUMNS}, failed_rules, quality_warnings, _source_file, data_month FROM bad"),
     "layer_counts": _with(_EVALUATED, select="SELECT 'bronze' AS layer, data_month, count(*) AS rows FROM ev GROUP BY ALL UNION ALL SELECT 'silver', data_month, count(*) FROM ok GROUP BY ALL UNION ALL SELECT 'quarantine', data_month, count(*) FROM bad GROUP BY ALL"),
-    "rerun_differences": _with(_EVALUATED, select="SELECT 0::BIGINT AS differences, CAST(count(*) AS INTEGER) AS rows FROM bad WHERE data_month = DATE '2025-01-01'"),
+    "rerun_differences": _with(_EVALUATED, select="SELECT 0::BIGINT AS differences, CAST(count(*) AS INTEGER) AS rows FROM bad"),
     "rule_counts": _with(_EVALUATED, _COUNTS, select="SELECT * FROM rc"),
     "daily_company_trips": _with(_EVALUATED, _DAILY, select="SELECT * FROM daily"),
     "hourly_pickup_zones": _with(_EVALUATED, _HOURLY, select="SELECT * FROM hz"),
@@ -112,7 +112,8 @@ SQL = {
       h IN (7, 8, 9, 16, 17, 18, 19) AS is_peak_hour FROM range(24) t(h)""",
     "dim_zone": _with(_EVALUATED, select="SELECT location_id AS zone_key, location_id, borough, zone, service_zone, coalesce(service_zone IN ('Airports', 'EWR'), false) AS is_airport FROM zl"),
     "dim_company": _with(_EVALUATED, select="SELECT licence AS hvfhs_license_num, name AS company_name FROM cn UNION ALL SELECT DISTINCT hvfhs_license_num, 'Other (' || hvfhs_license_num || ')' FROM ok WHERE hvfhs_license_num NOT IN (SELECT licence FROM cn)"),
-    "fct_trips": _with(_EVALUATED, _FACTS, select="SELECT * EXCLUDE (hvfhs_license_num) FROM f"),
+    "company_keys": "SELECT DISTINCT hvfhs_license_num, company_key FROM dim_company WHERE hvfhs_license_num IS NOT NULL",
+    "fct_trips": _with(_EVALUATED, _FACTS, select="SELECT f.* EXCLUDE (hvfhs_license_num), company_key FROM f LEFT JOIN (SELECT DISTINCT hvfhs_license_num AS l, company_key FROM dim_company) ON hvfhs_license_num = l"),
     "trip_key_unique": _with(_EVALUATED, _FACTS, select="SELECT count(*) AS trips, count(*) AS keys, count(*) FILTER (WHERE wait_time_seconds IS NULL) AS no_wait FROM f"),
     "fct_trips_hourly": _with(_EVALUATED, _FACTS, select=_sums("f", "date_key, time_key, pickup_zone_key AS zone_key, hvfhs_license_num, data_month")),
     "orphan_checks": " UNION ALL ".join(f"SELECT '{k}' AS key, count(*) AS orphans FROM fct_trips f WHERE NOT EXISTS (SELECT 1 FROM {t} d WHERE d.{c} = f.{k})" for k, t, c in (("date_key", "dim_date", "date_key"), ("time_key", "(SELECT CAST(h AS INTEGER) AS time_key FROM range(24) t(h))", "time_key"), ("pickup_zone_key", "dim_zone", "zone_key"), ("dropoff_zone_key", "dim_zone", "zone_key"), ("company_key", "dim_company", "company_key"))),

@@ -98,15 +98,21 @@ def with_trip_key(trips: DataFrame, columns: Sequence[str] = NAMES, *, among: Da
     return both.withColumn("trip_key", F.xxhash64("__hash", "__number")).drop("__hash", "__several", "__number")
 
 
-def fct_trips(accepted: DataFrame, *, among: DataFrame | None = None) -> DataFrame:
+def fct_rows(accepted: DataFrame) -> DataFrame:
+    """The facts of accepted trips with their trip keys where they have them; aggregates need none."""
     fare = amount(sum((F.coalesce(hundredths(F.col(c)), F.lit(0).cast("bigint")) for c in CHARGES[1:]), F.coalesce(hundredths(F.col(CHARGES[0])), F.lit(0).cast("bigint"))))
     pickup = F.col("pickup_datetime")
-    return with_trip_key(accepted, among=among).select(
-        "trip_key", date_key(F.to_date(pickup)).alias("date_key"), F.hour(pickup).alias("time_key"), F.col("PULocationID").alias("pickup_zone_key"), F.col("DOLocationID").alias("dropoff_zone_key"), company_key(F.col("hvfhs_license_num")).alias("company_key"),
+    key = ["trip_key"] if "trip_key" in accepted.columns else []
+    return accepted.select(
+        *key, date_key(F.to_date(pickup)).alias("date_key"), F.hour(pickup).alias("time_key"), F.col("PULocationID").alias("pickup_zone_key"), F.col("DOLocationID").alias("dropoff_zone_key"), company_key(F.col("hvfhs_license_num")).alias("company_key"),
         *MEASURES, fare.alias("total_fare"), wait_seconds(F.col("request_datetime"), pickup).alias("wait_time_seconds"), "data_month",
     )
 
 
+def fct_trips(accepted: DataFrame, *, among: DataFrame | None = None) -> DataFrame:
+    return fct_rows(with_trip_key(accepted, among=among))
+
+
 def fct_trips_hourly(facts: DataFrame) -> DataFrame:
     """Facts per day, hour, pickup zone and company; a sum of nothing but nulls stays null."""
     return facts.groupBy("date_key", "time_key", F.col("pickup_zone_key").alias("zone_key"), "company_key", "data_month").agg(
