@@ -1,11 +1,12 @@
 import json
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.trips import frame, trip
-from tripmart import cli, contract, export, layers, measures, pipeline, profiling, quality, rules, serving, star, timing
+from tripmart import cli, contract, export, layers, measures, pipeline, profiling, quality, rules, serving, star, storage, timing
 from tripmart.functions.exact import ratio
 from tripmart.month import Month
 from tripmart.store import MissingInput
@@ -258,3 +259,34 @@ def test_http_answers(lake, tmp_path):
             assert error.value.code == status
     finally:
         server.shutdown()
+
+
+def test_a_job_on_named_tables_of_any_storage(lake, tmp_path, spark):
+    at = f"file:{lake.root}"
+    argv = ["job", "--month", "2025-01", "--lake", at, "--data", f"file:{lake.raw}", "--out", f"file:{tmp_path}/serving", "--schema", "mobility"]
+    assert cli.main(argv, spark=spark) == 0 and cli.main(argv, spark=spark) == 0
+    assert spark.sql("SELECT count(*) FROM mobility.silver").first()[0] == 40 and spark.table("mobility.fct_trips").count() == 40
+    named = pipeline.Lake(spark, at, lake.raw, schema="mobility").table("silver")
+    assert named.sql_identifier() == "`mobility`.`silver`" and spark.sql(f"SELECT * FROM {named.sql_identifier()}").columns == named.read().columns
+    with pytest.raises(ValueError, match="no name"):
+        lake.table("silver").sql_identifier()
+    assert (tmp_path / "serving" / "bi" / "fct_trips.parquet").is_file() and (tmp_path / "serving" / "snapshot" / "rule_counts").is_dir()
+    assert pipeline.months_loaded(lake) == 1
+    assert storage.located("s3a://bucket/lake") == "s3a://bucket/lake" and storage.located("x") == str(Path("x").absolute())
+
+
+def test_reports(lake, tmp_path, capsys):
+    out = str(tmp_path / "reports")
+    runs = [{"run_id": 7, "start_time": 0, "end_time": 9000, "state": {"result_state": "SUCCESS"}, "job_parameters": [{"name": "month", "value": "2025-01"}], "tasks": [{"task_key": "x", "start_time": 1000, "end_time": 3500}]}]
+    (tmp_path / "runs.json").write_text(json.dumps(runs))
+    assert run(lake, "job-timings", "--runs", str(tmp_path / "runs.json"), "--out", out) == 0
+    text = (tmp_path / "reports" / "job.md").read_text()
+    assert "| x | 2.50 |" in text and "| 7 | month = 2025-01 | 2.5 | 9.0 |" in text and "No successful run" in timing.job_report([])
+    assert run(lake, "benchmark", "--month", "2025-01", "--repeats", "1", "--out", out) == 0
+    assert "Months in bronze: 1" in (tmp_path / "reports" / "benchmark_fhvhv_2025-01.md").read_text()
+
+
+def test_dashboards_are_ordered(spark):
+    rows = spark.createDataFrame([(2, "b", "y"), (1, "b", "x"), (1, "a", "z")], "data_month int, rule_id string, company string")
+    assert [tuple(r)[:2] for r in quality.shown(rows, "rules").collect()] == [(1, "a"), (1, "b"), (2, "b")]
+    assert [r["data_month"] for r in quality.shown(rows, "months").collect()] == [1, 1, 2] and quality.shown(rows, "companies").first()["company"] == "z"

@@ -139,4 +139,41 @@ def test_runs_of_a_day(spark):
     at = datetime(2025, 1, 1, tzinfo=timezone.utc)
     rows = [("a", DAY, at, at, 1, 5, 2), ("b", DAY, at, at, 1, 5, 3), ("c", date(2025, 1, 16), at, at, 1, 5, 9)]
     runs = spark.createDataFrame(rows, pickups.RUN)
-    assert tuple(pickups.dropped_in_runs(runs, DAY).first()) == (2, 5) and tuple(pickups.dropped_in_runs(runs.limit(0), DAY).first()) == (0, 0)
+    assert tuple(pickups.dropped_in_runs(runs).first()) == (3, 14) and tuple(pickups.dropped_in_runs(runs, DAY).first()) == (2, 5) and tuple(pickups.dropped_in_runs(runs.limit(0), DAY).first()) == (0, 0)
+
+
+def test_a_plan_is_sent_in_parts_at_a_pace(spark):
+    events = spark.createDataFrame([(f"e{i}", T0 + timedelta(seconds=10 * i)) for i in range(60)], "event_id string, send_time timestamp")
+    now, sent = [0.0], []
+    n = replay.paced(events, lambda df, k: sent.append((now[0], [r["event_id"] for r in df.orderBy("send_time").collect()])), 5, 60, clock=lambda: now[0], sleep=lambda s: now.__setitem__(0, now[0] + s))
+    assert n == 5 and [e for _, part in sent for e in part] == [f"e{i}" for i in range(60)] and [round(t) for t, _ in sent] == [0, 2, 4, 6, 8]
+    assert replay.paced(events.limit(0), None, 5) == 0
+    with pytest.raises(ValueError):
+        replay.paced(events, None, 5, 0)
+
+
+def test_the_zone_lookup_is_fetched(tmp_path):
+    asked = []
+
+    def opener(request):
+        asked.append(request.full_url)
+        return Answer(b"" if request.get_method() == "HEAD" else b"hello", 5)
+
+    for url in ("http://x/misc", "http://x/misc/taxi_zone_lookup.csv"):
+        assert download.fetch_zones(url, tmp_path, opener).path == tmp_path / "taxi_zone_lookup.csv"
+    assert set(asked) == {"http://x/misc/taxi_zone_lookup.csv"}
+
+
+def test_commands_replay_and_stream(spark, tmp_path):
+    from tripmart import cli, pipeline
+
+    lake = ["--lake", str(tmp_path / "lake"), "--data", str(tmp_path), "--day", str(DAY)]
+    assert cli.main(["replay", *lake], spark=spark) == 1
+    events = spark.createDataFrame([(f"e{i}", "HV0001", 1 + i % 3, T0 + timedelta(minutes=i)) for i in range(90)], "event_id string, hvfhs_license_num string, pickup_zone_id int, event_time timestamp")
+    events.write.parquet(f"{tmp_path}/lake/events/event_date={DAY}")
+    assert cli.main(["replay", *lake, "--late-share", "0", "--files", "3", "--speed", "1000000"], spark=spark) == 0
+    assert len(list((tmp_path / "lake" / "stream" / "in").glob("*.json"))) == 3
+    assert cli.main(["stream", *lake, "--files-per-trigger", "2"], spark=spark) == 0
+    table = pipeline.Lake(spark, str(tmp_path / "lake"), str(tmp_path)).table("stream/pickups")
+    assert table.read().agg(F.sum("trips")).first()[0] == 90
+    assert cli.main(["stream", *lake, "--seconds", "3"], spark=spark) == 0 and table.read().agg(F.sum("trips")).first()[0] == 90

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import shutil
 import uuid
 from dataclasses import dataclass
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart import storage
 from tripmart.month import Month
 
 MONTH = "data_month"
@@ -30,7 +28,7 @@ def write_snapshot(df: DataFrame, month: Month, root: str, name: str) -> int:
 def views(spark: SparkSession, root: str, names: list[str]) -> None:
     """Register the snapshot's tables as views; a missing one stops."""
     for n in names:
-        if not os.path.isdir(f"{root}/{n}"):
+        if not storage.exists(spark, f"{root}/{n}"):
             raise FileNotFoundError(f"the snapshot {root} has no table {n}")
         spark.read.parquet(f"{root}/{n}").createOrReplaceTempView(n)
 
@@ -44,17 +42,17 @@ class Exported:
 
 def write_single(df: DataFrame, folder: str, name: str) -> Exported:
     """One Parquet file ``<name>.parquet``, put in place at once; other files of the folder stay."""
-    staging, target = Path(folder) / f".{name}-{uuid.uuid4().hex}", Path(folder) / f"{name}.parquet"
-    Path(folder).mkdir(parents=True, exist_ok=True)
+    spark = df.sparkSession
+    staging, target = f"{folder}/.{name}-{uuid.uuid4().hex}", f"{folder}/{name}.parquet"
     try:
-        df.coalesce(1).write.parquet(str(staging))  # one file is what is asked for
-        parts = list(staging.glob("part-*.parquet"))
+        df.coalesce(1).write.parquet(staging)  # one file is what is asked for
+        parts = [n for n in storage.names(spark, staging) if n.startswith("part-") and n.endswith(".parquet")]
         if len(parts) != 1:
             raise RuntimeError(f"{len(parts)} files were written for {name}")
-        os.replace(parts[0], target)
+        storage.move(spark, f"{staging}/{parts[0]}", target)
     finally:
-        shutil.rmtree(staging, ignore_errors=True)
-    return Exported(name, df.sparkSession.read.parquet(str(target)).count(), target.stat().st_size)
+        storage.remove(spark, staging)
+    return Exported(name, spark.read.parquet(target).count(), storage.size(spark, target))
 
 
 def star_frames(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -24,9 +24,12 @@ class Lake:
     raw: str
     dataset: str = "fhvhv"
     calendar: tuple[date, date] = star.CALENDAR
+    #: Catalog and schema under which the tables are found by name too.
+    schema: str | None = None
 
     def table(self, name: str) -> Table:
-        return Table(self.spark, f"{self.root}/{name}")
+        named = f"{self.schema}.{name.replace('/', '_')}" if self.schema else None
+        return Table(self.spark, f"{self.root}/{name}", named)
 
     def raw_file(self, month: Month) -> str:
         return f"{self.raw}/{self.dataset}/{self.dataset}_tripdata_{month}.parquet"
@@ -51,6 +54,22 @@ class Lake:
         return rows
 
 
+def months_loaded(lake: Lake) -> int:
+    """How many months the conformed trips have."""
+    return lake.table("bronze").read().select("data_month").distinct().count()
+
+
+def run_job(lake: Lake, month: Month, serving: str) -> dict[str, object]:
+    """All steps of a month on tables the catalog knows, with the snapshot and the files of BI tools in ``serving``."""
+    if lake.schema:
+        lake.spark.sql(f"CREATE DATABASE IF NOT EXISTS {'.'.join(f'`{x}`' for x in lake.schema.split('.'))}")
+    out: dict[str, object] = {n: run(lake, month) for n, run in (("bronze", run_bronze), ("silver", run_silver), ("gold", run_gold))}
+    out["snapshot"] = run_snapshot(lake, month, f"{serving}/snapshot")
+    out["star"] = [r["name"] for r in run_star(lake, month).where("NOT passed").collect()]
+    out["export"] = [e.name for e in run_export(lake, f"{serving}/bi")]
+    return out
+
+
 def run_bronze(lake: Lake, month: Month) -> int:
     path = lake.raw_file(month)
     try:

@@ -179,15 +179,15 @@ def star_checks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def quality_monthly(spark: SparkSession, d: str) -> DataFrame:
-    return quality.monthly_summary(counts(spark, d), rejected(spark, d))
+    return quality.shown(quality.monthly_summary(counts(spark, d), rejected(spark, d)), "months")
 
 
 def rule_rates(spark: SparkSession, d: str) -> DataFrame:
-    return quality.rule_rates(counts(spark, d))
+    return quality.shown(quality.rule_rates(counts(spark, d)), "rules")
 
 
 def quarantine_by_company(spark: SparkSession, d: str) -> DataFrame:
-    return quality.quarantine_by_company(rejected(spark, d), companies(spark, d))
+    return quality.shown(quality.quarantine_by_company(rejected(spark, d), companies(spark, d)), "companies")
 
 
 def dashboard_counters(spark: SparkSession, d: str) -> DataFrame:
@@ -223,13 +223,22 @@ def _zone_flags(spark: SparkSession, d: str) -> DataFrame:
 
 def measures_by_month(spark: SparkSession, d: str) -> DataFrame:
     rows = measures.star(_hourly(spark, d), date=_calendar(spark, d), zone=_zone_flags(spark, d))
-    return measures.with_previous_month(measures.by(rows, ["month_start"], {n: m() for n, m in measures.OVERVIEW.items()}))
+    return measures.with_previous_month(measures.by(rows, ["month_start"], {n: m() for n, m in measures.OVERVIEW.items()})).orderBy("month_start")
 
 
 def measures_by_company(spark: SparkSession, d: str) -> DataFrame:
     names = companies(spark, d).select("company_key", "company_name")
     rows = measures.star(_hourly(spark, d), company=names, date=_calendar(spark, d))
-    return measures.share_of_all(measures.by(rows, ["month_start", "company_name"], {"total_revenue": measures.revenue(), "total_trips": measures.trips()}), "total_revenue", ["month_start"])
+    return measures.share_of_all(measures.by(rows, ["month_start", "company_name"], {"total_revenue": measures.revenue(), "total_trips": measures.trips()}), "total_revenue", ["month_start"]).orderBy("month_start", F.desc("total_revenue"))
+
+
+def executive_totals(spark: SparkSession, d: str) -> DataFrame:
+    """The figures at the head of the executive page, over all facts."""
+    return measures.by(_hourly(spark, d), [], {"total_trips": measures.trips(), "total_revenue": measures.revenue(), "avg_fare": measures.average_fare(), "avg_wait_minutes": measures.average_wait_minutes(), "driver_pay_share": measures.driver_pay_share()})
+
+
+def months_loaded(spark: SparkSession, d: str) -> DataFrame:
+    return trips(spark, d).agg(F.countDistinct("data_month").alias("months"))
 
 
 def airport_dropoffs(spark: SparkSession, d: str) -> DataFrame:
@@ -311,7 +320,7 @@ QUERIES = {
     "trip_key_unique": trip_key_unique, "fct_trips_hourly": fct_trips_hourly, "orphan_checks": orphan_checks, "star_checks": star_checks,
     "quality_monthly": quality_monthly, "rule_rates_spikes": rule_rates, "quarantine_by_company": quarantine_by_company, "dashboard_counters": dashboard_counters,
     "rate_by_month_rule": rate_by_month_rule, "spike_table": spike_table, "quarantine_by_rule_month": quarantine_by_rule_month,
-    "measures_by_month": measures_by_month, "measures_by_company": measures_by_company, "airport_dropoffs": airport_dropoffs, "weekday_peak_share": weekday_peak_share,
+    "executive_totals": executive_totals, "months_loaded": months_loaded, "measures_by_month": measures_by_month, "measures_by_company": measures_by_company, "airport_dropoffs": airport_dropoffs, "weekday_peak_share": weekday_peak_share,
     "api_economics": api_economics, "api_daily": api_daily, "api_busiest": api_busiest, "api_quality": api_quality,
     "profile_columns": profile_columns, "profile_percentiles": profile_percentiles, "duplicate_stats": duplicate_stats, "flag_top10": flag_top10, "timestamp_checks": timestamp_checks,
     "upsert_company": upsert_company, "replace_month_rerun": replace_month_rerun,

@@ -127,6 +127,9 @@ SQL = {
     "rate_by_month_rule": _with(_EVALUATED, _COUNTS, _RATES, select="SELECT data_month, rule_id, severity, match_rate FROM rates"),
     "spike_table": _with(_EVALUATED, _COUNTS, _RATES, select="SELECT data_month, rule_id, description, matched_rows, match_rate, previous_match_rate, rate_vs_previous_month FROM rates WHERE is_spike"),
     "quarantine_by_rule_month": _with(_EVALUATED, _BY_COMPANY, select="SELECT data_month, rule_id, CAST(sum(rows_quarantined) AS BIGINT) AS rows_quarantined FROM bc GROUP BY 1, 2"),
+    "months_loaded": "SELECT count(DISTINCT data_month) AS months FROM trips",
+    "executive_totals": f"""SELECT count(*) AS total_trips, CAST(sum({_h('total_fare')}) AS BIGINT) / 100.0 AS total_revenue, {_ratio(f"sum({_h('total_fare')})", "(count(*) * 100)", 4)} AS avg_fare,
+      {_ratio("sum(wait_time_seconds)", "(count(wait_time_seconds) * 60)", 4)} AS avg_wait_minutes, {_ratio(f"sum({_h('driver_pay')})", f"sum({_h('total_fare')})", 4)} AS driver_pay_share FROM fct_trips""",
     "measures_by_month": _with(_ZF, _MONTH_MEASURES, select="SELECT m.*, p.total_trips AS trips_previous_month, round((m.total_trips - p.total_trips) / p.total_trips, 6) AS trip_growth FROM mm m LEFT JOIN mm p ON m.month_start = p.month_start + INTERVAL 1 MONTH"),
     "measures_by_company": _with(f"a AS (SELECT month_start, company_name, sum({_h('total_fare')}) AS r, count(*) AS total_trips FROM fct_trips t LEFT JOIN dim_date c ON t.date_key = c.date_key LEFT JOIN dim_company d ON t.company_key = d.company_key GROUP BY 1, 2)", f"b AS (SELECT *, sum(r) OVER (PARTITION BY month_start) AS al FROM a)", select=f"SELECT month_start, company_name, CAST(r AS BIGINT) / 100.0 AS total_revenue, total_trips, {_ratio('r', 'al', 4)} AS share FROM b"),
     "airport_dropoffs": _with(_ZF, select="SELECT data_month, count(*) AS trips, count(*) FILTER (WHERE is_airport) AS airport_dropoffs FROM fct_trips t LEFT JOIN zf ON t.dropoff_zone_key = zf.zone_key GROUP BY 1"),

@@ -16,7 +16,6 @@ from tripmart.store import Table
 from tripmart.streaming import pickups, reconcile, replay
 
 DAY = date(2025, 1, 15)
-STREAM_DAY = date(2025, 1, 6)
 FILES = 12
 
 
@@ -32,14 +31,13 @@ def replay_plan_summary(spark: SparkSession, d: str) -> DataFrame:
     return replay.summary(replay.planned_frame(replay_events(spark, d)))
 
 
-def _day(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "pickup_events").where(F.col("event_date") == F.lit(STREAM_DAY))
-    return pickups.valid(rows.select("event_id", "hvfhs_license_num", "pickup_zone_id", "event_time", "send_time"))
+def _sendings(spark: SparkSession, d: str) -> DataFrame:
+    return pickups.valid(read(spark, d, "pickup_events").where("send_time IS NOT NULL").select("event_id", "hvfhs_license_num", "pickup_zone_id", "event_time", "send_time"))
 
 
 def _streamed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """The sendings of a day and the windows the stream made of them, sent in files of equal size."""
-    base, sent = _folder(spark), checkpoint(_day(spark, d))
+    """The sendings of all days and the windows the stream made of them, sent in files of equal size."""
+    base, sent = _folder(spark), checkpoint(_sendings(spark, d))
     replay.drop_files(sent, f"{base}/in", FILES)
     table = Table(spark, f"{base}/table")
     pickups.run_until_caught_up(spark, f"{base}/in", table, f"{base}/checkpoint")
@@ -73,10 +71,9 @@ def stream_run_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def parse_events_json(spark: SparkSession, d: str) -> DataFrame:
-    """All sendings as JSON messages, every seventh cut off; those that can be read."""
+    """All sendings as JSON messages, and as many broken ones between them; those that can be read."""
     message = F.to_json(F.struct("event_id", "hvfhs_license_num", "pickup_zone_id", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss").alias("event_time")))
-    broken = F.pmod(F.unix_micros("send_time"), F.lit(7)) == 0
-    raw = read(spark, d, "pickup_events").select(F.when(broken, F.substring(message, 1, 20)).otherwise(message).alias("value"))
+    raw = read(spark, d, "pickup_events").select(F.explode(F.array(message, F.substring(message, 1, 20))).alias("value"))
     return pickups.parse(raw)
 
 
@@ -94,7 +91,7 @@ QUERIES = {
     "reconcile_cells": reconcile_cells, "stream_run_summary": stream_run_summary, "parse_events_json": parse_events_json, "stream_run_log": stream_run_log,
 }
 
-_SENT = f"""s AS (SELECT event_id, pickup_zone_id, event_time, send_time FROM pickup_events WHERE event_date = DATE '{STREAM_DAY}' AND event_time IS NOT NULL AND pickup_zone_id IS NOT NULL),
+_SENT = f"""s AS (SELECT event_id, pickup_zone_id, event_time, send_time FROM pickup_events WHERE send_time IS NOT NULL AND event_time IS NOT NULL AND pickup_zone_id IS NOT NULL),
     k AS (SELECT *, ntile({FILES}) OVER (ORDER BY send_time, event_id) AS k FROM s),
     tops AS (SELECT k, max(event_time) AS top FROM k GROUP BY 1),
     marks AS (SELECT k, max(top) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) AS mark FROM tops),
@@ -107,6 +104,6 @@ SQL = {
     "reconcile_cells": f"""WITH {_SENT}, b AS (SELECT CAST(hour(event_time) AS INTEGER) AS hour, pickup_zone_id AS zone, count(*) AS n FROM s GROUP BY ALL), t AS (SELECT CAST(hour(event_time) AS INTEGER) AS hour, pickup_zone_id AS zone, count(*) AS n FROM kept GROUP BY ALL)
       SELECT b.hour, b.zone, b.n AS batch_trips, coalesce(t.n, 0) AS stream_trips, CASE WHEN b.n = coalesce(t.n, 0) THEN 'equal' WHEN coalesce(t.n, 0) < b.n THEN 'short' ELSE 'over' END AS verdict FROM b LEFT JOIN t ON b.hour = t.hour AND b.zone = t.zone""",
     "stream_run_summary": f"WITH {_SENT} SELECT (SELECT count(*) FROM (SELECT DISTINCT ws, pickup_zone_id FROM kept)) AS windows, (SELECT count(*) FROM kept) AS trips, (SELECT count(*) FROM s) AS sent",
-    "parse_events_json": "SELECT event_id, hvfhs_license_num, pickup_zone_id, date_trunc('second', event_time) AS event_time FROM pickup_events WHERE epoch_us(send_time) % 7 <> 0 AND event_time IS NOT NULL AND pickup_zone_id IS NOT NULL",
+    "parse_events_json": "SELECT event_id, hvfhs_license_num, pickup_zone_id, date_trunc('second', event_time) AS event_time FROM pickup_events WHERE event_time IS NOT NULL AND pickup_zone_id IS NOT NULL",
     "stream_run_log": "SELECT * FROM (VALUES ('a', 3, 30::BIGINT), ('b', 2, 20::BIGINT), ('c', 4, 40::BIGINT)) v(run_id, batches, input_rows) CROSS JOIN (SELECT DATE '2025-01-15' AS replay_day, TIMESTAMPTZ '2025-01-15 00:00:00+00' AS started_at, TIMESTAMPTZ '2025-01-15 00:00:00+00' AS finished_at, 0::BIGINT AS dropped_late_rows)",
 }

@@ -51,3 +51,12 @@ def by_rule_month(by_company: DataFrame) -> DataFrame:
 def spike_rules(rates: DataFrame) -> DataFrame:
     """The spiking rules of each month, sorted; an empty array where there are none."""
     return rates.groupBy("data_month").agg(F.array_sort(F.collect_list(F.when(F.col("is_spike"), F.col("rule_id")))).alias("spike_rules"))
+
+
+#: The orders in which dashboards show the answers.
+ORDERS = {"months": ["data_month"], "rules": ["data_month", "rule_id"], "companies": ["data_month", "rule_id", "company"]}
+
+
+def shown(answer: DataFrame, order: str) -> DataFrame:
+    """An answer in the order of its dashboard."""
+    return answer.orderBy(*ORDERS[order])

@@ -49,3 +49,12 @@ def fetch(url: str, target: Path, opener: Opener = urllib.request.urlopen, chunk
 def fetch_month(base_url: str, dataset: str, month: Month, folder: Path, opener: Opener = urllib.request.urlopen) -> Fetched:
     name = file_name(dataset, month)
     return fetch(f"{base_url}/{name}", folder / dataset / name, opener)
+
+
+#: Fixed value: the name of the zone lookup, at its source and in the data folder.
+ZONES = "taxi_zone_lookup.csv"
+
+
+def fetch_zones(url: str, folder: Path, opener: Opener = urllib.request.urlopen) -> Fetched:
+    """The zone lookup, from a folder's address or its own."""
+    return fetch(url if url.endswith(".csv") else f"{url}/{ZONES}", folder / ZONES, opener)

@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tripmart.layers import bounded_broadcast
 from tripmart.store import Table
 
 EVENT = "event_id string, hvfhs_license_num string, pickup_zone_id int, event_time timestamp"
@@ -69,10 +70,12 @@ def record_run(runs: Table, run_id: str, replay_day, started_at: datetime, finis
     runs.upsert(runs.spark.createDataFrame([row], RUN), ["run_id"])
 
 
-def run_until_caught_up(spark: SparkSession, folder: str, table: Table, checkpoint: str, runs: Table | None = None, replay_day=None) -> dict[str, int]:
+def run_until_caught_up(spark: SparkSession, source: str | DataFrame, table: Table, checkpoint: str, runs: Table | None = None, replay_day=None, *, files_per_trigger: int = 1, seconds: float | None = None) -> dict[str, int]:
+    """Run over a folder of files or a stream of events to the end of what is there or, with ``seconds``, on and on for so long."""
     started = datetime.now(timezone.utc)
-    query = run(file_events(spark, folder), table, checkpoint)
-    query.awaitTermination()
+    query = run(file_events(spark, source, files_per_trigger) if isinstance(source, str) else source, table, checkpoint, until_caught_up=seconds is None)
+    if not query.awaitTermination(seconds) if seconds is not None else query.awaitTermination():
+        query.stop()
     if query.exception():
         raise RuntimeError(str(query.exception()))
     figures = progress(query)
@@ -87,9 +90,10 @@ def summary(table: DataFrame, figures: dict[str, int]) -> dict[str, int]:
     return {"windows": r["windows"], "trips": r["trips"], **figures}
 
 
-def dropped_in_runs(runs: DataFrame, replay_day) -> DataFrame:
-    """Runs of one replayed day and the rows the engine dropped in them."""
-    return runs.where(F.col("replay_day") == F.lit(replay_day)).agg(F.count(F.lit(1)).alias("runs"), F.coalesce(F.sum("dropped_late_rows"), F.lit(0)).alias("dropped_late_rows"))
+def dropped_in_runs(runs: DataFrame, replay_day=None) -> DataFrame:
+    """How many runs there were and how many rows the engine dropped in them: of all runs, or of one replayed day."""
+    kept = runs if replay_day is None else runs.where(F.col("replay_day") == F.lit(replay_day))
+    return kept.agg(F.count(F.lit(1)).alias("runs"), F.coalesce(F.sum("dropped_late_rows"), F.lit(0)).alias("dropped_late_rows"))
 
 
 def send_kafka(events: DataFrame, servers: str, topic: str) -> None:
@@ -114,7 +118,7 @@ def batch_model(events: DataFrame, batch: str, allowed_minutes: int = 30) -> Dat
     """
     tops = events.groupBy(batch).agg(F.max("event_time").alias("top"))  # a row per micro-batch
     marks = tops.select(F.col(batch).alias("__k"), F.max("top").over(Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -2)).alias("mark"))
-    rows = events.join(F.broadcast(marks), events[batch] == marks["__k"]).drop("__k")
+    rows = events.join(bounded_broadcast(marks, 100_000), events[batch] == marks["__k"]).drop("__k")
     start = F.window("event_time", WINDOW)["start"]
     late = F.coalesce(start + F.expr(f"INTERVAL {WINDOW}") <= F.col("mark") - F.expr(f"INTERVAL {allowed_minutes} MINUTES"), F.lit(False))
     return rows.withColumns({"window_start": start, "dropped": late}).drop("mark")

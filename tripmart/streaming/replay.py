@@ -94,6 +94,28 @@ def replay(planned: Iterable[PlannedEvent], send: Callable[[Event], None], speed
     return sent
 
 
+def paced(planned: DataFrame, send: Callable[[DataFrame, int], None], parts: int, speed: float | None = None, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> int:
+    """Send a plan in ``parts`` of equal time, in order, each when its time has come: ``speed`` seconds of the day in one of ours.
+
+    Without a speed the parts follow each other at once. Events of a part are sent side by side by the executors.
+    """
+    if speed is not None and speed <= 0:
+        raise ValueError("the speed must be above 0")
+    micros = F.unix_micros("send_time")
+    r = planned.agg(F.min(micros).alias("low"), F.max(micros).alias("high")).first()
+    if r["low"] is None:
+        return 0
+    started, width, sent = clock(), (r["high"] - r["low"]) // parts + 1, 0
+    for n in range(parts):
+        wait = n * width / 1e6 / speed - (clock() - started) if speed else 0
+        if wait > 0.001:
+            sleep(wait)
+        part = planned.where((micros >= r["low"] + n * width) & (micros < r["low"] + (n + 1) * width))
+        send(part, n)
+        sent += 1
+    return sent
+
+
 def drop_files(planned: DataFrame, folder: str, files: int, prefix: str = "") -> None:
     """Send a plan as JSON files, in order of sending; one file is one micro-batch of a file stream.
 

@@ -63,3 +63,24 @@ def report(title: str, seconds: Mapping[str, list[float]]) -> str:
         s = Spread.of(values)
         lines.append(f"| {name} | {s.median:.2f} | {s.least:.2f} | {s.most:.2f} | {values[0]:.2f} |")
     return "\n".join(lines) + "\n"
+
+
+def throughput_report(runs: DataFrame) -> str:
+    """The stream's part of a benchmark report."""
+    r = throughput(runs).first()
+    if not r["runs"]:
+        return "No stream run has read rows.\n"
+    return f"## Stream\n\n| runs | rows | seconds | rows a second |\n|-|-|-|-|\n| {r['runs']} | {r['rows']:,} | {r['seconds']:.1f} | {r['rows_per_second']:,.0f} |\n"
+
+
+def job_report(runs: list[dict]) -> str:
+    """Seconds of the tasks of a job over its successful runs, and every run."""
+    if not runs:
+        return "# Job\n\nNo successful run.\n"
+    tasks = list(dict.fromkeys(t for r in runs for t in r["tasks"]))
+    seconds = {t: [r["tasks"][t] for r in runs if t in r["tasks"]] for t in tasks} | {"whole job": [r["seconds"] for r in runs]}
+    lines = [report("Job", seconds), "| run | parameters | " + " | ".join(tasks) + " | whole |", "|-|-|" + "-|" * (len(tasks) + 1)]
+    for r in runs:
+        given = ", ".join(f"{k} = {v}" for k, v in r["parameters"].items())
+        lines.append(f"| {r['run_id']} | {given} | " + " | ".join(f"{r['tasks'][t]:.1f}" if t in r["tasks"] else "" for t in tasks) + f" | {r['seconds']:.1f} |")
+    return "\n".join(lines) + "\n"
