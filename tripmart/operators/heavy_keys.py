@@ -19,6 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.session import checkpoint
+
 _SALT = "__salt"
 _HASH = "__key_hash"
 
@@ -105,6 +107,10 @@ def value_counts(df: DataFrame, scope: dict[str, Column], fields: dict[str, Colu
 
 
 def heavy_values(counts: DataFrame, scope: Sequence[str], least_share: float) -> DataFrame:
-    """The values holding at least ``least_share`` of the rows of their scope; null is counted, but is no value."""
+    """The values holding at least ``least_share`` of the rows of their scope; null is counted, but is no value.
+
+    The counts are stored, so the rows behind them are not counted a second time for the totals.
+    """
+    counts = checkpoint(counts)
     totals = counts.groupBy(*scope, "field_name").agg(F.sum("n").alias("scope_rows"))
     return counts.where(F.col("key_value").isNotNull()).join(totals, [*scope, "field_name"]).where(F.col("n") >= F.lit(least_share) * F.col("scope_rows"))
