@@ -20,9 +20,11 @@ from __future__ import annotations
 import base64
 import heapq
 import math
+import os
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,10 +39,11 @@ _ENCODERS: dict[str, object] = {}
 
 
 def encoder(path: str):
+    """The tokenizer of a vocabulary file: at ``path`` on every executor, or sent there by ``addFile`` under its name."""
     if path not in _ENCODERS:
         import tiktoken
 
-        with open(path, "rb") as f:
+        with open(path if os.path.exists(path) else SparkFiles.get(os.path.basename(path)), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         _ENCODERS[path] = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     return _ENCODERS[path]
