@@ -25,15 +25,33 @@ class Field:
 
 
 #: The columns of a trip in their order, with type and, for later ones, first month.
-TRIP: tuple[Field, ...] = tuple(
-    Field(*x.split()) if len(x.split()) == 2 else Field(x.split()[0], x.split()[1], Month.parse(x.split()[2]))
-    for x in (
-        "hvfhs_license_num string", "dispatching_base_num string", "originating_base_num string", "request_datetime timestamp_ntz", "on_scene_datetime timestamp_ntz",
-        "pickup_datetime timestamp_ntz", "dropoff_datetime timestamp_ntz", "PULocationID int", "DOLocationID int", "trip_miles double", "trip_time bigint",
-        "base_passenger_fare double", "tolls double", "bcf double", "sales_tax double", "congestion_surcharge double", "airport_fee double", "tips double", "driver_pay double",
-        "shared_request_flag string", "shared_match_flag string", "access_a_ride_flag string", "wav_request_flag string", "wav_match_flag string", "cbd_congestion_fee double 2025-01",
-    )
-)
+TRIP: tuple[Field, ...] = (
+    Field("hvfhs_license_num", "string"),
+    Field("dispatching_base_num", "string"),
+    Field("originating_base_num", "string"),
+    Field("request_datetime", "timestamp_ntz"),
+    Field("on_scene_datetime", "timestamp_ntz"),
+    Field("pickup_datetime", "timestamp_ntz"),
+    Field("dropoff_datetime", "timestamp_ntz"),
+    Field("PULocationID", "int"),
+    Field("DOLocationID", "int"),
+    Field("trip_miles", "double"),
+    Field("trip_time", "bigint"),
+    Field("base_passenger_fare", "double"),
+    Field("tolls", "double"),
+    Field("bcf", "double"),
+    Field("sales_tax", "double"),
+    Field("congestion_surcharge", "double"),
+    Field("airport_fee", "double"),
+    Field("tips", "double"),
+    Field("driver_pay", "double"),
+    Field("shared_request_flag", "string"),
+    Field("shared_match_flag", "string"),
+    Field("access_a_ride_flag", "string"),
+    Field("wav_request_flag", "string"),
+    Field("wav_match_flag", "string"),
+    Field("cbd_congestion_fee", "double", Month.parse("2025-01")),
+)
 NAMES = [f.name for f in TRIP]
 METADATA = (Field("_source_file", "string"), Field("_ingested_at", "timestamp"), Field("data_month", "date"))
 
