@@ -57,7 +57,10 @@ def test_against_brute_force(spark, options):
 
 def test_spelling_does_not_count(spark):
     item = "Der Straße-Café öffnet um neun Uhr, doch niemand kommt vor elf oder zwölf."
-    docs = [(1, "x " + item.upper() + " y"), (2, "ＤＥＲ strasse café öffnet​ um ne­un\nUhr doch -- niemand kommt vor elf oder zwolf"), (3, item.replace("elf", "zehn"))]
+    docs = [
+        (1, "x " + item.upper() + " y"), (2, "ＤＥＲ strasse café öffnet​ um ne­un\nUhr doch -- niemand kommt vor elf oder zwolf"),
+        (3, item.replace("elf", "zehn"))
+    ]
     assert literal(spark, docs, [(7, item)]) == [(1, 7), (2, 7)]
 
 

@@ -94,7 +94,10 @@ def test_unreachable_sources(spark):
 
 def test_nulls_empty_texts_and_empty_tables(spark):
     wanted = targets(spark, [("a", 1.0, 1)])
-    docs = sized(spark, [(1, "a", None, 0, ""), (2, "a", 0, 0, ""), (3, None, 5, 0, ""), (4, "z", 5, 0, ""), (None, "a", 5, 0, ""), (6, "a", 5, 0, ""), (6, "a", 5, 0, "")])
+    docs = sized(
+        spark,
+        [(1, "a", None, 0, ""), (2, "a", 0, 0, ""), (3, None, 5, 0, ""), (4, "z", 5, 0, ""), (None, "a", 5, 0, ""), (6, "a", 5, 0, ""), (6, "a", 5, 0, "")]
+    )
     assert sorted((r["doc_id"] or 0, r["repeats"]) for r in M.mixture(docs, wanted, block_tokens=8).collect()) == [(0, 1), (2, 1), (6, 1), (6, 1)]
     empty = sized(spark, [])
     assert M.mixture(empty, wanted).count() == 0
@@ -120,7 +123,9 @@ def test_found_comes_from_the_mixture(spark, tmp_path, monkeypatch):
 
     docs = [(i, "word " * (20 + i % 30), "a" if i % 3 else "b") for i in range(600)]
     spark.createDataFrame(docs, "doc_id bigint, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
-    spark.createDataFrame([("A", 0.5, 1), ("b", 0.3, 1), ("c", 0.1, 5), ("d", 0.1, 1)], "source string, target_share double, max_repeats int").write.parquet(str(tmp_path / "mix_targets.parquet"))
+    spark.createDataFrame(
+        [("A", 0.5, 1), ("b", 0.3, 1), ("c", 0.1, 5), ("d", 0.1, 1)], "source string, target_share double, max_repeats int"
+    ).write.parquet(str(tmp_path / "mix_targets.parquet"))
     ran, own = [], M.mixture
     monkeypatch.setattr(M, "mixture", lambda *a, **k: ran.append(1) or own(*a, **k))
     assert sorted(r["source"] for r in Q.p8_found(spark, str(tmp_path)).collect()) == ["c", "d"]

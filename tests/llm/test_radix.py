@@ -31,7 +31,12 @@ def check(spark, rows, **options):
 @pytest.mark.parametrize("options", [{}, {"broadcast_groups": 0}, {"gather": 0}, {"gather": 20, "broadcast_groups": 0}])
 def test_against_sorting(spark, options):
     rng = random.Random(5)
-    rows = [(rng.choice(["a", "b", None]), rng.choice([None, float("nan"), rng.gauss(0, 50), round(rng.uniform(-5, 90), 2), 1.0 + rng.randrange(9) * 2.0**-52]), 1, 2) for _ in range(3000)]
+    rows = [
+        (
+            rng.choice(["a", "b", None]),
+            rng.choice([None, float("nan"), rng.gauss(0, 50), round(rng.uniform(-5, 90), 2), 1.0 + rng.randrange(9) * 2.0**-52]), 1, 2
+        ) for _ in range(3000)
+    ]
     check(spark, rows, **options)
 
 

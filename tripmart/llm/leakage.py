@@ -417,7 +417,12 @@ def leaks(
                         parts.append(found.assign(row=np.array(row)[found["text"].astype(int)]))
                 if parts:
                     found = _merged(pd.concat(parts), ["row", "item"])
-                    yield pd.DataFrame({"doc_id": pdf["id"].to_numpy()[found["row"]], "item_id": index.value.ids[found["item"].astype(int)], "windows": found["windows"], "similarity": found["similarity"], "literal": found["literal"].astype(bool)})
+                    yield pd.DataFrame(
+                        {
+                            "doc_id": pdf["id"].to_numpy()[found["row"]], "item_id": index.value.ids[found["item"].astype(int)],
+                            "windows": found["windows"], "similarity": found["similarity"], "literal": found["literal"].astype(bool)
+                        }
+                    )
 
         return rows.mapInPandas(probe, FOUND)
 
@@ -435,14 +440,23 @@ def leaks(
             for row, texts in _chunks(pdf["text"], hashes, lengths[-1] - 1):
                 cut = [(row[k], w) for k, w in _Joined(texts).stretches(lengths, shingles, least_similarity)]
                 if cut:
-                    yield pd.DataFrame({"row": pdf["row"].to_numpy()[[k for k, _ in cut]], "doc_id": pdf["id"].to_numpy()[[k for k, _ in cut]], "h": [w.hashes.view(np.int64) for _, w in cut], "l": [w.letters for _, w in cut], "old": [w.old for _, w in cut]})
-
-    thinned = checkpoint(rows.withColumn("row", F.monotonically_increasing_id()).mapInPandas(thin, "row bigint, doc_id bigint, h array<bigint>, l array<bigint>, old bigint"))
+                    yield pd.DataFrame(
+                        {
+                            "row": pdf["row"].to_numpy()[[k for k, _ in cut]], "doc_id": pdf["id"].to_numpy()[[k for k, _ in cut]],
+                            "h": [w.hashes.view(np.int64) for _, w in cut], "l": [w.letters for _, w in cut], "old": [w.old for _, w in cut]
+                        }
+                    )
+
+    thinned = checkpoint(
+        rows.withColumn("row", F.monotonically_increasing_id()).mapInPandas(thin, "row bigint, doc_id bigint, h array<bigint>, l array<bigint>, old bigint")
+    )
     out = None
     for ids, block in _blocks(wanted, block_words):
         part = thinned.mapInPandas(_look_up(context.broadcast(Index(ids, block, run, radius)), least_similarity), f"row bigint, {FOUND}")
         out = part if out is None else out.unionByName(part)
-    return out.groupBy("row", "doc_id", "item_id").agg(F.sum("windows").alias("windows"), F.max("similarity").alias("similarity"), F.max("literal").alias("literal")).drop("row")
+    return out.groupBy("row", "doc_id", "item_id").agg(
+        F.sum("windows").alias("windows"), F.max("similarity").alias("similarity"), F.max("literal").alias("literal")
+    ).drop("row")
 
 
 def _all_blocks(ids: list, first: list, second: tuple, rest: Iterator) -> Iterator[tuple[list, list]]:
@@ -461,7 +475,10 @@ def _look_up(index, least: float):
                 found = index.value.matches([texts[k] for k in some], least)
                 if len(found):
                     at = some[found["text"].astype(int)]
-                    merged = _merged(found.assign(row=pdf["row"].to_numpy()[at], doc_id=pdf["doc_id"].to_numpy()[at], item_id=index.value.ids[found["item"].astype(int)]), ["row", "doc_id", "item_id"])
+                    merged = _merged(
+                        found.assign(row=pdf["row"].to_numpy()[at], doc_id=pdf["doc_id"].to_numpy()[at], item_id=index.value.ids[found["item"].astype(int)]),
+                        ["row", "doc_id", "item_id"]
+                    )
                     yield merged.assign(literal=merged["literal"].astype(bool))
 
     return probe

@@ -66,7 +66,9 @@ def source_name(c: Column) -> Column:
 
 
 def targets(table: DataFrame) -> DataFrame:
-    return table.where(F.col("source").isNotNull()).groupBy(source_name(F.col("source")).alias("source")).agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
+    return table.where(F.col("source").isNotNull()).groupBy(source_name(F.col("source")).alias("source")).agg(
+        F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats")
+    )
 
 
 def source_sizes(sized: DataFrame) -> DataFrame:
@@ -140,7 +142,10 @@ def sainte_lague(weights: Sequence[float], caps: Sequence[int], seats: int) -> l
     return [g + m for g, m in zip(got, more)]
 
 
-def mixture(sized: DataFrame, wanted: DataFrame, *, doc_id: str = "doc_id", total_tokens: int | None = None, block_tokens: int = 512, shard_tokens: int = 4_000_000, seed: int = 11) -> DataFrame:
+def mixture(
+    sized: DataFrame, wanted: DataFrame, *, doc_id: str = "doc_id", total_tokens: int | None = None, block_tokens: int = 512,
+    shard_tokens: int = 4_000_000, seed: int = 11
+) -> DataFrame:
     """``doc_id, source, n_tokens, repeats``: the documents taken. ``sized`` should be stored: it is read twice.
 
     ``total_tokens`` is the size aimed at, by default that of all documents.
@@ -149,7 +154,9 @@ def mixture(sized: DataFrame, wanted: DataFrame, *, doc_id: str = "doc_id", tota
     sizes = source_sizes(sized)
     shards = sizes.join(wanted, "source").select("source", F.greatest(F.lit(1), F.ceil(F.col("tokens") / shard_tokens)).cast("int").alias("shards"))
     place = F.xxhash64(F.col(doc_id), F.lit(seed))
-    rows = sized.where(F.col("n_tokens").isNotNull()).join(shards, "source").withColumns({"place": place, "shard": F.pmod(F.xxhash64(F.col(doc_id), F.lit(seed + 1)), F.col("shards")).cast("int")})
+    rows = sized.where(F.col("n_tokens").isNotNull()).join(shards, "source").withColumns(
+        {"place": place, "shard": F.pmod(F.xxhash64(F.col(doc_id), F.lit(seed + 1)), F.col("shards")).cast("int")}
+    )
     order = Window.partitionBy("source", "shard").orderBy("place", doc_id).rowsBetween(Window.unboundedPreceding, 0)
     blocked = rows.withColumn("block", F.floor((F.sum("n_tokens").over(order) - F.col("n_tokens")) / block_tokens))
     blocks = checkpoint(blocked.groupBy("source", "shard").agg((F.max("block") + 1).alias("blocks")))  # a row for each shard
@@ -173,7 +180,9 @@ def mixture(sized: DataFrame, wanted: DataFrame, *, doc_id: str = "doc_id", tota
         rows += [(name, b, g, m) for (b, _), g, m in zip(parties, got, more)]
     shares_of = sized.sparkSession.createDataFrame(rows, "source string, blocks bigint, each bigint, more bigint")
     first = F.row_number().over(Window.partitionBy("source", "blocks").orderBy("shard")) <= F.col("more")
-    per_shard = blocks.join(shares_of, ["source", "blocks"]).withColumn("quota", F.col("each") + F.when((F.col("more") > 0) & first, 1).otherwise(0)).select("source", "shard", "blocks", "quota")
+    per_shard = blocks.join(shares_of, ["source", "blocks"]).withColumn(
+        "quota", F.col("each") + F.when((F.col("more") > 0) & first, 1).otherwise(0)
+    ).select("source", "shard", "blocks", "quota")
     taken = blocked.join(per_shard, ["source", "shard"])
     times = F.floor(F.col("quota") / F.col("blocks")) + F.when(F.col("block") < F.col("quota") % F.col("blocks"), 1).otherwise(0)
     return taken.select(doc_id, "source", "n_tokens", times.cast("int").alias("repeats")).where("repeats > 0")
@@ -185,7 +194,11 @@ def shares(mix: DataFrame, sizes: DataFrame, wanted: DataFrame) -> DataFrame:
     taken = mix.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("taken_tokens"), F.max("repeats").alias("most_repeats"))
     zero = F.lit(0).cast("bigint")
     out = wanted.join(sizes, "source", "left").join(taken, "source", "left")
-    return out.select("source", "target_share", "max_repeats", F.coalesce("tokens", zero).alias("source_tokens"), F.coalesce("taken_tokens", zero).alias("taken_tokens"), F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"), F.coalesce(F.try_divide("taken_tokens", total), F.lit(0.0)).alias("reached_share"))
+    return out.select(
+        "source", "target_share", "max_repeats", F.coalesce("tokens", zero).alias("source_tokens"),
+        F.coalesce("taken_tokens", zero).alias("taken_tokens"), F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"),
+        F.coalesce(F.try_divide("taken_tokens", total), F.lit(0.0)).alias("reached_share")
+    )
 
 
 def stopped(reached: DataFrame, longest: int, *, block_tokens: int = 512, shard_tokens: int = 4_000_000) -> DataFrame:

@@ -35,10 +35,14 @@ def p5_load_histograms(spark: SparkSession, folder: str) -> DataFrame:
 def p5_bounds(spark: SparkSession, folder: str) -> DataFrame:
     """Each exact percentile, and whether the merged histograms of single loads hold it within their interval and stated error."""
     by = [*GRAIN, "field", "basis_points"]
-    near = p5_load_histograms(spark, folder).select(*[F.col(c).alias(f"__{c}") for c in by], F.col("value").alias("near"), "low", "high", F.col("group_rows").alias("merged_rows"))
+    near = p5_load_histograms(spark, folder).select(
+        *[F.col(c).alias(f"__{c}") for c in by], F.col("value").alias("near"), "low", "high", F.col("group_rows").alias("merged_rows")
+    )
     exact = p5_percentiles(spark, folder)
     met = exact.join(near, [exact[c].eqNullSafe(near[f"__{c}"]) for c in by], "left")
-    held = (F.col("low") <= F.col("value")) & (F.col("value") <= F.col("high")) & (F.abs(F.col("near") - F.col("value")) <= radix.RELATIVE_ERROR * F.abs(F.col("value")))
+    held = (F.col("low") <= F.col("value")) & (F.col("value") <= F.col("high")) & (
+        F.abs(F.col("near") - F.col("value")) <= radix.RELATIVE_ERROR * F.abs(F.col("value"))
+    )
     return met.select(*by, "value", "merged_rows", F.coalesce(held, F.lit(False)).alias("held"))
 
 

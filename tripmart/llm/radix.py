@@ -68,7 +68,9 @@ def select_bins(hist: DataFrame, by: Sequence[str], points: Sequence[int]) -> Da
     cumulated = hist.withColumn("upto", F.sum("n").over(ordered)).withColumn("group_rows", F.sum("n").over(Window.partitionBy(*by)))
     wanted = F.array(*[F.struct(F.lit(p).alias("basis_points"), _rank(F.lit(p).cast("bigint"), F.col("group_rows")).alias("rank")) for p in points])
     inside = F.filter(wanted, lambda w: (w["rank"] <= F.col("upto")) & (w["rank"] > F.col("upto") - F.col("n")))
-    return cumulated.where(F.size(inside) > 0).select(*by, "bin", "n", "low", "high", "group_rows", "upto", F.inline(inside)).withColumn("rank", F.col("rank") - (F.col("upto") - F.col("n"))).drop("upto")
+    return cumulated.where(F.size(inside) > 0).select(
+        *by, "bin", "n", "low", "high", "group_rows", "upto", F.inline(inside)
+    ).withColumn("rank", F.col("rank") - (F.col("upto") - F.col("n"))).drop("upto")
 
 
 def _inside(wide: DataFrame, chosen: DataFrame, names: Sequence[str], fields: Sequence[str], level: int, broadcast_groups: int) -> DataFrame:
@@ -80,17 +82,33 @@ def _inside(wide: DataFrame, chosen: DataFrame, names: Sequence[str], fields: Se
     same = [wide[n].eqNullSafe(state[f"__k{i}"]) for i, n in enumerate(names)]
     met = wide.join(state, same) if same else wide.crossJoin(state)  # without groups the state is one row
     shifted = lambda i: F.shiftright(f"__bits{i}", SHIFTS[level])
-    entries = F.array(*[F.when(F.array_contains(f"__bins{i}", shifted(i)), F.struct(F.lit(f).alias("field"), shifted(i).alias("bin"), F.col(f"__value{i}").alias("value"), F.col(f"__bits{i}").alias("bits"))) for i, f in enumerate(fields)])
+    entries = F.array(
+        *[
+            F.when(
+                F.array_contains(f"__bins{i}", shifted(i)),
+                F.struct(F.lit(f).alias("field"), shifted(i).alias("bin"), F.col(f"__value{i}").alias("value"), F.col(f"__bits{i}").alias("bits"))
+            ) for i, f in enumerate(fields)
+        ]
+    )
     return met.select("__group", F.inline(entries)).where(F.col("field").isNotNull())
 
 
-def percentiles(df: DataFrame, groups: dict[str, Column], fields: dict[str, Column], points: Sequence[int], *, gather: int = 32_768, broadcast_groups: int = 500_000) -> DataFrame:
+def percentiles(
+    df: DataFrame, groups: dict[str, Column], fields: dict[str, Column], points: Sequence[int], *, gather: int = 32_768,
+    broadcast_groups: int = 500_000
+) -> DataFrame:
     """Exact percentiles: groups, ``field``, ``basis_points``, ``value``, ``group_rows``."""
     names, places = list(groups), list(enumerate(fields.values()))
     out = [*names, "field", "basis_points", "value", "group_rows"]
     wide = df.select(*[c.alias(n) for n, c in groups.items()], *[_value(c).alias(f"__value{i}") for i, c in places])
     wide = wide.withColumns({f"__bits{i}": order_bits(F.col(f"__value{i}")) for i, _ in places})
-    first = F.array(*[F.struct(F.lit(f).alias("field"), F.shiftright(f"__bits{i}", SHIFTS[0]).alias("bin"), F.col(f"__value{i}").alias("value")) for i, f in enumerate(fields)])
+    first = F.array(
+        *[
+            F.struct(
+                F.lit(f).alias("field"), F.shiftright(f"__bits{i}", SHIFTS[0]).alias("bin"), F.col(f"__value{i}").alias("value")
+            ) for i, f in enumerate(fields)
+        ]
+    )
     by = [*names, "field"]
     hist = _counted(wide.select(*names, F.inline(first)).where(F.col("value").isNotNull()), [*by, "bin"])
     # a row for each group, field and percentile; groups get a number, so that later shuffles needn't carry their keys
@@ -102,18 +120,26 @@ def percentiles(df: DataFrame, groups: dict[str, Column], fields: dict[str, Colu
         open_ = chosen.where("low < high")
         small, large = open_.where(F.col("n") <= gather), open_.where(F.col("n") > gather)
         if not small.isEmpty():
-            values = _inside(wide, small, names, list(fields), level, broadcast_groups).groupBy("__group", "field", "bin").agg(F.collect_list("value").alias("values"))
+            values = _inside(
+                wide, small, names, list(fields), level, broadcast_groups
+            ).groupBy("__group", "field", "bin").agg(F.collect_list("value").alias("values"))
             found = small.select(*names, "__group", "field", "bin", "basis_points", "rank", "group_rows").join(values, ["__group", "field", "bin"])
             done.append(checkpoint(found.withColumn("value", F.sort_array("values")[(F.col("rank") - 1).cast("int")]).select(*out)))
         if large.isEmpty():
             break
         level += 1
-        kept = _inside(wide, large, names, list(fields), level - 1, broadcast_groups).withColumnRenamed("bin", "__above").withColumn("bin", F.shiftright("bits", SHIFTS[level]))
+        kept = _inside(
+            wide, large, names, list(fields), level - 1, broadcast_groups
+        ).withColumnRenamed("bin", "__above").withColumn("bin", F.shiftright("bits", SHIFTS[level]))
         inner = ["__group", "field", "__above"]
         cumulated = _counted(kept, [*inner, "bin"]).withColumn("upto", F.sum("n").over(Window.partitionBy(*inner).orderBy("bin")))
         ranks = large.select(*names, "__group", "field", F.col("bin").alias("__above"), "basis_points", "rank", "group_rows")
         met = cumulated.join(ranks, inner).where((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("n")))
-        chosen = checkpoint(met.withColumn("rank", F.col("rank") - (F.col("upto") - F.col("n"))).select(*by, "__group", "bin", "n", "low", "high", "basis_points", "rank", "group_rows"))
+        chosen = checkpoint(
+            met.withColumn("rank", F.col("rank") - (F.col("upto") - F.col("n"))).select(
+                *by, "__group", "bin", "n", "low", "high", "basis_points", "rank", "group_rows"
+            )
+        )
     result = done[0]
     for part in done[1:]:
         result = result.unionByName(part)
