@@ -43,9 +43,13 @@ def test_contract(spark):
 @pytest.mark.parametrize(
     "changes,rule",
     [
-        ({"driver_pay": None}, "Q001"), ({"pickup_datetime": datetime(2025, 2, 1), "dropoff_datetime": datetime(2025, 2, 2)}, "Q002"), ({"dropoff_datetime": datetime(2025, 1, 1, 8)}, "Q003"), ({"base_passenger_fare": -0.01}, "Q004"),
+        ({"driver_pay": None}, "Q001"), (
+            {"pickup_datetime": datetime(2025, 2, 1), "dropoff_datetime": datetime(2025, 2, 2)}, "Q002"
+        ), ({"dropoff_datetime": datetime(2025, 1, 1, 8)}, "Q003"), ({"base_passenger_fare": -0.01}, "Q004"),
         ({"driver_pay": -1.0}, "Q005"), ({"trip_time": -1}, "Q006"), ({"DOLocationID": 266}, "Q007"), ({"PULocationID": 0}, "Q007"),
-        ({"request_datetime": datetime(2025, 1, 1, 9)}, "W001"), ({"trip_miles": 0.0}, "W002"), ({"base_passenger_fare": 0.0}, "W003"), ({"trip_time": 21601}, "W004"),
+        (
+            {"request_datetime": datetime(2025, 1, 1, 9)}, "W001"
+        ), ({"trip_miles": 0.0}, "W002"), ({"base_passenger_fare": 0.0}, "W003"), ({"trip_time": 21601}, "W004"),
     ],
 )
 def test_each_rule_alone(spark, changes, rule):
@@ -69,8 +73,14 @@ def test_rule_counts_always_have_all_rules(spark):
 
 
 def dims(spark):
-    zones = spark.createDataFrame([(1, 1, "Old", "Gate", None, date(2024, 1, 1)), (1, 1, "New", "Gate", "Airports", date(2024, 6, 1)), (2, 2, "Old", "Pier", "EWR", date(2024, 1, 1))], "zone_key int, location_id int, borough string, zone string, service_zone string, first_loaded date")
-    companies = spark.createDataFrame([(1, "HV0012", "Lark", date(2024, 1, 1), None)], "company_key bigint, hvfhs_license_num string, company_name string, first_loaded date, removed_on date")
+    zones = spark.createDataFrame(
+        [(1, 1, "Old", "Gate", None, date(2024, 1, 1)), (1, 1, "New", "Gate", "Airports", date(2024, 6, 1)), (2, 2, "Old", "Pier", "EWR", date(2024, 1, 1))],
+        "zone_key int, location_id int, borough string, zone string, service_zone string, first_loaded date"
+    )
+    companies = spark.createDataFrame(
+        [(1, "HV0012", "Lark", date(2024, 1, 1), None)],
+        "company_key bigint, hvfhs_license_num string, company_name string, first_loaded date, removed_on date"
+    )
     return zones, companies
 
 
@@ -104,7 +114,10 @@ def test_trip_keys(spark):
 
 
 def test_facts_and_hourly(spark):
-    times = [{"request_datetime": datetime(2025, 1, 1, 7, 55)}, {"request_datetime": datetime(2025, 1, 1, 8)}, {"request_datetime": datetime(2025, 1, 1, 8, 2)}, {"request_datetime": None}]
+    times = [
+        {"request_datetime": datetime(2025, 1, 1, 7, 55)}, {"request_datetime": datetime(2025, 1, 1, 8)},
+        {"request_datetime": datetime(2025, 1, 1, 8, 2)}, {"request_datetime": None}
+    ]
     facts = star.fct_trips(bronze(spark, [trip(0, cbd_congestion_fee=None, driver_pay=float(i), **t) for i, t in enumerate(times)]))
     assert [r["wait_time_seconds"] for r in facts.orderBy("driver_pay").collect()] == [300, 0, None, None]
     assert facts.first()["total_fare"] == 28.05 and facts.first()["date_key"] == 20250101
@@ -114,7 +127,9 @@ def test_facts_and_hourly(spark):
 
 def test_dimensions(spark):
     days = star.dim_date(spark)
-    assert days.count() == 1461 and days.where("date_key = 20240229").first()["day_name"] == "Thursday" and days.where("is_weekend").count() == sum(date.fromordinal(date(2024, 1, 1).toordinal() + i).weekday() >= 5 for i in range(1461))
+    assert days.count() == 1461 and days.where("date_key = 20240229").first()["day_name"] == "Thursday" and days.where("is_weekend").count() == sum(
+        date.fromordinal(date(2024, 1, 1).toordinal() + i).weekday() >= 5 for i in range(1461)
+    )
     assert star.dim_time(spark).where("is_peak_hour").count() == 7
     star.check_calendar(Month(2027, 12))
     with pytest.raises(star.CalendarError):
@@ -127,7 +142,9 @@ def test_each_star_check_can_fail(spark):
     facts = star.fct_trips(bronze(spark, [trip(i) for i in range(4)]))
     keys = {"date_key": (star.dim_date(spark), "date_key"), "time_key": (star.dim_time(spark).where("hour <> 8"), "time_key")}
     failed = lambda *a: [r["name"] for r in star.checks(*a).where("not passed").collect()]
-    assert failed(5, facts.unionAll(facts.limit(1)), star.fct_trips_hourly(facts), keys) == ["trip keys are unique", "hourly trips add up to facts", "time_key finds its dimension row"]
+    assert failed(5, facts.unionAll(facts.limit(1)), star.fct_trips_hourly(facts), keys) == [
+        "trip keys are unique", "hourly trips add up to facts", "time_key finds its dimension row"
+    ]
     assert failed(3, facts, star.fct_trips_hourly(facts), {"date_key": keys["date_key"]}) == ["accepted trips are facts"]
 
 
@@ -136,7 +153,13 @@ COUNTS = "data_month date, rule_id string, severity string, description string,
 
 def test_spikes_and_monthly_quality(spark):
     m = [date(2025, i, 1) for i in (1, 3, 4)]
-    counts = spark.createDataFrame([(m[0], "A", "w", "d", 2, 10000), (m[1], "A", "w", "d", 300, 10000), (m[2], "A", "w", "d", 150, 10000), (m[0], "B", "w", "d", 0, 10000), (m[1], "B", "w", "d", 100, 10000), (m[2], "B", "w", "d", 99, 100)], COUNTS)
+    counts = spark.createDataFrame(
+        [
+            (m[0], "A", "w", "d", 2, 10000), (m[1], "A", "w", "d", 300, 10000), (m[2], "A", "w", "d", 150, 10000),
+            (m[0], "B", "w", "d", 0, 10000), (m[1], "B", "w", "d", 100, 10000), (m[2], "B", "w", "d", 99, 100)
+        ],
+        COUNTS
+    )
     rates = quality.rule_rates(counts)
     assert {(r["data_month"], r["rule_id"]) for r in quality.spikes(rates).collect()} == {(m[1], "A"), (m[1], "B")}
     assert rates.where("rule_id = 'B' AND is_spike").first()["rate_vs_previous_month"] is None
@@ -153,12 +176,21 @@ def test_previous_month_is_the_calendar_one(spark):
 
 def test_serving_refuses_what_it_cannot_answer(spark):
     eco = spark.createDataFrame([(date(2025, 1, 1), "Lark", "HV1", 5)], "data_month date, company string, hvfhs_license_num string, trips bigint")
-    hourly = spark.createDataFrame([(date(2025, 1, 1), 8, z, "B", "Z", n) for z, n in ((3, 5), (1, 5), (2, 9))], "data_month date, pickup_hour int, PULocationID int, pickup_borough string, pickup_zone string, trips bigint")
+    hourly = spark.createDataFrame(
+        [(date(2025, 1, 1), 8, z, "B", "Z", n) for z, n in ((3, 5), (1, 5), (2, 9))],
+        "data_month date, pickup_hour int, PULocationID int, pickup_borough string, pickup_zone string, trips bigint"
+    )
     assert [r["zone_id"] for r in serving.busiest_zones(hourly, eco, "2025-01", limit=2).collect()] == [2, 1]
     assert serving.driver_economics(eco, "2025-01", company="x").count() == 0
     with pytest.raises(serving.NotServed, match="2025-01"):
         serving.driver_economics(eco, "2024-01")
-    for wrong in (lambda: serving.driver_economics(eco, "2025-1"), lambda: serving.busiest_zones(hourly, eco, "2025-01", hour=24), lambda: serving.busiest_zones(hourly, eco, "2025-01", limit=51), lambda: serving.daily_trips(eco, date(2025, 2, 1), date(2025, 1, 1)), lambda: serving.daily_trips(eco, date(2025, 1, 1), date(2025, 4, 3))):
+    for wrong in (
+        lambda: serving.driver_economics(eco, "2025-1"), lambda: serving.busiest_zones(hourly, eco, "2025-01", hour=24), lambda: serving.busiest_zones(
+            hourly, eco, "2025-01", limit=51
+        ), lambda: serving.daily_trips(
+            eco, date(2025, 2, 1), date(2025, 1, 1)
+        ), lambda: serving.daily_trips(eco, date(2025, 1, 1), date(2025, 4, 3))
+    ):
         with pytest.raises(serving.BadRequest):
             wrong()
     daily = spark.createDataFrame([], "data_month date, trip_date date, company string, hvfhs_license_num string")
@@ -179,8 +211,12 @@ def lake(spark, tmp_path):
     raw = tmp_path / "raw"
     rows = [trip(i, hvfhs_license_num=f"HV000{i % 3}") for i in range(40)] + [trip(50, driver_pay=-1.0)]
     frame(spark, rows).coalesce(1).write.parquet(str(raw / "fhvhv" / "fhvhv_tripdata_2025-01.parquet"))
-    frame(spark, [trip(i, month=2) for i in range(7)]).drop("cbd_congestion_fee").coalesce(1).write.parquet(str(raw / "fhvhv" / "fhvhv_tripdata_2025-02.parquet"))
-    (raw / "taxi_zone_lookup.csv").write_text("LocationID,Borough,Zone,service_zone\n" + "".join(f"{i},B{i % 2},Z{i},{'Airports' if i == 1 else 'Boro Zone'}\n" for i in range(1, 266)))
+    frame(spark, [trip(i, month=2) for i in range(7)]).drop("cbd_congestion_fee").coalesce(1).write.parquet(
+        str(raw / "fhvhv" / "fhvhv_tripdata_2025-02.parquet")
+    )
+    (raw / "taxi_zone_lookup.csv").write_text(
+        "LocationID,Borough,Zone,service_zone\n" + "".join(f"{i},B{i % 2},Z{i},{'Airports' if i == 1 else 'Boro Zone'}\n" for i in range(1, 266))
+    )
     return pipeline.Lake(spark, str(tmp_path / "lake"), str(raw))
 
 
@@ -224,7 +260,13 @@ def test_timing():
     got = timing.measure({"a": lambda: None, "b": lambda: None}, 2, clock=lambda: next(ticks))
     assert got == {"a": [1, 1], "b": [1, 1], "total": [2, 2]} and timing.Spread.of([3, 1, 2]) == timing.Spread(2, 1, 3)
     assert "| total | 2.00 |" in timing.report("t", got)
-    runs = [{"run_id": 1, "start_time": 0, "end_time": 9000, "state": {"result_state": "SUCCESS"}, "job_parameters": [{"name": "month", "value": "2025-01"}], "tasks": [{"task_key": "x", "start_time": 1000, "end_time": 3500}]}, {"run_id": 2, "state": {"result_state": "FAILED"}}]
+    runs = [
+        {
+            "run_id": 1, "start_time": 0, "end_time": 9000, "state": {"result_state": "SUCCESS"},
+            "job_parameters": [{"name": "month", "value": "2025-01"}], "tasks": [{"task_key": "x", "start_time": 1000, "end_time": 3500}]
+        },
+        {"run_id": 2, "state": {"result_state": "FAILED"}}
+    ]
     for text in (json.dumps(runs), json.dumps({"runs": runs})):
         assert timing.job_runs(text) == [{"run_id": 1, "parameters": {"month": "2025-01"}, "tasks": {"x": 2.5}, "seconds": 9.0}]
 
@@ -253,7 +295,10 @@ def test_http_answers(lake, tmp_path):
         assert get("/health")["months"] == ["2025-01-01"] and sum(r["trips"] for r in get("/drivers/economics?month=2025-01")) == 40
         assert len(get("/zones/busiest?month=2025-01&limit=3")) == 3 and get("/quality/monthly")[0]["rows_quarantined"] == 1
         assert get("/trips/daily?start=2025-01-01&end=2025-01-02") and get("/trips/daily?start=2025-01-01&end=2025-01-02&company=x") == []
-        for path, status in (("/drivers/economics", 422), ("/drivers/economics?month=2024-01", 404), ("/zones/busiest?month=2025-01&hour=x", 422), ("/trips/daily?start=1&end=2", 422), ("/x", 404)):
+        for path, status in (
+            ("/drivers/economics", 422), ("/drivers/economics?month=2024-01", 404), ("/zones/busiest?month=2025-01&hour=x", 422),
+            ("/trips/daily?start=1&end=2", 422), ("/x", 404)
+        ):
             with pytest.raises(urllib.error.HTTPError) as error:
                 get(path)
             assert error.value.code == status
@@ -277,7 +322,12 @@ def test_a_job_on_named_tables_of_any_storage(lake, tmp_path, spark):
 
 def test_reports(lake, tmp_path, capsys):
     out = str(tmp_path / "reports")
-    runs = [{"run_id": 7, "start_time": 0, "end_time": 9000, "state": {"result_state": "SUCCESS"}, "job_parameters": [{"name": "month", "value": "2025-01"}], "tasks": [{"task_key": "x", "start_time": 1000, "end_time": 3500}]}]
+    runs = [
+        {
+            "run_id": 7, "start_time": 0, "end_time": 9000, "state": {"result_state": "SUCCESS"},
+            "job_parameters": [{"name": "month", "value": "2025-01"}], "tasks": [{"task_key": "x", "start_time": 1000, "end_time": 3500}]
+        }
+    ]
     (tmp_path / "runs.json").write_text(json.dumps(runs))
     assert run(lake, "job-timings", "--runs", str(tmp_path / "runs.json"), "--out", out) == 0
     text = (tmp_path / "reports" / "job.md").read_text()

@@ -18,7 +18,9 @@ def test_order_bits_are_those_of_the_doubles(spark):
     values += [math.nextafter(v, 0.0) for v in values] + [math.nextafter(v, math.inf) for v in values]
     values += [struct.unpack(">d", rng.randbytes(8))[0] for _ in range(5000)] + [round(rng.lognormvariate(3, 1), 2) for _ in range(2000)] + [0.0, math.inf]
     values = [s * v for v in values if not math.isnan(v) for s in (1, -1)]
-    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", order_bits(F.col("v")).alias("b"), leading_bits(F.col("v"), 24).alias("d")).collect()
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select(
+        "v", order_bits(F.col("v")).alias("b"), leading_bits(F.col("v"), 24).alias("d")
+    ).collect()
     assert all(r["b"] == bits(r["v"]) and r["d"] == bits(r["v"]) >> 40 for r in rows)
 
 

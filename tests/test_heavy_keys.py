@@ -14,14 +14,22 @@ def table(spark, rows):
 
 def some(seed=1, n=4000):
     rng = random.Random(seed)
-    return [(rng.choice(["a", "b", None]), rng.choice(["x"] * 8 + ["y", "z", None]), rng.choice([1] * 5 + [*range(2, 40), None]), rng.choice([None, 1.0, 2.5]), 7, 9) for _ in range(n)]
+    return [
+        (
+            rng.choice(["a", "b", None]), rng.choice(["x"] * 8 + ["y", "z", None]), rng.choice([1] * 5 + [*range(2, 40), None]),
+            rng.choice([None, 1.0, 2.5]), 7, 9
+        ) for _ in range(n)
+    ]
 
 
 def test_salted_aggregate_equals_group_by(spark):
     df = table(spark, some())
     parts = [H.count("rows"), H.total("pay", F.col("pay")), H.smallest("least", F.col("pay")), H.largest("most", F.col("pay")), H.mean("mean", F.col("pay"))]
     got = H.salted_aggregate(df, ["lic", "zone"], parts, max_heavy=20, salts=7)
-    want = df.groupBy("lic", "zone").agg(F.count(F.lit(1)).alias("rows"), F.sum("pay").alias("pay"), F.min("pay").alias("least"), F.max("pay").alias("most"), F.avg("pay").alias("mean"))
+    want = df.groupBy("lic", "zone").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("pay").alias("pay"), F.min("pay").alias("least"), F.max("pay").alias("most"),
+        F.avg("pay").alias("mean")
+    )
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 

@@ -60,7 +60,9 @@ def test_against_brute_force(spark):
     want = brute(rows)
     assert {r["event_id"] for r in got.where("late").collect()} == want and len(want) > 20
     assert windows(got).agg({"late_trips": "sum"}).first()[0] == len(want)
-    assert kslack.with_final(kslack.revisions(got, GROUPS, every_minutes=15), GROUPS).where("is_final").agg({"trips_so_far": "sum"}).first()[0] == got.where("not late").count()
+    assert kslack.with_final(
+        kslack.revisions(got, GROUPS, every_minutes=15), GROUPS
+    ).where("is_final").agg({"trips_so_far": "sum"}).first()[0] == got.where("not late").count()
 
 
 def test_the_limit_itself_is_late_and_equal_sendings_do_not_precede(spark):

@@ -18,7 +18,9 @@ def root(tmp_path):
 
 
 def lives(spark, dims, days=()):
-    return O.parents(spark.createDataFrame(dims, DIM), "zone", "k", "first_loaded", "removed_on").unionByName(O.parents(spark.createDataFrame([(d,) for d in days], "k int"), "day", "k"))
+    return O.parents(
+        spark.createDataFrame(dims, DIM), "zone", "k", "first_loaded", "removed_on"
+    ).unionByName(O.parents(spark.createDataFrame([(d,) for d in days], "k int"), "day", "k"))
 
 
 def state(spark, root, facts, dims, days=()):
@@ -38,7 +40,10 @@ def test_lives_nulls_repeats_and_clashing_columns(spark, root):
         (6, 9, 5, M[2], "x", "y"), (6, 9, 5, M[2], "x", "y"), (7, 8, 5, None, "x", "y"), (8, 8, 4, None, "x", "y"), (9, 10, 5, M[2], "x", "y"),
     ]
     # 7: in force to 10 February and again from 30 April; 8: always; 10: a span that is empty
-    dims = [(7, date(2024, 1, 1), date(2025, 2, 11)), (7, date(2025, 4, 30), None), (8, None, None), (8, None, None), (10, date(2025, 2, 1), date(2025, 2, 1)), (None, None, None)]
+    dims = [
+        (7, date(2024, 1, 1), date(2025, 2, 11)), (7, date(2025, 4, 30), None), (8, None, None), (8, None, None),
+        (10, date(2025, 2, 1), date(2025, 2, 1)), (None, None, None)
+    ]
     f, st = state(spark, root, facts, dims, days=(5, 6, 6))
     assert found(f, st) == [(3, "zone"), (6, "zone"), (6, "zone"), (8, "day"), (9, "zone")]
     assert len(found(f, st, broadcast_keys=0)) == 5

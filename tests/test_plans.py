@@ -24,7 +24,12 @@ def written(spark, tmp_path):
 
 
 def read_columns(df):
-    return {c for s in re.findall(r"ReadSchema: struct<([^>]*)", df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))) for c in re.findall(r"(\w+):", s)}
+    return {
+        c for s in re.findall(
+            r"ReadSchema: struct<([^>]*)",
+            df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        ) for c in re.findall(r"(\w+):", s)
+    }
 
 
 def test_scans_read_only_the_columns_they_need(spark, tmp_path):
@@ -35,7 +40,10 @@ def test_scans_read_only_the_columns_they_need(spark, tmp_path):
 
 def test_rules_and_trip_keys_do_not_shuffle_wide_rows(spark, tmp_path):
     evaluated = rules.evaluate(written(spark, tmp_path))
-    zones = spark.createDataFrame([(1, 1, "B", "Z", None, date(2024, 1, 1))], "zone_key int, location_id int, borough string, zone string, service_zone string, first_loaded date")
+    zones = spark.createDataFrame(
+        [(1, 1, "B", "Z", None, date(2024, 1, 1))],
+        "zone_key int, location_id int, borough string, zone string, service_zone string, first_loaded date"
+    )
     silver = layers.silver(layers.with_zone_names(evaluated, zones))
     text = plan(silver)
     assert "Exchange hashpartitioning" not in text.split("BroadcastExchange")[0] and "CartesianProduct" not in text and "NestedLoop" not in text
@@ -49,7 +57,10 @@ def test_no_join_without_a_condition(spark, tmp_path):
     lives = orphans.parents(spark.createDataFrame([(7, None, None)], "k int, b date, e date"), "zone", "k", "b", "e")
     state, refs = orphans.OrphanState(spark, str(tmp_path / "o")), orphans.references(facts, ["zone"], "data_month")
     state.replay(refs, lives)
-    assert not re.search("CartesianProduct|NestedLoop", plan(state._unmet(refs, lives)) + plan(orphans.orphan_rows(facts, state.read("found"), ["zone"], "data_month")))
+    assert not re.search(
+        "CartesianProduct|NestedLoop",
+        plan(state._unmet(refs, lives)) + plan(orphans.orphan_rows(facts, state.read("found"), ["zone"], "data_month"))
+    )
 
 
 def test_months_of_a_table_are_pruned_to_their_folders(spark, tmp_path):
@@ -57,4 +68,6 @@ def test_months_of_a_table_are_pruned_to_their_folders(spark, tmp_path):
     for m in (1, 2):
         table.replace_month(spark.createDataFrame([(m, date(2025, m, 1))], "k int, data_month date"), Month(2025, m))
     one = table.read(months=[Month(2025, 2)])
-    assert len(one.inputFiles()) < len(table.read().inputFiles()) and "PushedFilters: [IsNotNull(data_month)" in one._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert len(one.inputFiles()) < len(table.read().inputFiles()) and "PushedFilters: [IsNotNull(data_month)" in one._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from tripmart.operators import profile
 
 DDL = "lic string, zone int, miles double, secs bigint, _source_file string, data_month date, feed string, n0 int"
-CHECKS = [profile.Check("lic", pattern=r"^HV[0-9]{4}\z", distinct=True), profile.Check("zone", least=1, most=265, distinct=True), profile.Check("miles", least=0, median=True), profile.Check("secs", least=0)]
+CHECKS = [
+    profile.Check("lic", pattern=r"^HV[0-9]{4}\z", distinct=True), profile.Check("zone", least=1, most=265, distinct=True),
+    profile.Check("miles", least=0, median=True), profile.Check("secs", least=0)
+]
 JAN, FEB = date(2025, 1, 1), date(2025, 2, 1)
 
 
@@ -29,7 +32,9 @@ GOOD = [(f"HV000{i % 5}", 1 + i % 20, 1.0 + i % 3, 60) for i in range(100)]
 def test_findings_of_each_kind(spark):
     bad = [("HV0001" if i % 2 else "hv0001", 300 if i < 2 else 7, 3.0 * (1 + i % 3), None if i < 6 else -5 if i < 9 else 60) for i in range(100)]
     assert findings(spark, load(JAN, "a", GOOD) + load(FEB, "a", bad) + load(FEB, "b", bad)) == [
-        ("2025-02_a", "lic", "distinct"), ("2025-02_a", "lic", "pattern"), ("2025-02_a", "miles", "median"), ("2025-02_a", "secs", "null_rate"), ("2025-02_a", "secs", "range"), ("2025-02_a", "zone", "distinct"), ("2025-02_a", "zone", "range"),
+        ("2025-02_a", "lic", "distinct"), ("2025-02_a", "lic", "pattern"), ("2025-02_a", "miles", "median"), (
+            "2025-02_a", "secs", "null_rate"
+        ), ("2025-02_a", "secs", "range"), ("2025-02_a", "zone", "distinct"), ("2025-02_a", "zone", "range"),
         ("2025-02_b", "lic", "pattern"), ("2025-02_b", "secs", "range"), ("2025-02_b", "zone", "range"),
     ]
 
@@ -53,13 +58,23 @@ def test_nulls_repeats_and_missing_loads(spark):
 
 def test_recorded_figures(spark):
     p = profiles(spark, load(JAN, "a", GOOD + [(None, 999, 1.0, 1)]))
-    recorded = spark.createDataFrame([("f_2025-01_a.parquet", "lic", 2, None), ("f_2025-01_a.parquet", "zone", 0, 3), ("f_2025-01_a.parquet", "zone", 0, 3), ("f_2025-01_a.parquet", "miles", 0, None), ("gone", "lic", 5, None)], "source_file string, column_name string, nulls bigint, zones_out_of_range bigint")
+    recorded = spark.createDataFrame(
+        [
+            ("f_2025-01_a.parquet", "lic", 2, None), ("f_2025-01_a.parquet", "zone", 0, 3), ("f_2025-01_a.parquet", "zone", 0, 3),
+            ("f_2025-01_a.parquet", "miles", 0, None), ("gone", "lic", 5, None)
+        ],
+        "source_file string, column_name string, nulls bigint, zones_out_of_range bigint"
+    )
     assert sorted((r[1], r[2]) for r in profile.against_records(p, recorded, ["zone"]).collect()) == [("lic", "recorded_nulls"), ("zone", "recorded_zones")]
 
 
 def test_rule_rates(spark):
     ddl = "source_file string, data_month date, rule_id string, matched_rows bigint, total_rows bigint"
-    rows = [("x_1_a.p", JAN, "R", 10, 1000), ("x_1_a.p", JAN, "R", 10, 1000), ("x_2_a.p", FEB, "R", 21, 1000), ("x_1_a.p", JAN, "S", 10, 1000), ("x_2_a.p", FEB, "S", 20, 1000), ("x_1_a.p", JAN, "T", 1, 1000), ("x_2_a.p", FEB, "T", 19, 1000), ("x_1_b.p", JAN, "R", 0, 1000), ("x_2_b.p", FEB, "R", 20, 1000)]
+    rows = [
+        ("x_1_a.p", JAN, "R", 10, 1000), ("x_1_a.p", JAN, "R", 10, 1000), ("x_2_a.p", FEB, "R", 21, 1000), ("x_1_a.p", JAN, "S", 10, 1000),
+        ("x_2_a.p", FEB, "S", 20, 1000), ("x_1_a.p", JAN, "T", 1, 1000), ("x_2_a.p", FEB, "T", 19, 1000), ("x_1_b.p", JAN, "R", 0, 1000),
+        ("x_2_b.p", FEB, "R", 20, 1000)
+    ]
     got = profile.rule_rates(spark.createDataFrame(rows, ddl)).collect()
     assert sorted((r["source_file"], r["column_name"]) for r in got) == [("x_2_a.p", "R"), ("x_2_b.p", "R")]
 
@@ -74,7 +89,12 @@ def test_states_merge(spark):
 
 def test_figures_against_counting(spark):
     rng = random.Random(3)
-    rows = [(rng.choice(["HV0001", "HV0002", "bad", None, "HV12345"]), rng.choice([None, -4, 0, 1, 7, 265, 266, 999]), rng.choice([None, -1.5, 0.0, -0.0, 2.25, rng.uniform(0, 90)]), rng.choice([None, -3, 0, 60, 61])) for _ in range(700)]
+    rows = [
+        (
+            rng.choice(["HV0001", "HV0002", "bad", None, "HV12345"]), rng.choice([None, -4, 0, 1, 7, 265, 266, 999]),
+            rng.choice([None, -1.5, 0.0, -0.0, 2.25, rng.uniform(0, 90)]), rng.choice([None, -3, 0, 60, 61])
+        ) for _ in range(700)
+    ]
     got = {r["column_name"]: r for r in profiles(spark, load(JAN, "a", rows)).collect()}
     for i, k in enumerate(CHECKS):
         v = [r[i] for r in rows if r[i] is not None]
@@ -116,7 +136,12 @@ def test_every_column_has_distinct_values_and_range(spark, tmp_path):
     trips = spark.read.parquet("/root/testdata/sf0.001/trips.parquet")
     got = problems.p6_columns(spark, "/root/testdata/sf0.001").collect()
     assert {r["column_name"] for r in got} == set(trips.columns) - {"_source_file", "data_month"}
-    exact = {r["_source_file"]: r for r in trips.where("_source_file is not null").groupBy("_source_file").agg(F.countDistinct("request_datetime").alias("times"), F.min("request_datetime").cast("string").alias("low"), F.countDistinct("tips").alias("tips"), F.max("wav_match_flag").alias("flag")).collect()}
+    exact = {
+        r["_source_file"]: r for r in trips.where("_source_file is not null").groupBy("_source_file").agg(
+            F.countDistinct("request_datetime").alias("times"), F.min("request_datetime").cast("string").alias("low"),
+            F.countDistinct("tips").alias("tips"), F.max("wav_match_flag").alias("flag")
+        ).collect()
+    }
     by = {(r["source_file"], r["column_name"]): r for r in got}
     for load, e in exact.items():
         assert abs(by[load, "request_datetime"]["distinct_values"] - e["times"]) <= 0.06 * e["times"] and by[load, "request_datetime"]["least"] == e["low"]

@@ -9,7 +9,11 @@ def cluster(master, folder=None):
     """What checkpoint_dir asks of a session, without a cluster."""
     unset = SimpleNamespace(isDefined=lambda: False)
     made = []
-    context = SimpleNamespace(master=master, getConf=lambda: {"spark.checkpoint.dir": folder} if folder else {}, _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: unset)), setCheckpointDir=made.append)
+    context = SimpleNamespace(
+        master=master, getConf=lambda: {"spark.checkpoint.dir": folder} if folder else {}, _jsc=SimpleNamespace(
+            sc=lambda: SimpleNamespace(getCheckpointDir=lambda: unset)
+        ), setCheckpointDir=made.append
+    )
     return SimpleNamespace(sparkContext=context), made
 
 

@@ -21,7 +21,15 @@ DAY = date(2025, 1, 15)
 
 def put(folder, name, *events):
     folder.mkdir(parents=True, exist_ok=True)
-    (folder / name).write_text("".join((e if isinstance(e, str) else json.dumps({"event_id": f"{name}{i}", "pickup_zone_id": e[0], "event_time": (T0 + timedelta(minutes=e[1])).isoformat()})) + "\n" for i, e in enumerate(events)))
+    (folder / name).write_text(
+        "".join(
+            (
+                e if isinstance(e, str) else json.dumps(
+                    {"event_id": f"{name}{i}", "pickup_zone_id": e[0], "event_time": (T0 + timedelta(minutes=e[1])).isoformat()}
+                )
+            ) + "\n" for i, e in enumerate(events)
+        )
+    )
 
 
 def counted(table):
@@ -53,7 +61,11 @@ def test_batch_model_equals_the_stream(spark, tmp_path):
     table = Table(spark, str(tmp_path / "t"))
     pickups.run_until_caught_up(spark, str(folder), table, str(tmp_path / "c"))
     model = pickups.batch_model(spark.createDataFrame(events, "k int, pickup_zone_id int, event_time timestamp"), "k")
-    kept = {(r["window_start"].strftime("%d %H:%M"), r["pickup_zone_id"]): r["n"] for r in model.where("not dropped").groupBy("window_start", "pickup_zone_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    kept = {
+        (
+            r["window_start"].strftime("%d %H:%M"), r["pickup_zone_id"]
+        ): r["n"] for r in model.where("not dropped").groupBy("window_start", "pickup_zone_id").agg(F.count(F.lit(1)).alias("n")).collect()
+    }
     assert kept == {(r["window_start"].strftime("%d %H:%M"), r["pickup_zone_id"]): r["trips"] for r in table.read().collect()}
     dropped = model.where("dropped").count()
     batch, stream = (f.withColumn("zone", F.col("zone") + 0) for f in (reconcile.hourly_from_events(model), reconcile.hourly_from_windows(table.read())))
@@ -95,7 +107,9 @@ def test_replay_keeps_the_pace():
 
 
 def test_a_day_is_numbered_in_order_and_sent_in_equal_files(spark, tmp_path):
-    rows = [trip(i, pickup_datetime=datetime(2025, 1, 15, i * 7 % 24, i % 60), driver_pay=float(i)) for i in range(50)] + [trip(1, pickup_datetime=datetime(2025, 1, 16))]
+    rows = [
+        trip(i, pickup_datetime=datetime(2025, 1, 15, i * 7 % 24, i % 60), driver_pay=float(i)) for i in range(50)
+    ] + [trip(1, pickup_datetime=datetime(2025, 1, 16))]
     day = replay.events_of_day(contract.conform(frame(spark, rows), Month(2025, 1), "f"), DAY)
     got = sorted((r["event_time"], int(r["event_id"].rpartition("-")[2])) for r in day.collect())
     assert [n for _, n in got] == list(range(1, 51))
@@ -139,13 +153,19 @@ def test_runs_of_a_day(spark):
     at = datetime(2025, 1, 1, tzinfo=timezone.utc)
     rows = [("a", DAY, at, at, 1, 5, 2), ("b", DAY, at, at, 1, 5, 3), ("c", date(2025, 1, 16), at, at, 1, 5, 9)]
     runs = spark.createDataFrame(rows, pickups.RUN)
-    assert tuple(pickups.dropped_in_runs(runs).first()) == (3, 14) and tuple(pickups.dropped_in_runs(runs, DAY).first()) == (2, 5) and tuple(pickups.dropped_in_runs(runs.limit(0), DAY).first()) == (0, 0)
+    assert tuple(pickups.dropped_in_runs(runs).first()) == (3, 14) and tuple(pickups.dropped_in_runs(runs, DAY).first()) == (2, 5) and tuple(
+        pickups.dropped_in_runs(runs.limit(0), DAY).first()
+    ) == (0, 0)
 
 
 def test_a_plan_is_sent_in_parts_at_a_pace(spark):
     events = spark.createDataFrame([(f"e{i}", T0 + timedelta(seconds=10 * i)) for i in range(60)], "event_id string, send_time timestamp")
     now, sent = [0.0], []
-    n = replay.paced(events, lambda df, k: sent.append((now[0], [r["event_id"] for r in df.orderBy("send_time").collect()])), 5, 60, clock=lambda: now[0], sleep=lambda s: now.__setitem__(0, now[0] + s))
+    n = replay.paced(
+        events, lambda df, k: sent.append(
+            (now[0], [r["event_id"] for r in df.orderBy("send_time").collect()])
+        ), 5, 60, clock=lambda: now[0], sleep=lambda s: now.__setitem__(0, now[0] + s)
+    )
     assert n == 5 and [e for _, part in sent for e in part] == [f"e{i}" for i in range(60)] and [round(t) for t, _ in sent] == [0, 2, 4, 6, 8]
     assert replay.paced(events.limit(0), None, 5) == 0
     with pytest.raises(ValueError):
@@ -169,7 +189,10 @@ def test_commands_replay_and_stream(spark, tmp_path):
 
     lake = ["--lake", str(tmp_path / "lake"), "--data", str(tmp_path), "--day", str(DAY)]
     assert cli.main(["replay", *lake], spark=spark) == 1
-    events = spark.createDataFrame([(f"e{i}", "HV0001", 1 + i % 3, T0 + timedelta(minutes=i)) for i in range(90)], "event_id string, hvfhs_license_num string, pickup_zone_id int, event_time timestamp")
+    events = spark.createDataFrame(
+        [(f"e{i}", "HV0001", 1 + i % 3, T0 + timedelta(minutes=i)) for i in range(90)],
+        "event_id string, hvfhs_license_num string, pickup_zone_id int, event_time timestamp"
+    )
     events.write.parquet(f"{tmp_path}/lake/events/event_date={DAY}")
     assert cli.main(["replay", *lake, "--late-share", "0", "--files", "3", "--speed", "1000000"], spark=spark) == 0
     assert len(list((tmp_path / "lake" / "stream" / "in").glob("*.json"))) == 3

@@ -116,19 +116,29 @@ def _run(a: argparse.Namespace, lake: pipeline.Lake) -> int:
             raise MissingInput(f"no events of {a.day}; run replay-extract first")
         planned = replay.planned_frame(lake.spark.read.parquet(folder), a.late_share, a.most_minutes, a.seed)
         print(replay.summary(planned).first())
-        send = (lambda df, n: pickups.send_kafka(df, a.bootstrap, a.topic)) if a.bootstrap else (lambda df, n: replay.drop_files(df, f"{stream}/in", 1, f"{a.day}-{n:06d}-"))
+        send = (lambda df, n: pickups.send_kafka(df, a.bootstrap, a.topic)) if a.bootstrap else (
+            lambda df, n: replay.drop_files(df, f"{stream}/in", 1, f"{a.day}-{n:06d}-")
+        )
         if a.speed or a.bootstrap:
             print(replay.paced(planned, send, a.files, a.speed))
         else:
             replay.drop_files(planned, f"{stream}/in", a.files, str(a.day))
     elif a.command == "stream":
         source = pickups.kafka_events(lake.spark, a.bootstrap, a.topic, a.most_offsets) if a.bootstrap else f"{stream}/in"
-        print(pickups.run_until_caught_up(lake.spark, source, lake.table("stream/pickups"), f"{stream}/checkpoint", lake.table("stream/runs"), a.day, files_per_trigger=a.files_per_trigger, seconds=a.seconds))
+        print(
+            pickups.run_until_caught_up(
+                lake.spark, source, lake.table("stream/pickups"), f"{stream}/checkpoint", lake.table("stream/runs"), a.day,
+                files_per_trigger=a.files_per_trigger, seconds=a.seconds
+            )
+        )
     elif a.command == "reconcile":
         events = lake.spark.read.parquet(f"{lake.root}/events/event_date={a.day}")
         files = lake.spark.read.schema(pickups.EVENT).json(f"{stream}/in").withColumn("file", F.input_file_name())
         dropped = pickups.batch_model(pickups.valid(files), "file").where(F.col("dropped") & (F.to_date("event_time") == F.lit(a.day))).count()
-        verdict = reconcile.compare(reconcile.hourly_from_events(events), reconcile.hourly_from_windows(lake.table("stream/pickups").read().where(F.to_date("window_start") == F.lit(a.day))), dropped)
+        verdict = reconcile.compare(
+            reconcile.hourly_from_events(events),
+            reconcile.hourly_from_windows(lake.table("stream/pickups").read().where(F.to_date("window_start") == F.lit(a.day))), dropped
+        )
         storage.write_text(lake.spark, f"{storage.located(a.out)}/reconciliation_{a.day}.md", reconcile.report(str(a.day), verdict))
         print(verdict)
         return 0 if verdict.reconciled else 1

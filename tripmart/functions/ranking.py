@@ -20,4 +20,6 @@ def numbered(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     sizes = cut.groupBy(F.col("__range").alias("__r")).agg(F.count(F.lit(1)).alias("__n"))
     before = sizes.select("__r", (F.sum("__n").over(Window.orderBy("__r")) - F.col("__n")).alias("__before"))
     place = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
-    return cut.withColumn("__place", place).join(F.broadcast(before), F.col("__range") == F.col("__r")).withColumn(name, F.col("__place") + F.col("__before")).drop("__range", "__r", "__before", "__place")
+    return cut.withColumn("__place", place).join(
+        F.broadcast(before), F.col("__range") == F.col("__r")
+    ).withColumn(name, F.col("__place") + F.col("__before")).drop("__range", "__r", "__before", "__place")

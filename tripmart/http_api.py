@@ -27,8 +27,14 @@ class Service:
             "/health": lambda: {"status": "ok", "months": serving.months(economics)},
             "/drivers/economics": lambda: serving.driver_economics(economics, _need(given, "month"), given.get("company")),
             "/trips/daily": lambda: serving.daily_trips(self.tables["daily_company_trips"], _day(given, "start"), _day(given, "end"), given.get("company")),
-            "/zones/busiest": lambda: serving.busiest_zones(self.tables["hourly_pickup_zones"], economics, _need(given, "month"), _whole(given, "hour", None), _whole(given, "limit", 10)),
-            "/quality/monthly": lambda: serving.monthly_quality(self.tables["quality_months"].withColumn("quarantine_rate", F.try_divide("rows_quarantined", "rows_checked")), self.tables["rule_counts"]),
+            "/zones/busiest": lambda: serving.busiest_zones(
+                self.tables["hourly_pickup_zones"], economics, _need(given, "month"), _whole(given, "hour", None),
+                _whole(given, "limit", 10)
+            ),
+            "/quality/monthly": lambda: serving.monthly_quality(
+                self.tables["quality_months"].withColumn("quarantine_rate", F.try_divide("rows_quarantined", "rows_checked")),
+                self.tables["rule_counts"]
+            ),
         }
         if path not in routes:
             raise serving.NotServed(f"there is no {path}")

@@ -20,7 +20,9 @@ def bounded_broadcast(df: DataFrame, most: int) -> DataFrame:
 
 def zone_lookup(zones: DataFrame) -> DataFrame:
     """One row per zone id, the one loaded last, so that a join can't multiply trips."""
-    return zones.where("location_id IS NOT NULL").groupBy("location_id").agg(F.max_by(F.struct("borough", "zone", "service_zone"), F.struct("first_loaded", "zone_key")).alias("z")).select("location_id", "z.*")
+    return zones.where("location_id IS NOT NULL").groupBy("location_id").agg(
+        F.max_by(F.struct("borough", "zone", "service_zone"), F.struct("first_loaded", "zone_key")).alias("z")
+    ).select("location_id", "z.*")
 
 
 def with_zone_names(trips: DataFrame, zones: DataFrame, *, most_zones: int = 100_000) -> DataFrame:
@@ -41,7 +43,9 @@ def quarantine(evaluated: DataFrame) -> DataFrame:
 
 
 def company_names(companies: DataFrame) -> DataFrame:
-    return companies.where("hvfhs_license_num IS NOT NULL").groupBy(F.col("hvfhs_license_num").alias("__licence")).agg(F.max_by("company_name", "first_loaded").alias("__name"))
+    return companies.where("hvfhs_license_num IS NOT NULL").groupBy(F.col("hvfhs_license_num").alias("__licence")).agg(
+        F.max_by("company_name", "first_loaded").alias("__name")
+    )
 
 
 def company(name: Column, licence: Column) -> Column:
@@ -51,21 +55,35 @@ def company(name: Column, licence: Column) -> Column:
 def with_company(rows: DataFrame, companies: DataFrame, *, most_companies: int = 100_000) -> DataFrame:
     """``company``: the name of the licence, ``Other (code)`` for an unknown one, ``Unknown`` for none."""
     names = bounded_broadcast(company_names(companies), most_companies)
-    return rows.join(names, rows["hvfhs_license_num"] == names["__licence"], "left").withColumn("company", company(F.col("__name"), F.col("hvfhs_license_num"))).drop("__licence", "__name")
+    return rows.join(names, rows["hvfhs_license_num"] == names["__licence"], "left").withColumn(
+        "company", company(F.col("__name"), F.col("hvfhs_license_num"))
+    ).drop("__licence", "__name")
 
 
 def daily_company_trips(accepted: DataFrame, companies: DataFrame) -> DataFrame:
     """Trips and totals per day and licence. Names are joined after aggregation, to a few rows."""
-    paid = amount(F.sum(sum((F.coalesce(hundredths(F.col(c)), F.lit(0).cast("bigint")) for c in CHARGES[1:]), F.coalesce(hundredths(F.col(CHARGES[0])), F.lit(0).cast("bigint")))))
+    paid = amount(
+        F.sum(
+            sum(
+                (F.coalesce(hundredths(F.col(c)), F.lit(0).cast("bigint")) for c in CHARGES[1:]),
+                F.coalesce(hundredths(F.col(CHARGES[0])), F.lit(0).cast("bigint"))
+            )
+        )
+    )
     rows = accepted.groupBy("data_month", F.to_date("pickup_datetime").alias("trip_date"), "hvfhs_license_num").agg(
         F.count(F.lit(1)).alias("trips"), total("base_passenger_fare").alias("base_fare_total"), total("tips").alias("tips_total"), total("driver_pay").alias("driver_pay_total"), paid.alias("passenger_paid_total"),
-        ratio(F.sum(hundredths(F.col("trip_miles"))), F.count("trip_miles") * 100, 3).alias("avg_trip_miles"), ratio(F.sum("trip_time"), F.count("trip_time") * 60, 2).alias("avg_trip_minutes"),
+        ratio(
+            F.sum(hundredths(F.col("trip_miles"))), F.count("trip_miles") * 100, 3
+        ).alias("avg_trip_miles"), ratio(F.sum("trip_time"), F.count("trip_time") * 60, 2).alias("avg_trip_minutes"),
     )
     return with_company(rows, companies)
 
 
 def hourly_pickup_zones(accepted: DataFrame) -> DataFrame:
-    keys = ["data_month", F.to_date("pickup_datetime").alias("pickup_date"), F.hour("pickup_datetime").alias("pickup_hour"), "PULocationID", "pickup_borough", "pickup_zone"]
+    keys = [
+        "data_month", F.to_date("pickup_datetime").alias("pickup_date"), F.hour("pickup_datetime").alias("pickup_hour"), "PULocationID",
+        "pickup_borough", "pickup_zone"
+    ]
     return accepted.groupBy(*keys).agg(F.count(F.lit(1)).alias("trips"))
 
 
@@ -76,7 +94,11 @@ def monthly_driver_economics(accepted: DataFrame, companies: DataFrame) -> DataF
         F.sum("trip_time").alias("seconds"), F.sum(hundredths(F.col("base_passenger_fare"))).alias("fare"),
     )
     rows = sums.select(
-        "data_month", "hvfhs_license_num", "trips", amount(F.col("pay")).alias("driver_pay_total"), amount(F.col("miles")).alias("trip_miles_total"), ratio(F.col("seconds"), F.when(F.col("seconds").isNotNull(), F.lit(60)), 2).alias("trip_minutes_total"),
-        ratio(F.col("pay"), F.col("miles"), 4).alias("driver_pay_per_mile"), ratio(F.col("pay") * 60, F.col("seconds") * 100, 4).alias("driver_pay_per_minute"), ratio(F.col("pay"), F.col("fare"), 4).alias("driver_share_of_base_fare"),
+        "data_month", "hvfhs_license_num", "trips", amount(F.col("pay")).alias("driver_pay_total"), amount(F.col("miles")).alias("trip_miles_total"), ratio(
+            F.col("seconds"), F.when(F.col("seconds").isNotNull(), F.lit(60)), 2
+        ).alias("trip_minutes_total"),
+        ratio(F.col("pay"), F.col("miles"), 4).alias("driver_pay_per_mile"), ratio(
+            F.col("pay") * 60, F.col("seconds") * 100, 4
+        ).alias("driver_pay_per_minute"), ratio(F.col("pay"), F.col("fare"), 4).alias("driver_share_of_base_fare"),
     )
     return with_company(rows, companies)

@@ -53,15 +53,24 @@ def weekday_peak_share() -> Column:
 
 
 #: The measures of the overview: name and aggregate.
-OVERVIEW = {"total_trips": trips, "total_revenue": revenue, "avg_fare": average_fare, "avg_wait_minutes": average_wait_minutes, "driver_pay": driver_pay, "driver_pay_share": driver_pay_share, "airport_pickups": airport_pickups}
+OVERVIEW = {
+    "total_trips": trips, "total_revenue": revenue, "avg_fare": average_fare, "avg_wait_minutes": average_wait_minutes,
+    "driver_pay": driver_pay, "driver_pay_share": driver_pay_share, "airport_pickups": airport_pickups
+}
 
 
-def star(facts: DataFrame, *, date: DataFrame | None = None, time: DataFrame | None = None, zone: DataFrame | None = None, company: DataFrame | None = None, zone_role: str = "zone_key") -> DataFrame:
+def star(
+    facts: DataFrame, *, date: DataFrame | None = None, time: DataFrame | None = None, zone: DataFrame | None = None,
+    company: DataFrame | None = None, zone_role: str = "zone_key"
+) -> DataFrame:
     """Facts with the dimensions asked for; facts without a dimension row keep null attributes.
 
     ``zone_role`` names the fact's key that meets the zone, so drop-offs can be read by zone as well.
     """
-    for dimension, key, role in ((date, "date_key", "date_key"), (time, "time_key", "time_key"), (zone, "zone_key", zone_role), (company, "company_key", "company_key")):
+    for dimension, key, role in (
+        (date, "date_key", "date_key"), (time, "time_key", "time_key"), (zone, "zone_key", zone_role),
+        (company, "company_key", "company_key")
+    ):
         if dimension is not None:
             attributes = [c for c in dimension.columns if c != key and c not in facts.columns]
             side = bounded_broadcast(dimension.select(F.col(key).alias("__key"), *attributes), 1_000_000)

@@ -53,10 +53,20 @@ def _values(records: DataFrame) -> DataFrame:
     keys, whose schema doesn't split at commas, are looked at value by value. Each step is a projection of its own, so
     nothing is computed twice.
     """
-    read_ = records.withColumns({"__pairs": F.map_entries(F.col("record").cast("map<string,string>")), "__schema": F.substring(F.schema_of_variant("record"), 8, 2**30)})
-    cut = read_.withColumn("__forms", F.when(~(F.col("__schema").contains("<") | F.col("__schema").contains("`")), F.split(F.rtrim("__schema", F.lit(">")), ", ")))
+    read_ = records.withColumns(
+        {"__pairs": F.map_entries(F.col("record").cast("map<string,string>")), "__schema": F.substring(F.schema_of_variant("record"), 8, 2**30)}
+    )
+    cut = read_.withColumn(
+        "__forms",
+        F.when(~(F.col("__schema").contains("<") | F.col("__schema").contains("`")), F.split(F.rtrim("__schema", F.lit(">")), ", "))
+    )
     quick = F.arrays_zip(F.col("__pairs").alias("pair"), F.col("__forms").alias("form"))
-    slow = F.transform(F.map_entries(F.col("record").cast("map<string,variant>")), lambda e: F.struct(F.struct(e["key"].alias("key"), F.try_variant_get(e["value"], "$", "string").alias("value")).alias("pair"), F.coalesce(F.schema_of_variant(e["value"]), F.lit("VOID")).alias("form")))
+    slow = F.transform(
+        F.map_entries(F.col("record").cast("map<string,variant>")), lambda e: F.struct(
+            F.struct(e["key"].alias("key"), F.try_variant_get(e["value"], "$", "string").alias("value")).alias("pair"),
+            F.coalesce(F.schema_of_variant(e["value"]), F.lit("VOID")).alias("form")
+        )
+    )
     return cut.withColumn("values", F.when(F.size("__pairs") == F.size("__forms"), quick).otherwise(slow))
 
 
@@ -64,16 +74,23 @@ def headers(raw: DataFrame, file: str = "source_file", month: str = "data_month"
     """One row per (file, key) that belongs to the file: ``type``, shares, and what its values look like."""
     records = _values(parsed(raw).where(F.col(file).isNotNull()).select(F.col(file).alias("file"), F.col(month).alias("month"), "record"))
     # each record gives one row more, under a null key, so records are counted in the same aggregation
-    own = F.array(F.struct(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")).alias("pair"), F.lit("VOID").alias("form")))
+    own = F.array(
+        F.struct(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")).alias("pair"), F.lit("VOID").alias("form"))
+    )
     rows = records.select("file", "month", F.inline(F.when(F.col("record").isNotNull(), F.concat(own, "values"))))
     form = F.substring_index("form", ": ", -1)
-    kind = F.when(form == "VOID", -1).when(form == "STRING", 3).when(form == "BIGINT", 1).when(form.startswith("DECIMAL") | form.isin("DOUBLE", "FLOAT"), 2).when(form == "BOOLEAN", 0).otherwise(4)
+    kind = F.when(form == "VOID", -1).when(form == "STRING", 3).when(form == "BIGINT", 1).when(
+        form.startswith("DECIMAL") | form.isin("DOUBLE", "FLOAT"), 2
+    ).when(form == "BOOLEAN", 0).otherwise(4)
     values = rows.select("file", "month", F.col("pair.key").alias("key"), kind.alias("kind"), F.when(kind < 4, F.col("pair.value")).alias("text"))
     text, kind = F.col("text"), F.col("kind")
     start = F.upper(F.ltrim(text))
     dated = F.substring(text, 5, 1) == "-"
     # what can't be a number isn't read as one: each failure costs an exception
-    number = F.when(F.instr(F.lit("0123456789.-+$"), F.substring(start, 1, 1)).between(1, 14) & ~dated & (F.length(text) < 40), F.translate(text, "$ ,", "").try_cast("double"))
+    number = F.when(
+        F.instr(F.lit("0123456789.-+$"), F.substring(start, 1, 1)).between(1, 14) & ~dated & (F.length(text) < 40),
+        F.translate(text, "$ ,", "").try_cast("double")
+    )
     looks = {
         "hv": start.startswith("HV") & text.rlike(_HV), "b": start.startswith("B") & text.rlike(_B), "yn": (F.length(text) < 9) & text.rlike(_YN),
         "dt": dated & (F.length(text) > 13) & text.rlike(_DT), "num": number.isNotNull(), "bool": F.lower(text).isin("true", "false"),
@@ -98,7 +115,10 @@ def _plain(a: pd.Series) -> pd.Series:
 
 def _character(header: DataFrame, as_: str) -> DataFrame:
     """What the values of a key look like over all files: its main class and mean size."""
-    total = header.groupBy(F.col("key").alias(as_)).agg(F.count(F.lit(1)).alias(f"{as_}_files"), F.sum("filled").alias("filled"), *[F.sum(f"c_{c}").alias(f"c_{c}") for c in _CLASSES[:-1]], F.sum("size").alias("size"))
+    total = header.groupBy(F.col("key").alias(as_)).agg(
+        F.count(F.lit(1)).alias(f"{as_}_files"), F.sum("filled").alias("filled"), *[F.sum(f"c_{c}").alias(f"c_{c}") for c in _CLASSES[:-1]],
+        F.sum("size").alias("size")
+    )
     main = F.coalesce(*[F.when(F.col(f"c_{c}") * 2 > F.col("filled"), F.lit(c)) for c in _CLASSES[:-1]], F.when(F.col("filled") > 0, F.lit("text")))
     return total.select(as_, f"{as_}_files", main.alias(f"{as_}_class"), F.try_divide(F.col("size"), F.col("c_num")).alias(f"{as_}_size"))
 
@@ -124,19 +144,25 @@ def aliases(header: DataFrame, fields: Sequence[str], *, least_name: float = 0.5
     files = header.select("file").distinct().count()
     there = header.where(F.col("key").isin(list(fields))).groupBy("file").agg(F.collect_set("key").alias("there"))
     unknown = header.where(~F.col("key").isin(list(fields))).select("file", "key").join(there, "file", "left")
-    pairs = unknown.select("key", "there", F.explode(names).alias("field")).groupBy("key", "field").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.array_contains("there", F.col("field"))).alias("beside"))
+    pairs = unknown.select("key", "there", F.explode(names).alias("field")).groupBy("key", "field").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.array_contains("there", F.col("field"))).alias("beside")
+    )
     known = _character(header.where(F.col("key").isin(list(fields))), "field")
     pairs = pairs.join(_character(header, "key"), "key").join(known, "field", "left").withColumn("name", _name_similarity(fields)("key", "field"))
     absent = F.greatest(F.lit(0.02), 1 - F.coalesce("field_files", F.lit(0)) / F.lit(max(files, 1)))
     evidence = -F.col("n") * F.log10(absent)
     # a flag may be written as true and false, a time as seconds or milliseconds since 1970
-    other_form = ((F.col("key_class") == "bool") & (F.col("field_class") == "yn")) | ((F.col("key_class") == "num") & (F.col("field_class") == "dt") & (F.col("key_size") > 1e8))
+    other_form = ((F.col("key_class") == "bool") & (F.col("field_class") == "yn")) | (
+        (F.col("key_class") == "num") & (F.col("field_class") == "dt") & (F.col("key_size") > 1e8)
+    )
     same_class = other_form | F.col("key_class").isNull() | F.col("field_class").isNull() | (F.col("key_class") == F.col("field_class"))
     ratio = F.abs(F.log10(F.greatest(F.col("key_size"), F.lit(1e-3)) / F.greatest(F.col("field_size"), F.lit(1e-3))))
     fits = F.when(F.col("key_size").isNull() | F.col("field_size").isNull(), F.lit(0.5)).otherwise(F.greatest(F.lit(0.0), 1 - ratio))
     score = F.col("name") + F.least(F.lit(1.0), evidence / (2 * least_evidence)) * 0.5 + fits * 0.3
     seldom = F.col("beside") * 50 <= F.col("n")
-    accepted = (F.col("name") == 1.0) | (same_class & seldom & ((F.col("name") >= least_name) | ((evidence >= least_evidence) & (F.col("name") > 0) & (fits >= 0.5))) & (score >= least_score)) | (same_class & F.col("key_class").isNotNull() & seldom & (evidence >= 2 * least_evidence) & (fits >= 0.5))
+    accepted = (F.col("name") == 1.0) | (
+        same_class & seldom & ((F.col("name") >= least_name) | ((evidence >= least_evidence) & (F.col("name") > 0) & (fits >= 0.5))) & (score >= least_score)
+    ) | (same_class & F.col("key_class").isNotNull() & seldom & (evidence >= 2 * least_evidence) & (fits >= 0.5))
     best = pairs.where(accepted).groupBy("key").agg(F.max_by("field", F.struct(score.alias("s"), F.col("field"))).alias("field"))
     return best
 
@@ -163,7 +189,10 @@ def differences(fields: DataFrame) -> DataFrame:
     """The log: ``source_file, feed, sequence, field_name, change_kind, type_before, type_now, promoted_to`` of every file against the previous one of its feed."""
     order = Window.partitionBy("feed", "field").orderBy("month", "file").rowsBetween(Window.unboundedPreceding, 0)
     folded = fields.withColumn("feed", feed_of(F.col("file"))).withColumn("promoted", _promoted(F.collect_set("type").over(order)))
-    per_file = folded.groupBy("feed", "file").agg(F.min("month").alias("month"), F.map_from_entries(F.collect_list(F.struct("field", F.struct("key", "type", "field_name", "promoted")))).alias("now"))
+    per_file = folded.groupBy("feed", "file").agg(
+        F.min("month").alias("month"),
+        F.map_from_entries(F.collect_list(F.struct("field", F.struct("key", "type", "field_name", "promoted")))).alias("now")
+    )
     place = Window.partitionBy("feed").orderBy("month", "file")
     both = per_file.withColumns({"before": F.lag("now").over(place), "sequence": F.row_number().over(place)}).where(F.col("before").isNotNull())
     each = both.select("file", "feed", "sequence", F.explode(F.array_union(F.map_keys("now"), F.map_keys("before"))).alias("field"), "now", "before")
@@ -173,7 +202,9 @@ def differences(fields: DataFrame) -> DataFrame:
         F.when(n["key"] != b["key"], F.lit("renamed")), F.when(n["type"] != b["type"], F.lit("retyped")),
     )
     return each.select(
-        F.col("file").alias("source_file"), "feed", "sequence", F.coalesce(n["field_name"], b["field_name"]).alias("field_name"), F.explode(F.array_compact(kinds)).alias("change_kind"),
+        F.col("file").alias("source_file"), "feed", "sequence", F.coalesce(
+            n["field_name"], b["field_name"]
+        ).alias("field_name"), F.explode(F.array_compact(kinds)).alias("change_kind"),
         b["type"].alias("type_before"), n["type"].alias("type_now"), F.coalesce(n["promoted"], b["promoted"]).alias("promoted_to"),
     )
 
@@ -184,7 +215,10 @@ def changes(fields: DataFrame) -> DataFrame:
 
 def union_schema(fields: DataFrame) -> DataFrame:
     """Each field over all files: the least type of the lattice that holds its types, and the files it is in."""
-    folded = fields.groupBy("field_name").agg(F.collect_set("type").alias("kinds"), F.countDistinct("file").alias("files"), F.min("month").alias("first_month"), F.max("month").alias("last_month"))
+    folded = fields.groupBy("field_name").agg(
+        F.collect_set("type").alias("kinds"), F.countDistinct("file").alias("files"), F.min("month").alias("first_month"),
+        F.max("month").alias("last_month")
+    )
     return folded.select("field_name", _promoted(F.col("kinds")).alias("type"), "files", "first_month", "last_month")
 
 
@@ -196,7 +230,10 @@ def hundredths(header: DataFrame, alias: DataFrame, decimals: Sequence[str], fie
     return whole.groupBy(F.col("file").alias("source_file")).agg(F.collect_set("field").alias("in_hundredths"))
 
 
-def consistent_table(raw: DataFrame, header: DataFrame, alias: DataFrame, contract: Sequence[tuple[str, str]], keep: Sequence[str] = ("record_id", "source_file", "data_month", "line_no")) -> DataFrame:
+def consistent_table(
+    raw: DataFrame, header: DataFrame, alias: DataFrame, contract: Sequence[tuple[str, str]],
+    keep: Sequence[str] = ("record_id", "source_file", "data_month", "line_no")
+) -> DataFrame:
     """Every readable record in the contract's columns and types; a value that can't be cast is null.
 
     ``other_fields`` holds what stands outside the contract, as JSON of texts, null where there is nothing.
@@ -208,7 +245,9 @@ def consistent_table(raw: DataFrame, header: DataFrame, alias: DataFrame, contra
     other_keys = per_field.agg(F.map_from_entries(F.collect_list(F.struct("field", "keys"))).alias("other_keys")).scalar()
     names = [n for n, _ in contract]
     scales = hundredths(header, alias, [n for n, t in contract if t == "double"], names)
-    rows = parsed(raw).where(F.col("record").isNotNull()).select(*keep, F.col("record").cast("map<string,string>").alias("r"), other_keys.alias("other_keys")).join(scales, "source_file", "left")
+    rows = parsed(raw).where(F.col("record").isNotNull()).select(
+        *keep, F.col("record").cast("map<string,string>").alias("r"), other_keys.alias("other_keys")
+    ).join(scales, "source_file", "left")
 
     def value(name: str, kind: str) -> Column:
         others = F.coalesce(F.col("other_keys")[name], F.array().cast("array<string>"))
@@ -220,7 +259,9 @@ def consistent_table(raw: DataFrame, header: DataFrame, alias: DataFrame, contra
             number = F.regexp_replace(text, "[$ ,]", "").try_cast("double")
             return F.when(F.coalesce(F.array_contains("in_hundredths", name), F.lit(False)) & ~text.contains("."), number / 100).otherwise(number)
         if kind.startswith("timestamp"):
-            seconds = F.when(text.rlike("^[0-9]{9,11}$"), text.try_cast("bigint")).when(text.rlike("^[0-9]{12,14}$"), (text.try_cast("double") / 1000).try_cast("bigint"))
+            seconds = F.when(text.rlike("^[0-9]{9,11}$"), text.try_cast("bigint")).when(
+                text.rlike("^[0-9]{12,14}$"), (text.try_cast("double") / 1000).try_cast("bigint")
+            )
             return F.coalesce(F.timestamp_seconds(seconds).cast(kind), F.when(~text.rlike("^[0-9]+$"), text.try_cast(kind)))
         return F.when(F.lower(text) == "true", F.lit("Y")).when(F.lower(text) == "false", F.lit("N")).otherwise(text)
 

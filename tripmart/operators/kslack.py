@@ -56,7 +56,10 @@ def judged(cut: DataFrame, day: str, time: str, needed: Sequence[str], window_mi
     maxima = kept.groupBy(day, "__range").agg(F.max("__time").alias("__time"))
     if tops is not None:
         maxima = maxima.unionByName(tops.select(day, F.lit(-1).alias("__range"), F.unix_micros(time).alias("__time")).where(F.col("__time").isNotNull()))
-    carried = maxima.select(day, "__range", F.max("__time").over(Window.partitionBy(day).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)).alias("__time")).where(F.col("__time").isNotNull() & (F.col("__range") >= 0))
+    carried = maxima.select(
+        day, "__range",
+        F.max("__time").over(Window.partitionBy(day).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)).alias("__time")
+    ).where(F.col("__time").isNotNull() & (F.col("__range") >= 0))
     # the maximum carried into a range stands before its first event
     both = kept.unionByName(carried.withColumn("__sent", F.lit(-(2**62))), allowMissingColumns=True)
     before = Window.partitionBy(day, "__range").orderBy("__sent").rangeBetween(Window.unboundedPreceding, -1)
@@ -92,7 +95,11 @@ def with_late(final: DataFrame, late: DataFrame, groups: Sequence[str]) -> DataF
     counted = late.groupBy(*by).agg(F.count(F.lit(1)).alias("late_trips"))
     both = final.unionByName(counted, allowMissingColumns=True).groupBy(*by)
     zero = F.lit(0).cast("bigint")
-    return both.agg(F.coalesce(F.sum("trips"), zero).alias("trips"), F.max("longest_gap_seconds").alias("longest_gap_seconds"), F.max("first_event").alias("first_event"), F.max("last_event").alias("last_event"), F.coalesce(F.sum("late_trips"), zero).alias("late_trips"))
+    return both.agg(
+        F.coalesce(F.sum("trips"), zero).alias("trips"), F.max("longest_gap_seconds").alias("longest_gap_seconds"),
+        F.max("first_event").alias("first_event"), F.max("last_event").alias("last_event"),
+        F.coalesce(F.sum("late_trips"), zero).alias("late_trips")
+    )
 
 
 def revisions(events: DataFrame, groups: Sequence[str], *, every_minutes: int, sent: str = "send_time") -> DataFrame:

@@ -87,7 +87,10 @@ class OrphanState:
         last = F.last_day(F.lit(period)) if period else _day(NEVER)
         there = index.where((F.col("begins") <= last) & (F.col("ends") > last)).select(*KEY, F.lit(True).alias("there")).distinct()
         pending = pending.join(there, KEY, "left").select(*KEY, "n", F.isnull("there").alias("waiting"))
-        state.commit(step, replace={"parents": index, "pending": pending}, append={"found": orphans, "snapshots": self._snapshot(period, new_references, orphans, pending)})
+        state.commit(
+            step, replace={"parents": index, "pending": pending},
+            append={"found": orphans, "snapshots": self._snapshot(period, new_references, orphans, pending)}
+        )
 
     def _unmet(self, rows: DataFrame, index: DataFrame) -> DataFrame:
         """The references for which no parent is in force on any day of their period."""
@@ -101,7 +104,9 @@ class OrphanState:
     @staticmethod
     def _snapshot(period: date | None, new_references: DataFrame, orphans: DataFrame, pending: DataFrame) -> DataFrame:
         zero = F.lit(0).cast("bigint")
-        entry = lambda df, **figures: df.select("ref_column", *[figures.get(c, zero).alias(c) for c in ("references", "orphans", "orphan_keys", "waiting", "here")])
+        entry = lambda df, **figures: df.select(
+            "ref_column", *[figures.get(c, zero).alias(c) for c in ("references", "orphans", "orphan_keys", "waiting", "here")]
+        )
         one = F.lit(1).cast("bigint")
         rows = entry(new_references, references=F.col("n"), here=one).unionByName(entry(orphans, orphans=F.col("n"), orphan_keys=one))
         if period:  # references without a period wait for no day

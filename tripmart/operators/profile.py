@@ -85,16 +85,26 @@ def column_states(rows: DataFrame, load: str, month: str, checks: Sequence[Check
         if types[k.column] in NUMBERS:
             bits = F.col(f"__bits{i}") if k.median else none
             return F.struct(F.lit(i).cast("tinyint").alias("place"), c.cast("double").alias("value"), text.alias("text"), bits.alias("bits"))
-        return F.struct(F.lit(i).cast("tinyint").alias("place"), F.when(c.isNotNull(), F.lit(0.0)).alias("value"), (c if k.pattern else text).alias("text"), none.alias("bits"))
+        return F.struct(
+            F.lit(i).cast("tinyint").alias("place"), F.when(c.isNotNull(), F.lit(0.0)).alias("value"),
+            (c if k.pattern else text).alias("text"), none.alias("bits")
+        )
 
     # the values first, then what they are: written once a rule, the generated code stays small
-    given = rows.where(F.col(load).isNotNull()).select(F.col(load).alias("source_file"), F.col(month).alias("data_month"), *_bits(checks), *[F.col(f"`{k.column}`") for k in checks])
+    given = rows.where(F.col(load).isNotNull()).select(
+        F.col(load).alias("source_file"), F.col(month).alias("data_month"), *_bits(checks), *[F.col(f"`{k.column}`") for k in checks]
+    )
     long = given.select("source_file", "data_month", F.inline(F.array(*[entry(i, k) for i, k in enumerate(checks)])))
     number, text, violating = F.col("value"), F.col("text"), F.col("violating")
     long = long.withColumn("violating", F.coalesce(_by_rule(checks, lambda k: k.violates(number, text)), F.lit(False)))
     state = F.when(number.isNull(), NULL).when(violating, VIOLATING).otherwise(VALID).cast("tinyint")
-    binned = long.select("source_file", "data_month", "place", "value", state.alias("kind"), F.coalesce(_by_rule(checks, lambda k: k.bin(number, text, violating, F.col("bits"))), F.lit(0)).alias("bin"))
-    return binned.groupBy(*STATES).agg(F.min("data_month").alias("data_month"), F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    binned = long.select(
+        "source_file", "data_month", "place", "value", state.alias("kind"),
+        F.coalesce(_by_rule(checks, lambda k: k.bin(number, text, violating, F.col("bits"))), F.lit(0)).alias("bin")
+    )
+    return binned.groupBy(*STATES).agg(
+        F.min("data_month").alias("data_month"), F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
 
 
 def merge_states(states: DataFrame, source_file: Column) -> DataFrame:
@@ -114,7 +124,9 @@ def profiles(states: DataFrame, checks: Sequence[Check], types: dict[str, str])
     # NaN is a value, but has no place in the order
     ordered = (kind != NULL) & ~F.isnan("high") & middle
     order = Window.partitionBy("source_file", "place").orderBy(ordered.desc(), "bin", "kind")
-    walked = states.withColumns({"upto": F.sum(F.when(ordered, n)).over(order), "all": F.sum(F.when(ordered, n)).over(Window.partitionBy("source_file", "place"))})
+    walked = states.withColumns(
+        {"upto": F.sum(F.when(ordered, n)).over(order), "all": F.sum(F.when(ordered, n)).over(Window.partitionBy("source_file", "place"))}
+    )
     rank = F.floor((F.col("all") + 1) / 2)
     at = ordered & (F.col("upto") >= rank) & (F.col("upto") - n < rank)
     zero = F.lit(0).cast("bigint")
@@ -129,7 +141,9 @@ def profiles(states: DataFrame, checks: Sequence[Check], types: dict[str, str])
     names = F.array(*[F.lit(k.column) for k in checks])
     return found.select(
         "source_file", "data_month", names[place.cast("int")].alias("column_name"), "row_count", "nulls", only("violations", declared), only("distinct_values", coded), "min_value", "max_value",
-        only("negative_rows", number), only("zero_rows", number), ((F.col("m.low") + F.col("m.high")) / 2).alias("median_value"), F.col("m.low").alias("median_low"), F.col("m.high").alias("median_high"), F.col("m.bin").alias("median_bin"), F.col("m.rank").alias("median_rank"),
+        only("negative_rows", number), only("zero_rows", number), (
+            (F.col("m.low") + F.col("m.high")) / 2
+        ).alias("median_value"), F.col("m.low").alias("median_low"), F.col("m.high").alias("median_high"), F.col("m.bin").alias("median_bin"), F.col("m.rank").alias("median_rank"),
     )
 
 
@@ -142,9 +156,19 @@ def sketches(rows: DataFrame, load: str, columns: Sequence[str]) -> DataFrame:
     out = []
     for i, name in enumerate(columns):
         c = F.col(f"`{name}`")
-        out += [F.hll_sketch_agg(F.when(c.isNotNull(), F.xxhash64(c)), 12).alias(f"s{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"), F.count_if(c.isNull()).alias(f"n{i}")]
-    states = rows.where(F.col(load).isNotNull()).groupBy(F.col(load).alias("source_file")).agg(F.count(F.lit(1)).alias("row_count"), F.min("data_month").alias("data_month"), *out)
-    entries = [F.struct(F.lit(name).alias("column_name"), F.col(f"n{i}").alias("nulls"), F.col(f"s{i}").alias("sketch"), F.col(f"lo{i}").cast("string").alias("least"), F.col(f"hi{i}").cast("string").alias("greatest")) for i, name in enumerate(columns)]
+        out += [
+            F.hll_sketch_agg(F.when(c.isNotNull(), F.xxhash64(c)), 12).alias(f"s{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"),
+            F.count_if(c.isNull()).alias(f"n{i}")
+        ]
+    states = rows.where(F.col(load).isNotNull()).groupBy(F.col(load).alias("source_file")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.min("data_month").alias("data_month"), *out
+    )
+    entries = [
+        F.struct(
+            F.lit(name).alias("column_name"), F.col(f"n{i}").alias("nulls"), F.col(f"s{i}").alias("sketch"),
+            F.col(f"lo{i}").cast("string").alias("least"), F.col(f"hi{i}").cast("string").alias("greatest")
+        ) for i, name in enumerate(columns)
+    ]
     return states.select("source_file", "data_month", "row_count", F.inline(F.array(*entries)))
 
 
@@ -165,15 +189,31 @@ def settled(found: DataFrame, rows: DataFrame, load: str, checks: Sequence[Check
     sure = (low > before_high * median_ratio) | (before_low > high * median_ratio) | ((high <= before_low * median_ratio) & (before_high <= low * median_ratio))
     asked = p.where((low >= 0) & (before_low >= 0) & ~sure | (((low < 0) | (before_low < 0)) & ((low < high) | (before_low < before_high))))
     pairs = asked.select("column_name", F.explode(F.array("source_file", "previous_source_file")).alias("source_file")).distinct()
-    open_ = found.where("median_low < median_high").join(pairs, ["source_file", "column_name"], "left_semi").select("source_file", F.col("column_name").alias("__column"), "median_bin", "median_rank")
+    open_ = found.where("median_low < median_high").join(pairs, ["source_file", "column_name"], "left_semi").select(
+        "source_file", F.col("column_name").alias("__column"), "median_bin", "median_rank"
+    )
     if open_.isEmpty():
         return found
     value = lambda k: F.col(f"`{k.column}`").cast("double")
-    entries = F.array(*[F.struct(F.lit(k.column).alias("column"), k.bin(value(k), F.lit(""), F.lit(False), F.col(f"__bits{i}")).alias("bin"), value(k).alias("value")) for i, k in enumerate(checks) if k.median])
-    long = rows.select(load, *_bits(checks), *[F.col(f"`{k.column}`") for k in checks if k.median]).join(open_.select(F.col("source_file").alias("__load")).distinct(), F.col(load) == F.col("__load"), "left_semi").select(F.col(load).alias("source_file"), F.inline(entries)).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    counted = long.join(open_, (long["source_file"] == open_["source_file"]) & (F.col("column") == F.col("__column")) & (F.col("bin") == F.col("median_bin"))).groupBy(long["source_file"], "column", "median_rank", "value").agg(F.count(F.lit(1)).alias("n"))
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(k.column).alias("column"), k.bin(value(k), F.lit(""), F.lit(False), F.col(f"__bits{i}")).alias("bin"),
+                value(k).alias("value")
+            ) for i, k in enumerate(checks) if k.median
+        ]
+    )
+    long = rows.select(load, *_bits(checks), *[F.col(f"`{k.column}`") for k in checks if k.median]).join(
+        open_.select(F.col("source_file").alias("__load")).distinct(), F.col(load) == F.col("__load"), "left_semi"
+    ).select(F.col(load).alias("source_file"), F.inline(entries)).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    counted = long.join(
+        open_,
+        (long["source_file"] == open_["source_file"]) & (F.col("column") == F.col("__column")) & (F.col("bin") == F.col("median_bin"))
+    ).groupBy(long["source_file"], "column", "median_rank", "value").agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.partitionBy("source_file", "column").orderBy("value"))
-    exact = counted.withColumn("upto", upto).where((F.col("upto") >= F.col("median_rank")) & (F.col("upto") - F.col("n") < F.col("median_rank"))).select("source_file", F.col("column").alias("column_name"), F.col("value").alias("__exact"))
+    exact = counted.withColumn("upto", upto).where(
+        (F.col("upto") >= F.col("median_rank")) & (F.col("upto") - F.col("n") < F.col("median_rank"))
+    ).select("source_file", F.col("column").alias("column_name"), F.col("value").alias("__exact"))
     joined = found.join(exact, ["source_file", "column_name"], "left")
     return joined.withColumns({c: F.coalesce("__exact", c) for c in ("median_value", "median_low", "median_high")}).drop("__exact")
 
@@ -216,7 +256,9 @@ def rule_rates(counts: DataFrame, *, least_rows: int = 20, ratio: int = 2) -> Da
     p = kept.withColumns({"pm": F.lag("matched_rows").over(order), "pt": F.lag("total_rows").over(order)})
     whole = lambda x: F.col(x).cast("decimal(18,0)")
     more = whole("matched_rows") * whole("pt") > whole("pm") * whole("total_rows") * ratio
-    return p.where((F.col("matched_rows") >= least_rows) & more).select("source_file", F.col("rule_id").alias("column_name"), F.lit("rule_rate").alias("finding")).distinct()
+    return p.where((F.col("matched_rows") >= least_rows) & more).select(
+        "source_file", F.col("rule_id").alias("column_name"), F.lit("rule_rate").alias("finding")
+    ).distinct()
 
 
 def control_limits(profiles: DataFrame, *, sigmas: float = 3.0, least_history: int = 4) -> DataFrame:
@@ -230,7 +272,16 @@ def control_limits(profiles: DataFrame, *, sigmas: float = 3.0, least_history: i
     known |= {"violation_share": share(F.col("violations"), values)} if "violations" in profiles.columns else {}
     known |= {c: F.col(c).cast("double") for c in ("distinct_values", "median_value") if c in profiles.columns}
     entries = F.array(*[F.struct(F.lit(name).alias("metric"), c.alias("value")) for name, c in known.items()])
-    long = profiles.select("source_file", "data_month", "column_name", F.inline(entries)).where(F.col("value").isNotNull()).withColumn("feed", feed_of(F.col("source_file")))
+    long = profiles.select(
+        "source_file", "data_month", "column_name", F.inline(entries)
+    ).where(F.col("value").isNotNull()).withColumn("feed", feed_of(F.col("source_file")))
     before = Window.partitionBy("feed", "column_name", "metric").orderBy("data_month", "source_file").rowsBetween(Window.unboundedPreceding, -1)
-    h = long.withColumns({"history": F.count("value").over(before), "centre": F.avg("value").over(before), "deviation": F.coalesce(F.stddev_samp("value").over(before), F.lit(0.0))})
-    return h.where((F.col("history") >= least_history) & (F.abs(F.col("value") - F.col("centre")) > sigmas * F.col("deviation") + 1e-9)).select("source_file", "column_name", "metric", "value", "centre", "deviation", "history")
+    h = long.withColumns(
+        {
+            "history": F.count("value").over(before), "centre": F.avg("value").over(before),
+            "deviation": F.coalesce(F.stddev_samp("value").over(before), F.lit(0.0))
+        }
+    )
+    return h.where(
+        (F.col("history") >= least_history) & (F.abs(F.col("value") - F.col("centre")) > sigmas * F.col("deviation") + 1e-9)
+    ).select("source_file", "column_name", "metric", "value", "centre", "deviation", "history")

@@ -41,7 +41,9 @@ class Lake:
 
     def companies(self) -> DataFrame:
         t = self.table("dim_company")
-        return t.read().withColumn("first_loaded", F.lit(None).cast("date")) if t.exists() else self.spark.createDataFrame([], "company_key bigint, hvfhs_license_num string, company_name string, first_loaded date")
+        return t.read().withColumn("first_loaded", F.lit(None).cast("date")) if t.exists() else self.spark.createDataFrame(
+            [], "company_key bigint, hvfhs_license_num string, company_name string, first_loaded date"
+        )
 
     def month(self, name: str, month: Month) -> DataFrame:
         """One month of a table; there must be rows."""
@@ -120,13 +122,18 @@ def run_star(lake: Lake, month: Month) -> DataFrame:
     facts = lake.table("fct_trips").read(months=[month])
     lake.table("fct_trips_hourly").replace_month(star.fct_trips_hourly(facts), month)
     zone = (lake.table("dim_zone").read(), "zone_key")
-    found = {"date_key": (lake.table("dim_date").read(), "date_key"), "time_key": (lake.table("dim_time").read(), "time_key"), "pickup_zone_key": zone, "dropoff_zone_key": zone, "company_key": (lake.table("dim_company").read(), "company_key")}
+    found = {
+        "date_key": (lake.table("dim_date").read(), "date_key"), "time_key": (lake.table("dim_time").read(), "time_key"),
+        "pickup_zone_key": zone, "dropoff_zone_key": zone, "company_key": (lake.table("dim_company").read(), "company_key")
+    }
     return star.checks(silver.count(), facts, lake.table("fct_trips_hourly").read(months=[month]), found)
 
 
 def run_snapshot(lake: Lake, month: Month, folder: str) -> dict[str, int]:
     """The served tables of a month as plain Parquet; the rows found in each."""
-    summary = quality.monthly_summary(lake.month("rule_counts", month), lake.table("quarantine").read(months=[month])).select("data_month", "rows_checked", "rows_quarantined")
+    summary = quality.monthly_summary(
+        lake.month("rule_counts", month), lake.table("quarantine").read(months=[month])
+    ).select("data_month", "rows_checked", "rows_quarantined")
     frames = {n: lake.month(n, month) for n in SERVED[:3]} | {"rule_counts": lake.month("rule_counts", month), "quality_months": summary}
     return {n: export.write_snapshot(f, month, folder, n) for n, f in frames.items()}
 

@@ -56,7 +56,10 @@ def counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def zones(spark: SparkSession, d: str) -> DataFrame:
-    lookup = layers.zone_lookup(read(spark, d, "dim_zone")).select(F.col("location_id").cast("string").alias("LocationID"), F.col("borough").alias("Borough"), F.col("zone").alias("Zone"), "service_zone")
+    lookup = layers.zone_lookup(read(spark, d, "dim_zone")).select(
+        F.col("location_id").cast("string").alias("LocationID"), F.col("borough").alias("Borough"), F.col("zone").alias("Zone"),
+        "service_zone"
+    )
     return star.dim_zone(lookup)
 
 
@@ -71,13 +74,19 @@ def texts(df: DataFrame, *arrays: str) -> DataFrame:
 def bronze_conform(spark: SparkSession, d: str) -> DataFrame:
     """Every month's file, as texts and without the late column, brought to the contract."""
     months = sorted(r["data_month"] for r in trips(spark, d).where("data_month IS NOT NULL").select("data_month").distinct().collect())
-    raw = trips(spark, d).select(*[F.col(n).cast("string").alias(n) for n in reversed(contract.NAMES) if n != "cbd_congestion_fee"], F.col("data_month").alias("__month"))
+    raw = trips(spark, d).select(
+        *[F.col(n).cast("string").alias(n) for n in reversed(contract.NAMES) if n != "cbd_congestion_fee"],
+        F.col("data_month").alias("__month")
+    )
     parts = [contract.conform(raw.where(F.col("__month") == F.lit(m)).drop("__month"), Month.of(m), "load.parquet").drop("_ingested_at") for m in months]
     return reduce(DataFrame.unionByName, parts)
 
 
 def rule_flags(spark: SparkSession, d: str) -> DataFrame:
-    return texts(evaluated(spark, d).select("_source_file", "pickup_datetime", "dropoff_datetime", "PULocationID", "DOLocationID", "failed_rules", "quality_warnings"), "failed_rules", "quality_warnings")
+    return texts(
+        evaluated(spark, d).select("_source_file", "pickup_datetime", "dropoff_datetime", "PULocationID", "DOLocationID", "failed_rules", "quality_warnings"),
+        "failed_rules", "quality_warnings"
+    )
 
 
 def silver_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -94,7 +103,10 @@ def rule_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def layer_counts(spark: SparkSession, d: str) -> DataFrame:
     """Rows of each layer per month."""
-    flagged = evaluated(spark, d).select("data_month", F.explode(F.array(F.lit("bronze"), F.when(F.size("failed_rules") == 0, F.lit("silver")).otherwise(F.lit("quarantine")))).alias("layer"))
+    flagged = evaluated(spark, d).select(
+        "data_month",
+        F.explode(F.array(F.lit("bronze"), F.when(F.size("failed_rules") == 0, F.lit("silver")).otherwise(F.lit("quarantine")))).alias("layer")
+    )
     return flagged.groupBy("layer", "data_month").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -123,7 +135,9 @@ def economics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def top_companies(spark: SparkSession, d: str) -> DataFrame:
-    return layers.with_company(accepted(spark, d).groupBy("hvfhs_license_num").agg(F.count(F.lit(1)).alias("trips")), companies(spark, d)).select("company", "trips").orderBy(F.desc("trips"), "company").limit(10)
+    return layers.with_company(
+        accepted(spark, d).groupBy("hvfhs_license_num").agg(F.count(F.lit(1)).alias("trips")), companies(spark, d)
+    ).select("company", "trips").orderBy(F.desc("trips"), "company").limit(10)
 
 
 # star -----------------------------------------------------------------------------------------------------------
@@ -136,12 +150,18 @@ def dim_company(spark: SparkSession, d: str, accepted_trips: DataFrame | None =
 
 def company_keys(spark: SparkSession, d: str) -> DataFrame:
     """Keys made for the licences of the given companies, against the given keys."""
-    return companies(spark, d).where("hvfhs_license_num IS NOT NULL").select("hvfhs_license_num", star.company_key(F.col("hvfhs_license_num")).alias("company_key")).distinct()
+    return companies(spark, d).where("hvfhs_license_num IS NOT NULL").select(
+        "hvfhs_license_num", star.company_key(F.col("hvfhs_license_num")).alias("company_key")
+    ).distinct()
 
 
 def dimensions(spark: SparkSession, d: str, accepted_trips: DataFrame) -> dict[str, tuple[DataFrame, str]]:
     z = checkpoint(zones(spark, d))
-    return {"date_key": (star.dim_date(spark, CALENDAR), "date_key"), "time_key": (star.dim_time(spark), "time_key"), "pickup_zone_key": (z, "zone_key"), "dropoff_zone_key": (z, "zone_key"), "company_key": (checkpoint(dim_company(spark, d, accepted_trips)), "company_key")}
+    return {
+        "date_key": (star.dim_date(spark, CALENDAR), "date_key"), "time_key": (star.dim_time(spark), "time_key"),
+        "pickup_zone_key": (z, "zone_key"), "dropoff_zone_key": (z, "zone_key"),
+        "company_key": (checkpoint(dim_company(spark, d, accepted_trips)), "company_key")
+    }
 
 
 def fct_trips(spark: SparkSession, d: str) -> DataFrame:
@@ -152,7 +172,10 @@ def fct_trips(spark: SparkSession, d: str) -> DataFrame:
 
 
 def trip_key_unique(spark: SparkSession, d: str) -> DataFrame:
-    return facts(spark, d).agg(F.count(F.lit(1)).alias("trips"), F.countDistinct("trip_key").alias("keys"), F.count_if(F.col("wait_time_seconds").isNull()).alias("no_wait"))
+    return facts(spark, d).agg(
+        F.count(F.lit(1)).alias("trips"), F.countDistinct("trip_key").alias("keys"),
+        F.count_if(F.col("wait_time_seconds").isNull()).alias("no_wait")
+    )
 
 
 def fct_trips_hourly(spark: SparkSession, d: str) -> DataFrame:
@@ -164,7 +187,10 @@ def fct_trips_hourly(spark: SparkSession, d: str) -> DataFrame:
 def orphan_checks(spark: SparkSession, d: str) -> DataFrame:
     """The given facts against the given dimensions; a null key finds no row."""
     z = read(spark, d, "dim_zone")
-    keys = {"date_key": (read(spark, d, "dim_date"), "date_key"), "time_key": (star.dim_time(spark), "time_key"), "pickup_zone_key": (z, "zone_key"), "dropoff_zone_key": (z, "zone_key"), "company_key": (companies(spark, d), "company_key")}
+    keys = {
+        "date_key": (read(spark, d, "dim_date"), "date_key"), "time_key": (star.dim_time(spark), "time_key"),
+        "pickup_zone_key": (z, "zone_key"), "dropoff_zone_key": (z, "zone_key"), "company_key": (companies(spark, d), "company_key")
+    }
     return star.orphan_counts(read(spark, d, "fct_trips"), keys)
 
 
@@ -229,12 +255,21 @@ def measures_by_month(spark: SparkSession, d: str) -> DataFrame:
 def measures_by_company(spark: SparkSession, d: str) -> DataFrame:
     names = companies(spark, d).select("company_key", "company_name")
     rows = measures.star(_hourly(spark, d), company=names, date=_calendar(spark, d))
-    return measures.share_of_all(measures.by(rows, ["month_start", "company_name"], {"total_revenue": measures.revenue(), "total_trips": measures.trips()}), "total_revenue", ["month_start"]).orderBy("month_start", F.desc("total_revenue"))
+    return measures.share_of_all(
+        measures.by(rows, ["month_start", "company_name"], {"total_revenue": measures.revenue(), "total_trips": measures.trips()}),
+        "total_revenue", ["month_start"]
+    ).orderBy("month_start", F.desc("total_revenue"))
 
 
 def executive_totals(spark: SparkSession, d: str) -> DataFrame:
     """The figures at the head of the executive page, over all facts."""
-    return measures.by(_hourly(spark, d), [], {"total_trips": measures.trips(), "total_revenue": measures.revenue(), "avg_fare": measures.average_fare(), "avg_wait_minutes": measures.average_wait_minutes(), "driver_pay_share": measures.driver_pay_share()})
+    return measures.by(
+        _hourly(spark, d), [],
+        {
+            "total_trips": measures.trips(), "total_revenue": measures.revenue(), "avg_fare": measures.average_fare(),
+            "avg_wait_minutes": measures.average_wait_minutes(), "driver_pay_share": measures.driver_pay_share()
+        }
+    )
 
 
 def months_loaded(spark: SparkSession, d: str) -> DataFrame:

@@ -37,7 +37,10 @@ def p1_key_counts(spark: SparkSession, folder: str) -> DataFrame:
 def p1_licence_zone_stats(spark: SparkSession, folder: str) -> DataFrame:
     trips = read(spark, folder, "trips").withColumn("licence", licence())
     cents = F.round(F.col("driver_pay") * 100).cast("bigint")
-    parts = [heavy_keys.count("trips"), heavy_keys.total("pay_cents", cents), heavy_keys.smallest("least_miles", F.col("trip_miles")), heavy_keys.largest("most_miles", F.col("trip_miles")), heavy_keys.mean("mean_trip_seconds", F.col("trip_time"))]
+    parts = [
+        heavy_keys.count("trips"), heavy_keys.total("pay_cents", cents), heavy_keys.smallest("least_miles", F.col("trip_miles")),
+        heavy_keys.largest("most_miles", F.col("trip_miles")), heavy_keys.mean("mean_trip_seconds", F.col("trip_time"))
+    ]
     return heavy_keys.salted_aggregate(trips, ["licence", "PULocationID"], parts).withColumn("mean_trip_seconds", F.round("mean_trip_seconds", 3))
 
 
@@ -175,7 +178,9 @@ def orphan_state(spark: SparkSession, folder: str) -> OrphanState:
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     found = orphan_state(spark, folder).read("found")
-    return orphans.orphan_rows(read(spark, folder, "fct_trips").select("trip_key", *REFERENCES, "data_month"), found, REFERENCES, "data_month").select("trip_key", "ref_column")
+    return orphans.orphan_rows(
+        read(spark, folder, "fct_trips").select("trip_key", *REFERENCES, "data_month"), found, REFERENCES, "data_month"
+    ).select("trip_key", "ref_column")
 
 
 def p4_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -221,7 +226,10 @@ _CODE = {"hvfhs_license_num": r"^HV[0-9]{4}\z", "dispatching_base_num": r"^B[0-9
 _FLAGS = ["shared_request_flag", "shared_match_flag", "access_a_ride_flag", "wav_request_flag", "wav_match_flag"]
 _TIMES = ["request_datetime", "on_scene_datetime", "pickup_datetime", "dropoff_datetime"]
 _ZONES = ["PULocationID", "DOLocationID"]
-_AMOUNTS = ["trip_miles", "trip_time", "base_passenger_fare", "tolls", "bcf", "sales_tax", "congestion_surcharge", "airport_fee", "tips", "driver_pay", "cbd_congestion_fee"]
+_AMOUNTS = [
+    "trip_miles", "trip_time", "base_passenger_fare", "tolls", "bcf", "sales_tax", "congestion_surcharge", "airport_fee", "tips",
+    "driver_pay", "cbd_congestion_fee"
+]
 _MEDIANS = ["trip_miles", "trip_time", "base_passenger_fare", "driver_pay"]
 TRIP_CHECKS = [
     *[profile.Check(c, pattern=p, distinct=True) for c, p in _CODE.items()],
@@ -246,7 +254,10 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p6_profile(spark: SparkSession, folder: str) -> DataFrame:
     """Exact figures of every column of the contract."""
-    return _profiles(spark, folder).select("source_file", "data_month", "column_name", "row_count", "nulls", "violations", "distinct_values", "min_value", "max_value", "negative_rows", "zero_rows")
+    return _profiles(spark, folder).select(
+        "source_file", "data_month", "column_name", "row_count", "nulls", "violations", "distinct_values", "min_value", "max_value",
+        "negative_rows", "zero_rows"
+    )
 
 
 def p6_feed_profile(spark: SparkSession, folder: str) -> DataFrame:
@@ -254,7 +265,10 @@ def p6_feed_profile(spark: SparkSession, folder: str) -> DataFrame:
     trips = read(spark, folder, "trips")
     states = profile.column_states(trips, "_source_file", "data_month", TRIP_CHECKS)
     merged = profile.profiles(profile.merge_states(states, feed_of(F.col("source_file"))), TRIP_CHECKS, dict(trips.dtypes))
-    return merged.select(F.col("source_file").alias("feed"), "column_name", "row_count", "nulls", "violations", "distinct_values", "min_value", "max_value", "negative_rows", "zero_rows")
+    return merged.select(
+        F.col("source_file").alias("feed"), "column_name", "row_count", "nulls", "violations", "distinct_values", "min_value", "max_value",
+        "negative_rows", "zero_rows"
+    )
 
 
 def p6_columns(spark: SparkSession, folder: str) -> DataFrame:
@@ -262,7 +276,9 @@ def p6_columns(spark: SparkSession, folder: str) -> DataFrame:
     trips = read(spark, folder, "trips")
     names = [c for c in trips.columns if c not in ("_source_file", "data_month")]
     known = _profiles(spark, folder).select("source_file", "column_name", "violations", F.col("distinct_values").alias("valid_values"), "median_value")
-    found = profile.sketches(trips, "_source_file", names).withColumn("distinct_values", F.when(F.col("nulls") < F.col("row_count"), F.hll_sketch_estimate("sketch"))).drop("sketch")
+    found = profile.sketches(trips, "_source_file", names).withColumn(
+        "distinct_values", F.when(F.col("nulls") < F.col("row_count"), F.hll_sketch_estimate("sketch"))
+    ).drop("sketch")
     return found.join(known, ["source_file", "column_name"], "left")
 
 
@@ -285,7 +301,9 @@ def p6_control_limits_estimated(spark: SparkSession, folder: str) -> DataFrame:
 def p6_recorded_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Rows each rule matches in a load, against what was recorded of it; null where nothing was."""
     loads = read(spark, folder, "trips").where(F.col("_source_file").isNotNull())
-    found = rules.counts(rules.evaluate(loads, within=("_source_file",)), ("_source_file",)).select(F.col("_source_file").alias("source_file"), "rule_id", "matched_rows", "total_rows")
+    found = rules.counts(rules.evaluate(loads, within=("_source_file",)), ("_source_file",)).select(
+        F.col("_source_file").alias("source_file"), "rule_id", "matched_rows", "total_rows"
+    )
     recorded = read(spark, folder, "rule_counts").select("source_file", "rule_id", F.col("matched_rows").alias("recorded_rows")).distinct()
     return found.join(recorded, ["source_file", "rule_id"], "left").withColumn("agrees", F.col("matched_rows") == F.col("recorded_rows"))
 
@@ -305,7 +323,9 @@ def _p6_column_sql(k: profile.Check, load: str = "_source_file") -> str:
 _P6_BASE = " UNION ALL ".join(_p6_column_sql(k) for k in TRIP_CHECKS)
 P6_PROFILE = f"SELECT source_file, data_month, column_name, row_count, nulls, violations, distinct_values, min_value, max_value, negative_rows, zero_rows FROM ({_P6_BASE})"
 _FEED = "regexp_extract(_source_file, '_([^_.]+)[.][^.]*$', 1)"
-P6_FEED_PROFILE = "SELECT source_file AS feed, column_name, row_count, nulls, violations, distinct_values, min_value, max_value, negative_rows, zero_rows FROM (" + " UNION ALL ".join(_p6_column_sql(k, _FEED) for k in TRIP_CHECKS) + ")"
+P6_FEED_PROFILE = "SELECT source_file AS feed, column_name, row_count, nulls, violations, distinct_values, min_value, max_value, negative_rows, zero_rows FROM (" + " UNION ALL ".join(
+    _p6_column_sql(k, _FEED) for k in TRIP_CHECKS
+) + ")"
 P6_CONTROL_LIMITS = f"""
     WITH m AS (
       SELECT source_file, data_month, column_name, unnest(['null_share', 'row_count', 'violation_share', 'distinct_values']) AS metric,

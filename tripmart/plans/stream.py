@@ -32,7 +32,9 @@ def replay_plan_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _sendings(spark: SparkSession, d: str) -> DataFrame:
-    return pickups.valid(read(spark, d, "pickup_events").where("send_time IS NOT NULL").select("event_id", "hvfhs_license_num", "pickup_zone_id", "event_time", "send_time"))
+    return pickups.valid(
+        read(spark, d, "pickup_events").where("send_time IS NOT NULL").select("event_id", "hvfhs_license_num", "pickup_zone_id", "event_time", "send_time")
+    )
 
 
 def _streamed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -51,7 +53,10 @@ def stream_windows_late(spark: SparkSession, d: str) -> DataFrame:
 def stream_windows_on_time(spark: SparkSession, d: str) -> DataFrame:
     """The stream over TPC-H-like events, which come in order: nothing is late."""
     base = _folder(spark)
-    ordered = read(spark, d, "events").select(F.col("event_id").cast("string").alias("event_id"), F.lit(None).cast("string").alias("hvfhs_license_num"), (F.col("user_id") + 1).cast("int").alias("pickup_zone_id"), F.col("ts").cast("timestamp").alias("event_time"))
+    ordered = read(spark, d, "events").select(
+        F.col("event_id").cast("string").alias("event_id"), F.lit(None).cast("string").alias("hvfhs_license_num"),
+        (F.col("user_id") + 1).cast("int").alias("pickup_zone_id"), F.col("ts").cast("timestamp").alias("event_time")
+    )
     replay.drop_files(pickups.valid(ordered).withColumn("send_time", F.col("event_time")), f"{base}/in", 4)
     table = Table(spark, f"{base}/table")
     pickups.run_until_caught_up(spark, f"{base}/in", table, f"{base}/checkpoint")

@@ -23,14 +23,24 @@ def columns(rows: DataFrame, by: Sequence[str] = ("data_month",), accuracy: int
         c = F.col(f"`{n}`")
         aggregates.append(F.count_if(c.isNull()).alias(f"nulls{i}"))
         if n in numbers:
-            aggregates += [F.min(c).cast("double").alias(f"min{i}"), F.max(c).cast("double").alias(f"max{i}"), F.count_if(c < 0).alias(f"neg{i}"), F.count_if(c == 0).alias(f"zero{i}"), F.percentile_approx(c.cast("double"), [0.5, 0.99], accuracy).alias(f"p{i}")]
+            aggregates += [
+                F.min(c).cast("double").alias(f"min{i}"), F.max(c).cast("double").alias(f"max{i}"), F.count_if(c < 0).alias(f"neg{i}"),
+                F.count_if(c == 0).alias(f"zero{i}"), F.percentile_approx(c.cast("double"), [0.5, 0.99], accuracy).alias(f"p{i}")
+            ]
         if n in ZONES:
             aggregates.append(F.count_if(~c.between(1, 265)).alias(f"out{i}"))
     wide = rows.groupBy(*by).agg(*aggregates)
     null = lambda t: F.lit(None).cast(t)
     entries = [
         F.struct(
-            F.lit(n).alias("column_name"), F.col(f"nulls{i}").alias("nulls"), *([F.col(f"min{i}").alias("min_value"), F.col(f"max{i}").alias("max_value"), F.col(f"p{i}")[0].alias("p50"), F.col(f"p{i}")[1].alias("p99"), F.col(f"neg{i}").alias("negative_rows"), F.col(f"zero{i}").alias("zero_rows")] if n in numbers else [null("double").alias(x) for x in ("min_value", "max_value", "p50", "p99")] + [null("bigint").alias(x) for x in ("negative_rows", "zero_rows")]),
+            F.lit(n).alias("column_name"), F.col(f"nulls{i}").alias("nulls"), *(
+                [
+                    F.col(f"min{i}").alias("min_value"), F.col(f"max{i}").alias("max_value"), F.col(f"p{i}")[0].alias("p50"),
+                    F.col(f"p{i}")[1].alias("p99"), F.col(f"neg{i}").alias("negative_rows"), F.col(f"zero{i}").alias("zero_rows")
+                ] if n in numbers else [
+                    null("double").alias(x) for x in ("min_value", "max_value", "p50", "p99")
+                ] + [null("bigint").alias(x) for x in ("negative_rows", "zero_rows")]
+            ),
             (F.col(f"out{i}") if n in ZONES else null("bigint")).alias("zones_out_of_range"),
         )
         for i, n in enumerate(kinds)
@@ -46,7 +56,10 @@ def duplicates(rows: DataFrame, keys: Sequence[str], by: Sequence[str] = ("data_
     shown = F.concat_ws("\x1f", *[F.coalesce(F.col(k).cast("string"), F.lit("\x1e")) for k in keys])
     groups = rows.groupBy(*by, F.xxhash64(shown).alias("__a"), F.xxhash64(F.lit(1), shown).alias("__b")).agg(F.count(F.lit(1)).alias("n"))
     twice = F.col("n") > 1
-    return groups.groupBy(*by).agg(F.count_if(twice).alias("groups"), F.coalesce(F.sum(F.when(twice, F.col("n"))), F.lit(0).cast("bigint")).alias("rows"), F.coalesce(F.sum(F.when(twice, F.col("n") - 1)), F.lit(0).cast("bigint")).alias("extra_rows"))
+    return groups.groupBy(*by).agg(
+        F.count_if(twice).alias("groups"), F.coalesce(F.sum(F.when(twice, F.col("n"))), F.lit(0).cast("bigint")).alias("rows"),
+        F.coalesce(F.sum(F.when(twice, F.col("n") - 1)), F.lit(0).cast("bigint")).alias("extra_rows")
+    )
 
 
 def frequent_flags(rows: DataFrame, flags: Sequence[str] = FLAGS, by: Sequence[str] = ("data_month",), most: int = 10) -> DataFrame:
@@ -61,7 +74,11 @@ def timestamps(rows: DataFrame, by: Sequence[str] = ("data_month",)) -> DataFram
     """Rows whose times contradict each other or their month."""
     p, d = F.col("pickup_datetime"), F.col("dropoff_datetime")
     outside = (F.to_date(p) < F.col("data_month")) | (F.to_date(p) >= F.add_months("data_month", 1))
-    return rows.groupBy(*by).agg(F.count_if(outside).alias("pickup_outside_month"), F.count_if(d <= p).alias("dropoff_not_after_pickup"), F.count_if(p < F.col("request_datetime")).alias("pickup_before_request"), F.count_if(F.col("on_scene_datetime") > p).alias("on_scene_after_pickup"))
+    return rows.groupBy(*by).agg(
+        F.count_if(outside).alias("pickup_outside_month"), F.count_if(d <= p).alias("dropoff_not_after_pickup"),
+        F.count_if(p < F.col("request_datetime")).alias("pickup_before_request"),
+        F.count_if(F.col("on_scene_datetime") > p).alias("on_scene_after_pickup")
+    )
 
 
 def report(title: str, profile: DataFrame) -> str:

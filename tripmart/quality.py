@@ -16,7 +16,10 @@ def monthly_summary(rule_counts: DataFrame, quarantine: DataFrame) -> DataFrame:
     checked = rule_counts.groupBy("data_month").agg(F.max("total_rows").alias("rows_checked"))
     bad = quarantine.groupBy("data_month").agg(F.count(F.lit(1)).alias("bad"))
     n = F.coalesce("bad", F.lit(0).cast("bigint"))
-    return checked.join(bad, "data_month", "left").select("data_month", "rows_checked", n.alias("rows_quarantined"), (F.col("rows_checked") - n).alias("rows_in_silver"), F.try_divide(n, F.col("rows_checked")).alias("quarantine_rate"))
+    return checked.join(bad, "data_month", "left").select(
+        "data_month", "rows_checked", n.alias("rows_quarantined"), (F.col("rows_checked") - n).alias("rows_in_silver"),
+        F.try_divide(n, F.col("rows_checked")).alias("quarantine_rate")
+    )
 
 
 def rule_rates(rule_counts: DataFrame) -> DataFrame:
@@ -25,7 +28,10 @@ def rule_rates(rule_counts: DataFrame) -> DataFrame:
     rate = F.try_divide("matched_rows", "total_rows")
     rows = rule_counts.withColumn("match_rate", rate).withColumn("previous_match_rate", F.lag("match_rate").over(order))
     spike = (F.col("matched_rows") >= SPIKE_ROWS) & (F.col("match_rate") >= SPIKE_FACTOR * F.col("previous_match_rate"))
-    return rows.select("data_month", "rule_id", "severity", "description", "matched_rows", "total_rows", "match_rate", "previous_match_rate", F.try_divide("match_rate", "previous_match_rate").alias("rate_vs_previous_month"), F.coalesce(spike, F.lit(False)).alias("is_spike"))
+    return rows.select(
+        "data_month", "rule_id", "severity", "description", "matched_rows", "total_rows", "match_rate", "previous_match_rate",
+        F.try_divide("match_rate", "previous_match_rate").alias("rate_vs_previous_month"), F.coalesce(spike, F.lit(False)).alias("is_spike")
+    )
 
 
 def quarantine_by_company(quarantine: DataFrame, companies: DataFrame) -> DataFrame:
@@ -36,8 +42,17 @@ def quarantine_by_company(quarantine: DataFrame, companies: DataFrame) -> DataFr
 
 def counters(summary: DataFrame, rates: DataFrame) -> DataFrame:
     """``counter, value``: rows checked, rows quarantined, spikes."""
-    s = summary.select(F.inline(F.array(F.struct(F.lit("rows_checked").alias("counter"), F.col("rows_checked").alias("n")), F.struct(F.lit("rows_quarantined").alias("counter"), F.col("rows_quarantined").alias("n")))))
-    return s.unionByName(rates.select(F.lit("spikes").alias("counter"), F.col("is_spike").cast("bigint").alias("n"))).groupBy("counter").agg(F.sum("n").alias("value"))
+    s = summary.select(
+        F.inline(
+            F.array(
+                F.struct(F.lit("rows_checked").alias("counter"), F.col("rows_checked").alias("n")),
+                F.struct(F.lit("rows_quarantined").alias("counter"), F.col("rows_quarantined").alias("n"))
+            )
+        )
+    )
+    return s.unionByName(
+        rates.select(F.lit("spikes").alias("counter"), F.col("is_spike").cast("bigint").alias("n"))
+    ).groupBy("counter").agg(F.sum("n").alias("value"))
 
 
 def spikes(rates: DataFrame) -> DataFrame:

@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from tripmart.session import checkpoint
 
 REJECT, WARNING = "reject", "warning"
-REQUIRED = ("hvfhs_license_num", "dispatching_base_num", "pickup_datetime", "dropoff_datetime", "PULocationID", "DOLocationID", "base_passenger_fare", "driver_pay")
+REQUIRED = (
+    "hvfhs_license_num", "dispatching_base_num", "pickup_datetime", "dropoff_datetime", "PULocationID", "DOLocationID",
+    "base_passenger_fare", "driver_pay"
+)
 #: Rows that agree in these columns may be one trip reported twice.
 IDENTITY = ("hvfhs_license_num", "dispatching_base_num", "pickup_datetime", "dropoff_datetime", "PULocationID", "DOLocationID")
 SHARED = "__identity_rows"
@@ -63,12 +66,21 @@ def _matched(severity: str, rules: Sequence[Rule]) -> Column:
 
 def evaluate(trips: DataFrame, rules: Sequence[Rule] = RULES, *, within: Sequence[str] = ("data_month",)) -> DataFrame:
     """Trips with ``failed_rules`` and ``quality_warnings``, ids in the order of the rules; identities are shared ``within`` a month or load."""
-    return with_shared_identity(trips, within=within).withColumns({"failed_rules": _matched(REJECT, rules), "quality_warnings": _matched(WARNING, rules)}).drop(SHARED)
+    return with_shared_identity(trips, within=within).withColumns(
+        {"failed_rules": _matched(REJECT, rules), "quality_warnings": _matched(WARNING, rules)}
+    ).drop(SHARED)
 
 
 def counts(evaluated: DataFrame, by: Sequence[str] = ("data_month",), rules: Sequence[Rule] = RULES) -> DataFrame:
     """Rows matched by each rule, all rules of a group in one pass: always as many rows as there are rules."""
     hit = F.concat("failed_rules", "quality_warnings")
     wide = evaluated.groupBy(*by).agg(F.count(F.lit(1)).alias("total_rows"), *[F.count_if(F.array_contains(hit, r.id)).alias(r.id) for r in rules])
-    entries = F.array(*[F.struct(F.lit(r.id).alias("rule_id"), F.lit(r.severity).alias("severity"), F.lit(r.description).alias("description"), F.col(r.id).alias("matched_rows")) for r in rules])
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(r.id).alias("rule_id"), F.lit(r.severity).alias("severity"), F.lit(r.description).alias("description"),
+                F.col(r.id).alias("matched_rows")
+            ) for r in rules
+        ]
+    )
     return wide.select(*by, F.inline(entries), "total_rows").select(*by, "rule_id", "severity", "description", "matched_rows", "total_rows")

@@ -63,7 +63,9 @@ def busiest_zones(hourly: DataFrame, economics: DataFrame, month: str, hour: int
     rows = hourly.where(F.col("data_month") == F.lit(_month(month, economics)))
     if hour is not None:
         rows = rows.where(F.col("pickup_hour") == hour)
-    zones = rows.groupBy(F.col("PULocationID").alias("zone_id"), F.col("pickup_borough").alias("borough"), F.col("pickup_zone").alias("zone")).agg(F.sum("trips").alias("trips"))
+    zones = rows.groupBy(
+        F.col("PULocationID").alias("zone_id"), F.col("pickup_borough").alias("borough"), F.col("pickup_zone").alias("zone")
+    ).agg(F.sum("trips").alias("trips"))
     return zones.orderBy(F.desc("trips"), "zone_id").limit(limit)
 
 

@@ -35,7 +35,10 @@ def create(app: str = "tripmart", master: str | None = None, **conf: str) -> Spa
         "spark.ui.showConsoleProgress": "false",
     }
     if not submitted or submitted.startswith("local"):
-        settings |= {"spark.master": submitted or f"local[{cores}]", "spark.sql.shuffle.partitions": cores, "spark.driver.memory": os.environ.get("TRIPMART_DRIVER_MEMORY", "8g")}
+        settings |= {
+            "spark.master": submitted or f"local[{cores}]", "spark.sql.shuffle.partitions": cores,
+            "spark.driver.memory": os.environ.get("TRIPMART_DRIVER_MEMORY", "8g")
+        }
     else:
         settings["spark.master"] = submitted
     settings.update(conf)

@@ -19,7 +19,10 @@ CALENDAR = (date(2024, 1, 1), date(2027, 12, 31))
 DAY_PARTS = ((18, "Evening"), (12, "Afternoon"), (6, "Morning"), (0, "Night"))
 PEAK = (7, 8, 9, 16, 17, 18, 19)
 AIRPORTS = ("Airports", "EWR")
-MEASURES = ("trip_miles", "trip_time", "base_passenger_fare", "tolls", "bcf", "sales_tax", "congestion_surcharge", "airport_fee", "cbd_congestion_fee", "tips", "driver_pay")
+MEASURES = (
+    "trip_miles", "trip_time", "base_passenger_fare", "tolls", "bcf", "sales_tax", "congestion_surcharge", "airport_fee",
+    "cbd_congestion_fee", "tips", "driver_pay"
+)
 MONEY = ("base_passenger_fare", "tolls", "bcf", "sales_tax", "congestion_surcharge", "airport_fee", "cbd_congestion_fee", "tips", "driver_pay", "total_fare")
 
 
@@ -47,20 +50,28 @@ def dim_date(spark: SparkSession, calendar: tuple[date, date] = CALENDAR) -> Dat
 def dim_time(spark: SparkSession) -> DataFrame:
     h = F.col("id").cast("int")
     part = F.coalesce(*[F.when(h >= first, F.lit(name)) for first, name in DAY_PARTS])
-    return spark.range(24).select(h.alias("time_key"), h.alias("hour"), F.format_string("%02d:00", h).alias("hour_label"), part.alias("day_part"), h.isin(*PEAK).alias("is_peak_hour"))
+    return spark.range(24).select(
+        h.alias("time_key"), h.alias("hour"), F.format_string("%02d:00", h).alias("hour_label"), part.alias("day_part"),
+        h.isin(*PEAK).alias("is_peak_hour")
+    )
 
 
 def dim_zone(lookup: DataFrame) -> DataFrame:
     """The zone dimension from a lookup of texts: LocationID, Borough, Zone, service_zone."""
     zone = F.col("LocationID").cast("int")
-    return lookup.select(zone.alias("zone_key"), zone.alias("location_id"), F.col("Borough").alias("borough"), F.col("Zone").alias("zone"), "service_zone", F.coalesce(F.col("service_zone").isin(*AIRPORTS), F.lit(False)).alias("is_airport"))
+    return lookup.select(
+        zone.alias("zone_key"), zone.alias("location_id"), F.col("Borough").alias("borough"), F.col("Zone").alias("zone"), "service_zone",
+        F.coalesce(F.col("service_zone").isin(*AIRPORTS), F.lit(False)).alias("is_airport")
+    )
 
 
 def dim_company(known: DataFrame, accepted: DataFrame) -> DataFrame:
     """Known companies and all licences seen; names are those known, ``Other (code)`` else; never a null licence."""
     seen = accepted.select("hvfhs_license_num").distinct().withColumn("company_name", F.concat(F.lit("Other ("), F.col("hvfhs_license_num"), F.lit(")")))
     rows = known.select("hvfhs_license_num", "company_name", F.lit(0).alias("order")).unionByName(seen.withColumn("order", F.lit(1)))
-    named = rows.where("hvfhs_license_num IS NOT NULL").groupBy("hvfhs_license_num").agg(F.min_by("company_name", F.struct("order", "company_name")).alias("company_name"))
+    named = rows.where("hvfhs_license_num IS NOT NULL").groupBy("hvfhs_license_num").agg(
+        F.min_by("company_name", F.struct("order", "company_name")).alias("company_name")
+    )
     return named.select(company_key(F.col("hvfhs_license_num")).alias("company_key"), "hvfhs_license_num", "company_name")
 
 
@@ -100,7 +111,12 @@ def with_trip_key(trips: DataFrame, columns: Sequence[str] = NAMES, *, among: Da
 
 def fct_rows(accepted: DataFrame) -> DataFrame:
     """The facts of accepted trips with their trip keys where they have them; aggregates need none."""
-    fare = amount(sum((F.coalesce(hundredths(F.col(c)), F.lit(0).cast("bigint")) for c in CHARGES[1:]), F.coalesce(hundredths(F.col(CHARGES[0])), F.lit(0).cast("bigint"))))
+    fare = amount(
+        sum(
+            (F.coalesce(hundredths(F.col(c)), F.lit(0).cast("bigint")) for c in CHARGES[1:]),
+            F.coalesce(hundredths(F.col(CHARGES[0])), F.lit(0).cast("bigint"))
+        )
+    )
     pickup = F.col("pickup_datetime")
     key = ["trip_key"] if "trip_key" in accepted.columns else []
     return accepted.select(
@@ -117,7 +133,9 @@ def fct_trips_hourly(facts: DataFrame) -> DataFrame:
     """Facts per day, hour, pickup zone and company; a sum of nothing but nulls stays null."""
     return facts.groupBy("date_key", "time_key", F.col("pickup_zone_key").alias("zone_key"), "company_key", "data_month").agg(
         F.count(F.lit(1)).alias("trips"), amount(F.sum(hundredths(F.col("trip_miles")))).alias("trip_miles_sum"), F.sum("trip_time").alias("trip_time_sum"),
-        *[amount(F.sum(hundredths(F.col(c)))).alias(f"{c}_sum") for c in MONEY], F.sum("wait_time_seconds").alias("wait_time_seconds_sum"), F.count("wait_time_seconds").alias("wait_time_trips"),
+        *[
+            amount(F.sum(hundredths(F.col(c)))).alias(f"{c}_sum") for c in MONEY
+        ], F.sum("wait_time_seconds").alias("wait_time_seconds_sum"), F.count("wait_time_seconds").alias("wait_time_trips"),
     )
 
 
@@ -136,6 +154,9 @@ def checks(silver_rows: int, facts: DataFrame, hourly: DataFrame, dimensions: di
     spark = facts.sparkSession
     f = facts.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("trip_key").alias("keys")).first()
     h = hourly.agg(F.coalesce(F.sum("trips"), F.lit(0)).alias("trips")).first()
-    rows = [("accepted trips are facts", silver_rows, f["rows"]), ("trip keys are unique", f["rows"], f["keys"]), ("hourly trips add up to facts", f["rows"], h["trips"])]
+    rows = [
+        ("accepted trips are facts", silver_rows, f["rows"]), ("trip keys are unique", f["rows"], f["keys"]),
+        ("hourly trips add up to facts", f["rows"], h["trips"])
+    ]
     rows += [(f"{r['key']} finds its dimension row", 0, r["orphans"]) for r in orphan_counts(facts, dimensions).collect()]
     return spark.createDataFrame([(n, int(e), int(a), int(e) == int(a)) for n, e, a in rows], "name string, expected bigint, actual bigint, passed boolean")

@@ -70,7 +70,10 @@ def record_run(runs: Table, run_id: str, replay_day, started_at: datetime, finis
     runs.upsert(runs.spark.createDataFrame([row], RUN), ["run_id"])
 
 
-def run_until_caught_up(spark: SparkSession, source: str | DataFrame, table: Table, checkpoint: str, runs: Table | None = None, replay_day=None, *, files_per_trigger: int = 1, seconds: float | None = None) -> dict[str, int]:
+def run_until_caught_up(
+    spark: SparkSession, source: str | DataFrame, table: Table, checkpoint: str, runs: Table | None = None, replay_day=None, *,
+    files_per_trigger: int = 1, seconds: float | None = None
+) -> dict[str, int]:
     """Run over a folder of files or a stream of events to the end of what is there or, with ``seconds``, on and on for so long."""
     started = datetime.now(timezone.utc)
     query = run(file_events(spark, source, files_per_trigger) if isinstance(source, str) else source, table, checkpoint, until_caught_up=seconds is None)

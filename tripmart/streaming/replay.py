@@ -25,8 +25,14 @@ def events_of_day(trips: DataFrame, day: date) -> DataFrame:
     end = day + timedelta(days=1)
     p = F.col("pickup_datetime")
     rows = trips.where((F.col("data_month") == F.lit(day.replace(day=1))) & (p >= F.lit(day).cast("timestamp_ntz")) & (p < F.lit(end).cast("timestamp_ntz")))
-    placed = numbered(rows.select("hvfhs_license_num", "PULocationID", "DOLocationID", "pickup_datetime", "trip_miles"), ["pickup_datetime", "PULocationID", "DOLocationID", "hvfhs_license_num", "trip_miles"], "place")
-    return placed.select(F.concat(F.lit(f"{day}-"), F.col("place").cast("string")).alias("event_id"), "hvfhs_license_num", F.col("PULocationID").alias("pickup_zone_id"), p.cast("timestamp").alias("event_time"), F.lit(day).alias("event_date"))
+    placed = numbered(
+        rows.select("hvfhs_license_num", "PULocationID", "DOLocationID", "pickup_datetime", "trip_miles"),
+        ["pickup_datetime", "PULocationID", "DOLocationID", "hvfhs_license_num", "trip_miles"], "place"
+    )
+    return placed.select(
+        F.concat(F.lit(f"{day}-"), F.col("place").cast("string")).alias("event_id"), "hvfhs_license_num",
+        F.col("PULocationID").alias("pickup_zone_id"), p.cast("timestamp").alias("event_time"), F.lit(day).alias("event_date")
+    )
 
 
 @dataclass(frozen=True)
@@ -37,7 +43,12 @@ class Event:
     event_time: datetime
 
     def message(self) -> str:
-        return json.dumps({"event_id": self.event_id, "hvfhs_license_num": self.hvfhs_license_num, "pickup_zone_id": self.pickup_zone_id, "event_time": self.event_time.isoformat(timespec="seconds")})
+        return json.dumps(
+            {
+                "event_id": self.event_id, "hvfhs_license_num": self.hvfhs_license_num, "pickup_zone_id": self.pickup_zone_id,
+                "event_time": self.event_time.isoformat(timespec="seconds")
+            }
+        )
 
 
 @dataclass(frozen=True)
@@ -72,14 +83,22 @@ def planned_frame(events: DataFrame, late_share: float = 0.02, most_minutes: flo
     """The same plan for a day of any size: draws come from a hash of the seed and the event, not from a sequence."""
     draw = lambda salt: F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), F.col("event_id")), F.lit(1_000_000)) / F.lit(1_000_000.0)
     delay = F.when(draw(1) < late_share, 60 * (1 + draw(2) * (most_minutes - 1))).otherwise(F.lit(0.0))
-    return events.withColumn("delay_minutes", delay / 60).withColumn("send_time", F.timestamp_micros(F.unix_micros("event_time") + (delay * 1_000_000).cast("bigint")))
+    return events.withColumn("delay_minutes", delay / 60).withColumn(
+        "send_time", F.timestamp_micros(F.unix_micros("event_time") + (delay * 1_000_000).cast("bigint"))
+    )
 
 
 def summary(planned: DataFrame) -> DataFrame:
-    return planned.agg(F.count(F.lit(1)).alias("events"), F.count_if(F.col("delay_minutes") > 0).alias("late"), F.count_if(F.col("delay_minutes") > ALLOWED_MINUTES).alias("beyond_allowed"))
+    return planned.agg(
+        F.count(F.lit(1)).alias("events"), F.count_if(F.col("delay_minutes") > 0).alias("late"),
+        F.count_if(F.col("delay_minutes") > ALLOWED_MINUTES).alias("beyond_allowed")
+    )
 
 
-def replay(planned: Iterable[PlannedEvent], send: Callable[[Event], None], speed: float = 600, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> int:
+def replay(
+    planned: Iterable[PlannedEvent], send: Callable[[Event], None], speed: float = 600, clock: Callable[[], float] = time.monotonic,
+    sleep: Callable[[float], None] = time.sleep
+) -> int:
     """Send planned events, ``speed`` seconds of theirs in one of ours; waits only for more than a millisecond."""
     if speed <= 0:
         raise ValueError("the speed must be above 0")
@@ -94,7 +113,10 @@ def replay(planned: Iterable[PlannedEvent], send: Callable[[Event], None], speed
     return sent
 
 
-def paced(planned: DataFrame, send: Callable[[DataFrame, int], None], parts: int, speed: float | None = None, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> int:
+def paced(
+    planned: DataFrame, send: Callable[[DataFrame, int], None], parts: int, speed: float | None = None,
+    clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep
+) -> int:
     """Send a plan in ``parts`` of equal time, in order, each when its time has come: ``speed`` seconds of the day in one of ours.
 
     Without a speed the parts follow each other at once. Events of a part are sent side by side by the executors.

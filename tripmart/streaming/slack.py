@@ -57,7 +57,9 @@ class SlackStream:
         now = kslack.judged(cut, DAY, TIME, [ZONE], self.window_minutes, self.slack_minutes, tops)
         whole = cut.where(F.col(ZONE).isNotNull()).groupBy(DAY).agg(F.max(TIME).alias(TIME))
         tops = checkpoint(whole if tops is None else whole.unionByName(tops).groupBy(DAY).agg(F.max(TIME).alias(TIME)))  # a row a day
-        both = (now if buffer is None else now.unionByName(buffer.withColumn("__old", F.lit(True)), allowMissingColumns=True)).withColumn("__new", F.isnull("__old") if buffer is not None else F.lit(True))
+        both = (
+            now if buffer is None else now.unionByName(buffer.withColumn("__old", F.lit(True)), allowMissingColumns=True)
+        ).withColumn("__new", F.isnull("__old") if buffer is not None else F.lit(True))
         end = F.col("window_start") + F.expr(f"INTERVAL {self.window_minutes} MINUTES")
         passed = end <= F.col("__line") - F.expr(f"INTERVAL {self.slack_minutes} MINUTES")
         lines = tops.select(DAY, F.col(TIME).alias("__line"))
@@ -66,7 +68,9 @@ class SlackStream:
         kept = waiting.where("NOT __passed").drop("__passed", "__new")
         # what was published of a window before is in the buffer too, so its later publications go on from there
         changed = waiting.where("__new").select(*GROUPS, "window_start", SENT)
-        published = kslack.revisions(waiting, GROUPS, every_minutes=self.every_minutes).join(self._ticks(changed), [*GROUPS, "window_start", "published_at"], "left_semi")
+        published = kslack.revisions(waiting, GROUPS, every_minutes=self.every_minutes).join(
+            self._ticks(changed), [*GROUPS, "window_start", "published_at"], "left_semi"
+        )
         state.commit(
             number,
             replace={"buffer": kept, "provisional": self._windows(kept), "tops": tops},
@@ -77,7 +81,9 @@ class SlackStream:
         )
 
     def _ticks(self, changed: DataFrame) -> DataFrame:
-        return kslack.revisions(changed.withColumn("late", F.lit(False)), GROUPS, every_minutes=self.every_minutes).select(*GROUPS, "window_start", "published_at")
+        return kslack.revisions(
+            changed.withColumn("late", F.lit(False)), GROUPS, every_minutes=self.every_minutes
+        ).select(*GROUPS, "window_start", "published_at")
 
     @staticmethod
     def _windows(events: DataFrame) -> DataFrame:

@@ -42,7 +42,10 @@ def throughput(runs: DataFrame) -> DataFrame:
     """Rows per second over the stream runs that read rows and took time."""
     took = F.unix_micros("finished_at") - F.unix_micros("started_at")
     kept = runs.where((F.col("input_rows") > 0) & (took > 0))
-    return kept.agg(F.count(F.lit(1)).alias("runs"), F.sum("input_rows").alias("rows"), (F.sum(took) / 1e6).alias("seconds"), F.try_divide(F.sum("input_rows") * 1e6, F.sum(took)).alias("rows_per_second"))
+    return kept.agg(
+        F.count(F.lit(1)).alias("runs"), F.sum("input_rows").alias("rows"), (F.sum(took) / 1e6).alias("seconds"),
+        F.try_divide(F.sum("input_rows") * 1e6, F.sum(took)).alias("rows_per_second")
+    )
 
 
 def job_runs(text: str) -> list[dict]:
@@ -53,7 +56,12 @@ def job_runs(text: str) -> list[dict]:
         if run.get("state", {}).get("result_state") != "SUCCESS":
             continue
         tasks = {t["task_key"]: (t["end_time"] - t["start_time"]) / 1000 for t in run.get("tasks", [])}
-        out.append({"run_id": run["run_id"], "parameters": {p["name"]: p.get("value") for p in run.get("job_parameters", [])}, "tasks": tasks, "seconds": (run["end_time"] - run["start_time"]) / 1000})
+        out.append(
+            {
+                "run_id": run["run_id"], "parameters": {p["name"]: p.get("value") for p in run.get("job_parameters", [])}, "tasks": tasks,
+                "seconds": (run["end_time"] - run["start_time"]) / 1000
+            }
+        )
     return out
 
 
@@ -82,5 +90,7 @@ def job_report(runs: list[dict]) -> str:
     lines = [report("Job", seconds), "| run | parameters | " + " | ".join(tasks) + " | whole |", "|-|-|" + "-|" * (len(tasks) + 1)]
     for r in runs:
         given = ", ".join(f"{k} = {v}" for k, v in r["parameters"].items())
-        lines.append(f"| {r['run_id']} | {given} | " + " | ".join(f"{r['tasks'][t]:.1f}" if t in r["tasks"] else "" for t in tasks) + f" | {r['seconds']:.1f} |")
+        lines.append(
+            f"| {r['run_id']} | {given} | " + " | ".join(f"{r['tasks'][t]:.1f}" if t in r["tasks"] else "" for t in tasks) + f" | {r['seconds']:.1f} |"
+        )
     return "\n".join(lines) + "\n"
