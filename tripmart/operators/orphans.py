@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,16 +72,19 @@ class OrphanState:
             raise LookupError(f"no increment has been taken in at {self.root}")
         return found
 
-    def advance(self, step: int, period: date | None, new_references: DataFrame, arrived: DataFrame, deleted: DataFrame) -> None:
+    def advance(self, step: int, period: date | None, new_references: DataFrame, arrived: DataFrame | None = None, deleted: DataFrame | None = None) -> None:
         """Take in the references of ``period`` and the spans that ``arrived`` or, with their end, were ``deleted`` in it."""
         state = self.bundle
         if step <= state.step():
             return
-        changes = arrived.withColumn("ends", _day(NEVER)).unionByName(deleted)
-        index = state.read("parents")
-        # a span is given again when it ends
-        index = (changes if index is None else index.unionByName(changes)).groupBy(*KEY, "begins").agg(F.min("ends").alias("ends"))
-        orphans = checkpoint(self._unmet(new_references, index))
+        index, replaced = state.read("parents"), {}
+        changes = [c for c in (None if arrived is None else arrived.withColumn("ends", _day(NEVER)), deleted) if c is not None]
+        if changes or index is None:
+            parts = [*([] if index is None else [index]), *(changes or [self.spark.createDataFrame([], SPAN)])]
+            # a span is given again when it ends
+            index = reduce(DataFrame.unionByName, parts).groupBy(*KEY, "begins").agg(F.min("ends").alias("ends"))
+            replaced["parents"] = index
+        orphans = self._unmet(new_references, index)
         pending = state.read("pending")
         more = orphans.select(*KEY, "n")
         pending = (more if pending is None else pending.select(*KEY, "n").unionByName(more)).groupBy(*KEY).agg(F.sum("n").alias("n"))
@@ -88,7 +92,7 @@ class OrphanState:
         there = index.where((F.col("begins") <= last) & (F.col("ends") > last)).select(*KEY, F.lit(True).alias("there")).distinct()
         pending = pending.join(there, KEY, "left").select(*KEY, "n", F.isnull("there").alias("waiting"))
         state.commit(
-            step, replace={"parents": index, "pending": pending},
+            step, replace={**replaced, "pending": pending},
             append={"found": orphans, "snapshots": self._snapshot(period, new_references, orphans, pending)}
         )
 
@@ -121,17 +125,22 @@ class OrphanState:
         """
         counted, spans = checkpoint(all_references), checkpoint(spans)
         periods = [r["period"] for r in counted.where("period IS NOT NULL").select("period").distinct().orderBy("period").collect()]
-        nothing = spans.where("false")
-        before = _day(EVER)
+        # the months in which any span begins or ends: as many rows as months
+        moves = spans.select(F.explode(F.array("begins", "ends")).alias("day")).select(F.trunc("day", "month").alias("month")).distinct()
+        moved = sorted(r["month"] for r in moves.collect())
+        before = None
         for step, period in enumerate(periods):
-            last = F.last_day(F.lit(period))
-            arrived = spans.where(F.col("begins") <= last) if step == 0 else spans.where((F.col("begins") > before) & (F.col("begins") <= last))
-            deleted = spans.where((F.col("ends") > before) & (F.col("ends") <= last) & (F.col("ends") != _day(NEVER)))
+            last, arrived, deleted = F.last_day(F.lit(period)), None, None
+            if any((before is None or m > before) and m <= period for m in moved):
+                since = F.lit(True) if before is None else F.col("begins") > F.last_day(F.lit(before))
+                ended = F.lit(True) if before is None else F.col("ends") > F.last_day(F.lit(before))
+                arrived = spans.where(since & (F.col("begins") <= last))
+                deleted = spans.where(ended & (F.col("ends") <= last) & (F.col("ends") != _day(NEVER)))
             self.advance(step, period, counted.where(F.col("period") == F.lit(period)), arrived, deleted)
-            before = last
+            before = period
         without = counted.where("period IS NULL")
         if not periods or not without.isEmpty():
-            self.advance(len(periods), None, without, nothing if periods else spans, nothing)
+            self.advance(len(periods), None, without, None if periods else spans)
 
 
 def orphan_rows(facts: DataFrame, found: DataFrame, columns: Sequence[str], month: str, *, broadcast_keys: int = 200_000) -> DataFrame:
