@@ -72,12 +72,16 @@ def missing_columns(columns: Sequence[str], contract: Sequence[Field] = TRIP) ->
     return [f.name for f in contract if f.name not in columns]
 
 
-def conform(raw: DataFrame, month: Month, source_file: str, ingested_at: datetime | None = None, contract: Sequence[Field] = TRIP) -> DataFrame:
+def conform(
+    raw: DataFrame, month: Month | str, source_file: str, ingested_at: datetime | None = None, contract: Sequence[Field] = TRIP
+) -> DataFrame:
     """A load in the contract's columns, order and types, with its file, time of loading and month.
 
-    A column the load lacks is null; a value that doesn't fit its type fails the load (ANSI casts).
+    ``month`` is that of the load or, where several are read at once, the column that holds each row's. A column the load
+    lacks is null; a value that doesn't fit its type fails the load (ANSI casts).
     """
-    absent = set(missing_columns(raw.columns, contract))
+    absent = set(missing_columns([c for c in raw.columns if c != month], contract))
     columns = [F.lit(None).cast(f.kind).alias(f.name) if f.name in absent else F.col(f"`{f.name}`").cast(f.kind).alias(f.name) for f in contract]
     at = F.lit(ingested_at).cast("timestamp") if ingested_at else F.current_timestamp()
-    return raw.select(*columns, F.lit(source_file).alias("_source_file"), at.alias("_ingested_at"), F.lit(month.first).alias("data_month"))
+    of = F.col(month) if isinstance(month, str) else F.lit(month.first)
+    return raw.select(*columns, F.lit(source_file).alias("_source_file"), at.alias("_ingested_at"), of.alias("data_month"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,13 +72,9 @@ def texts(df: DataFrame, *arrays: str) -> DataFrame:
 
 def bronze_conform(spark: SparkSession, d: str) -> DataFrame:
     """Every month's file, as texts and without the late column, brought to the contract."""
-    months = sorted(r["data_month"] for r in trips(spark, d).where("data_month IS NOT NULL").select("data_month").distinct().collect())
-    raw = trips(spark, d).select(
-        *[F.col(n).cast("string").alias(n) for n in reversed(contract.NAMES) if n != "cbd_congestion_fee"],
-        F.col("data_month").alias("__month")
-    )
-    parts = [contract.conform(raw.where(F.col("__month") == F.lit(m)).drop("__month"), Month.of(m), "load.parquet").drop("_ingested_at") for m in months]
-    return reduce(DataFrame.unionByName, parts)
+    given = [F.col(n).cast("string").alias(n) for n in reversed(contract.NAMES) if n != "cbd_congestion_fee"]
+    raw = trips(spark, d).where("data_month IS NOT NULL").select(*given, F.col("data_month").alias("of_month"))
+    return contract.conform(raw, "of_month", "load.parquet").drop("_ingested_at")
 
 
 def rule_flags(spark: SparkSession, d: str) -> DataFrame:
