@@ -22,7 +22,7 @@ def create(app: str = "tripmart", master: str | None = None, **conf: str) -> Spa
     shuffle partitions is set, a cluster's own stands.
     """
     cores = os.environ.get("BENCH_CPUS", "8")
-    submitted = master or os.environ.get("MASTER") or _submitted_master()
+    submitted = master or _submitted_master()
     settings = {
         "spark.app.name": app,
         "spark.sql.session.timeZone": "UTC",
