@@ -1,6 +1,8 @@
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import heldout
 from tests.llm.prose import prose
@@ -186,3 +188,37 @@ def test_long_residue_leaves_the_next_texts_alone(models):
     together, alone = models.scores([long, *clean]), models.scores(clean)
     assert R._found(together)["filler"].tolist() == [True] + [False] * 20
     assert together.iloc[1:].reset_index(drop=True).equals(alone)
+
+
+def test_long_documents_are_fitted_on(spark):
+    """Words that natural documents of over 4,000 characters use in many surroundings count for less in a notice."""
+    rng = random.Random(4)
+    some = lambda: "".join(rng.choices("abdeikmnorstu", k=rng.randint(4, 8)))
+    said = lambda n: " ".join(f"{some().capitalize()} {some()} {rng.choice(['please', 'enable', 'continue', 'javascript'])} {some()} {some()}." for _ in range(n))
+    notice = (900, "Please enable JavaScript to continue.")
+    short, long = [(i, prose(rng, 2)) for i in range(300)], [(i, said(150)) for i in range(400, 420)]
+    assert min(len(t) for _, t in long) > 4000
+    score = lambda rows: {r["doc_id"]: r["score"] for r in R.residue(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    without, among = score([*short, notice]), score([*short, *long, notice])
+    assert set(without) == set(among) == {900} and among[900] < without[900]
+
+
+def test_the_fit_of_a_table_is_that_of_its_texts(spark):
+    """Counts of partitions add up to those of all texts, sentences met before and long texts included."""
+    rng = random.Random(14)
+    texts = [prose(rng, rng.choice([1, 2, 60])) for _ in range(200)] + ["Error 404: Page not found. " + prose(rng, 2) for _ in range(20)] + ["x" * 250_000]
+    texts += [f"{t}\n{texts[0]}" for t in texts[1:20]]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    order = [r["text"] for r in df.orderBy(F.xxhash64("text", F.lit(23))).collect()]
+    here = R.fit(order)
+    for most in (0, 200_000):
+        there = R.fit_all(R._viewed(df.repartition(5)), broadcast_rows=most)
+        assert all((here.tables[k] == there.tables[k]).all() for k in R.KINDS)
+
+
+def test_other_grams_have_no_place_of_seeds():
+    own = np.arange(1, 2000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    places = R.Places(np.unique(own))
+    assert len(set(places.of(own).tolist())) == len(own) and places.of(own).min() >= 1 << R.TABLE_BITS
+    assert places.of(own ^ np.uint64(1)).max() < 1 << R.TABLE_BITS
+    assert R.Places(own[:0]).of(own).max() < 1 << R.TABLE_BITS
