@@ -120,3 +120,11 @@ def test_empty_tables(spark, root):
     assert found(f, st) == [] and st.read("snapshots").count() == 0
     f, st = state(spark, root + "2", [(1, 1, 1, M[1], "", "")], [])
     assert found(f, st) == [(1, "day"), (1, "zone")]
+
+
+def test_no_frame_of_an_increment_is_made_twice(spark, root, monkeypatch):
+    """References meet the index once an increment and wait once: two joins, however much is counted of them."""
+    plans, write = [], Bundle._write
+    monkeypatch.setattr(Bundle, "_write", lambda self, df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), write(self, df))[1])
+    _, st = state(spark, root, [(1, 1, 5, M[1], "", ""), (2, 1, 5, M[2], "", ""), (3, 2, 5, M[3], "", "")], [(1, M[2], None)], days=(5,))
+    assert st.bundle.step() == 2 and sum(line.lstrip(" :+-").startswith("Join") for p in plans for line in p.split("\n")) == 2 * 3

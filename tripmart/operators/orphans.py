@@ -82,18 +82,20 @@ class OrphanState:
         if changes or index is None:
             parts = [*([] if index is None else [index]), *(changes or [self.spark.createDataFrame([], SPAN)])]
             # a span is given again when it ends
-            index = reduce(DataFrame.unionByName, parts).groupBy(*KEY, "begins").agg(F.min("ends").alias("ends"))
-            replaced["parents"] = index
-        orphans = self._unmet(new_references, index)
+            replaced["parents"] = state.stage(reduce(DataFrame.unionByName, parts).groupBy(*KEY, "begins").agg(F.min("ends").alias("ends")))
+            index = replaced["parents"].rows
+        # each frame is written before the next is made of it: none is made twice
+        found = state.stage(self._unmet(new_references, index))
+        orphans = found.rows
         pending = state.read("pending")
         more = orphans.select(*KEY, "n")
         pending = (more if pending is None else pending.select(*KEY, "n").unionByName(more)).groupBy(*KEY).agg(F.sum("n").alias("n"))
         last = F.last_day(F.lit(period)) if period else _day(NEVER)
         there = index.where((F.col("begins") <= last) & (F.col("ends") > last)).select(*KEY, F.lit(True).alias("there")).distinct()
-        pending = pending.join(there, KEY, "left").select(*KEY, "n", F.isnull("there").alias("waiting"))
+        waits = state.stage(pending.join(there, KEY, "left").select(*KEY, "n", F.isnull("there").alias("waiting")))
         state.commit(
-            step, replace={**replaced, "pending": pending},
-            append={"found": orphans, "snapshots": self._snapshot(period, new_references, orphans, pending)}
+            step, replace={**replaced, "pending": waits},
+            append={"found": found, "snapshots": self._snapshot(period, new_references, orphans, waits.rows)}
         )
 
     def _unmet(self, rows: DataFrame, index: DataFrame) -> DataFrame:
